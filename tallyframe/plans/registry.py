@@ -25,12 +25,15 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def finish(df: DataFrame, digits: int | None = None) -> DataFrame:
+def finish(df: DataFrame, digits: int | None = None, keep: tuple = ()) -> DataFrame:
     """Decimals -> double; doubles rounded to ``digits`` (engines differ in the last bits
     of floating sums, so compared outputs are rounded the same way on both sides)."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
+        if f.name in keep:
+            out.append(c)
+            continue
         if isinstance(f.dataType, DecimalType):
             c = c.cast("double")
             if digits is not None:

@@ -47,3 +47,52 @@ monthly AS (
          CAST(coalesce(mm.spend, 0) AS DOUBLE) * 0.4 AS discretionary_spend,
          CAST(coalesce(mm.income, 0) - coalesce(mm.spend, 0) AS DOUBLE) AS saving
   FROM sp LEFT JOIN mm ON sp.entity_id = mm.entity_id AND sp.month_end = mm.month_end)"""
+
+
+def commerce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commerce order lines: lineitem joined to its order and part.
+
+    category = part type, payment = order priority, returned = return flag R,
+    delivery_days = ship date - order date. Both joins are equi-joins on keys; Catalyst
+    and AQE pick broadcast or sort-merge from the runtime sizes.
+    """
+    li = read(spark, sf_dir, "lineitem")
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    return j.select(
+        F.to_date("o_orderdate").alias("order_date"), F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line"), F.col("p_type").alias("category"),
+        F.col("o_orderpriority").alias("payment"), F.col("p_retailprice").alias("price"),
+        F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("total_amount"),
+        F.col("l_discount").alias("discount"), (F.col("l_returnflag") == "R").cast("int").alias("returned"),
+        F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")).alias("delivery_days"))
+
+
+COMMERCE_SQL = """commerce AS (
+  SELECT CAST(o_orderdate AS DATE) AS order_date, l_orderkey AS order_id, l_linenumber AS line,
+         p_type AS category, o_orderpriority AS payment, p_retailprice AS price, l_quantity AS quantity,
+         l_extendedprice AS total_amount, l_discount AS discount,
+         CAST(l_returnflag = 'R' AS INTEGER) AS returned,
+         CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS INTEGER) AS delivery_days
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
+
+
+def daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily OHLCV per symbol (= return flag) from line items: open / close are the
+    prices of the first / last line of the day (by order key, line number), high / low
+    the extremes, volume the quantity. One aggregate: partial per task, then per day."""
+    li = read(spark, sf_dir, "lineitem")
+    key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    return li.groupBy(F.col("l_returnflag").alias("symbol"), F.to_date("l_shipdate").alias("day")).agg(
+        F.min_by("l_extendedprice", key).alias("open"), F.max("l_extendedprice").alias("high"),
+        F.min("l_extendedprice").alias("low"), F.max_by("l_extendedprice", key).alias("close"),
+        F.sum("l_quantity").alias("volume"))
+
+
+DAILY_SQL = """daily AS (
+  SELECT l_returnflag AS symbol, CAST(l_shipdate AS DATE) AS day,
+         arg_min(l_extendedprice, l_orderkey * 8 + l_linenumber) AS open, max(l_extendedprice) AS high,
+         min(l_extendedprice) AS low, arg_max(l_extendedprice, l_orderkey * 8 + l_linenumber) AS close,
+         sum(l_quantity) AS volume
+  FROM lineitem GROUP BY 1, 2)"""
