@@ -6,3 +6,4 @@ Importing this package registers every query; see ``registry.QUERIES`` / ``ORACL
 from . import registry  # noqa: F401
 from . import cashflow  # noqa: F401
 from . import descriptive  # noqa: F401
+from . import tabular  # noqa: F401

@@ -96,3 +96,42 @@ DAILY_SQL = """daily AS (
          min(l_extendedprice) AS low, arg_max(l_extendedprice, l_orderkey * 8 + l_linenumber) AS close,
          sum(l_quantity) AS volume
   FROM lineitem GROUP BY 1, 2)"""
+
+
+def processing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processing log: type = event type, origin = user, size = value, event rate = the
+    ``k`` field of the JSON props, latency missing when the rate is 0."""
+    e = read(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").try_cast("double")
+    return e.select("event_id", "ts", F.col("event_type").alias("kind"), F.col("user_id").alias("origin"),
+                    F.col("value").alias("size_gb"), k.alias("rate"),
+                    F.when(k != 0, F.col("value") * 10).alias("latency_ms"))
+
+
+LOG_SQL = """plog AS (
+  SELECT event_id, ts, event_type AS kind, user_id AS origin, value AS size_gb,
+         TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS rate,
+         CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) <> 0 THEN value * 10 END AS latency_ms
+  FROM events)"""
+
+# Spanish month abbreviations, January first.
+SPANISH_MONTH_ABBR = ["Ene", "Feb", "Mar", "Abr", "May", "Jun", "Jul", "Ago", "Sep", "Oct", "Nov", "Dic"]
+
+
+def statement_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All-string bank movements rendered from orders, in mixed formats: dates as
+    '1997 Ago 05' / '1997 AUG 05' / '05/08/1997'; debits as '$ 1,234.50' (or a
+    '1.234.567'-style malformed amount for low-priority orders), credits as plain text."""
+    o = read(spark, sf_dir, "orders")
+    d = F.col("o_orderdate")
+    es = F.element_at(F.array(*[F.lit(m) for m in SPANISH_MONTH_ABBR]), F.month(d))
+    fmt = F.col("o_orderkey") % 3
+    fecha = (F.when(fmt == 0, F.concat_ws(" ", F.year(d).cast("string"), es, F.date_format(d, "dd")))
+             .when(fmt == 1, F.upper(F.date_format(d, "yyyy MMM dd")))
+             .otherwise(F.date_format(d, "dd/MM/yyyy")))
+    money = F.format_number("o_totalprice", 2)
+    deb = F.when(F.col("o_orderpriority") == "5-LOW", F.regexp_replace(money, ",", "."))\
+        .otherwise(F.concat(F.lit("$ "), money))
+    return o.select(F.col("o_orderkey").alias("doc"), fecha.alias("fecha"),
+                    F.when(F.col("o_orderstatus") != "F", deb).otherwise(F.lit("")).alias("debitos"),
+                    F.when(F.col("o_orderstatus") == "F", money).otherwise(F.lit("-")).alias("creditos"))
