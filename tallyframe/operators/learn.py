@@ -2,16 +2,18 @@
 
 * ``mini_mlp_scores`` — one 3-6-1 network per entity (``groupBy(id).applyInPandas``);
   each group holds only that entity's block rows (<= months/15), never raw rows.
-* ``perceptron`` — iterative parameter mixing: one epoch per partition in
-  ``mapInPandas``, weights averaged on the driver, lineage cut each round.
-* ``mlp_regressor`` — full-batch gradient descent; per-partition gradient sums in
-  ``mapInPandas``, reduced with a ``sum`` aggregate, step on the driver.
+* ``perceptron`` — iterative parameter mixing: local epochs per partition in
+  ``mapInPandas``, weights averaged on the driver each round.
+* ``mlp_regressor`` — local Adam steps per partition in ``mapInPandas`` alternating
+  with row-weighted model averaging on the driver.
 * ``mlp_classifier`` — Spark ML ``MultilayerPerceptronClassifier``.
 * ``confusion`` / ``classification_report`` — ``groupBy(label, pred)`` aggregates.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -80,3 +82,218 @@ def mini_mlp_scores(blocks: DataFrame, metrics: DataFrame, id_col: str = "entity
         return pd.DataFrame({id_col: [pdf[id_col].iloc[0]], "neural_score": [score]})
 
     return rows.groupBy(id_col).applyInPandas(fit_score, f"{id_col} {id_type}, neural_score double")
+
+
+# ---- M9: perceptron by iterative parameter mixing -----------------------------------
+
+def _standardized_matrix(df: DataFrame, features: list[str]) -> DataFrame:
+    """Features scaled by mean / population std of the same rows (one aggregate)."""
+    from .clean import standardize
+    return standardize(df, features)
+
+
+def perceptron(df: DataFrame, features: list[str], label: str, rounds: int = 10, local_epochs: int = 10,
+               eta: float = 0.01, batch: int = 64) -> DataFrame:
+    """Binary perceptron (labels 0/1) trained by iterative parameter mixing (McDonald,
+    Hall & Mann 2010): each round every partition runs ``local_epochs`` epochs from the
+    current weights (``mapInPandas``), the driver averages partition weights by row
+    count. Updates are mini-batched (``batch`` rows, vectorised in numpy: the sum of
+    y_i x_i over the batch's misclassified rows); ``batch=1`` is the classic online rule.
+    ``rounds * local_epochs`` epochs in total, one Spark job per round over the persisted
+    input. Output: one row with coef (array), intercept, epochs."""
+    k = len(features)
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias("_y")) \
+        .na.drop().persist()
+    w = np.zeros(k + 1)
+    try:
+        for _ in range(rounds):
+            w0 = w.copy()
+
+            def epoch(it, w0=w0):
+                frames = [pdf for pdf in it]
+                if not frames:
+                    return
+                pdf = pd.concat(frames)
+                x = np.column_stack([pdf[features].to_numpy(float), np.ones(len(pdf))])
+                yv = np.where(pdf["_y"].to_numpy(float) > 0, 1.0, -1.0)
+                wl = w0.copy()
+                for _ in range(local_epochs):
+                    for a in range(0, len(x), batch):
+                        xb, yb = x[a:a + batch], yv[a:a + batch]
+                        wrong = yb * (xb @ wl) <= 0
+                        if wrong.any():
+                            wl += eta * (yb[wrong, None] * xb[wrong]).sum(axis=0)
+                yield pd.DataFrame({"w": [wl.tolist()], "n": [len(x)]})
+
+            parts = data.mapInPandas(epoch, "w array<double>, n long").collect()  # one row per partition
+            tot = sum(r["n"] for r in parts)
+            if tot:
+                w = sum(np.array(r["w"]) * r["n"] for r in parts) / tot
+    finally:
+        data.unpersist()
+    return df.sparkSession.createDataFrame(
+        [([float(v) for v in w[:k]], float(w[k]), rounds * local_epochs)],
+        "coef array<double>, intercept double, epochs int")
+
+
+def linear_predict(df: DataFrame, features: list[str], model: DataFrame, out: str = "prediction") -> DataFrame:
+    """Class 1 when coef . x + intercept > 0 (model is one row: broadcast)."""
+    j = df.crossJoin(F.broadcast(model))
+    score = F.col("intercept")
+    for i, c in enumerate(features):
+        score = score + F.col("coef")[i] * F.col(c)
+    return j.withColumn("score", score).withColumn(out, (F.col("score") > 0).cast("int")) \
+        .drop(*model.columns)
+
+
+def decision_grid(df: DataFrame, features: list[str], model: DataFrame, points: int = 100,
+                  margin: float = 1.0) -> DataFrame:
+    """points x points mesh over [min - margin, max + margin] of two features with the
+    linear model's class at each node (grid size is fixed: points^2 rows)."""
+    a, b = features
+    r = df.agg(F.min(a).alias("_a0"), F.max(a).alias("_a1"), F.min(b).alias("_b0"), F.max(b).alias("_b1"))
+    g = r.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i")) \
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("j"))
+    ga = F.col("_a0") - margin + (F.col("_a1") - F.col("_a0") + 2 * margin) * F.col("i") / (points - 1)
+    gb = F.col("_b0") - margin + (F.col("_b1") - F.col("_b0") + 2 * margin) * F.col("j") / (points - 1)
+    g = g.select("i", "j", ga.alias(a), gb.alias(b))
+    return linear_predict(g, features, model)
+
+
+# ---- M10: confusion matrix and report ------------------------------------------------
+
+def confusion(df: DataFrame, label: str, pred: str) -> DataFrame:
+    return df.groupBy(F.col(label).alias("actual"), F.col(pred).alias("predicted")).agg(
+        F.count(F.lit(1)).alias("count"))
+
+
+def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
+    """Per class: precision, recall, F1, support; plus accuracy and error rate (same on
+    every row). One aggregate over (actual, predicted) counts."""
+    c = confusion(df, label, pred)
+    classes = c.select(F.col("actual").alias("cls")).union(c.select(F.col("predicted").alias("cls"))).distinct()
+    j = classes.crossJoin(c)  # classes x cells: both tiny (confusion cells)
+    per = j.groupBy("cls").agg(
+        F.sum(F.when((F.col("actual") == F.col("cls")) & (F.col("predicted") == F.col("cls")), F.col("count"))
+              .otherwise(0)).alias("tp"),
+        F.sum(F.when(F.col("predicted") == F.col("cls"), F.col("count")).otherwise(0)).alias("pred_n"),
+        F.sum(F.when(F.col("actual") == F.col("cls"), F.col("count")).otherwise(0)).alias("support"))
+    tot = c.agg(F.sum("count").alias("_n"),
+                F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0)).alias("_ok"))
+    per = per.crossJoin(F.broadcast(tot))
+    prec = F.when(F.col("pred_n") > 0, F.col("tp") / F.col("pred_n")).otherwise(0.0)
+    rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
+    per = per.withColumn("precision", prec).withColumn("recall", rec)
+    f1 = F.when(F.col("precision") + F.col("recall") > 0,
+                2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(0.0)
+    return per.select("cls", "precision", "recall", f1.alias("f1"), "support",
+                      (F.col("_ok") / F.col("_n")).alias("accuracy"),
+                      (1 - F.col("_ok") / F.col("_n")).alias("error_rate"))
+
+
+# ---- M11: MLP classifier (Spark ML) --------------------------------------------------
+
+def mlp_classifier(train: DataFrame, test: DataFrame, features: list[str], label: str,
+                   hidden: tuple = (10, 10), max_iter: int = 500, seed: int = 10) -> DataFrame:
+    """Standardise (population std fitted on train), then Spark ML's multilayer
+    perceptron (sigmoid hidden layers, softmax output). Labels are indexed 0..k-1 in
+    sorted order. Returns test rows with ``prediction`` (original label values)."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from .clean import standardize
+    levels = sorted(r[0] for r in train.select(label).distinct().limit(1001).collect())
+    if len(levels) > 1000:
+        raise ValueError("too many classes")
+    idx = F.create_map(*[x for i, v in enumerate(levels) for x in (F.lit(v), F.lit(float(i)))])
+    tr = standardize(train, features)
+    te = standardize(train, features, test)
+    va = VectorAssembler(inputCols=features, outputCol="_features")
+    tr = va.transform(tr.withColumn("_label", idx[F.col(label)]))
+    te = va.transform(te)
+    mlp = MultilayerPerceptronClassifier(featuresCol="_features", labelCol="_label",
+                                         layers=[len(features), *hidden, len(levels)], maxIter=max_iter,
+                                         seed=seed)
+    m = mlp.fit(tr)
+    back = F.create_map(*[x for i, v in enumerate(levels) for x in (F.lit(float(i)), F.lit(v))])
+    return m.transform(te).withColumn("prediction", back[F.col("prediction")]).drop(
+        "_features", "rawPrediction", "probability")
+
+
+# ---- M12: MLP regressor by local steps + model averaging --------------------------------
+
+def mlp_regressor(df: DataFrame, features: list[str], target: str, hidden: int = 100, rounds: int = 20,
+                  local_steps: int = 50, lr: float = 0.001, seed: int = 10) -> dict:
+    """One tanh hidden layer, linear output, squared loss, Adam. Training alternates
+    ``local_steps`` full-batch Adam steps inside each partition (``mapInPandas``) with a
+    row-weighted average of the partition models on the driver (``rounds`` Spark jobs).
+    Features are standardised with the training rows' mean / population std.
+    Returns the model as plain arrays (w1, b1, w2, b2, mu, sd)."""
+    from .clean import standardize
+    stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
+                   *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(features)]).first()
+    mu = np.array([stats[f"m{i}"] for i in range(len(features))], float)
+    sd = np.array([stats[f"s{i}"] or 1.0 for i in range(len(features))], float)
+    sd[sd == 0] = 1.0
+    data = standardize(df.select(*features, target).na.drop(), features).persist()
+    rng = np.random.default_rng(seed)
+    k = len(features)
+    lim1, lim2 = math.sqrt(6 / (k + hidden)), math.sqrt(6 / (hidden + 1))
+    params = [rng.uniform(-lim1, lim1, (k, hidden)), np.zeros(hidden), rng.uniform(-lim2, lim2, (hidden, 1)),
+              np.zeros(1)]
+    try:
+        for _ in range(rounds):
+            p0 = [x.copy() for x in params]
+
+            def local(it, p0=p0):
+                frames = [pdf for pdf in it]
+                if not frames:
+                    return
+                pdf = pd.concat(frames)
+                x = pdf[features].to_numpy(float)
+                y = pdf[[target]].to_numpy(float)
+                p = [a.copy() for a in p0]
+                m1 = [np.zeros_like(a) for a in p]
+                m2 = [np.zeros_like(a) for a in p]
+                for step in range(1, local_steps + 1):
+                    h = np.tanh(x @ p[0] + p[1])
+                    err = (h @ p[2] + p[3]) - y
+                    g2 = h.T @ err / len(x)
+                    gb2 = err.mean(axis=0)
+                    dh = (err @ p[2].T) * (1 - h ** 2)
+                    g1 = x.T @ dh / len(x)
+                    gb1 = dh.mean(axis=0)
+                    for i, g in enumerate((g1, gb1, g2, gb2)):
+                        m1[i] = 0.9 * m1[i] + 0.1 * g
+                        m2[i] = 0.999 * m2[i] + 0.001 * g * g
+                        mh = m1[i] / (1 - 0.9 ** step)
+                        vh = m2[i] / (1 - 0.999 ** step)
+                        p[i] = p[i] - lr * mh / (np.sqrt(vh) + 1e-8)
+                yield pd.DataFrame({"w1": [p[0].ravel().tolist()], "b1": [p[1].tolist()],
+                                    "w2": [p[2].ravel().tolist()], "b2": [p[3].tolist()], "n": [len(x)]})
+
+            parts = data.mapInPandas(local, "w1 array<double>, b1 array<double>, w2 array<double>, "
+                                            "b2 array<double>, n long").collect()  # one row per partition
+            tot = sum(r["n"] for r in parts)
+            if not tot:
+                break
+            params = [sum(np.array(r["w1"]) * r["n"] for r in parts).reshape(k, hidden) / tot,
+                      sum(np.array(r["b1"]) * r["n"] for r in parts) / tot,
+                      sum(np.array(r["w2"]) * r["n"] for r in parts).reshape(hidden, 1) / tot,
+                      sum(np.array(r["b2"]) * r["n"] for r in parts) / tot]
+    finally:
+        data.unpersist()
+    return {"w1": params[0], "b1": params[1], "w2": params[2], "b2": params[3], "mu": mu, "sd": sd,
+            "features": list(features)}
+
+
+def mlp_regressor_predict(df: DataFrame, model: dict, out: str = "prediction") -> DataFrame:
+    """Apply the network with an Arrow-batched pandas UDF (weights in the closure)."""
+    feats = model["features"]
+    w1, b1, w2, b2, mu, sd = (model[k] for k in ("w1", "b1", "w2", "b2", "mu", "sd"))
+
+    @F.pandas_udf("double")
+    def predict(*cols: pd.Series) -> pd.Series:
+        x = (np.column_stack([c.to_numpy(float) for c in cols]) - mu) / sd
+        return pd.Series((np.tanh(x @ w1 + b1) @ w2 + b2)[:, 0])
+
+    return df.withColumn(out, predict(*[F.col(c) for c in feats]))

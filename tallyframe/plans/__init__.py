@@ -7,3 +7,5 @@ from . import registry  # noqa: F401
 from . import cashflow  # noqa: F401
 from . import descriptive  # noqa: F401
 from . import tabular  # noqa: F401
+from . import text  # noqa: F401
+from . import models  # noqa: F401

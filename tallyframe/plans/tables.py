@@ -135,3 +135,65 @@ def statement_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("o_orderkey").alias("doc"), fecha.alias("fecha"),
                     F.when(F.col("o_orderstatus") != "F", deb).otherwise(F.lit("")).alias("debitos"),
                     F.when(F.col("o_orderstatus") == "F", money).otherwise(F.lit("-")).alias("creditos"))
+
+
+def statement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statement text lines per customer file, rendered from orders.
+
+    Each order is one record: ``MON d TXN [DOC] PLACE [amount] [balance]``; urgent orders
+    put place and amounts on a continuation line; high-priority pending orders are
+    written in CSV form; every file starts with a header line that precedes the first
+    record. Not-specified priority -> no amounts, low priority -> balance only.
+    """
+    from ..sources.statement import KNOWN_PLACES, MONTHS
+    o = read(spark, sf_dir, "orders")
+    c = read(spark, sf_dir, "customer").select("c_custkey")
+    d = F.col("o_orderdate")
+    mon = F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(d))
+    opener = F.concat_ws(" ", mon, F.dayofmonth(d).cast("string"))
+    place = F.element_at(F.array(*[F.lit(p) for p in KNOWN_PLACES]), (F.col("o_custkey") % len(KNOWN_PLACES) + 1).cast("int"))
+    st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
+    txn = F.when(st == "F", "ABONO NOMINA").when(st == "O", "COMPRA POS").otherwise("PAGO PSE")
+    doc = F.when(st != "F", F.concat(F.lit("D"), F.col("o_orderkey").cast("string")))
+    amt = F.format_number("o_totalprice", 2)
+    bal = F.format_number(F.col("o_totalprice") + 1000, 2)
+    amounts = F.when(pr == "4-NOT SPECIFIED", F.lit(None)).when(pr == "5-LOW", bal).otherwise(F.concat_ws(" ", amt, bal))
+    head = F.concat_ws(" ", opener, txn, doc)
+    tail = F.concat_ws(" ", place, amounts)
+    csv = (st == "P") & (pr == "2-HIGH")
+    csv_line = F.concat_ws(",", opener, txn, doc, place, F.format_string("%.2f", "o_totalprice"), F.lit(""),
+                           F.format_string("%.2f", F.col("o_totalprice") + 1000))
+    two = (pr == "1-URGENT") & ~csv
+    lines = F.when(csv, F.array(csv_line)).when(two, F.array(head, tail)).otherwise(
+        F.array(F.concat_ws(" ", head, tail)))
+    rec = o.select(F.concat(F.lit("cust_"), F.col("o_custkey").cast("string")).alias("file"),
+                   F.col("o_orderkey"), F.posexplode(lines).alias("k", "line"))
+    rec = rec.select("file", (F.col("o_orderkey") * 2 + F.col("k")).alias("line_no"), "line")
+    headers = c.select(F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("file"),
+                       F.lit(-1).cast("long").alias("line_no"),
+                       F.concat(F.lit("EXTRACTO DE CUENTA "), F.col("c_custkey").cast("string")).alias("line"))
+    return headers.unionByName(rec)
+
+
+def segment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly payment-like series per market segment with regressors:
+    total (order value), n_orders, n_urgent, tax_rate / discount_rate (monthly macro
+    rates, gap-filled) and pay_type ('Abono extra' when most orders finished, else
+    'Ordinario') with its drop-first indicator."""
+    from ..operators import joins
+    o = read(spark, sf_dir, "orders")
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    m = j.groupBy(F.col("c_mktsegment").alias("segment"), F.to_date(F.date_trunc("month", "o_orderdate")).alias("month")) \
+        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"),
+             F.count(F.lit(1)).cast("double").alias("n_orders"),
+             F.count_if(F.col("o_orderpriority") == "1-URGENT").cast("double").alias("n_urgent"),
+             (F.count_if(F.col("o_orderstatus") == "F") * 2 > F.count(F.lit(1))).alias("_abono"))
+    li = read(spark, sf_dir, "lineitem")
+    mon = F.to_date(F.date_trunc("month", "l_shipdate")).alias("month")
+    tax = li.where(F.month("l_shipdate") <= 9).groupBy(mon).agg(F.avg("l_tax").alias("tax_rate"))
+    disc = li.where(F.month("l_shipdate") >= 4).groupBy(mon).agg(F.avg("l_discount").alias("discount_rate"))
+    rates = joins.merge_series([tax, disc], "month")
+    e = joins.enrich(m, rates, "month")
+    return e.withColumn("pay_type", F.when(F.col("_abono"), "Abono extra").otherwise("Ordinario")) \
+        .withColumn("pay_abono", F.col("_abono").cast("double")).drop("_abono")
