@@ -105,9 +105,16 @@ def impute_mean_mode(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
 
 def impute_median(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """NULL -> median, falling back to mean, then 0 (median of nothing -> mean of
-    nothing -> 0)."""
-    med = (lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else (lambda c: F.median(c))
-    fills = df.agg(*[F.coalesce(med(c), F.avg(c), F.lit(0.0)).alias(f"_f{i}") for i, c in enumerate(cols)])
+    nothing -> 0). Exact medians come from one sorted pass over the stacked columns."""
+    from .stats import quantiles
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_s")
+    ).select("_s.*")
+    med = quantiles(stacked, "_v", [0.5], ["column"], approx)
+    means = df.agg(*[F.avg(c).alias(f"_a{i}") for i, c in enumerate(cols)])
+    piv = med.groupBy().pivot("column", list(cols)).agg(F.first("q50"))
+    fills = means.crossJoin(piv).select(*[F.coalesce(F.col(f"`{c}`"), F.col(f"_a{i}"), F.lit(0.0)).alias(f"_f{i}")
+                                          for i, c in enumerate(cols)])
     j = df.crossJoin(F.broadcast(fills))
     return j.select(*[F.coalesce(F.col(c), F.col(f"_f{list(cols).index(c)}")).alias(c) if c in cols else F.col(c)
                       for c in df.columns])

@@ -143,9 +143,11 @@ def arima_select(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), max_p:
 
     Output: keys, p, d, q, aic, const, phi (array), theta (array), sigma2, n_eff.
     """
+    from ..session import cut_lineage
     keys = list(keys)
     m, pq = long_ar, max(max_p, max_q)
-    long = _diff_long(df, y, t, keys, max_d, m, max_p)
+    # (series x periods x (d_max + 1)) rows, read by both stages: materialised once
+    long = cut_lineage(_diff_long(df, y, t, keys, max_d, m, max_p))
     # stage 1: long AR(m) per (series, d)
     s1_rows = long.where(F.col("idx") > max_d + m)
     zl = [f"zl{i}" for i in range(1, m + 1)]
@@ -249,7 +251,8 @@ def arima_forecast(df: DataFrame, y: str, t: str, model: DataFrame, keys: Sequen
     recursion. Output: keys, step, forecast, lower, upper.
     """
     keys = list(keys)
-    pos = group_positions(df.select(*keys, t, F.col(y).cast("double").alias("_y")), keys, t, "_pos", "_n")
+    pos = group_positions(df.select(*keys, t, F.col(y).cast("double").alias("_y")), keys, t, "_pos", "_n",
+                          method="window")
     last = pos.where(F.col("_pos") > F.col("_n") - tail)
     j = last.join(model, keys) if keys else last.crossJoin(F.broadcast(model))
 
@@ -355,7 +358,7 @@ def fourier_model(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), alpha
     on the rest and the fitted coefficients. Changepoints are not modelled."""
     keys = list(keys)
     x, names = fourier_features(df, t, seasonality or SEASONALITY)
-    pos = group_positions(x, keys, t, "_pos", "_n")
+    pos = group_positions(x, keys, t, "_pos", "_n", method="window")
     train = pos.where(F.col("_pos") <= F.floor(F.col("_n") * split))
     from .linear import ridge_fit
     fit = ridge_fit(train, y, names, keys, alpha=alpha, standardize=[])
@@ -378,7 +381,7 @@ def backtest(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), hold: int
     or a fixed ``order``) and score MAE / RMSE against the held-out rows. Series with
     n <= hold are skipped."""
     keys = list(keys)
-    pos = group_positions(df.select(*keys, t, y), keys, t, "_pos", "_n").where(F.col("_n") > hold)
+    pos = group_positions(df.select(*keys, t, y), keys, t, "_pos", "_n", method="window").where(F.col("_n") > hold)
     train = pos.where(F.col("_pos") <= F.col("_n") - hold).drop("_pos", "_n")
     test = pos.where(F.col("_pos") > F.col("_n") - hold).withColumn("step", (F.col("_pos") - F.col("_n") + hold).cast("int"))
     if order is None:
@@ -422,13 +425,16 @@ def hybrid(df: DataFrame, y: str, t: str, xcols: Sequence[str], keys: Sequence[s
 
     Returns (forecast rows: keys, step, linear_part, arima_part, forecast, lower, upper;
     training metrics per series: alpha, order, aic, explained variance)."""
+    from ..session import cut_lineage
     keys, xcols = list(keys), list(xcols)
-    lin = ridge_cv(df, y, xcols, t, keys, alphas=alphas, scheme="timeseries", folds=folds, scoring="r2")
+    df = cut_lineage(df.select(*keys, t, y, *xcols))  # period series, reused by every step below
+    lin = ridge_cv(df, y, xcols, t, keys, alphas=alphas, scheme="timeseries", folds=folds, scoring="r2",
+                   positions="window")
     j = df.join(lin, keys) if keys else df.crossJoin(F.broadcast(lin))
     yhat = F.col("intercept")
     for i, c in enumerate(xcols):
         yhat = yhat + F.col("coef")[i] * F.col(c)
-    res = j.select(*keys, t, (F.col(y) - yhat).alias("_res"), *xcols)
+    res = cut_lineage(j.select(*keys, t, (F.col(y) - yhat).alias("_res"), *xcols))
     model = arima_select(res, "_res", t, keys, max_p=2, max_d=1, max_q=2)
     rf = arima_forecast(res, "_res", t, model, keys, horizon=horizon)
     last = df.groupBy(*keys).agg(F.max_by(F.struct(*xcols), t).alias("_x")) if keys else \

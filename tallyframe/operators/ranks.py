@@ -14,9 +14,16 @@ from pyspark.sql import functions as F
 
 
 def group_positions(df: DataFrame, keys: list[str], order_col: str, pos_col: str = "pos",
-                    n_col: str = "n", num_partitions: int | None = None) -> DataFrame:
+                    n_col: str = "n", num_partitions: int | None = None, method: str = "range") -> DataFrame:
     """Add 1-based ``pos`` (order within its group by ``order_col``; ties broken
-    arbitrarily but consistently) and the group size ``n``."""
+    arbitrarily but consistently) and the group size ``n``.
+
+    ``method='window'`` uses a plain per-group window — only for groups with a known
+    small bound (period series: one row per entity and period)."""
+    if method == "window":
+        w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+        return df.withColumn(pos_col, F.row_number().over(w.orderBy(order_col)).cast("long")) \
+            .withColumn(n_col, F.count(F.lit(1)).over(w))
     if not keys:
         return group_positions(df.withColumn("_all", F.lit(0)), ["_all"], order_col, pos_col, n_col,
                                num_partitions).drop("_all")
@@ -34,3 +41,34 @@ def group_positions(df: DataFrame, keys: list[str], order_col: str, pos_col: str
     out = s.join(offsets, ["_pid", *keys])
     return out.withColumn(pos_col, F.col("_before") + F.col("_mid") - F.col("_first") + 1).drop(
         "_pid", "_mid", "_first", "_before")
+
+
+def sorted_quantiles(df: DataFrame, col: str, probs: list[float], keys: list[str] = (),
+                     names: list[str] | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (pandas / numpy default) per group,
+    computed from sorted positions instead of a value -> count map.
+
+    Spark's exact ``percentile`` merges a map of every distinct value of a group in one
+    task; here rows are range-partitioned and numbered (``group_positions``), and only
+    the (at most 2 per quantile) rows at positions floor/ceil((n - 1) p) + 1 are kept
+    and combined — memory per task is bounded whatever the group size.
+    """
+    keys = list(keys)
+    names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
+    v = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("_v"))
+    p = group_positions(v, keys, "_v", "_pos", "_n")
+    conds, aggs = [], []
+    for nm, pr in zip(names, probs):
+        h = (F.col("_n") - 1) * F.lit(float(pr))
+        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
+        conds += [F.col("_pos") == lo, F.col("_pos") == hi]
+        aggs += [F.max(F.when(F.col("_pos") == lo, F.col("_v"))).alias(f"_{nm}_lo"),
+                 F.max(F.when(F.col("_pos") == hi, F.col("_v"))).alias(f"_{nm}_hi"),
+                 F.max(F.when(F.col("_pos") == lo, h - F.floor(h))).alias(f"_{nm}_f")]
+    keep = conds[0]
+    for c in conds[1:]:
+        keep = keep | c
+    g = p.where(keep)
+    g = g.groupBy(*keys).agg(*aggs) if keys else g.agg(*aggs)
+    out = [F.col(f"_{nm}_lo") + F.col(f"_{nm}_f") * (F.col(f"_{nm}_hi") - F.col(f"_{nm}_lo")) for nm in names]
+    return g.select(*keys, *[o.alias(nm) for o, nm in zip(out, names)])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import band_desc, safe_div
 from ..functions.mathx import norm_cdf, norm_ppf
-from .ranks import group_positions
+from .ranks import group_positions, sorted_quantiles
 
 
 def _long(df: DataFrame, keys: list[str], cols: list[str], fields: dict[str, callable]) -> DataFrame:
@@ -34,19 +34,30 @@ def _long(df: DataFrame, keys: list[str], cols: list[str], fields: dict[str, cal
 
 def summary(df: DataFrame, cols: list[str], keys: list[str] = ()) -> DataFrame:
     """count, sum, mean, sample std / var, min, max, median per column (and group)."""
-    return _long(df, list(keys), cols, {
-        "count": F.count, "sum": F.sum, "mean": F.avg, "std": F.stddev_samp, "var": F.var_samp,
-        "min": F.min, "max": F.max, "median": F.median})
+    keys = list(keys)
+    mom = _long(df, keys, cols, {"count": F.count, "sum": F.sum, "mean": F.avg, "std": F.stddev_samp,
+                                 "var": F.var_samp, "min": F.min, "max": F.max})
+    stacked = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_s")
+    ).select(*keys, "_s.*")
+    med = quantiles(stacked, "_v", [0.5], [*keys, "column"]).withColumnRenamed("q50", "median")
+    return mom.join(med, [*keys, "column"], "left")
 
 
 def describe(df: DataFrame, cols: list[str], keys: list[str] = (), approx: bool = False) -> DataFrame:
-    """count, mean, std, min, 25 %, 50 %, 75 %, max (exact linear-interpolated quartiles
-    unless ``approx``)."""
-    def q(p):
-        return (lambda c: F.percentile_approx(c, p, 10000)) if approx else (lambda c: F.percentile(c, p))
-    return _long(df, list(keys), cols, {
-        "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min,
-        "q25": q(0.25), "q50": q(0.5), "q75": q(0.75), "max": F.max})
+    """count, mean, std, min, 25 %, 50 %, 75 %, max per column (long form). Moments come
+    from one wide aggregate; exact quartiles from one sorted pass over all columns at
+    once (the columns are stacked long and ranked within (group, column))."""
+    keys = list(keys)
+    mom = _long(df, keys, cols, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min,
+                                 "max": F.max})
+    stacked = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_s")
+    ).select(*keys, "_s.*")
+    q = quantiles(stacked, "_v", [0.25, 0.5, 0.75], [*keys, "column"], approx)
+    q = q.withColumnRenamed("q50", "q50")
+    return mom.join(q, [*keys, "column"], "left").select(*keys, "column", "count", "mean", "std", "min",
+                                                         "q25", "q50", "q75", "max")
 
 
 def describe_strings(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -115,11 +126,19 @@ def mode(df: DataFrame, col: str, keys: list[str] = ()) -> DataFrame:
 
 
 def quantiles(df: DataFrame, col: str, probs: list[float], keys: list[str] = (),
-              approx: bool = False) -> DataFrame:
-    """Quantiles (linear interpolation, exact unless ``approx``) as ``q_<p*100>`` columns."""
+              approx: bool = False, method: str = "sort") -> DataFrame:
+    """Quantiles with linear interpolation as ``qNN`` columns.
+
+    ``method='sort'`` (default): exact, from range-partitioned sorted positions — bounded
+    memory for any group size. ``'map'``: Spark's exact ``percentile`` (one value -> count
+    map per group; fine for low-cardinality values). ``approx=True``: ``percentile_approx``.
+    """
     keys = list(keys)
+    names = [f"q{int(round(p * 100)):02d}" for p in probs]
+    if not approx and method == "sort":
+        return sorted_quantiles(df, col, list(probs), keys, names)
     fn = (lambda p: F.percentile_approx(col, p, 10000)) if approx else (lambda p: F.percentile(col, p))
-    aggs = [fn(p).alias(f"q{int(round(p * 100)):02d}") for p in probs]
+    aggs = [fn(p).alias(nm) for p, nm in zip(probs, names)]
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
@@ -128,10 +147,12 @@ def shape(df: DataFrame, col: str, keys: list[str] = ()) -> DataFrame:
     coefficient of variation %, and a skew direction label."""
     keys = list(keys)
     g = df.where(F.col(col).isNotNull())
-    aggs = [F.count(col).alias("n"), F.avg(col).alias("mean"), F.median(col).alias("median"),
+    aggs = [F.count(col).alias("n"), F.avg(col).alias("mean"),
             F.stddev_samp(col).alias("std"), F.skewness(col).alias("_g1"), F.kurtosis(col).alias("_g2"),
             (F.max(col) - F.min(col)).alias("range")]
     a = g.groupBy(*keys).agg(*aggs) if keys else g.agg(*aggs)
+    med = quantiles(g, col, [0.5], keys).withColumnRenamed("q50", "median")
+    a = a.join(med, keys) if keys else a.crossJoin(med)
     n = F.col("n").cast("double")
     skew = F.when(n > 2, F.col("_g1") * F.sqrt(n * (n - 1)) / (n - 2))
     kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("_g2") + 6))

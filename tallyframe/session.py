@@ -48,6 +48,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss) into the shared folder."""
-    checkpoint_dir(df.sparkSession)
+    """Reliable checkpoint (survives executor loss) into the shared folder named by
+    ``spark.checkpoint.dir``. Meant for small derived tables (period series, Gram rows)
+    reused by several later steps; when the session names no shared folder the table is
+    persisted instead (lineage kept, recomputed on loss)."""
+    spark = df.sparkSession
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not d:
+        return df.persist()
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return df.checkpoint(eager=True)

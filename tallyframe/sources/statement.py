@@ -91,9 +91,11 @@ def parse_records(records: DataFrame, text_col: str = "text") -> DataFrame:
                        credit.alias("_credit"), balance.alias("_balance"))
     nb = normalize_ws(F.regexp_replace("_body", AMOUNT, ""))
     x = x.withColumn("_nb", nb).withColumn("_place", _place(F.col("_nb")))
-    rest = F.when(F.col("_place") != "", normalize_ws(
-        F.regexp_replace(F.col("_nb"), F.concat(F.lit(r"\b"), F.col("_place"), F.lit(r"\b")), F.lit("")))
-    ).otherwise(F.col("_nb"))
+    # one literal pattern per known place (compiled once per task), chosen by the place found
+    rest = F.col("_nb")
+    for p in KNOWN_PLACES:
+        rest = F.when(F.col("_place") == p, normalize_ws(F.regexp_replace("_nb", r"\b" + p + r"\b", ""))) \
+            .otherwise(rest)
     x = x.withColumn("_rest", rest)
     no_doc = None
     for p in NO_DOCUMENT:
