@@ -72,3 +72,16 @@ def future_months(last: DataFrame, id_col: str, t_col: str, horizon: int,
     return last.select(
         id_col, F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"), F.col(t_col)
     ).select(id_col, "step", F.add_months(F.trunc(t_col, "month"), F.col("step")).alias(out_col))
+
+
+def undated_blocks(df: DataFrame, id_col: str, order_col: str, sums: dict[str, ColLike],
+                   t_col: ColLike, rows_per_block: int = 30) -> DataFrame:
+    """Fallback for entities with no date at all: consecutive blocks of ``rows_per_block``
+    rows in ``order_col`` order, summed. Only the rows of such entities are ranked
+    (skew-safe positions from ``group_positions``)."""
+    from .ranks import group_positions
+    dated_ids = df.where(col(t_col).isNotNull()).select(id_col).distinct()
+    undated = df.join(dated_ids, id_col, "left_anti")
+    p = group_positions(undated, [id_col], order_col, "_pos", "_n")
+    blk = F.floor((F.col("_pos") - 1) / rows_per_block).cast("long").alias("block")
+    return p.groupBy(id_col, blk).agg(*[F.sum(col(e)).alias(n) for n, e in sums.items()])

@@ -134,6 +134,22 @@ def head(df: DataFrame, n: int, order: Sequence[Column | str]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def tail(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """Last n rows by an explicit order, returned in ascending order."""
+    return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
+
+
+def column_slice(df: DataFrame, start: int, stop: int | None = None) -> DataFrame:
+    """Columns by position, half-open like ``iloc`` (plan-time, no scan)."""
+    return df.select(*df.columns[start:stop])
+
+
+def sort_values(df: DataFrame, cols: Sequence[str], ascending: bool | Sequence[bool] = True) -> DataFrame:
+    """Sort with NULLs last in both directions (Spark's ascending default puts them first)."""
+    asc = [ascending] * len(cols) if isinstance(ascending, bool) else list(ascending)
+    return df.orderBy(*[F.col(c).asc_nulls_last() if a else F.col(c).desc_nulls_last() for c, a in zip(cols, asc)])
+
+
 def sample_n(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """n rows chosen uniformly with a seeded random order key (whole-table ordering
     limited to n per task before the merge)."""

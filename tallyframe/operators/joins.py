@@ -44,3 +44,10 @@ def monitor(actual: DataFrame, predicted: DataFrame, id_col: str, t_col: str, ac
     j = j.withColumn("rel_error", err).withColumn("retrain", F.col("rel_error") > threshold)
     w = Window.partitionBy(id_col).orderBy("ym").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return j.withColumn("running_error", F.avg("rel_error").over(w))
+
+
+def append_actuals(history: DataFrame, actuals: DataFrame, id_col: str, t_col: str) -> DataFrame:
+    """Add newly observed periods to a history table (by column name); a period already
+    present is replaced by the new observation (anti join, then union)."""
+    kept = history.join(actuals.select(id_col, t_col), [id_col, t_col], "left_anti")
+    return kept.unionByName(actuals, allowMissingColumns=True)
