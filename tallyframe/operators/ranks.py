@@ -5,6 +5,9 @@ third of the table would then sort a third of the table in one task. ``group_pos
 instead range-partitions on ``(g, v)`` (a hot group spans many tasks), numbers rows
 inside each sorted partition, and adds per-(partition, group) offsets computed from a
 small count table (rows = partitions x groups touching them).
+
+Use it for few, possibly huge groups; for many small groups (period series) pass
+``method='window'``.
 """
 
 from __future__ import annotations
@@ -38,7 +41,9 @@ def group_positions(df: DataFrame, keys: list[str], order_col: str, pos_col: str
         "_pid", *keys, "_first",
         (F.sum("_cnt").over(wk) - F.col("_cnt")).alias("_before"),
         F.sum("_cnt").over(Window.partitionBy(*keys)).alias(n_col))
-    out = s.join(offsets, ["_pid", *keys])
+    # offsets has one row per (range partition, group) pair: at most partitions + groups
+    # rows, so it is the side to broadcast (never the sorted data).
+    out = s.join(F.broadcast(offsets), ["_pid", *keys])
     return out.withColumn(pos_col, F.col("_before") + F.col("_mid") - F.col("_first") + 1).drop(
         "_pid", "_mid", "_first", "_before")
 

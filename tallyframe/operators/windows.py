@@ -4,8 +4,8 @@ an explicit time column (Spark rows have no inherent order).
 Series here are period series (a row per entity and day / month, produced by a
 ``groupBy`` first), so a window partition holds at most the periods an entity spans.
 Ungrouped top-k uses ``orderBy().limit()`` (per-task top-k, then a merge); grouped
-top-k ranks first inside (task, group) so a hot group is cut down on every task before
-the final per-group ranking.
+top-k is a ``row_number() <= k`` window that Spark plans with a partial
+``WindowGroupLimit`` before the shuffle, so a hot group is trimmed on every task.
 """
 
 from __future__ import annotations
@@ -93,19 +93,19 @@ def argmax_row(df: DataFrame, v: str, tie: str, keys=(), smallest: bool = False)
 
 
 def top_k(df: DataFrame, v: str, k: int, keys=(), tie: str | None = None, desc: bool = True) -> DataFrame:
-    """Top-k rows by ``v`` (per group), ties by ``tie`` ascending; adds ``rank``."""
+    """Top-k rows by ``v`` (per group), ties by ``tie`` ascending; adds ``rank``.
+
+    Ungrouped: ``orderBy().limit()`` (per-task top-k, then a merge). Grouped: a
+    ``row_number() <= k`` window, which the optimizer turns into a partial
+    ``WindowGroupLimit`` before the shuffle — each task ships at most k rows per group,
+    so a hot group is cut down map-side."""
     keys = list(keys)
     o = F.col(v).desc() if desc else F.col(v).asc()
     order = [o] + ([F.col(tie).asc()] if tie else [])
     if not keys:
         return df.orderBy(*order).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-    # phase 1: rank inside (task, group) so a hot group is trimmed on every task
-    pid = F.spark_partition_id()
-    local = df.withColumn("_pid", pid).withColumn(
-        "_lr", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order))).where(F.col("_lr") <= k)
-    # phase 2: at most k * tasks rows per group remain
-    ranked = local.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where(F.col("rank") <= k).drop("_pid", "_lr")
+    ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where(F.col("rank") <= k)
 
 
 def autocorr(df: DataFrame, v: str, t: str, keys=(), max_lag: int = 10) -> DataFrame:
