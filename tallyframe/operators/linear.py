@@ -260,6 +260,34 @@ def ridge_cv(df: DataFrame, y: str, xcols: Sequence[str], t: str, keys: Sequence
     return _apply(g, keys, fit, schema)
 
 
+def ridge_path(df: DataFrame, y: str, xcols: Sequence[str], alphas: DataFrame, keys: Sequence[str] = (),
+               alpha_col: str = "alpha") -> DataFrame:
+    """Ridge coefficients along an alpha grid (one row per series and alpha), features
+    standardised by population std, intercept unpenalised. One Gram per series; the
+    grid (a small DataFrame of alphas) is attached to the Gram rows by a broadcast
+    cross join, so every (series, alpha) solve reads only that series' Gram."""
+    keys, xcols = list(keys), list(xcols)
+    p = len(xcols)
+    g = gram(df, keys, xcols, y).crossJoin(F.broadcast(alphas.select(F.col(alpha_col).alias("_alpha"))))
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for a, part in pdf.groupby("_alpha"):
+            G = sum(gram_matrix(r, p + 2) for _, r in part.iterrows())
+            sd = pop_std_from_gram(G)
+            b0, coef, n = ridge_from_gram(G, float(a), sd)
+            mu = np.array([part.iloc[0][f"mu_{i}"] for i in range(p + 1)])
+            b0 = b0 + mu[p] - coef @ mu[:p]
+            r = {k: part.iloc[0][k] for k in keys}
+            r.update(alpha=float(a), intercept=float(b0), coef=[float(c) for c in coef])
+            rows.append(r)
+        return pd.DataFrame(rows, columns=keys + ["alpha", "intercept", "coef"])
+
+    ks = _key_schema(df, keys)
+    schema = (ks + ", " if ks else "") + "alpha double, intercept double, coef array<double>"
+    return _apply(g, keys, fit, schema)
+
+
 def vif(df: DataFrame, xcols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Variance inflation factor per feature = diagonal of the inverse correlation matrix
     (equal to 1 / (1 - R^2_j) of each feature on the others with a constant); > 10 high."""

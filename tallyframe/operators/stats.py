@@ -118,11 +118,13 @@ def value_counts(df: DataFrame, col: str, keys: list[str] = ()) -> DataFrame:
 
 
 def mode(df: DataFrame, col: str, keys: list[str] = ()) -> DataFrame:
-    """Most frequent non-null value per group; the smallest value wins ties."""
+    """Most frequent non-null value per group; the smallest value wins ties. Two partial
+    aggregates (value counts, then ``min_by`` over (-count, value)) instead of one
+    value -> count map per group."""
     keys = list(keys)
-    g = df.where(F.col(col).isNotNull())
-    agg = F.mode(col, deterministic=True).alias("mode")
-    return g.groupBy(*keys).agg(agg) if keys else g.agg(agg)
+    vc = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
+    pick = F.min_by(F.col(col), F.struct(-F.col("_c"), F.col(col))).alias("mode")
+    return vc.groupBy(*keys).agg(pick) if keys else vc.agg(pick)
 
 
 def quantiles(df: DataFrame, col: str, probs: list[float], keys: list[str] = (),

@@ -105,11 +105,28 @@ def q_math_functions(spark, d):
     return finish(scalar.math_report(tables.read(spark, d, "lineitem")), R)
 
 
-@register("log_grid", f"""SELECT CAST(range AS INTEGER) AS i, round(power(10, -3 + 6.0 * range / 19), 10) AS alpha
-FROM range(0, 20)""")
-def q_log_grid(spark, d):
-    # grid size fixed by the caller; used by the ridge search
-    return scalar.log_grid(spark, -3, 3, 20).withColumn("alpha", F.round("alpha", 10))
+_SEG_N_SQL = """seg AS (
+  SELECT c_mktsegment AS segment, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+         CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, CAST(count(*) AS DOUBLE) AS n_orders
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)"""
+
+
+@register("ridge_path", f"""WITH {_SEG_N_SQL},
+g AS (SELECT segment, count(*) AS n, avg(n_orders) AS mx, avg(total) AS my, regr_sxx(total, n_orders) AS sxx,
+             regr_sxy(total, n_orders) AS sxy FROM seg GROUP BY 1),
+a AS (SELECT CAST(range AS INTEGER) AS i, power(10, -3.0 + (6.0 * CAST(range AS DOUBLE)) / 19) AS alpha FROM range(0, 20)),
+c AS (SELECT segment, alpha, mx, my, (sxy / sqrt(sxx / n)) / (sxx / (sxx / n) + alpha) / sqrt(sxx / n) AS coef
+      FROM g, a)
+SELECT segment, round(alpha, 10) AS alpha, round(my - coef * mx, 2) AS intercept, round(coef, 3) AS coef FROM c""")
+def q_ridge_path(spark, d):
+    """Monthly order value on order count per segment, ridge coefficient along a
+    log-spaced alpha grid (10^-3 .. 10^3, 20 points)."""
+    from ..operators import linear
+    from . import tables as t
+    f = t.segment_features(spark, d)
+    path = linear.ridge_path(f, "total", ["n_orders"], scalar.log_grid(spark, -3, 3, 20), ["segment"])
+    return path.select("segment", F.round("alpha", 10).alias("alpha"), F.round("intercept", 2).alias("intercept"),
+                       F.round(F.col("coef")[0], 3).alias("coef"))
 
 
 @register("array_functions", f"""WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings)
