@@ -62,7 +62,12 @@ def blend(scored: DataFrame, neural_col: str = "neural_score") -> DataFrame:
 def recommend(movements: DataFrame, id_col: str = "entity_id", t_col: str = "t",
               debit: str = "debit", credit: str = "credit", neural: bool = True) -> DataFrame:
     """End-to-end recommendation per entity from raw movements."""
+    from ..session import cut_lineage
+    # month-end rows (entities x months spanned) feed both the metrics and the network
+    # blocks: materialise them once instead of re-reading the movements twice
     monthly = monthly_cash_flow(movements, id_col, t_col, debit, credit)
+    if neural:
+        monthly = cut_lineage(monthly)
     metrics = with_fuzzy(trailing_metrics(monthly, id_col))
     if neural:
         from .learn import mini_mlp_scores

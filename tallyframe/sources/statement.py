@@ -68,7 +68,9 @@ def stitch_lines(lines: DataFrame, file_col: str = "file", no_col: str = "line_n
 
 def _place(body):
     """Right-most known place (word-bounded); ties on position -> longest name."""
-    cands = [F.struct(F.regexp_instr(body, F.lit(r"\b" + p + r"\b")).alias("pos"),
+    # a plain substring test first: the word-bounded regex runs only when the name occurs
+    cands = [F.struct(F.when(F.instr(body, p) > 0, F.regexp_instr(body, F.lit(r"\b" + p + r"\b")))
+                      .otherwise(F.lit(0)).alias("pos"),
                       F.lit(len(p)).alias("len"), F.lit(p).alias("name")) for p in KNOWN_PLACES]
     best = F.greatest(*cands)
     return F.when(best["pos"] > 0, best["name"]).otherwise(F.lit(""))
