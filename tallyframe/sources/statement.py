@@ -2,13 +2,12 @@
 
 Layout of the work:
 
-1. ``read_statement_lines``: one row per file (``wholetext``), exploded to
-   ``(file, line_no, line)``. Statement files are per account and period, so a file is
-   small; files spread over tasks.
+1. ``read_statement_lines``: text files split like any text source; exact line order
+   from (file, split offset, scan-side id) — a large file is read by many tasks.
 2. ``stitch_lines``: a line starting ``MON d`` (Spanish month) opens a record; other
    lines are appended with a space; lines before the first opener are dropped. Record
-   ids are a running count of openers over a window partitioned by file (bounded by the
-   file's line count); the follow-up group-by on (file, record) reuses that partitioning.
+   ids are a running count of openers: per split, plus the openers of earlier splits
+   of the same file (a small per-split count table), so no window spans a whole file.
 3. ``parse_records``: every field with built-in regex functions in one projection.
 
 Deliberate differences from the reference parser (recorded here, see README):
@@ -50,19 +49,50 @@ NO_DOCUMENT = [
 FIELDS = ["date", "transaction", "document", "place", "debit", "credit", "balance"]
 
 
-def read_statement_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text files -> (file, line_no, line)."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    return files.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
+def read_statement_lines(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Text files -> (file, block, line_no, line).
+
+    Default (line mode): files are split like any text source; ``block`` is the split's
+    byte offset (``_metadata.file_block_start``) and ``line_no`` a scan-side increasing id,
+    so (file, block, line_no) is the exact line order and no file is read by one task.
+    ``whole_files=True`` reads each file as one row (only for files known to be small)."""
+    if whole_files:
+        files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+        body = F.regexp_replace("value", r"\r?\n$", "")  # a final newline ends the last line
+        return files.select("file", F.lit(0).cast("long").alias("block"),
+                            F.posexplode(F.split(body, r"\r?\n")).alias("line_no", "line"))
+    t = spark.read.text(path)
+    return t.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"))
 
 
 def stitch_lines(lines: DataFrame, file_col: str = "file", no_col: str = "line_no",
-                 line_col: str = "line") -> DataFrame:
-    """(file, line_no, line) -> (file, record, text)."""
-    t = lines.select(file_col, no_col, F.trim(F.col(line_col)).alias("_l"))
-    w = Window.partitionBy(file_col).orderBy(no_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.withColumn("record", F.sum(F.col("_l").rlike(OPENER).cast("int")).over(w)).where(F.col("record") > 0)
-    g = t.groupBy(file_col, "record").agg(F.sort_array(F.collect_list(F.struct(no_col, "_l"))).alias("_ls"))
+                 line_col: str = "line", block_col: str | None = None) -> DataFrame:
+    """(file, [block,] line_no, line) -> (file, record, text).
+
+    Without ``block_col`` the running opener count is a window per file. With it, the
+    count is two-level: openers per (file, block) -> offsets of earlier blocks (a small
+    table, one row per block) -> running count inside each block, so a window never
+    holds more than one split of a file; a record that crosses a split boundary gets
+    the same id on both sides."""
+    keep = [file_col] + ([block_col] if block_col else []) + [no_col]
+    t = lines.select(*keep, F.trim(F.col(line_col)).alias("_l"))
+    t = t.withColumn("_open", F.col("_l").rlike(OPENER).cast("int"))
+    if block_col is None:
+        w = Window.partitionBy(file_col).orderBy(no_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        t = t.withColumn("record", F.sum("_open").over(w))
+    else:
+        per_block = t.groupBy(file_col, block_col).agg(F.sum("_open").alias("_c"))
+        wb = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = per_block.select(file_col, block_col, F.coalesce(F.sum("_c").over(wb), F.lit(0)).alias("_before"))
+        w = Window.partitionBy(file_col, block_col).orderBy(no_col) \
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        t = t.join(offsets, [file_col, block_col]).withColumn("record", F.col("_before") + F.sum("_open").over(w))
+        no_col_sort = F.struct(F.col(block_col), F.col(no_col))
+        t = t.withColumn("_ord", no_col_sort)
+    t = t.where(F.col("record") > 0)
+    order = F.col("_ord") if block_col else F.col(no_col)
+    g = t.groupBy(file_col, "record").agg(F.sort_array(F.collect_list(F.struct(order.alias("_k"), "_l"))).alias("_ls"))
     return g.select(file_col, "record", F.array_join(F.transform("_ls", lambda s: s["_l"]), " ").alias("text"))
 
 
@@ -123,4 +153,5 @@ def parse_records(records: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def parse_statement(lines: DataFrame) -> DataFrame:
-    return parse_records(stitch_lines(lines))
+    block = "block" if "block" in lines.columns else None
+    return parse_records(stitch_lines(lines, block_col=block))

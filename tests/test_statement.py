@@ -60,3 +60,24 @@ def test_read_statement_files(spark, tmp_path):
     lines = statement.read_statement_lines(spark, str(p))
     out = statement.parse_statement(lines).collect()
     assert len(out) == 1 and out[0].transaction == "COMPRA 1 extra" and out[0].document == "words"
+
+
+def test_line_mode_matches_whole_file_across_splits(spark, tmp_path):
+    p = tmp_path / "big.txt"
+    rows = ["EXTRACTO"]
+    for i in range(3000):
+        rows.append(f"ENE {i % 28 + 1} COMPRA POS {i} REDEBAN")
+        if i % 3 == 0:
+            rows.append(f"continuacion {i} {i % 97}.00 {i % 89 + 100}.00")
+    p.write_text("\n".join(rows) + "\n", encoding="utf-8")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        lines = statement.read_statement_lines(spark, str(p))
+        assert lines.select("block").distinct().count() > 5
+        a = {(r.record, r.text) for r in statement.stitch_lines(lines, block_col="block").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    whole = statement.read_statement_lines(spark, str(p), whole_files=True)
+    b = {(r.record, r.text) for r in statement.stitch_lines(whole).collect()}
+    assert len(a) == 3000 and a == b
