@@ -103,3 +103,10 @@ def test_qq_points_fit(spark):
     q = stats.qq_points(df, "x").select("slope", "intercept", "r").first()
     assert abs(q.slope - 2) < 0.25 and abs(q.intercept - 5) < 0.25 and q.r > 0.99
     assert F is not None
+
+
+def test_kde_prebin_close_to_exact(values):
+    pdf, df = values
+    exact = [r.density for r in stats.kde(df, "x", 30).orderBy("point").collect()]
+    binned = [r.density for r in stats.kde(df, "x", 30, prebin=2000).orderBy("point").collect()]
+    assert np.allclose(exact, binned, rtol=1e-3, atol=1e-4)
