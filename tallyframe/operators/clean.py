@@ -150,9 +150,14 @@ def sort_values(df: DataFrame, cols: Sequence[str], ascending: bool | Sequence[b
     return df.orderBy(*[F.col(c).asc_nulls_last() if a else F.col(c).desc_nulls_last() for c, a in zip(cols, asc)])
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """n rows chosen uniformly with a seeded random order key (whole-table ordering
-    limited to n per task before the merge)."""
+def sample_n(df: DataFrame, n: int, key: str | None = None, seed: int = 42) -> DataFrame:
+    """n rows chosen uniformly. With ``key`` (a unique integer column) the order is a
+    seeded multiplicative hash of the key — the same sample for any partitioning and
+    reproducible in SQL; without it, ``rand(seed)`` (depends on the partitioning).
+    Either way only n rows per task reach the final merge."""
+    if key is not None:
+        from .linear import hash_unit
+        return df.orderBy(hash_unit(F.col(key) + F.lit(seed)), F.col(key)).limit(n)
     return df.orderBy(F.rand(seed)).limit(n)
 
 

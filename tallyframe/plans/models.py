@@ -237,10 +237,28 @@ def q_dickey_fuller(spark, d):
                      F.round("adf_stat", 4).alias("adf_stat"), F.round("crit_5", 4).alias("crit_5"), "stationary")
 
 
-@register("adf_test")
+@register("adf_test", f"""WITH {_SEG_SQL},
+l1 AS (SELECT segment, month, total, total - lag(total) OVER (PARTITION BY segment ORDER BY month) AS dy,
+              lag(total) OVER (PARTITION BY segment ORDER BY month) AS y1 FROM seg),
+l2 AS (SELECT *, lag(dy) OVER (PARTITION BY segment ORDER BY month) AS dl1 FROM l1),
+r AS (SELECT * FROM l2 WHERE dy IS NOT NULL AND y1 IS NOT NULL AND dl1 IS NOT NULL),
+m AS (SELECT segment, count(*) AS k, regr_sxx(dy, y1) AS s11, regr_sxx(dy, dl1) AS s22,
+             covar_pop(y1, dl1) * count(*) AS s12, regr_sxy(dy, y1) AS s1y, regr_sxy(dy, dl1) AS s2y,
+             regr_syy(dy, y1) AS syy FROM r GROUP BY 1),
+b AS (SELECT *, s11 * s22 - s12 * s12 AS det FROM m),
+c AS (SELECT *, (s22 * s1y - s12 * s2y) / det AS b1, (s11 * s2y - s12 * s1y) / det AS b2 FROM b),
+t AS (SELECT segment, k, b1 / sqrt((syy - b1 * s1y - b2 * s2y) / (k - 3) * s22 / det) AS adf_stat FROM c),
+s AS (SELECT segment, count(total) AS n, avg(total) AS mean FROM seg GROUP BY 1)
+SELECT s.segment, CAST(s.n AS BIGINT) AS n, round(s.mean, 2) AS mean, CAST(t.k AS BIGINT) AS df_n,
+       round(adf_stat, 4) AS adf_stat,
+       round(CAST(-2.86154 - 2.8903 / t.k - 4.234 / (t.k * t.k) - 40.040 / (t.k * t.k * t.k) AS DOUBLE), 4) AS crit_5,
+       adf_stat < -2.86154 - 2.8903 / t.k - 4.234 / (t.k * t.k) - 40.040 / (t.k * t.k * t.k) AS stationary
+FROM s JOIN t ON s.segment = t.segment""")
 def q_adf_test(spark, d):
     """Augmented Dickey-Fuller (one lagged difference) on each segment's monthly totals."""
-    return forecast.stationarity(_seg_total(spark, d), "total", "month", ["segment"], lags=1)
+    st = forecast.stationarity(_seg_total(spark, d), "total", "month", ["segment"], lags=1)
+    return st.select("segment", "n", F.round("mean", 2).alias("mean"), "df_n", F.round("adf_stat", 4).alias("adf_stat"),
+                     F.round("crit_5", 4).alias("crit_5"), "stationary")
 
 
 @register("arima_order")

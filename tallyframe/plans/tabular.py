@@ -166,10 +166,12 @@ def q_head_rows(spark, d):
     return clean.head(o, 10, ["o_orderdate", "o_orderkey"])
 
 
-@register("sample_rows")
+@register("sample_rows", """SELECT o_orderkey, o_totalprice FROM orders
+ORDER BY CAST((CAST(o_orderkey + 42 AS DECIMAL(20,0)) * CAST(2654435761 AS DECIMAL(10,0))) % CAST(4294967296 AS DECIMAL(10,0)) AS DOUBLE) / 4294967296.0, o_orderkey
+LIMIT 100""")
 def q_sample_rows(spark, d):
-    """Seeded uniform sample of 100 orders (rows-only: random streams differ by engine)."""
-    return clean.sample_n(tables.read(spark, d, "orders").select("o_orderkey", "o_totalprice"), 100, 42)
+    """Seeded uniform sample of 100 orders (hash order of the key: partition-independent)."""
+    return clean.sample_n(tables.read(spark, d, "orders").select("o_orderkey", "o_totalprice"), 100, "o_orderkey", 42)
 
 
 @register("required_columns", """SELECT * FROM (VALUES
