@@ -62,32 +62,61 @@ def clean_amount(s: ColLike) -> Column:
     ``'1.234.567'`` keeps two dots, does not parse and so becomes 0 (not NULL).
     """
     kept = F.regexp_replace(col(s).cast("string"), r"[^0-9.\-]", "")
-    return F.coalesce(kept.try_cast("double"), F.lit(0.0))
+    # cast only well-formed numbers: a failed cast costs an exception per row
+    ok = kept.rlike(r"^-?(\d+\.?\d*|\.\d+)$")
+    return F.when(ok, kept.try_cast("double")).otherwise(F.lit(0.0))
+
+
+def safe_double(s: ColLike) -> Column:
+    """``try_cast(s AS DOUBLE)`` without the exception cost on text that cannot be a
+    number: only strings made of number characters (or spelling inf / nan) are cast,
+    everything else is NULL directly. Same result as ``try_cast``."""
+    t = col(s).cast("string")
+    maybe = t.rlike(r"^[\s+\-0-9.eEdDfF]*$") | t.rlike(r"(?i)inf|nan")
+    return F.when(maybe, t.try_cast("double"))
 
 
 def strict_amount(s: ColLike) -> Column:
     """Strict variant: strip thousands commas only; anything else unparseable -> NULL."""
-    return F.regexp_replace(F.trim(col(s).cast("string")), ",", "").try_cast("double")
+    return safe_double(F.regexp_replace(F.trim(col(s).cast("string")), ",", ""))
 
 
 # Spanish month abbreviations that differ from English, and their English form.
 SPANISH_MONTHS = {"ENE": "JAN", "ABR": "APR", "AGO": "AUG", "DIC": "DEC"}
 
-# Formats tried, in order, after month names are in English upper case.
-DATE_FORMATS = ("yyyy MMM dd", "yyyy-MM-dd", "yyyy/MM/dd", "dd/MM/yyyy", "dd MMM yyyy",
-                "MMM dd yyyy", "yyyy-MM-dd HH:mm:ss", "yyyyMMdd")
+# Text shapes (upper-cased, any run of spaces) and the format each one is parsed with.
+DATE_SHAPES = (
+    (r"^\d{4}\s+[A-Z]{3}\s+\d{1,2}$", "yyyy MMM d"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
+    (r"^\d{1,2}\s+[A-Z]{3}\s+\d{4}$", "d MMM yyyy"),
+    (r"^[A-Z]{3}\s+\d{1,2}\s+\d{4}$", "MMM d yyyy"),
+    (r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
+    (r"^\d{8}$", "yyyyMMdd"),
+)
 
 
 def parse_bilingual_date(s: ColLike) -> Column:
     """``'2025 Ene 05'``, ``'2025 JAN 05'``, ISO and a few common forms -> TIMESTAMP.
 
-    Blank or unrecognised text -> NULL.
+    The upper-cased text's shape picks the one format to parse with (no trial-and-error
+    parsing); only in that branch are Spanish month abbreviations turned into English
+    and spaces normalised. Blank, unrecognised or impossible dates -> NULL.
     """
-    t = F.upper(F.trim(col(s).cast("string")))
-    for es, en in SPANISH_MONTHS.items():
-        t = F.regexp_replace(t, es, en)
-    t = F.regexp_replace(t, r"\s+", " ")
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(fmt)) for fmt in DATE_FORMATS])
+    u = F.upper(F.trim(col(s).cast("string")))
+    expr = None
+    for shape, fmt in DATE_SHAPES:
+        t = u
+        if "MMM" in fmt:
+            for es, en in SPANISH_MONTHS.items():
+                t = F.regexp_replace(t, es, en)
+            t = F.regexp_replace(t, r"\s+", " ")
+        if "HH" in fmt:
+            t = F.regexp_replace(t, "T", " ")
+        parsed = F.try_to_timestamp(t, F.lit(fmt))
+        expr = F.when(u.rlike(shape), parsed) if expr is None else expr.when(u.rlike(shape), parsed)
+    return expr
 
 
 def triangular(x: ColLike, a: float, b: float, c: float) -> Column:

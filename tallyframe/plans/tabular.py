@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.expr import band, band_desc, clean_amount, clip, exact_mean, parse_bilingual_date
+from ..functions.expr import band, band_desc, clean_amount, clip, exact_mean, parse_bilingual_date, safe_double
 from ..operators import calendar, clean, crosstab, stats, windows
 from . import tables
 from .registry import finish, register
@@ -119,8 +119,8 @@ def q_statement_cleaning(spark, d):
 FROM events""")
 def q_coerce_values(spark, d):
     e = tables.read(spark, d, "events")
-    return e.select("event_id", F.get_json_object("props", "$.k").try_cast("double").alias("k"),
-                    F.col("event_type").try_cast("double").alias("type_as_number"),
+    return e.select("event_id", safe_double(F.get_json_object("props", "$.k")).alias("k"),
+                    safe_double("event_type").alias("type_as_number"),
                     F.col("ts").cast("string").try_cast("timestamp_ntz").alias("ts"))
 
 

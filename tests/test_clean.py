@@ -60,3 +60,13 @@ def test_standardize_population_std(spark):
 def test_one_hot_drop_first(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",)], "k string")
     assert clean.one_hot(df, "k").columns == ["k", "k_b", "k_c"]
+
+
+def test_safe_double_equals_try_cast(spark):
+    vals = ["1", " 2.5 ", "-3e2", "1d", "2f", "inf", "-Infinity", "NaN", "click", "", None, "1.2.3", "+7", "0x10"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    from tallyframe.functions.expr import safe_double
+    a = [r.x for r in df.select(safe_double("s").alias("x")).collect()]
+    b = [r.x for r in df.select(F.col("s").try_cast("double").alias("x")).collect()]
+    import math
+    assert all((x is None and y is None) or (x == y) or (math.isnan(x) and math.isnan(y)) for x, y in zip(a, b))
