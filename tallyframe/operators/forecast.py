@@ -418,8 +418,10 @@ def forecast_report(df: DataFrame, y: str, t: str, fc: DataFrame, keys: Sequence
 # ---- Y5: hybrid ---------------------------------------------------------------------
 
 def hybrid(df: DataFrame, y: str, t: str, xcols: Sequence[str], keys: Sequence[str] = (), horizon: int = 3,
-           alphas: Sequence[float] = tuple(np.logspace(-3, 3, 20)), folds: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Ridge (alpha by expanding-window CV, R^2 scoring) on the exogenous features, then
+           alphas: Sequence[float] = tuple(np.logspace(-3, 3, 20)), folds: int = 3,
+           standardize: Sequence[str] | None = None, fallback_band: float = 0.05) -> tuple[DataFrame, DataFrame]:
+    """Ridge (alpha by expanding-window CV, R^2 scoring; only ``standardize`` columns are
+    scaled, indicators stay 0/1) on the exogenous features, then
     ARIMA (p <= 2, d <= 1, q <= 2) on its residuals; the forecast holds each series' last
     feature row constant (exogenous hold) and adds the residual forecast.
 
@@ -429,7 +431,7 @@ def hybrid(df: DataFrame, y: str, t: str, xcols: Sequence[str], keys: Sequence[s
     keys, xcols = list(keys), list(xcols)
     df = cut_lineage(df.select(*keys, t, y, *xcols))  # period series, reused by every step below
     lin = ridge_cv(df, y, xcols, t, keys, alphas=alphas, scheme="timeseries", folds=folds, scoring="r2",
-                   positions="window")
+                   positions="window", standardize=standardize)
     j = df.join(lin, keys) if keys else df.crossJoin(F.broadcast(lin))
     yhat = F.col("intercept")
     for i, c in enumerate(xcols):
@@ -445,10 +447,13 @@ def hybrid(df: DataFrame, y: str, t: str, xcols: Sequence[str], keys: Sequence[s
         lin_part = lin_part + F.col("coef")[i] * F.col(f"_x.{c}")
     lp = lp.select(*keys, lin_part.alias("linear_part"))
     out = rf.join(lp, keys) if keys else rf.crossJoin(lp)
+    # residual-model interval around the linear part; +-5 % of it when the residual
+    # model gives no variance
+    lo = F.coalesce(F.col("linear_part") + F.col("lower"), F.col("linear_part") * (1 - fallback_band))
+    hi = F.coalesce(F.col("linear_part") + F.col("upper"), F.col("linear_part") * (1 + fallback_band))
     out = out.select(*keys, "step", "linear_part", F.col("forecast").alias("arima_part"),
-                     (F.col("linear_part") + F.col("forecast")).alias("forecast"),
-                     (F.col("linear_part") + F.col("lower")).alias("lower"),
-                     (F.col("linear_part") + F.col("upper")).alias("upper"))
+                     (F.col("linear_part") + F.coalesce(F.col("forecast"), F.lit(0.0))).alias("forecast"),
+                     lo.alias("lower"), hi.alias("upper"))
     metrics = lin.select(*keys, F.col("best_alpha").alias("alpha_ridge"), "explained_variance") \
         .join(model.select(*keys, "p", "d", "q", F.col("aic").alias("aic_arima")), keys) if keys else \
         lin.select(F.col("best_alpha").alias("alpha_ridge"), "explained_variance").crossJoin(

@@ -195,7 +195,8 @@ def _fold_block(scheme: str, folds: int) -> Column:
 
 def ridge_cv(df: DataFrame, y: str, xcols: Sequence[str], t: str, keys: Sequence[str] = (),
              alphas: Sequence[float] = tuple(np.logspace(-3, 3, 50)), scheme: str = "kfold",
-             folds: int = 5, scoring: str = "neg_mse", positions: str = "range") -> DataFrame:
+             folds: int = 5, scoring: str = "neg_mse", positions: str = "range",
+             standardize: Sequence[str] | None = None) -> DataFrame:
     """Alpha search per series in ONE data pass.
 
     Rows are numbered in ``t`` order (skew-safe positions) and tagged with the fold block
@@ -204,12 +205,14 @@ def ridge_cv(df: DataFrame, y: str, xcols: Sequence[str], t: str, keys: Sequence
     ``scheme='kfold'``: contiguous K folds (test = one fold, train = the others);
     ``'timeseries'``: expanding window, s = min(folds, n div 2) splits. Features are
     standardised with the population std of all rows (scaler fitted outside the folds,
-    as in the reference pipelines). ``scoring``: 'neg_mse' (mean of -MSE) or 'r2'.
+    as in the reference pipelines); ``standardize`` limits that to the listed columns
+    (indicator columns stay 0/1). ``scoring``: 'neg_mse' (mean of -MSE) or 'r2'.
     Output: keys, n, best_alpha, best_score, intercept, coef (refit on all rows),
     explained_variance.
     """
     keys, xcols = list(keys), list(xcols)
     p = len(xcols)
+    std_set = set(xcols if standardize is None else standardize)
     pos = group_positions(df.select(*keys, t, *xcols, y).na.drop(subset=[*xcols, y]), keys, t, "_pos", "_n",
                           method=positions)
     g = gram(pos, keys, xcols, y, block=_fold_block(scheme, folds))
@@ -218,7 +221,8 @@ def ridge_cv(df: DataFrame, y: str, xcols: Sequence[str], t: str, keys: Sequence
         blocks = {int(r["block"]): gram_matrix(r, p + 2) for _, r in pdf.iterrows()}
         G_all = sum(blocks.values())
         n = int(round(G_all[0, 0]))
-        sd = pop_std_from_gram(G_all)
+        sd_all = pop_std_from_gram(G_all)
+        sd = np.array([sd_all[i] if c in std_set else 1.0 for i, c in enumerate(xcols)])
         zero = np.zeros_like(G_all)
         if scheme == "kfold":
             splits = [([b for b in blocks if b != k], [k]) for k in sorted(blocks)]

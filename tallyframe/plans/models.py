@@ -282,7 +282,7 @@ def q_arima_forecast(spark, d):
 def q_hybrid_forecast(spark, d):
     """Ridge on regressors + ARIMA on residuals, 3 months, with the scenario uplift."""
     f = tables.segment_features(spark, d)
-    fc, _ = forecast.hybrid(f, "total", "month", FEATURES, ["segment"], horizon=3)
+    fc, _ = forecast.hybrid(f, "total", "month", FEATURES, ["segment"], horizon=3, standardize=FEATURES[:-1])
     return forecast.scenario(fc)
 
 
@@ -324,7 +324,8 @@ def q_forecast_document(spark, d):
     """One JSON forecast document per segment (hybrid model, 3 months)."""
     from ..sources.files import forecast_documents
     f = tables.segment_features(spark, d)
-    fc, metrics = forecast.hybrid(f, "total", "month", FEATURES, ["segment"], horizon=3)
+    fc, metrics = forecast.hybrid(f, "total", "month", FEATURES, ["segment"], horizon=3,
+                                  standardize=FEATURES[:-1])
     last = f.groupBy("segment").agg(F.max("month").alias("_t"))
     fc = fc.join(last, "segment").withColumn("month", F.add_months("_t", F.col("step")))
     return forecast_documents(fc, metrics, ["segment"], "month", "forecast")

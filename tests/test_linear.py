@@ -95,3 +95,26 @@ def test_coo_matmul(spark):
     got = {(r.i, r.j): r.value for r in linear.coo_matmul(a, b).collect()}
     C = A @ B
     assert all(got[(i, j)] == C[i, j] for i in range(2) for j in range(4))
+
+
+def test_ridge_cv_timeseries_r2_matches_brute_force(data):
+    pdf, df = data
+    alphas = list(np.logspace(-3, 3, 9))
+    r = linear.ridge_cv(df, "y", ["x1", "x2", "x3"], "t", ["k"], alphas=alphas, scheme="timeseries", folds=3,
+                        scoring="r2", standardize=["x1", "x2"]).first()
+    X, y = pdf[["x1", "x2", "x3"]].to_numpy(), pdf.y.to_numpy()
+    scale = np.array([X[:, 0].std(), X[:, 1].std(), 1.0])
+    n, s = len(y), min(3, len(y) // 2)
+    test = n // (s + 1)
+    starts = [n - (s - i) * test for i in range(s)]
+    scores = []
+    for a in alphas:
+        r2 = []
+        for st in starts:
+            tr, te = np.arange(st), np.arange(st, st + test)
+            b0, coef = _ridge_np(X[tr], y[tr], a, scale)
+            res = y[te] - b0 - X[te] @ coef
+            r2.append(1 - (res ** 2).sum() / ((y[te] - y[te].mean()) ** 2).sum())
+        scores.append(np.mean(r2))
+    assert r.best_alpha == alphas[int(np.argmax(scores))]
+    assert abs(r.best_score - max(scores)) < 1e-8
