@@ -121,16 +121,22 @@ def order_grid(max_p: int, max_d: int, max_q: int) -> list[tuple[int, int, int]]
             if (p, d, q) != (0, 0, 0)]
 
 
-def _diff_long(df: DataFrame, y: str, t: str, keys: list[str], max_d: int, m: int, lmax: int) -> DataFrame:
-    """(keys, d, t, idx, z, z lags 1..max(m, lmax)) for d = 0..max_d."""
+def _diff_long(df: DataFrame, y: str, t: str, keys: list[str], max_d: int, m: int, lmax: int,
+               exog: Sequence[str] = ()) -> DataFrame:
+    """(keys, d, t, idx, z, x_1.., z lags 1..max(m, lmax)) for d = 0..max_d, where z and
+    the exogenous x_j are d-th differences."""
     w = _w(keys, t)
-    x = df.select(*keys, t, F.col(y).cast("double").alias("_z0"))
+    x = df.select(*keys, t, F.col(y).cast("double").alias("_z0"),
+                  *[F.col(c).cast("double").alias(f"_x{j}_0") for j, c in enumerate(exog)])
     x = x.withColumn("idx", F.row_number().over(w))
     for d in range(1, max_d + 1):
         x = x.withColumn(f"_z{d}", F.col(f"_z{d - 1}") - F.lag(f"_z{d - 1}").over(w))
+        for j in range(len(exog)):
+            x = x.withColumn(f"_x{j}_{d}", F.col(f"_x{j}_{d - 1}") - F.lag(f"_x{j}_{d - 1}").over(w))
     long = x.select(*keys, t, "idx", F.explode(F.array(*[
-        F.struct(F.lit(d).alias("d"), F.col(f"_z{d}").alias("z")) for d in range(max_d + 1)])).alias("_s")
-    ).select(*keys, t, "idx", "_s.*")
+        F.struct(F.lit(d).alias("d"), F.col(f"_z{d}").alias("z"),
+                 *[F.col(f"_x{j}_{d}").alias(f"x{j}") for j in range(len(exog))]) for d in range(max_d + 1)])
+    ).alias("_s")).select(*keys, t, "idx", "_s.*")
     wd = _w(keys + ["d"], t)
     for i in range(1, max(m, lmax) + 1):
         long = long.withColumn(f"zl{i}", F.lag("z", i).over(wd))
@@ -138,16 +144,51 @@ def _diff_long(df: DataFrame, y: str, t: str, keys: list[str], max_d: int, m: in
 
 
 def arima_select(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), max_p: int = 2, max_d: int = 1,
-                 max_q: int = 2, long_ar: int = 6, default=(1, 0, 1)) -> DataFrame:
-    """Best (p, d, q) by AIC per series, plus its parameters.
+                 max_q: int = 2, long_ar: int = 6, default=(1, 0, 1), exog: Sequence[str] = ()) -> DataFrame:
+    """Best (p, d, q) by AIC per series, plus its parameters. ``exog`` columns enter as
+    regressors (differenced like the series), i.e. a regression with ARIMA errors.
 
-    Output: keys, p, d, q, aic, const, phi (array), theta (array), sigma2, n_eff.
+    Output: keys, p, d, q, aic, const, phi (array), theta (array), beta (array, exog
+    coefficients), sigma2, n_eff.
     """
     from ..session import cut_lineage
     keys = list(keys)
     m, pq = long_ar, max(max_p, max_q)
+    exog = list(exog)
+    xs_ex = [f"x{j}" for j in range(len(exog))]
+    long = _diff_long(df, y, t, keys, max_d, m if not exog else 0, max_p if not exog else 0, exog)
+    ks = _key_schema(df, keys)
+    if exog:
+        # regression with ARIMA errors: beta per (series, d) by least squares on the
+        # differenced data (one Gram), then the ARMA stages run on z - x beta
+        gx = gram(long.where(F.col("idx") > max_d), keys + ["d"], xs_ex, "z")
+        nx = len(xs_ex)
+
+        def fit_beta(pdf):
+            rows = []
+            for (d,), part in pdf.groupby(["d"]):
+                G = sum(gram_matrix(r, nx + 2) for _, r in part.iterrows())
+                try:
+                    _, coef, _ = ridge_from_gram(G, 0.0)
+                except np.linalg.LinAlgError:
+                    coef = np.zeros(nx)
+                r = {k: pdf.iloc[0][k] for k in keys}
+                r.update(d=int(d), beta=[float(c) for c in coef])
+                rows.append(r)
+            return pd.DataFrame(rows, columns=keys + ["d", "beta"])
+
+        betas = _per_series(gx, keys, fit_beta, (ks + ", " if ks else "") + "d int, beta array<double>")
+        reg = F.lit(0.0)
+        for j in range(nx):
+            reg = reg + F.col("beta")[j] * F.col(f"x{j}")
+        long = long.join(betas, keys + ["d"]).withColumn("z", F.col("z") - reg).drop(*xs_ex)
+        wd0 = _w(keys + ["d"], t)
+        for i in range(1, max(m, max_p) + 1):
+            long = long.withColumn(f"zl{i}", F.lag("z", i).over(wd0))
+    else:
+        long = long.withColumn("beta", F.array().cast("array<double>"))
     # (series x periods x (d_max + 1)) rows, read by both stages: materialised once
-    long = cut_lineage(_diff_long(df, y, t, keys, max_d, m, max_p))
+    long = cut_lineage(long)
     # stage 1: long AR(m) per (series, d)
     s1_rows = long.where(F.col("idx") > max_d + m)
     zl = [f"zl{i}" for i in range(1, m + 1)]
@@ -169,11 +210,10 @@ def arima_select(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), max_p:
             rows.append(r)
         return pd.DataFrame(rows, columns=keys + ["d", "a0", "a"])
 
-    ks = _key_schema(df, keys)
     a = _per_series(g1, keys, stage1, (ks + ", " if ks else "") + "d int, a0 double, a array<double>")
     ehat = F.col("z") - F.col("a0")
-    for i in range(1, m + 1):
-        ehat = ehat - F.col("a")[i - 1] * F.col(f"zl{i}")
+    for i, c in enumerate(zl):
+        ehat = ehat - F.col("a")[i] * F.col(c)
     e = long.join(a, keys + ["d"]).withColumn("e", F.when(F.col("idx") > max_d + m, ehat))
     wd = _w(keys + ["d"], t)
     for j in range(1, max_q + 1):
@@ -182,12 +222,16 @@ def arima_select(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), max_p:
     s2 = e.where(F.col("idx") > start)
     xs = [f"zl{i}" for i in range(1, max_p + 1)] + [f"el{j}" for j in range(1, max_q + 1)]
     g2 = gram(s2, keys + ["d"], xs, "z", shift=False)
+    beta_d = long.groupBy(*keys, "d").agg(F.first("beta").alias("beta"))
+    g2 = g2.join(beta_d, keys + ["d"])
     k2 = len(xs)
     grid = order_grid(max_p, max_d, max_q)
 
     def stage2(pdf):
         best = None
         grams = {int(r["d"]): gram_matrix(r, k2 + 2) for _, r in pdf.iterrows()}
+        beta_by_d = {int(r["d"]): (list(r["beta"]) if r["beta"] is not None else []) for _, r in pdf.iterrows()}
+        n_ex = len(exog)
         for p, d, q in grid:
             if d not in grams:
                 continue
@@ -204,23 +248,25 @@ def arima_select(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), max_p:
             rss = float(yy - beta @ Xy)
             if not np.isfinite(rss) or rss <= 0 or n <= len(beta):
                 continue
-            k = p + q + 1 + (1 if use_c else 0)
+            k = p + q + 1 + (1 if use_c else 0) + n_ex
             aic = n * math.log(rss / n) + 2 * k
             if best is None or aic < best[0]:
                 c = float(beta[0]) if use_c else 0.0
                 off = 1 if use_c else 0
-                best = (aic, p, d, q, c, beta[off:off + p], beta[off + p:off + p + q], rss / n, n)
+                bex = np.asarray(beta_by_d.get(d, np.zeros(n_ex)), float)
+                best = (aic, p, d, q, c, beta[off:off + p], beta[off + p:off + p + q], bex, rss / n, n)
         if best is None:
             p, d, q = default
-            best = (float("nan"), p, d, q, 0.0, np.zeros(p), np.zeros(q), float("nan"), 0.0)
-        aic, p, d, q, c, phi, theta, s2_, n = best
+            best = (float("nan"), p, d, q, 0.0, np.zeros(p), np.zeros(q), np.zeros(n_ex), float("nan"), 0.0)
+        aic, p, d, q, c, phi, theta, bex, s2_, n = best
         r = {k: [pdf.iloc[0][k]] for k in keys}
         r.update(p=[p], d=[d], q=[q], aic=[float(aic)], const=[c], phi=[[float(v) for v in phi]],
-                 theta=[[float(v) for v in theta]], sigma2=[float(s2_)], n_eff=[int(n)])
+                 theta=[[float(v) for v in theta]], beta=[[float(v) for v in bex]], sigma2=[float(s2_)],
+                 n_eff=[int(n)])
         return pd.DataFrame(r)
 
     schema = (ks + ", " if ks else "") + ("p int, d int, q int, aic double, const double, phi array<double>, "
-                                          "theta array<double>, sigma2 double, n_eff long")
+                                          "theta array<double>, beta array<double>, sigma2 double, n_eff long")
     return _per_series(g2, keys, stage2, schema)
 
 
@@ -243,42 +289,51 @@ def _psi(phi: np.ndarray, theta: np.ndarray, d: int, h: int) -> np.ndarray:
 
 
 def arima_forecast(df: DataFrame, y: str, t: str, model: DataFrame, keys: Sequence[str] = (),
-                   horizon: int = 6, tail: int = 24) -> DataFrame:
+                   horizon: int = 6, tail: int = 24, exog: Sequence[str] = ()) -> DataFrame:
     """h-step forecasts with 95 % intervals from ``arima_select`` output.
 
-    Only each series' last ``tail`` rows reach Python (positions from
-    ``group_positions``); innovations are re-estimated on that tail by the ARMA
-    recursion. Output: keys, step, forecast, lower, upper.
+    Only each series' last ``tail`` rows reach Python (positions per period series);
+    innovations are re-estimated on that tail by the ARMA recursion. Exogenous columns
+    are held at their last observed value over the horizon (so their differences are 0
+    when d >= 1). Output: keys, step, forecast, lower, upper.
     """
-    keys = list(keys)
-    pos = group_positions(df.select(*keys, t, F.col(y).cast("double").alias("_y")), keys, t, "_pos", "_n",
-                          method="window")
+    keys, exog = list(keys), list(exog)
+    pos = group_positions(df.select(*keys, t, F.col(y).cast("double").alias("_y"),
+                                    *[F.col(c).cast("double").alias(f"_e{j}") for j, c in enumerate(exog)]),
+                          keys, t, "_pos", "_n", method="window")
     last = pos.where(F.col("_pos") > F.col("_n") - tail)
     j = last.join(model, keys) if keys else last.crossJoin(F.broadcast(model))
+    ne = len(exog)
 
     def fc(pdf):
         pdf = pdf.sort_values("_pos")
         yv = pdf["_y"].to_numpy(float)
+        ex = pdf[[f"_e{i}" for i in range(ne)]].to_numpy(float) if ne else np.zeros((len(yv), 0))
         r0 = pdf.iloc[0]
         p, d, q = int(r0["p"]), int(r0["d"]), int(r0["q"])
         phi = np.asarray(r0["phi"], float)
         theta = np.asarray(r0["theta"], float)
+        beta = np.asarray(r0["beta"], float) if "beta" in pdf.columns and r0["beta"] is not None else np.zeros(0)
         c, s2 = float(r0["const"]), float(r0["sigma2"])
         z = np.diff(yv, n=d) if d else yv.copy()
-        e = np.zeros(len(z))
-        for i in range(len(z)):
-            pred = c + sum(phi[k] * z[i - k - 1] for k in range(p) if i - k - 1 >= 0) \
+        xz = np.diff(ex, n=d, axis=0) if d else ex.copy()
+        use_x = ne > 0 and len(beta) == ne
+        u = z - xz @ beta if use_x else z  # regression errors follow the ARMA model
+        e = np.zeros(len(u))
+        for i in range(len(u)):
+            pred = c + sum(phi[k] * u[i - k - 1] for k in range(p) if i - k - 1 >= 0) \
                 + sum(theta[k] * e[i - k - 1] for k in range(q) if i - k - 1 >= 0)
-            e[i] = z[i] - pred if i >= max(p, q) else 0.0
-        zf, ef = list(z), list(e)
+            e[i] = u[i] - pred if i >= max(p, q) else 0.0
+        uf, ef = list(u), list(e)
         for _ in range(horizon):
-            pred = c + sum(phi[k] * zf[-k - 1] for k in range(p) if len(zf) > k) \
+            pred = c + sum(phi[k] * uf[-k - 1] for k in range(p) if len(uf) > k) \
                 + sum(theta[k] * ef[-k - 1] for k in range(q) if len(ef) > k)
-            zf.append(pred)
+            uf.append(pred)
             ef.append(0.0)
-        fz = np.array(zf[len(z):])
+        # exogenous held at the last row: its d-th difference is 0 for d >= 1
+        fut_reg = float(ex[-1] @ beta) if (use_x and d == 0) else 0.0
+        fz = np.array(uf[len(u):]) + fut_reg
         levels = fz
-        hist = list(yv)
         if d >= 1:
             # integrate d times from the last observed levels
             out = []
@@ -289,7 +344,6 @@ def arima_forecast(df: DataFrame, y: str, t: str, model: DataFrame, keys: Sequen
                     lv[k].append(v)
                 out.append(v)
             levels = np.array(out)
-        del hist
         psi = _psi(phi, theta, d, horizon)
         var = s2 * np.cumsum(psi ** 2) if np.isfinite(s2) else np.full(horizon, np.nan)
         half = Z95 * np.sqrt(var)
@@ -458,4 +512,10 @@ def hybrid(df: DataFrame, y: str, t: str, xcols: Sequence[str], keys: Sequence[s
         .join(model.select(*keys, "p", "d", "q", F.col("aic").alias("aic_arima")), keys) if keys else \
         lin.select(F.col("best_alpha").alias("alpha_ridge"), "explained_variance").crossJoin(
             model.select("p", "d", "q", F.col("aic").alias("aic_arima")))
+    # residual diagnostics: mean, std, trend warning (|mean| > std), ADF on the residuals
+    diag = stationarity(res, "_res", t, keys, lags=1).select(
+        *keys, F.col("mean").alias("residual_mean"), F.col("std").alias("residual_std"),
+        F.col("adf_stat").alias("residual_adf_stat"), F.col("stationary").alias("residual_stationary"))
+    diag = diag.withColumn("residual_trend", F.abs("residual_mean") > F.col("residual_std"))
+    metrics = metrics.join(diag, keys) if keys else metrics.crossJoin(diag)
     return out, metrics

@@ -278,6 +278,18 @@ def q_arima_forecast(spark, d):
         .withColumn("range_text", F.concat(money("lower"), F.lit(" - "), money("upper")))
 
 
+@register("arimax_forecast")
+def q_arimax_forecast(spark, d):
+    """Regression with ARIMA errors: monthly totals on order count and urgent-order count
+    per segment (order chosen by AIC, p <= 2, d <= 1, q <= 2), six months ahead with the
+    regressors held at their last month."""
+    f = tables.segment_features(spark, d).select("segment", "month", "total", "n_orders", "n_urgent")
+    ex = ["n_orders", "n_urgent"]
+    m = forecast.arima_select(f, "total", "month", ["segment"], max_p=2, max_d=1, max_q=2, exog=ex)
+    fc = forecast.arima_forecast(f, "total", "month", m, ["segment"], horizon=6, exog=ex)
+    return fc.join(m.select("segment", "p", "d", "q", "beta"), "segment")
+
+
 @register("hybrid_forecast")
 def q_hybrid_forecast(spark, d):
     """Ridge on regressors + ARIMA on residuals, 3 months, with the scenario uplift."""

@@ -68,3 +68,21 @@ def test_mini_net_deterministic():
     a = learn.MiniNet(3).fit(x, y, 50, 0.04).predict(x)
     b = learn.MiniNet(3).fit(x, y, 50, 0.04).predict(x)
     assert np.array_equal(a, b)
+
+
+def test_arima_with_exogenous_regressor(spark):
+    rng = np.random.default_rng(4)
+    n = 240
+    x = rng.normal(0, 1, n).cumsum()
+    e = np.zeros(n)
+    for i in range(1, n):
+        e[i] = 0.5 * e[i - 1] + rng.normal(0, 0.5)
+    y = 3.0 * x + e
+    months = [dt.date(2000 + i // 12, i % 12 + 1, 1) for i in range(n)]
+    df = spark.createDataFrame(pd.DataFrame({"s": "a", "month": months, "y": y, "x": x}))
+    m = forecast.arima_select(df, "y", "month", ["s"], max_p=1, max_d=0, max_q=0, exog=["x"]).first()
+    assert (m.p, m.d, m.q) == (1, 0, 0)
+    assert abs(m.beta[0] - 3.0) < 0.1 and abs(m.phi[0] - 0.5) < 0.15
+    f = forecast.arima_forecast(df, "y", "month", forecast.arima_select(
+        df, "y", "month", ["s"], max_p=1, max_d=0, max_q=0, exog=["x"]), ["s"], horizon=3, exog=["x"]).collect()
+    assert len(f) == 3 and abs(f[-1].forecast - 3.0 * x[-1]) < 3.0
