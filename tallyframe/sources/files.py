@@ -55,14 +55,21 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: S
     w.csv(path)
 
 
-def forecast_documents(fc: DataFrame, metrics: DataFrame, keys: Sequence[str], t: str, v: str,
+def forecast_documents(fc: DataFrame, metrics: DataFrame, keys: Sequence[str], t: str, v: str | Sequence[str],
                        generated_at: str | None = None) -> DataFrame:
     """One nested forecast document per series:
     ``{generated_at, predictions: {date: value}, metrics: {evaluation, training: {...}},
-    mean_error}`` as a struct plus its JSON text. NaN becomes NULL. The date -> value
-    map is built per series (horizon entries), never for the whole table."""
+    mean_error}`` as a struct plus its JSON text. With several value columns (``v`` a
+    list) each date maps to ``{column: value}``. NaN becomes NULL. The date -> value map
+    is built per series (horizon entries), never for the whole table."""
     keys = list(keys)
-    val = F.when(F.isnan(F.col(v)), None).otherwise(F.col(v))
+
+    def clean(c):
+        return F.when(F.isnan(F.col(c)), None).otherwise(F.col(c))
+    if isinstance(v, str):
+        val = clean(v)
+    else:
+        val = F.map_from_arrays(F.array(*[F.lit(c) for c in v]), F.array(*[clean(c) for c in v]))
     preds = fc.groupBy(*keys).agg(F.map_from_entries(F.sort_array(F.collect_list(
         F.struct(F.date_format(t, "yyyy-MM-dd").alias("k"), val.alias("v"))))).alias("predictions"))
     training = F.struct(F.col("alpha_ridge"), F.array("p", "d", "q").alias("arima_order"), F.col("aic_arima"),

@@ -85,3 +85,12 @@ def test_streaming_monitor(spark, tmp_path):
     run = {r.id: r for r in spark.read.parquet(str(tmp_path / "out" / "running")).collect()}
     assert abs(run["a"].running_error - (0.1 + 1 / 3) / 2) < 1e-12
     assert F is not None
+
+
+def test_forecast_document_frame_form(spark):
+    fc = spark.createDataFrame([("a", dt.date(2024, 1, 31), 1.0, 0.5)], "s string, month date, f double, lin double")
+    m = spark.createDataFrame([("a", 0.5, 0, 1, 1, 10.0, 0.9)],
+                              "s string, alpha_ridge double, p int, d int, q int, aic_arima double, "
+                              "explained_variance double")
+    doc = json.loads(files.forecast_documents(fc, m, ["s"], "month", ["f", "lin"], "x").first().json)
+    assert doc["predictions"] == {"2024-01-31": {"f": 1.0, "lin": 0.5}}
