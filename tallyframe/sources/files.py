@@ -70,8 +70,9 @@ def forecast_documents(fc: DataFrame, metrics: DataFrame, keys: Sequence[str], t
         val = clean(v)
     else:
         val = F.map_from_arrays(F.array(*[F.lit(c) for c in v]), F.array(*[clean(c) for c in v]))
-    preds = fc.groupBy(*keys).agg(F.map_from_entries(F.sort_array(F.collect_list(
-        F.struct(F.date_format(t, "yyyy-MM-dd").alias("k"), val.alias("v"))))).alias("predictions"))
+    by_date = F.array_sort(F.collect_list(F.struct(F.date_format(t, "yyyy-MM-dd").alias("k"), val.alias("v"))),
+                           lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
+    preds = fc.groupBy(*keys).agg(F.map_from_entries(by_date).alias("predictions"))
     training = F.struct(F.col("alpha_ridge"), F.array("p", "d", "q").alias("arima_order"), F.col("aic_arima"),
                         F.col("explained_variance").alias("explained_variance_linear"))
     m = metrics.select(*keys, F.struct(F.lit(None).cast("string").alias("evaluation"),
