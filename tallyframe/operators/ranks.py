@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 
 def group_positions(df: DataFrame, keys: list[str], order_col: str, pos_col: str = "pos",
-                    n_col: str = "n", num_partitions: int | None = None, method: str = "range") -> DataFrame:
+                    n_col: str = "n", num_partitions: int | None = None, method: str = "range",
+                    keep_partition: bool = False) -> DataFrame:
     """Add 1-based ``pos`` (order within its group by ``order_col``; ties broken
     arbitrarily but consistently) and the group size ``n``.
 
@@ -29,7 +30,7 @@ def group_positions(df: DataFrame, keys: list[str], order_col: str, pos_col: str
             .withColumn(n_col, F.count(F.lit(1)).over(w))
     if not keys:
         return group_positions(df.withColumn("_all", F.lit(0)), ["_all"], order_col, pos_col, n_col,
-                               num_partitions).drop("_all")
+                               num_partitions, method, keep_partition).drop("_all")
     parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sk = [F.col(k) for k in keys] + [F.col(order_col)]
     s = (df.repartitionByRange(parts, *sk).sortWithinPartitions(*sk)
@@ -44,8 +45,8 @@ def group_positions(df: DataFrame, keys: list[str], order_col: str, pos_col: str
     # offsets has one row per (range partition, group) pair: at most partitions + groups
     # rows, so it is the side to broadcast (never the sorted data).
     out = s.join(F.broadcast(offsets), ["_pid", *keys])
-    return out.withColumn(pos_col, F.col("_before") + F.col("_mid") - F.col("_first") + 1).drop(
-        "_pid", "_mid", "_first", "_before")
+    out = out.withColumn(pos_col, F.col("_before") + F.col("_mid") - F.col("_first") + 1)
+    return out.drop("_mid", "_first", "_before") if keep_partition else out.drop("_pid", "_mid", "_first", "_before")
 
 
 def sorted_quantiles(df: DataFrame, col: str, probs: list[float], keys: list[str] = (),
