@@ -172,7 +172,12 @@ def statement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = c.select(F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("file"),
                        F.lit(-1).cast("long").alias("line_no"),
                        F.concat(F.lit("EXTRACTO DE CUENTA "), F.col("c_custkey").cast("string")).alias("line"))
-    return headers.unionByName(rec)
+    # contiguous line-number ranges play the role of file splits, so one busy account's
+    # file is stitched block by block like a large file read in splits
+    return headers.unionByName(rec).withColumn("block", F.floor(F.col("line_no") / LINES_PER_BLOCK).cast("long"))
+
+
+LINES_PER_BLOCK = 1 << 16
 
 
 def segment_features(spark: SparkSession, sf_dir: str) -> DataFrame:

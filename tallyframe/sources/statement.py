@@ -82,14 +82,17 @@ def stitch_lines(lines: DataFrame, file_col: str = "file", no_col: str = "line_n
         w = Window.partitionBy(file_col).orderBy(no_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         t = t.withColumn("record", F.sum("_open").over(w))
     else:
+        # one exchange on (file, block) feeds both the per-block running count and the
+        # per-block opener totals (the second use is a reused exchange, not a re-scan)
+        t = t.repartition(file_col, block_col)
+        w = Window.partitionBy(file_col, block_col).orderBy(no_col) \
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        local = t.withColumn("_local", F.sum("_open").over(w))
         per_block = t.groupBy(file_col, block_col).agg(F.sum("_open").alias("_c"))
         wb = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
         offsets = per_block.select(file_col, block_col, F.coalesce(F.sum("_c").over(wb), F.lit(0)).alias("_before"))
-        w = Window.partitionBy(file_col, block_col).orderBy(no_col) \
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        t = t.join(offsets, [file_col, block_col]).withColumn("record", F.col("_before") + F.sum("_open").over(w))
-        no_col_sort = F.struct(F.col(block_col), F.col(no_col))
-        t = t.withColumn("_ord", no_col_sort)
+        t = local.join(offsets, [file_col, block_col]).withColumn("record", F.col("_before") + F.col("_local"))
+        t = t.withColumn("_ord", F.struct(F.col(block_col), F.col(no_col)))
     t = t.where(F.col("record") > 0)
     order = F.col("_ord") if block_col else F.col(no_col)
     g = t.groupBy(file_col, "record").agg(F.sort_array(F.collect_list(F.struct(order.alias("_k"), "_l"))).alias("_ls"))
