@@ -1,9 +1,9 @@
 """Mamdani fuzzy inference as column expressions.
 
 Memberships, rule strengths (AND = min, per-term OR = max), clipping and the
-centroid over the 0..100 output universe are all one projection: the centroid is a
-``aggregate`` over ``sequence(0, 100)`` evaluated per row, so there is no shuffle,
-no explode and no Python worker.
+centroid over the 0..100 output universe are all one projection: the centroid is an
+``aggregate`` over the universe points (plus the activation cut points) evaluated per
+row, so there is no shuffle, no explode and no Python worker.
 """
 
 from __future__ import annotations
@@ -52,22 +52,61 @@ def term_activations(saving: ColLike, essential: ColLike, stability: ColLike) ->
     return {t: (_greatest(s) if s else F.lit(0.0)) for t, s in strength.items()}
 
 
-def centroid(acts: dict[str, Column]) -> Column:
-    """Discrete centroid of the clipped, max-aggregated output set; NULL when no rule fires."""
-    def mu(x: Column) -> Column:
-        xd = x.cast("double")
-        return _greatest([F.least(a, triangular(xd, *OUTPUT_TERMS[t])) for t, a in acts.items()])
-
-    zero = F.struct(F.lit(0.0).alias("num"), F.lit(0.0).alias("den"))
-    return F.aggregate(
-        F.sequence(F.lit(0), F.lit(UNIVERSE_MAX)), zero,
-        lambda acc, x: F.struct((acc["num"] + x.cast("double") * mu(x)).alias("num"),
-                                (acc["den"] + mu(x)).alias("den")),
-        lambda acc: F.when(acc["den"] > 0, acc["num"] / acc["den"]))
-
-
-def fuzzy_score(saving: ColLike, essential: ColLike, stability: ColLike) -> Column:
-    return centroid(term_activations(saving, essential, stability))
+def _mu(acts: dict[str, Column], x: Column) -> Column:
+    """Aggregated output membership at x: max over terms of min(activation, term(x))."""
+    return _greatest([F.least(a, triangular(x, *OUTPUT_TERMS[t])) for t, a in acts.items()])
+
+
+def cut_points(acts: dict[str, Column]) -> Column:
+    """x positions where each output term's sides cross its activation level
+    (0 < activation < 1): these are where the clipped set changes slope."""
+    pts = []
+    for t, act in acts.items():
+        a, b, c = (float(v) for v in OUTPUT_TERMS[t])
+        inside = (act > 0) & (act < 1)
+        if a != b:
+            pts.append(F.when(inside, F.lit(a) + act * (b - a)))
+        if b != c:
+            pts.append(F.when(inside, F.lit(c) - act * (c - b)))
+    return F.filter(F.array(*pts), lambda v: v.isNotNull())
+
+
+def centroid(acts: dict[str, Column], refine: bool = True) -> Column:
+    """Centroid of the clipped, max-aggregated output set over [0, 100]; NULL when no
+    rule fires.
+
+    ``refine=True``: the output universe 0..100 (step 1) plus the activation cut points,
+    membership evaluated there and integrated piecewise linearly (trapezoids).
+    ``refine=False``: the discrete centroid sum(x mu) / sum(mu) over 0..100.
+    """
+    if not refine:
+        zero = F.struct(F.lit(0.0).alias("num"), F.lit(0.0).alias("den"))
+        return F.aggregate(
+            F.sequence(F.lit(0), F.lit(UNIVERSE_MAX)), zero,
+            lambda acc, x: F.struct((acc["num"] + x.cast("double") * _mu(acts, x.cast("double"))).alias("num"),
+                                    (acc["den"] + _mu(acts, x.cast("double"))).alias("den")),
+            lambda acc: F.when(acc["den"] > 0, acc["num"] / acc["den"]))
+    grid = F.transform(F.sequence(F.lit(0), F.lit(UNIVERSE_MAX)), lambda x: x.cast("double"))
+    pts = F.array_sort(F.array_union(grid, cut_points(acts)))
+    mus = F.transform(pts, lambda x: _mu(acts, x))
+    xy = F.arrays_zip(pts.alias("x"), mus.alias("y"))
+    zero = F.struct(F.lit(0.0).alias("num"), F.lit(0.0).alias("den"), F.lit(None).cast("double").alias("px"),
+                    F.lit(None).cast("double").alias("py"))
+
+    def step(acc, e):
+        x1, y1, x2, y2 = acc["px"], acc["py"], e["x"], e["y"]
+        seg = x1.isNotNull() & ((y1 + y2) > 0)
+        area = (x2 - x1) * (y1 + y2) / 2
+        cx = x1 + (x2 - x1) * (y1 + 2 * y2) / (3 * (y1 + y2))
+        return F.struct(F.when(seg, acc["num"] + area * cx).otherwise(acc["num"]).alias("num"),
+                        F.when(seg, acc["den"] + area).otherwise(acc["den"]).alias("den"),
+                        x2.alias("px"), y2.alias("py"))
+
+    return F.aggregate(xy, zero, step, lambda acc: F.when(acc["den"] > 0, acc["num"] / acc["den"]))
+
+
+def fuzzy_score(saving: ColLike, essential: ColLike, stability: ColLike, refine: bool = True) -> Column:
+    return centroid(term_activations(saving, essential, stability), refine)
 
 
 # ---- the same inference as DuckDB SQL text, for the oracle --------------------------
@@ -84,3 +123,14 @@ def activations_sql(saving: str, essential: str, stability: str) -> dict[str, st
 def membership_sql(acts: dict[str, str], x: str) -> str:
     parts = [f"least({a}, {triangular_sql(x, *OUTPUT_TERMS[t])})" for t, a in acts.items()]
     return "greatest(" + ", ".join(parts) + ")"
+
+
+def cut_points_sql(acts: dict[str, str]) -> list[str]:
+    out = []
+    for t, act in acts.items():
+        a, b, c = (float(v) for v in OUTPUT_TERMS[t])
+        if a != b:
+            out.append(f"CASE WHEN {act} > 0 AND {act} < 1 THEN {a} + {act} * {b - a} END")
+        if b != c:
+            out.append(f"CASE WHEN {act} > 0 AND {act} < 1 THEN {c} - {act} * {c - b} END")
+    return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import OUTPUT_TERMS, activations_sql, membership_sql
+from ..functions.fuzzy import OUTPUT_TERMS, activations_sql, cut_points_sql, membership_sql
 from ..operators import calendar, cashflow, recommend
 from ..operators.recommend import CATEGORIES, TOP_CATEGORY
 from . import tables
@@ -57,10 +57,19 @@ _CAT_SQL = "CASE " + " ".join(f"WHEN score <= {b} THEN '{c}'" for b, c, _ in CAT
 
 FUZZY_SQL = f"""{TRAILING_SQL},
 act AS (SELECT entity_id, {", ".join(f"{a} AS act_{t}" for t, a in _ACTS.items())} FROM tm),
-mu AS (SELECT entity_id, x, {membership_sql({t: f"act_{t}" for t in OUTPUT_TERMS}, "x")} AS mu
-       FROM act, (SELECT CAST(range AS DOUBLE) AS x FROM range(0, 101)) u),
-cen AS (SELECT entity_id, CASE WHEN sum(mu) > 0 THEN sum(x * mu) / sum(mu) END AS fuzzy_score
-        FROM mu GROUP BY entity_id),
+pts AS (SELECT entity_id, CAST(range AS DOUBLE) AS x FROM act, range(0, 101)
+        UNION SELECT entity_id, x FROM (SELECT entity_id, unnest([{", ".join(cut_points_sql({t: f"act_{t}" for t in OUTPUT_TERMS}))}]) AS x
+                                         FROM act) WHERE x IS NOT NULL),
+mu AS (SELECT p.entity_id, p.x, {membership_sql({t: f"act_{t}" for t in OUTPUT_TERMS}, "p.x")} AS y
+       FROM pts p JOIN act ON p.entity_id = act.entity_id),
+sg AS (SELECT entity_id, lag(x) OVER (PARTITION BY entity_id ORDER BY x) AS x1,
+              lag(y) OVER (PARTITION BY entity_id ORDER BY x) AS y1, x AS x2, y AS y2 FROM mu),
+cen AS (SELECT entity_id,
+               CASE WHEN sum(CASE WHEN x1 IS NOT NULL AND y1 + y2 > 0 THEN (x2 - x1) * (y1 + y2) / 2 END) > 0
+                    THEN sum(CASE WHEN x1 IS NOT NULL AND y1 + y2 > 0
+                                  THEN (x2 - x1) * (y1 + y2) / 2 * (x1 + (x2 - x1) * (y1 + 2 * y2) / (3 * (y1 + y2))) END)
+                         / sum(CASE WHEN x1 IS NOT NULL AND y1 + y2 > 0 THEN (x2 - x1) * (y1 + y2) / 2 END) END AS fuzzy_score
+        FROM sg GROUP BY entity_id),
 sc AS (SELECT tm.entity_id, tm.saving_ratio, tm.essential_ratio, tm.stability, cen.fuzzy_score,
               {clip_sql("cen.fuzzy_score * 0.6 + tm.saving_ratio * 0.4")} AS score
        FROM tm JOIN cen ON tm.entity_id = cen.entity_id)"""

@@ -34,38 +34,76 @@ def test_trailing_90_days_inclusive_and_one_row_std(spark):
     assert out["b"].months == 1 and out["b"].stability is None
 
 
-def _np_centroid(s, e, st):
-    def tri(x, a, b, c):
-        x = np.asarray(x, float)
-        y = np.zeros_like(x)
-        if a != b:
-            k = (x > a) & (x < b)
-            y[k] = (x[k] - a) / (b - a)
-        if b != c:
-            k = (x > b) & (x < c)
-            y[k] = (c - x[k]) / (c - b)
-        y[x == b] = 1.0
-        return y
+def _tri(x, a, b, c):
+    x = np.asarray(x, float)
+    y = np.zeros_like(x)
+    if a != b:
+        k = (x > a) & (x < b)
+        y[k] = (x[k] - a) / (b - a)
+    if b != c:
+        k = (x > b) & (x < c)
+        y[k] = (c - x[k]) / (c - b)
+    y[x == b] = 1.0
+    return y
+
+
+def _acts(s, e, st):
     inputs = {"saving": s, "essential": e, "stability": st}
     act = {t: 0.0 for t in fuzzy.OUTPUT_TERMS}
     for ante, out in fuzzy.RULES:
-        act[out] = max(act[out], min(float(tri([inputs[v]], *fuzzy.INPUT_TERMS[v][term])[0]) for v, term in ante.items()))
-    xs = np.arange(0, 101)
-    mu = np.max([np.minimum(a, tri(xs, *fuzzy.OUTPUT_TERMS[t])) for t, a in act.items()], axis=0)
-    return None if mu.sum() == 0 else float((xs * mu).sum() / mu.sum())
+        act[out] = max(act[out], min(float(_tri([inputs[v]], *fuzzy.INPUT_TERMS[v][term])[0])
+                                     for v, term in ante.items()))
+    return act
+
+
+def _mu(act, xs):
+    return np.max([np.minimum(a, _tri(xs, *fuzzy.OUTPUT_TERMS[t])) for t, a in act.items()], axis=0)
+
+
+def _np_centroid(s, e, st, refine):
+    act = _acts(s, e, st)
+    if not refine:
+        xs = np.arange(0, 101, dtype=float)
+        mu = _mu(act, xs)
+        return None if mu.sum() == 0 else float((xs * mu).sum() / mu.sum())
+    cuts = []
+    for t, a in act.items():
+        lo, mid, hi = fuzzy.OUTPUT_TERMS[t]
+        if 0 < a < 1:
+            if lo != mid:
+                cuts.append(lo + a * (mid - lo))
+            if mid != hi:
+                cuts.append(hi - a * (hi - mid))
+    xs = np.union1d(np.arange(0, 101, dtype=float), cuts)
+    y = _mu(act, xs)
+    x1, x2, y1, y2 = xs[:-1], xs[1:], y[:-1], y[1:]
+    ok = (y1 + y2) > 0
+    area = (x2 - x1) * (y1 + y2) / 2
+    cx = x1 + (x2 - x1) * (y1 + 2 * y2) / np.where(ok, 3 * (y1 + y2), 1)
+    return None if area[ok].sum() == 0 else float((area * cx)[ok].sum() / area[ok].sum())
+
+
+CASES = [(5.0, 80.0, 40.0), (30.0, 40.0, 95.0), (70.0, 10.0, 90.0), (45.0, 30.0, 60.0), (12.5, 50.0, 50.0),
+         (30.0, 45.0, 60.0)]
 
 
 def test_fuzzy_centroid_matches_numpy_and_null_when_no_rule(spark):
-    cases = [(5.0, 80.0, 40.0), (30.0, 40.0, 95.0), (70.0, 10.0, 90.0), (45.0, 30.0, 60.0), (30.0, 45.0, 60.0)]
-    df = spark.createDataFrame(cases, "s double, e double, st double")
+    df = spark.createDataFrame(CASES, "s double, e double, st double")
+    for refine in (False, True):
+        got = [r.f for r in df.select(fuzzy.fuzzy_score("s", "e", "st", refine).alias("f")).collect()]
+        for (s, e, st), g in zip(CASES, got):
+            want = _np_centroid(s, e, st, refine)
+            assert (g is None and want is None) or abs(g - want) < 1e-9
+        assert got[-1] is None  # medium saving + medium stability: no rule fires
+
+
+def test_refined_centroid_close_to_continuous(spark):
+    df = spark.createDataFrame(CASES[:-1], "s double, e double, st double")
     got = [r.f for r in df.select(fuzzy.fuzzy_score("s", "e", "st").alias("f")).collect()]
-    for (s, e, st), g in zip(cases, got):
-        want = _np_centroid(s, e, st)
-        if want is None:
-            assert g is None
-        else:
-            assert abs(g - want) < 1e-9
-    assert got[-1] is None  # medium saving + medium stability: no rule fires
+    xs = np.linspace(0, 100, 100001)
+    for (s, e, st), g in zip(CASES[:-1], got):
+        mu = _mu(_acts(s, e, st), xs)
+        assert abs(g - float((xs * mu).sum() / mu.sum())) < 0.2
 
 
 def test_blend_categories(spark):
