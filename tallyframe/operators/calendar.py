@@ -82,6 +82,6 @@ def undated_blocks(df: DataFrame, id_col: str, order_col: str, sums: dict[str, C
     from .ranks import group_positions
     dated_ids = df.where(col(t_col).isNotNull()).select(id_col).distinct()
     undated = df.join(dated_ids, id_col, "left_anti")
-    p = group_positions(undated, [id_col], order_col, "_pos", "_n")
+    p = group_positions(undated, [id_col], order_col, "_pos", "_n", broadcast_offsets=False)
     blk = F.floor((F.col("_pos") - 1) / rows_per_block).cast("long").alias("block")
     return p.groupBy(id_col, blk).agg(*[F.sum(col(e)).alias(n) for n, e in sums.items()])

@@ -214,7 +214,7 @@ def ridge_cv(df: DataFrame, y: str, xcols: Sequence[str], t: str, keys: Sequence
     p = len(xcols)
     std_set = set(xcols if standardize is None else standardize)
     pos = group_positions(df.select(*keys, t, *xcols, y).na.drop(subset=[*xcols, y]), keys, t, "_pos", "_n",
-                          method=positions)
+                          method=positions, broadcast_offsets=False)
     g = gram(pos, keys, xcols, y, block=_fold_block(scheme, folds))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -324,7 +324,7 @@ def poly_trend(df: DataFrame, y: str, t: str, degree: int, keys: Sequence[str] =
     """Least-squares polynomial of ``degree`` in the (centred, scaled) row index per
     series; returns fitted values per row. Index = position in ``t`` order."""
     keys = list(keys)
-    pos = group_positions(df.select(*keys, t, y), keys, t, "_pos", "_n", method=positions)
+    pos = group_positions(df.select(*keys, t, y), keys, t, "_pos", "_n", method=positions, broadcast_offsets=False)
     u = (F.col("_pos") - (F.col("_n") + 1) / 2) / F.greatest(F.col("_n") / 2, F.lit(1.0))
     pos = pos.select("*", *[F.pow(u, k).alias(f"_u{k}") for k in range(1, degree + 1)])
     fit = ridge_fit(pos, y, [f"_u{k}" for k in range(1, degree + 1)], keys, alpha=0.0, standardize=[])
@@ -353,7 +353,7 @@ def temporal_split(df: DataFrame, t: str, keys: Sequence[str] = (), test_size: f
     """Flag the last max(1, int(test_size * n)) rows of each series (when n > min_rows)
     as test. Positions come from ``group_positions``."""
     keys = list(keys)
-    p = group_positions(df, keys, t, "_pos", "_n", method=positions)
+    p = group_positions(df, keys, t, "_pos", "_n", method=positions, broadcast_offsets=False)
     n_test = F.greatest(F.lit(1), F.floor(F.col("_n") * test_size))
     return p.withColumn("is_test", (F.col("_n") > min_rows) & (F.col("_pos") > F.col("_n") - n_test)) \
         .drop("_pos", "_n")

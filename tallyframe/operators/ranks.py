@@ -18,19 +18,24 @@ from pyspark.sql import functions as F
 
 def group_positions(df: DataFrame, keys: list[str], order_col: str, pos_col: str = "pos",
                     n_col: str = "n", num_partitions: int | None = None, method: str = "range",
-                    keep_partition: bool = False) -> DataFrame:
+                    keep_partition: bool = False, broadcast_offsets: bool = True) -> DataFrame:
     """Add 1-based ``pos`` (order within its group by ``order_col``; ties broken
     arbitrarily but consistently) and the group size ``n``.
 
     ``method='window'`` uses a plain per-group window — only for groups with a known
-    small bound (period series: one row per entity and period)."""
+    small bound (period series: one row per entity and period).
+
+    The offsets table has at most (range partitions + groups) rows. It is broadcast when
+    the groups are few (columns, categories, labels, segments: the default); callers
+    whose groups can number in the millions pass ``broadcast_offsets=False`` and the
+    join is left to the planner / AQE size check."""
     if method == "window":
         w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
         return df.withColumn(pos_col, F.row_number().over(w.orderBy(order_col)).cast("long")) \
             .withColumn(n_col, F.count(F.lit(1)).over(w))
     if not keys:
         return group_positions(df.withColumn("_all", F.lit(0)), ["_all"], order_col, pos_col, n_col,
-                               num_partitions, method, keep_partition).drop("_all")
+                               num_partitions, method, keep_partition, broadcast_offsets).drop("_all")
     parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sk = [F.col(k) for k in keys] + [F.col(order_col)]
     s = (df.repartitionByRange(parts, *sk).sortWithinPartitions(*sk)
@@ -43,14 +48,14 @@ def group_positions(df: DataFrame, keys: list[str], order_col: str, pos_col: str
         (F.sum("_cnt").over(wk) - F.col("_cnt")).alias("_before"),
         F.sum("_cnt").over(Window.partitionBy(*keys)).alias(n_col))
     # offsets has one row per (range partition, group) pair: at most partitions + groups
-    # rows, so it is the side to broadcast (never the sorted data).
-    out = s.join(F.broadcast(offsets), ["_pid", *keys])
+    # rows — the side to broadcast when the groups are few (never the sorted data)
+    out = s.join(F.broadcast(offsets) if broadcast_offsets else offsets, ["_pid", *keys])
     out = out.withColumn(pos_col, F.col("_before") + F.col("_mid") - F.col("_first") + 1)
     return out.drop("_mid", "_first", "_before") if keep_partition else out.drop("_pid", "_mid", "_first", "_before")
 
 
 def sorted_quantiles(df: DataFrame, col: str, probs: list[float], keys: list[str] = (),
-                     names: list[str] | None = None) -> DataFrame:
+                     names: list[str] | None = None, many_groups: bool = False) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / numpy default) per group,
     computed from sorted positions instead of a value -> count map.
 
@@ -62,7 +67,7 @@ def sorted_quantiles(df: DataFrame, col: str, probs: list[float], keys: list[str
     keys = list(keys)
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
     v = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("_v"))
-    p = group_positions(v, keys, "_v", "_pos", "_n")
+    p = group_positions(v, keys, "_v", "_pos", "_n", broadcast_offsets=not many_groups)
     conds, aggs = [], []
     for nm, pr in zip(names, probs):
         h = (F.col("_n") - 1) * F.lit(float(pr))

@@ -128,17 +128,19 @@ def mode(df: DataFrame, col: str, keys: list[str] = ()) -> DataFrame:
 
 
 def quantiles(df: DataFrame, col: str, probs: list[float], keys: list[str] = (),
-              approx: bool = False, method: str = "sort") -> DataFrame:
+              approx: bool = False, method: str = "sort", many_groups: bool = False) -> DataFrame:
     """Quantiles with linear interpolation as ``qNN`` columns.
 
     ``method='sort'`` (default): exact, from range-partitioned sorted positions — bounded
     memory for any group size. ``'map'``: Spark's exact ``percentile`` (one value -> count
     map per group; fine for low-cardinality values). ``approx=True``: ``percentile_approx``.
+    ``many_groups=True`` when the keys can number in the millions (the position offsets
+    are then joined by size instead of broadcast).
     """
     keys = list(keys)
     names = [f"q{int(round(p * 100)):02d}" for p in probs]
     if not approx and method == "sort":
-        return sorted_quantiles(df, col, list(probs), keys, names)
+        return sorted_quantiles(df, col, list(probs), keys, names, many_groups)
     fn = (lambda p: F.percentile_approx(col, p, 10000)) if approx else (lambda p: F.percentile(col, p))
     aggs = [fn(p).alias(nm) for p, nm in zip(probs, names)]
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
