@@ -118,11 +118,11 @@ LOG_SQL = """plog AS (
 SPANISH_MONTH_ABBR = ["Ene", "Feb", "Mar", "Abr", "May", "Jun", "Jul", "Ago", "Sep", "Oct", "Nov", "Dic"]
 
 
-def statement_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def statement_strings(spark: SparkSession, sf_dir) -> DataFrame:
     """All-string bank movements rendered from orders, in mixed formats: dates as
     '1997 Ago 05' / '1997 AUG 05' / '05/08/1997'; debits as '$ 1,234.50' (or a
     '1.234.567'-style malformed amount for low-priority orders), credits as plain text."""
-    o = read(spark, sf_dir, "orders")
+    o = sf_dir if isinstance(sf_dir, DataFrame) else read(spark, sf_dir, "orders")
     d = F.col("o_orderdate")
     es = F.element_at(F.array(*[F.lit(m) for m in SPANISH_MONTH_ABBR]), F.month(d))
     fmt = F.col("o_orderkey") % 3
@@ -145,8 +145,9 @@ def statement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     written in CSV form; every file starts with a header line that precedes the first
     record. Not-specified priority -> no amounts, low priority -> balance only.
     """
+    from ..session import spread
     from ..sources.statement import KNOWN_PLACES, MONTHS
-    o = read(spark, sf_dir, "orders")
+    o = spread(read(spark, sf_dir, "orders"))
     c = read(spark, sf_dir, "customer").select("c_custkey")
     d = F.col("o_orderdate")
     mon = F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(d))

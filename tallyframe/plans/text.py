@@ -64,7 +64,8 @@ def q_string_functions(spark, d):
        CAST(len(string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ')) AS INTEGER) AS words
 FROM documents""")
 def q_text_normalize(spark, d):
-    return scalar.normalized_text_stats(tables.read(spark, d, "documents"))
+    from ..session import spread
+    return scalar.normalized_text_stats(spread(tables.read(spark, d, "documents")))
 
 
 @register("numbers_in_text", """WITH x AS (SELECT doc_id, regexp_extract_all(text, '\\d+(?:\\.\\d+)?') AS nums FROM documents),
@@ -76,7 +77,8 @@ SELECT doc_id, CAST(len(nums) AS INTEGER) AS numbers, CAST(len(ints) AS INTEGER)
        list_max(list_transform(nums, lambda v: TRY_CAST(v AS DOUBLE))) AS max_value
 FROM y""")
 def q_numbers_in_text(spark, d):
-    return scalar.numbers_in_text(tables.read(spark, d, "documents"), "text", "doc_id")
+    from ..session import spread
+    return scalar.numbers_in_text(spread(tables.read(spark, d, "documents")), "text", "doc_id")
 
 
 @register("money_format", """SELECT c_mktsegment, '$' || format('{:,.2f}', min(c_acctbal)) || ' - $' || format('{:,.2f}', max(c_acctbal)) AS balance_range,

@@ -94,6 +94,12 @@ def stitch_lines(lines: DataFrame, file_col: str = "file", no_col: str = "line_n
         t = local.join(offsets, [file_col, block_col]).withColumn("record", F.col("_before") + F.col("_local"))
         t = t.withColumn("_ord", F.struct(F.col(block_col), F.col(no_col)))
     t = t.where(F.col("record") > 0)
+    if block_col:
+        # records are few bytes but parsing them is CPU-heavy: a by-number repartition on
+        # the group key (reused by the group-by, not coalesced away by AQE) keeps the
+        # parse spread over all tasks
+        n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        t = t.repartition(n, file_col, "record")
     order = F.col("_ord") if block_col else F.col(no_col)
     g = t.groupBy(file_col, "record").agg(F.sort_array(F.collect_list(F.struct(order.alias("_k"), "_l"))).alias("_ls"))
     return g.select(file_col, "record", F.array_join(F.transform("_ls", lambda s: s["_l"]), " ").alias("text"))
