@@ -5,7 +5,6 @@ import io
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tallyframe.operators import ranks, stats, windows
@@ -65,4 +64,3 @@ def test_monthly_cash_flow_two_aggregate_shuffles_no_sort_merge_join(spark):
     plan = _plan(E.queries()["monthly_cash_flow"](spark, SF_SMALL)).split("\n\n")[0]
     assert plan.count("Exchange") - plan.count("BroadcastExchange") == 2
     assert "SortMergeJoin" not in plan
-    assert F is not None
