@@ -3,14 +3,14 @@ returns, gaps at both ends of merged series, one-row entities."""
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tallyframe.operators import cashflow, crosstab, joins, stats, windows
 
 
 def test_crosstab_missing_pair_is_zero(spark):
     df = spark.createDataFrame([("x", "card", 10.0), ("y", "cash", 5.0)], "cat string, pay string, amt double")
-    r = {row.cat: row for row in crosstab.crosstab(df, "cat", "pay", ["card", "cash"],
-                                                   __import__("pyspark.sql.functions", fromlist=["sum"]).sum("amt"),
-                                                   0.0).collect()}
+    r = {row.cat: row for row in crosstab.crosstab(df, "cat", "pay", ["card", "cash"], F.sum("amt"), 0.0).collect()}
     assert r["x"].cash == 0.0 and r["y"].card == 0.0
 
 
