@@ -9,3 +9,4 @@ from . import descriptive  # noqa: F401
 from . import tabular  # noqa: F401
 from . import text  # noqa: F401
 from . import models  # noqa: F401
+from . import files_io  # noqa: F401
