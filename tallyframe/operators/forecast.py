@@ -429,26 +429,51 @@ def fourier_model(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), alpha
 
 # ---- Y9: backtest -------------------------------------------------------------------
 
+def fourier_predict(train: DataFrame, test: DataFrame, y: str, t: str, keys: Sequence[str] = (),
+                    seasonality: dict | None = None, alpha: float = 1e-6) -> DataFrame:
+    """Fit trend + Fourier terms on ``train`` per series and predict ``test`` rows
+    (column ``forecast``)."""
+    from .linear import ridge_fit
+    keys = list(keys)
+    seas = seasonality or {"yearly": SEASONALITY["yearly"]}
+    tr, names = fourier_features(train, t, seas)
+    te, _ = fourier_features(test, t, seas)
+    fit = ridge_fit(tr, y, names, keys, alpha=alpha, standardize=[])
+    j = te.join(fit, keys) if keys else te.crossJoin(F.broadcast(fit))
+    yhat = F.col("intercept")
+    for i, n in enumerate(names):
+        yhat = yhat + F.col("coef")[i] * F.col(n)
+    return j.withColumn("forecast", yhat).drop(*names, "n", "alpha", "intercept", "coef", "explained_variance")
+
+
 def backtest(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), hold: int = 6,
-             order=None, **select_kw) -> DataFrame:
-    """Hold out each series' last ``hold`` rows, fit ARIMA (selected on the train part,
-    or a fixed ``order``) and score MAE / RMSE against the held-out rows. Series with
-    n <= hold are skipped."""
+             order=None, models: Sequence[str] = ("arima", "fourier"), **select_kw) -> DataFrame:
+    """Hold out each series' last ``hold`` rows, fit each model on the rest and score
+    MAE / RMSE on the held-out rows: ARIMA (order selected on the train part, or a fixed
+    ``order``) and trend + yearly Fourier seasonality. Series with n <= hold are skipped.
+    Output: keys, model, mae, rmse, held_out."""
     keys = list(keys)
     pos = group_positions(df.select(*keys, t, y), keys, t, "_pos", "_n", method="window").where(F.col("_n") > hold)
     train = pos.where(F.col("_pos") <= F.col("_n") - hold).drop("_pos", "_n")
     test = pos.where(F.col("_pos") > F.col("_n") - hold).withColumn("step", (F.col("_pos") - F.col("_n") + hold).cast("int"))
-    if order is None:
-        model = arima_select(train, y, t, keys, **select_kw)
-    else:
-        model = arima_select(train, y, t, keys, max_p=order[0], max_d=order[1], max_q=order[2], **select_kw) \
-            .where((F.col("p") == order[0]) & (F.col("d") == order[1]) & (F.col("q") == order[2]))
-    fc = arima_forecast(train, y, t, model, keys, horizon=hold)
-    j = test.join(fc, keys + ["step"])
+    scored = []
+    if "arima" in models:
+        if order is None:
+            model = arima_select(train, y, t, keys, **select_kw)
+        else:
+            model = arima_select(train, y, t, keys, max_p=order[0], max_d=order[1], max_q=order[2], **select_kw) \
+                .where((F.col("p") == order[0]) & (F.col("d") == order[1]) & (F.col("q") == order[2]))
+        fc = arima_forecast(train, y, t, model, keys, horizon=hold)
+        scored.append(test.join(fc, keys + ["step"]).select(*keys, F.lit("arima").alias("model"), y, "forecast"))
+    if "fourier" in models:
+        fp = fourier_predict(train, test.drop("_pos", "_n", "step"), y, t, keys)
+        scored.append(fp.select(*keys, F.lit("fourier").alias("model"), y, "forecast"))
+    allm = scored[0]
+    for sc in scored[1:]:
+        allm = allm.unionByName(sc)
     e = F.col(y) - F.col("forecast")
-    return j.groupBy(*keys).agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                                F.count(F.lit(1)).alias("held_out")) if keys else \
-        j.agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.count(F.lit(1)).alias("held_out"))
+    return allm.groupBy(*keys, "model").agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
+                                            F.count(F.lit(1)).alias("held_out"))
 
 
 # ---- Y10: report -------------------------------------------------------------------
