@@ -32,7 +32,7 @@ def _long(df: DataFrame, keys: list[str], cols: list[str], fields: dict[str, cal
     return g.select(*keys, rows).select(*keys, "_s.*")
 
 
-def summary(df: DataFrame, cols: list[str], keys: list[str] = ()) -> DataFrame:
+def summary(df: DataFrame, cols: list[str], keys: list[str] = (), many_groups: bool = False) -> DataFrame:
     """count, sum, mean, sample std / var, min, max, median per column (and group)."""
     keys = list(keys)
     mom = _long(df, keys, cols, {"count": F.count, "sum": F.sum, "mean": F.avg, "std": F.stddev_samp,
@@ -40,11 +40,12 @@ def summary(df: DataFrame, cols: list[str], keys: list[str] = ()) -> DataFrame:
     stacked = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_s")
     ).select(*keys, "_s.*")
-    med = quantiles(stacked, "_v", [0.5], [*keys, "column"]).withColumnRenamed("q50", "median")
+    med = quantiles(stacked, "_v", [0.5], [*keys, "column"], many_groups=many_groups).withColumnRenamed("q50", "median")
     return mom.join(med, [*keys, "column"], "left")
 
 
-def describe(df: DataFrame, cols: list[str], keys: list[str] = (), approx: bool = False) -> DataFrame:
+def describe(df: DataFrame, cols: list[str], keys: list[str] = (), approx: bool = False,
+             many_groups: bool = False) -> DataFrame:
     """count, mean, std, min, 25 %, 50 %, 75 %, max per column (long form). Moments come
     from one wide aggregate; exact quartiles from one sorted pass over all columns at
     once (the columns are stacked long and ranked within (group, column))."""
@@ -54,7 +55,7 @@ def describe(df: DataFrame, cols: list[str], keys: list[str] = (), approx: bool
     stacked = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_s")
     ).select(*keys, "_s.*")
-    q = quantiles(stacked, "_v", [0.25, 0.5, 0.75], [*keys, "column"], approx)
+    q = quantiles(stacked, "_v", [0.25, 0.5, 0.75], [*keys, "column"], approx, many_groups=many_groups)
     q = q.withColumnRenamed("q50", "q50")
     return mom.join(q, [*keys, "column"], "left").select(*keys, "column", "count", "mean", "std", "min",
                                                          "q25", "q50", "q75", "max")
@@ -146,7 +147,7 @@ def quantiles(df: DataFrame, col: str, probs: list[float], keys: list[str] = (),
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
-def shape(df: DataFrame, col: str, keys: list[str] = ()) -> DataFrame:
+def shape(df: DataFrame, col: str, keys: list[str] = (), many_groups: bool = False) -> DataFrame:
     """n, mean, median, sample std, bias-corrected skewness and excess kurtosis, range,
     coefficient of variation %, and a skew direction label."""
     keys = list(keys)
@@ -155,7 +156,7 @@ def shape(df: DataFrame, col: str, keys: list[str] = ()) -> DataFrame:
             F.stddev_samp(col).alias("std"), F.skewness(col).alias("_g1"), F.kurtosis(col).alias("_g2"),
             (F.max(col) - F.min(col)).alias("range")]
     a = g.groupBy(*keys).agg(*aggs) if keys else g.agg(*aggs)
-    med = quantiles(g, col, [0.5], keys).withColumnRenamed("q50", "median")
+    med = quantiles(g, col, [0.5], keys, many_groups=many_groups).withColumnRenamed("q50", "median")
     a = a.join(med, keys) if keys else a.crossJoin(med)
     n = F.col("n").cast("double")
     skew = F.when(n > 2, F.col("_g1") * F.sqrt(n * (n - 1)) / (n - 2))
@@ -309,12 +310,13 @@ def normal_curve(df: DataFrame, col: str, points: int = 100) -> DataFrame:
 
 # ---- outliers and box plots ----------------------------------------------------------
 
-def box_stats(df: DataFrame, col: str, keys: list[str] = (), approx: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, col: str, keys: list[str] = (), approx: bool = False,
+              many_groups: bool = False) -> DataFrame:
     """Q1, median, Q3, IQR, whiskers (furthest values within 1.5 IQR of the box) and
     outlier count per group. Two passes: quartiles per group, then a join back on the
     group key (one row per group) and conditional min/max."""
     keys = list(keys)
-    q = quantiles(df, col, [0.25, 0.5, 0.75], keys, approx).withColumnRenamed("q25", "q1") \
+    q = quantiles(df, col, [0.25, 0.5, 0.75], keys, approx, many_groups=many_groups).withColumnRenamed("q25", "q1") \
         .withColumnRenamed("q50", "median").withColumnRenamed("q75", "q3")
     v = df.where(F.col(col).isNotNull())
     j = v.join(q, keys) if keys else v.crossJoin(F.broadcast(q))
@@ -327,10 +329,10 @@ def box_stats(df: DataFrame, col: str, keys: list[str] = (), approx: bool = Fals
     ).withColumn("iqr", F.col("q3") - F.col("q1"))
 
 
-def iqr_outliers(df: DataFrame, col: str, keys: list[str] = ()) -> DataFrame:
+def iqr_outliers(df: DataFrame, col: str, keys: list[str] = (), many_groups: bool = False) -> DataFrame:
     """Rows strictly below Q1 - 1.5 IQR or above Q3 + 1.5 IQR (of their group)."""
     keys = list(keys)
-    q = quantiles(df, col, [0.25, 0.75], keys)
+    q = quantiles(df, col, [0.25, 0.75], keys, many_groups=many_groups)
     j = df.join(q, keys) if keys else df.crossJoin(F.broadcast(q))
     iqr = F.col("q75") - F.col("q25")
     return j.where((F.col(col) < F.col("q25") - 1.5 * iqr) | (F.col(col) > F.col("q75") + 1.5 * iqr)) \
