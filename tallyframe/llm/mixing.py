@@ -120,7 +120,9 @@ def mix(docs: DataFrame, labels: DataFrame, domain: str, weights: dict, budget:
     tokens and do not move the fit. Domains without supply keep what they have. Other
     columns are ignored; an empty table gives an empty result.
     """
-    rows, model = _prepare(docs, labels, domain, list(weights))
+    narrow = tables.scratch(with_features(docs.select("doc_id", "text")).drop("text"), "features")
+    model = count_model(narrow, labels, domain, list(weights))
+    rows = tables.scratch(with_posteriors(narrow, model), "posteriors")
     rate, _ = fit_rates(rows, list(weights.values()), budget)
     out = rows.select("doc_id", "mix_tokens", "mix_p", "mix_u", rate.alias("rate"))
     return out.select("doc_id", F.col("mix_tokens").alias("tokens"), F.col("mix_p").alias("p"), "rate", _copies().alias("copies"))
@@ -130,20 +132,12 @@ def _copies() -> Column:
     return (F.floor("rate") + (F.col("mix_u") < F.col("rate") - F.floor("rate")).cast("int")).cast("int")
 
 
-def _prepare(docs: DataFrame, labels: DataFrame, domain: str, domains: list) -> tuple[DataFrame, Model]:
-    narrow = with_features(docs.select("doc_id", "text")).drop("text")
-    narrow = tables.scratch(narrow, "features")
-    model = count_model(narrow, labels, domain, domains)
-    return tables.scratch(with_posteriors(narrow, model), "posteriors"), model
-
-
 def mixed_documents(docs: DataFrame, labels: DataFrame, domain: str, weights: dict) -> DataFrame:
     """The rows of ``docs`` that the mixture takes (copies of at least 1), each once, with
-    their own columns. Features and rate are evaluated in place, so texts are not shuffled."""
-    rows, model = _prepare(docs, labels, domain, list(weights))
-    rate, _ = fit_rates(rows, list(weights.values()), None)
-    placed = with_posteriors(with_features(docs), model).withColumn("rate", rate)
-    return placed.filter(_copies() >= 1).select(*docs.columns)
+    their own columns. Rows whose doc_id is null stay."""
+    left = tables.scratch(mix(docs, labels, domain, weights).filter("copies < 1 AND doc_id IS NOT NULL")
+                          .select("doc_id").distinct(), "left_out")
+    return docs.join(left, "doc_id", "left_anti").select(*docs.columns)
 
 
 # Domains are the quality labels; the low one is kept at a tenth of the tokens.
