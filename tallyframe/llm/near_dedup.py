@@ -212,7 +212,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
              .mapInArrow(_merge_lists(MATCH), "a long, b long"))
     large = prefix.filter(F.col("df") > SMALL).select("rep", "key")
     first = large.groupBy("key").agg(F.min("rep").alias("a"))
-    tied = large.join(first, "key").filter("a <> rep").select("a", F.col("rep").alias("b"))
+    tied = large.join(first, "key").select("a", F.col("rep").alias("b")).distinct()
+    # one edge from each member to the smallest first class of its lists, and one from every
+    # other first class of those lists to that one: as connected, with far fewer edges
+    least = tied.groupBy("b").agg(F.min("a").alias("m"))
+    tied = tied.join(least, "b").select("a", F.col("m").alias("b")).distinct().union(least.select("m", "b"))
     units = tables.components(small.union(tied))
 
     links = tables.scratch(_verify(docs, classes, units, k, percent), "links")
