@@ -23,9 +23,10 @@ from . import tables, words
 BUCKETS = 1 << 17
 DIM = 12
 SPAN = 2
-SAMPLE = 2000       # labelled training texts per class, at most: bounds the fit on the driver
+SAMPLE = 1500       # labelled training texts per class, at most: bounds the fit on the driver
 STEPS = 110
 THRESHOLD = 0.3
+BLOCK_BYTES = 8 << 20   # n-grams of a block's distinct words are held at once
 
 
 @dataclass
@@ -39,7 +40,7 @@ def _subwords(vocab: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     marked = np.frombuffer(b"".join(b"<" + w + b">" for w in vocab), np.uint8).astype(np.uint64)
     size = np.fromiter(map(len, vocab), np.int64, len(vocab)) + 2
     ends = np.cumsum(size)
-    owner = np.repeat(np.arange(len(vocab)), size)
+    owner = np.repeat(np.arange(len(vocab), dtype=np.int32), size)
     left = ends[owner] - np.arange(len(owner))
     buckets, owners = [], []
     for n in (3, 4, 5):
@@ -89,7 +90,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float) -> Model:
     if not len(ids) or y.min() == y.max():
         return Model(np.zeros(BUCKETS, np.float32), float(np.log((prior + 1e-4) / (1 - prior + 1e-4))))
     bucket, grams = _subwords(vocab)
-    gram_word = np.repeat(np.arange(len(vocab)), grams)
+    gram_word = np.repeat(np.arange(len(vocab), dtype=np.int32), grams)
     rng = np.random.default_rng(7)
     emb = rng.normal(0, 0.05, (BUCKETS, DIM)).astype(np.float32)
     soft = rng.normal(0, 0.3, (DIM, 2)).astype(np.float32)
@@ -154,7 +155,7 @@ def score(docs: DataFrame, model: Model, name: str = "toxicity") -> DataFrame:
     empty texts get the probability of the bias alone. All other columns pass unchanged;
     ``name`` must not be one of them. Empty tables give empty results."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in words.text_blocks(batches):
+        for block in words.text_blocks(batches, BLOCK_BYTES):
             p = 1 / (1 + np.exp(-np.clip(_logits(model, words.as_bytes(block.column("text"))), -30, 30)))
             yield from block.append_column(name, pa.array(p, pa.float64())).to_batches()
     return docs.mapInArrow(run, docs.select("*", F.lit(0.0).cast("double").alias(name)).schema)
