@@ -13,7 +13,7 @@ on their own, so decoding is vectorised over all blocks and any block can be rea
 from __future__ import annotations
 
 import os
-import zlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -154,17 +154,67 @@ def _spans(counts: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         a = b
 
 
+PIECES = 600_000       # encoded pieces a worker keeps from block to block
+# Byte-level models write a byte as the character of its own number if that is
+# printable in Latin-1 (no blank, no soft hyphen), otherwise as the next one from 256 on.
+_PRINTED = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+_BYTES = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+# Lower-case Latin letters, then marks: two pieces for tokenizers that split words from punctuation.
+_PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:;=?@\[\]^{}~]*)")
+_pieces: dict[tuple[str, bytes], list[int]] = {}
+
+
+def _encode_words(tok, path: str, vocab: list[bytes]) -> list[list[int]]:
+    """Ids of each word. Words of plain letters and marks go piece by piece straight to the
+    tokenizer's model, if a probe of this block's words shows that to be the same; all other
+    words take the whole tokenizer."""
+    def whole(part: list[bytes]) -> list[list[int]]:
+        out = []
+        for a in range(0, len(part), 20_000):
+            out += [e.ids for e in tok.encode_batch_fast([w.decode() for w in part[a:a + 20_000]], add_special_tokens=False)]
+        return out
+
+    def piece(raw: bytes) -> list[int]:
+        found = _pieces.get((path, raw))
+        if found is None:
+            if len(_pieces) >= PIECES:
+                _pieces.clear()
+            found = _pieces[path, raw] = [t.id for t in model.tokenize(raw.decode("latin-1").translate(_BYTES))]
+        return found
+
+    model, match = tok.model, _PLAIN.fullmatch
+    split = lambda m: piece(m[1]) + piece(m[2]) if m[2] else piece(m[1])
+    probe = [w for w in vocab[:2000] if match(w)]
+    if [split(match(w)) for w in probe] != whole(probe):
+        return whole(vocab)
+    out: list = []
+    rest = []
+    for n, word in enumerate(vocab):
+        m = match(word)
+        out.append(split(m) if m else None)
+        if m is None:
+            rest.append(n)
+    for n, ids in zip(rest, whole([vocab[n] for n in rest])):
+        out[n] = ids
+    return out
+
+
+def _lower(texts: Iterator[bytes], tok) -> Iterator[bytes]:
+    """Lower-case A-Z up front where the tokenizer does so itself: fewer distinct words.
+    Texts that may spell special tokens stay as they are."""
+    same = [tok.encode(t, add_special_tokens=False).ids for t in ("Abc XYZ", "abc xyz")]
+    for text in texts:
+        yield text.lower() if same[0] == same[1] and b"<" not in text else text
+
+
 def _tokenize(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
         for block in words.text_blocks(batches):
-            ids, n_words, vocab = words.block_words(words.as_bytes(block.column("text")), lower=False)
-            lists = []
-            for a in range(0, len(vocab), 20_000):
-                part = [w.decode() for w in vocab[a:a + 20_000]]
-                lists += [e.ids for e in tok.encode_batch_fast(part, add_special_tokens=False)]
+            ids, n_words, vocab = words.block_words(_lower(words.as_bytes(block.column("text")), tok), lower=False)
+            lists = _encode_words(tok, path, vocab)
             size = np.fromiter(map(len, lists), np.int64, len(lists))
             flat = np.fromiter((x for ids_ in lists for x in ids_), np.uint32, int(size.sum()))
             first = np.cumsum(size) - size
@@ -231,7 +281,8 @@ def read_tokens(files: DataFrame) -> DataFrame:
     parts = (files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
              .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
     ids = files.mapInArrow(_decoded, "part int, start long, doc_id long, ids binary")
-    return ids.join(parts, "part").select("doc_id", (F.col("base") + F.col("start")).alias("start"), "ids")
+    # one row per file part: as many as the writer had partitions, whatever the input
+    return ids.join(F.broadcast(parts), "part").select("doc_id", (F.col("base") + F.col("start")).alias("start"), "ids")
 
 
 def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
