@@ -1,7 +1,7 @@
 """Token-id files in Simple-8b word-aligned coding.
 
-Format. A folder of Parquet parts; a row is one document, rows ascend by doc_id across and
-within parts: ``part``, ``start`` (ids of the part before the row), ``doc_id``, ``n_tokens``,
+Format. A folder of Parquet parts; a row is one document, rows ascend by doc_id within a
+part and parts ascend by their number: ``part``, ``start`` (ids of the part before the row), ``doc_id``, ``n_tokens``,
 ``offsets`` (little-endian uint32 pairs per block of ``BLOCK`` ids: 64-bit words up to the
 end of the block, and packed words among them) and ``words`` (little-endian uint64).
 A packed word has a selector in its top four bits and as many ids of equal width as the
@@ -18,7 +18,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -161,7 +160,7 @@ _PRINTED = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b !=
 _BYTES = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 # Lower-case Latin letters, then marks: two pieces for tokenizers that split words from punctuation.
 _PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:;=?@\[\]^{}~]*)")
-_pieces: dict[tuple[str, bytes], list[int]] = {}
+_pieces: dict[str, dict[bytes, list[int]]] = {}
 
 
 def _encode_words(tok, path: str, vocab: list[bytes]) -> list[list[int]]:
@@ -175,14 +174,14 @@ def _encode_words(tok, path: str, vocab: list[bytes]) -> list[list[int]]:
         return out
 
     def piece(raw: bytes) -> list[int]:
-        found = _pieces.get((path, raw))
+        found = known.get(raw)
         if found is None:
-            if len(_pieces) >= PIECES:
-                _pieces.clear()
-            found = _pieces[path, raw] = [t.id for t in model.tokenize(raw.decode("latin-1").translate(_BYTES))]
+            if len(known) >= PIECES:
+                known.clear()
+            found = known[raw] = [t.id for t in model.tokenize(raw.decode("latin-1").translate(_BYTES))]
         return found
 
-    model, match = tok.model, _PLAIN.fullmatch
+    model, match, known = tok.model, _PLAIN.fullmatch, _pieces.setdefault(path, {})
     split = lambda m: piece(m[1]) + piece(m[2]) if m[2] else piece(m[1])
     probe = [w for w in vocab[:2000] if match(w)]
     if [split(match(w)) for w in probe] != whole(probe):
@@ -236,14 +235,21 @@ def _tokenize(path: str, end_id: int):
 
 
 def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number the sorted rows of one part: where each begins within the part."""
-    part, done = TaskContext.get().partitionId(), 0
+    """Where each row begins within its part; rows come sorted by part."""
+    part, done = None, 0
     for batch in batches:
         n = batch.column("n_tokens").to_numpy()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(n), part, np.int32)), pa.array(done + np.cumsum(n) - n), *batch.columns],
-            ["part", "start", *batch.schema.names])
-        done += int(n.sum())
+        parts = batch.column("part").to_numpy()
+        total = np.cumsum(n) - n
+        first = np.flatnonzero(np.append(True, parts[1:] != parts[:-1])) if len(parts) else []
+        start = np.empty(len(n), np.int64)
+        for a, b in zip(first, [*first[1:], len(parts)]):
+            if parts[a] != part:
+                part, done = parts[a], 0
+            start[a:b] = done + total[a:b] - total[a]
+            done += int(n[a:b].sum())
+        yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array(start), *batch.columns[1:]],
+                                         ["part", "start", *batch.schema.names[1:]])
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, name: str = "tokens") -> DataFrame:
@@ -251,12 +257,18 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, name: str = "toke
     each document, write the files described above and return them as read back.
 
     Words between ASCII blanks are encoded once per block, which is exact for tokenizers
-    that never join text across blanks. Null ids come first; repeated ids stay in the order
-    of their coded words. Other columns are ignored; an empty table gives empty files."""
-    coded = tables.scratch(docs.select("doc_id", "text").mapInArrow(
-        _tokenize(tokenizer, end_id), "doc_id long, n_tokens long, offsets binary, words binary"), "coded")
-    placed = (coded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "words")
-              .mapInArrow(_place, FILE))
+    that never join text across blanks. Parts are ranges of doc_id between quantiles of the
+    id column (a scan of that column alone). Null ids come first; repeated ids stay in the
+    order of their coded words. Other columns are ignored; an empty table gives empty files."""
+    n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    cuts = sorted({int(q) for q in ids.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.25 / n)})
+    bounds = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<bigint>")
+    coded = docs.select("doc_id", "text").mapInArrow(
+        _tokenize(tokenizer, end_id), "doc_id long, n_tokens long, offsets binary, words binary")
+    part = F.coalesce(F.size(F.filter(bounds, lambda q: q <= F.col("doc_id"))) + 1, F.lit(0))
+    placed = (coded.select(F.when(F.col("doc_id").isNull(), 0).otherwise(part).alias("part"), "*")
+              .repartition("part").sortWithinPartitions("part", "doc_id", "words").mapInArrow(_place, FILE))
     return tables.scratch(placed, name)
 
 
