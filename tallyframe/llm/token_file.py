@@ -29,6 +29,7 @@ BLOCK = 128
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = 60 // COUNTS
 ESCAPE = 15
+BLOCK_BYTES = 16 << 20  # texts that share a dictionary of words
 CHUNK_IDS = 1 << 20    # ids coded or decoded at once
 
 FILE = "part int, start long, doc_id long, n_tokens long, offsets binary, words binary"
@@ -211,7 +212,7 @@ def _tokenize(path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
-        for block in words.text_blocks(batches):
+        for block in words.text_blocks(batches, BLOCK_BYTES):
             ids, n_words, vocab = words.block_words(_lower(words.as_bytes(block.column("text")), tok), lower=False)
             lists = _encode_words(tok, path, vocab)
             size = np.fromiter(map(len, lists), np.int64, len(lists))

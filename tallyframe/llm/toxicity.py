@@ -26,7 +26,7 @@ SPAN = 2
 SAMPLE = 1500       # labelled training texts per class, at most: bounds the fit on the driver
 STEPS = 110
 THRESHOLD = 0.3
-BLOCK_BYTES = 8 << 20   # n-grams of a block's distinct words are held at once
+BLOCK_BYTES = 3 << 20   # n-grams of a block's distinct words are held at once
 
 
 @dataclass

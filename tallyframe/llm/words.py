@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-BLOCK_BYTES = 32 << 20  # text bytes per block: bounds a task's memory, whatever its split holds
+BLOCK_BYTES = 12 << 20  # text bytes per block: bounds a task's memory, whatever its split holds
 
 
 class _Ids(dict):
