@@ -26,23 +26,27 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b long) -> (node, label = smallest node).
 
-    Minimum-label propagation with pointer jumping; each round is written to the shared
-    folder. Nothing but the number of changed labels reaches the driver."""
-    both = scratch(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
+    Rounds of contraction, each written to the shared folder: every node points to its
+    smallest neighbour (or itself), pointers are followed a few times, and edges are redrawn
+    between the nodes pointed to; edges inside a group vanish, so later rounds are small.
+    Only whether edges are left reaches the driver."""
+    left = scratch(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
                    .filter("a IS NOT NULL AND b IS NOT NULL AND a <> b").distinct(), "edges")
-    labels = scratch(both.groupBy(F.col("a").alias("node"))
-                     .agg(F.min("b").alias("m"))
-                     .select("node", F.least("node", "m").alias("label")), "labels")
-    while True:
-        near = (both.join(labels.select(F.col("node").alias("b"), "label"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m")))
-        step = (labels.join(near, "node")
-                .select("node", F.col("label").alias("was"), F.least("label", "m").alias("label")))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        step = (step.join(jump, "label", "left")
-                .select("node", "was", F.least("label", "further").alias("label")))
-        step = scratch(step, "labels")
-        changed = step.filter("label <> was").limit(1).count()
-        labels = step.select("node", "label")
-        if not changed:
-            return labels
+    rounds: list[DataFrame] = []
+    while not rounds or left.limit(1).count():
+        point = (left.groupBy(F.col("a").alias("node"))
+                 .agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
+        point = scratch(point, "point")
+        for _ in range(2):
+            jump = point.select(F.col("node").alias("label"), F.col("label").alias("further"))
+            point = scratch(point.join(jump, "label").select("node", F.col("further").alias("label")), "point")
+        rounds.append(point)
+        left = (left.join(point.select(F.col("node").alias("a"), F.col("label").alias("x")), "a")
+                .join(point.select(F.col("node").alias("b"), F.col("label").alias("y")), "b")
+                .filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+        left = scratch(left, "edges")
+    labels = rounds[0]
+    for point in rounds[1:]:
+        then = point.select(F.col("node").alias("label"), F.col("label").alias("then"))
+        labels = labels.join(then, "label", "left").select("node", F.coalesce("then", "label").alias("label"))
+    return scratch(labels, "labels")
