@@ -161,16 +161,12 @@ def sample_n(df: DataFrame, n: int, key: str | None = None, seed: int = 42) -> D
     return df.orderBy(F.rand(seed)).limit(n)
 
 
-def one_hot(df: DataFrame, col: str, levels: Sequence[str] | None = None, drop_first: bool = True,
-            max_levels: int = 1000) -> DataFrame:
+def one_hot(df: DataFrame, col: str, levels: Sequence[str] | None = None, drop_first: bool = True) -> DataFrame:
     """0/1 indicator columns ``<col>_<level>`` in sorted level order; the first level is
-    dropped when ``drop_first``. Levels come from the caller or from a distinct scan whose
-    size is checked against ``max_levels`` before it reaches the driver."""
+    dropped when ``drop_first``. Levels come from the caller or from a distinct scan; every
+    level is a column of the result, so the driver holds them either way."""
     if levels is None:
-        lv = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_levels + 1).collect()
-        if len(lv) > max_levels:
-            raise ValueError(f"{col} has more than {max_levels} levels; pass levels explicitly")
-        levels = [r[0] for r in lv]
+        levels = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect()]
     levels = sorted(levels)
     keep = levels[1:] if drop_first else levels
     return df.select("*", *[(F.col(col) == F.lit(v)).cast("int").alias(f"{col}_{v}") for v in keep])

@@ -12,7 +12,7 @@ ARIMA estimation is Hannan-Rissanen (1982), built from Spark aggregates:
      every candidate (p, d, q) is a sub-block of it, solved in the per-series Python
      step over those few Gram rows. All orders are scored on the same rows:
      AIC = n ln(RSS / n) + 2 k.
-Forecasting needs only each series' last few rows (``group_positions`` tail filter)
+Forecasting runs the recursion over each whole period series
 and runs the ARMA recursion with psi-weight variances per series in ``applyInPandas``.
 """
 
@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .linear import gram, gram_matrix, ridge_cv, ridge_from_gram
+from .linear import gram, gram_matrix, ridge_cv, ridge_from_gram, solve
 from .ranks import group_positions
 
 Z95 = 1.959963984540054
@@ -242,7 +242,7 @@ def arima_select(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), max_p:
             S = G[np.ix_(idx, idx)]
             X, Xy, yy = S[:-1, :-1], S[:-1, -1], S[-1, -1]
             try:
-                beta = np.linalg.solve(X, Xy) if len(X) else np.zeros(0)
+                beta = solve(X, Xy) if len(X) else np.zeros(0)
             except np.linalg.LinAlgError:
                 continue
             rss = float(yy - beta @ Xy)
@@ -289,11 +289,11 @@ def _psi(phi: np.ndarray, theta: np.ndarray, d: int, h: int) -> np.ndarray:
 
 
 def arima_forecast(df: DataFrame, y: str, t: str, model: DataFrame, keys: Sequence[str] = (),
-                   horizon: int = 6, tail: int = 24, exog: Sequence[str] = ()) -> DataFrame:
+                   horizon: int = 6, exog: Sequence[str] = ()) -> DataFrame:
     """h-step forecasts with 95 % intervals from ``arima_select`` output.
 
-    Only each series' last ``tail`` rows reach Python (positions per period series);
-    innovations are re-estimated on that tail by the ARMA recursion. Exogenous columns
+    The whole period series (one row per period, bounded by the calendar) reaches Python,
+    and innovations come from the ARMA recursion over all of it. Exogenous columns
     are held at their last observed value over the horizon (so their differences are 0
     when d >= 1). Output: keys, step, forecast, lower, upper.
     """
@@ -301,8 +301,7 @@ def arima_forecast(df: DataFrame, y: str, t: str, model: DataFrame, keys: Sequen
     pos = group_positions(df.select(*keys, t, F.col(y).cast("double").alias("_y"),
                                     *[F.col(c).cast("double").alias(f"_e{j}") for j, c in enumerate(exog)]),
                           keys, t, "_pos", "_n", method="window")
-    last = pos.where(F.col("_pos") > F.col("_n") - tail)
-    j = last.join(model, keys) if keys else last.crossJoin(F.broadcast(model))
+    j = pos.join(model, keys) if keys else pos.crossJoin(F.broadcast(model))
     ne = len(exog)
 
     def fc(pdf):

@@ -40,7 +40,7 @@ def monitor(actual: DataFrame, predicted: DataFrame, id_col: str, t_col: str, ac
     a = actual.select(id_col, F.date_format(t_col, "yyyy-MM").alias("ym"), actual_col)
     p = predicted.select(id_col, F.date_format(t_col, "yyyy-MM").alias("ym"), pred_col)
     j = a.join(p, [id_col, "ym"], "left")
-    err = F.abs(F.col(actual_col) - F.col(pred_col)) / F.abs(F.col(actual_col))
+    err = F.try_divide(F.abs(F.col(actual_col) - F.col(pred_col)), F.abs(F.col(actual_col)))
     j = j.withColumn("rel_error", err).withColumn("retrain", F.col("rel_error") > threshold)
     w = Window.partitionBy(id_col).orderBy("ym").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return j.withColumn("running_error", F.avg("rel_error").over(w))

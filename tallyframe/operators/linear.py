@@ -23,6 +23,16 @@ from pyspark.sql import functions as F
 from .ranks import group_positions
 
 
+def solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Solution of a x = b; the minimum-norm one where ``a`` is singular, so one degenerate
+    series does not end the job of all others."""
+    try:
+        return np.linalg.solve(a, b)
+    except np.linalg.LinAlgError:
+        return np.linalg.lstsq(a, b, rcond=None)[0]
+
+
+
 # ---- Gram aggregation ----------------------------------------------------------------
 
 def _pairs(p: int):
@@ -81,7 +91,7 @@ def ridge_from_gram(G: np.ndarray, alpha: float, scale: np.ndarray | None = None
     s = np.ones(p) if scale is None else np.where(scale == 0, 1.0, scale)
     Zxx = Sxx / np.outer(s, s)
     Zxy = Sxy / s
-    beta_z = np.linalg.solve(Zxx + alpha * np.eye(p), Zxy) if p else np.zeros(0)
+    beta_z = solve(Zxx + alpha * np.eye(p), Zxy) if p else np.zeros(0)
     coef = beta_z / s
     return my - coef @ mx, coef, n
 
@@ -214,7 +224,7 @@ def ridge_cv(df: DataFrame, y: str, xcols: Sequence[str], t: str, keys: Sequence
     p = len(xcols)
     std_set = set(xcols if standardize is None else standardize)
     pos = group_positions(df.select(*keys, t, *xcols, y).na.drop(subset=[*xcols, y]), keys, t, "_pos", "_n",
-                          method=positions, broadcast_offsets=False)
+                          method=positions)
     g = gram(pos, keys, xcols, y, block=_fold_block(scheme, folds))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -324,7 +334,7 @@ def poly_trend(df: DataFrame, y: str, t: str, degree: int, keys: Sequence[str] =
     """Least-squares polynomial of ``degree`` in the (centred, scaled) row index per
     series; returns fitted values per row. Index = position in ``t`` order."""
     keys = list(keys)
-    pos = group_positions(df.select(*keys, t, y), keys, t, "_pos", "_n", method=positions, broadcast_offsets=False)
+    pos = group_positions(df.select(*keys, t, y), keys, t, "_pos", "_n", method=positions)
     u = (F.col("_pos") - (F.col("_n") + 1) / 2) / F.greatest(F.col("_n") / 2, F.lit(1.0))
     pos = pos.select("*", *[F.pow(u, k).alias(f"_u{k}") for k in range(1, degree + 1)])
     fit = ridge_fit(pos, y, [f"_u{k}" for k in range(1, degree + 1)], keys, alpha=0.0, standardize=[])
@@ -336,15 +346,16 @@ def poly_trend(df: DataFrame, y: str, t: str, degree: int, keys: Sequence[str] =
 
 
 def regression_metrics(df: DataFrame, y: str, yhat: str, keys: Sequence[str] = ()) -> DataFrame:
-    """R^2, MSE, RMSE, MAE, MAPE % in one aggregate (R^2 = 1 - SSE / SST)."""
+    """R^2, MSE, RMSE, MAE, MAPE % in one aggregate (R^2 = 1 - SSE / SST). Rows with y = 0 do
+    not count for MAPE; R^2 of a constant y is null."""
     keys = list(keys)
     e = F.col(y) - F.col(yhat)
     d = df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull())
     aggs = [F.count(F.lit(1)).alias("n"), F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"),
-            (F.avg(F.abs(e / F.col(y))) * 100).alias("mape"), F.sum(e * e).alias("_sse"),
+            (F.avg(F.abs(F.try_divide(e, F.col(y)))) * 100).alias("mape"), F.sum(e * e).alias("_sse"),
             F.var_pop(y).alias("_vy")]
     g = d.groupBy(*keys).agg(*aggs) if keys else d.agg(*aggs)
-    return g.select(*keys, "n", (1 - F.col("_sse") / (F.col("_vy") * F.col("n"))).alias("r2"), "mse",
+    return g.select(*keys, "n", (1 - F.try_divide(F.col("_sse"), F.col("_vy") * F.col("n"))).alias("r2"), "mse",
                     F.sqrt("mse").alias("rmse"), "mae", "mape")
 
 
@@ -353,7 +364,7 @@ def temporal_split(df: DataFrame, t: str, keys: Sequence[str] = (), test_size: f
     """Flag the last max(1, int(test_size * n)) rows of each series (when n > min_rows)
     as test. Positions come from ``group_positions``."""
     keys = list(keys)
-    p = group_positions(df, keys, t, "_pos", "_n", method=positions, broadcast_offsets=False)
+    p = group_positions(df, keys, t, "_pos", "_n", method=positions)
     n_test = F.greatest(F.lit(1), F.floor(F.col("_n") * test_size))
     return p.withColumn("is_test", (F.col("_n") > min_rows) & (F.col("_pos") > F.col("_n") - n_test)) \
         .drop("_pos", "_n")
@@ -379,10 +390,7 @@ def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2
     return p.withColumn("is_test", F.col("_pos") <= F.round(F.col("_n") * test_size)).drop("_h", "_pos", "_n")
 
 
-def coo_matmul(a: DataFrame, b: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def coo_matmul(a: DataFrame, b: DataFrame) -> DataFrame:
     """Sparse product C = A B with A as (i, k, a) and B as (k, j, b) entries: join on the
-    inner index, ``sum(a * b)`` per (i, j). B is broadcast only after its row count is
-    checked against ``max_broadcast_rows``; otherwise both sides shuffle on k."""
-    small = b.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    bb = F.broadcast(b) if small else b
-    return a.join(bb, "k").groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("value"))
+    inner index, ``sum(a * b)`` per (i, j)."""
+    return a.join(b, "k").groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("value"))

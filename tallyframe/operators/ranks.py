@@ -1,81 +1,113 @@
 """Positions within groups without a per-group window.
 
-``Window.partitionBy(g).orderBy(v)`` puts a whole group into one task; a group holding a
-third of the table would then sort a third of the table in one task. ``group_positions``
-instead range-partitions on ``(g, v)`` (a hot group spans many tasks), numbers rows
-inside each sorted partition, and adds per-(partition, group) offsets computed from a
-small count table (rows = partitions x groups touching them).
-
-Use it for few, possibly huge groups; for many small groups (period series) pass
-``method='window'``.
+``Window.partitionBy(g).orderBy(v)`` puts a whole group into one task. ``running_totals``
+deals every group's rows into buckets that are a fixed function of the row: bucket bounds
+(approximate quantiles of the group) are computed once and checkpointed, a value equal to a
+bound has a bucket of its own, and such buckets, which hold every hot value, are dealt
+further by a hash of the row. Counts per bucket give each bucket's start; inside a bucket a
+small window numbers the rows. No step relies on partition numbers or on reused exchanges.
+
+For many small groups (period series) pass ``method='window'``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
+BOUNDS = 64   # bucket bounds per group
+SPLIT = 32    # parts of a bucket that holds one value
+
+
+def _ordinal(df: DataFrame, col: str) -> Column:
+    """A number that ascends with ``col``: strings by their first seven bytes."""
+    if dict(df.dtypes)[col] == "string":
+        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("long")
+    return F.col(col)
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFrame:
+    """Inner join on ``keys`` (null equals null) that keeps the left columns and the right's
+    other columns."""
+    names = [*keys, *extra]
+    renamed = right.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(names)],
+                           *[c for c in right.columns if c not in names])
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(names)])
+    return left.join(renamed, on).drop(*[f"_r{i}" for i in range(len(names))])
+
+
+def running_totals(df: DataFrame, keys: list[str], order_col: str, weight: str | None,
+                   upto: str, total: str) -> DataFrame:
+    """Add ``upto`` (sum of ``weight``, or number of rows, of the group up to and including
+    the row in order of ``order_col``) and ``total`` (of the group). Ties are ordered by a
+    hash of the row; nulls come first; a null key is a group like any other."""
+    if not keys:
+        return running_totals(df.withColumn("_all", F.lit(0)), ["_all"], order_col, weight, upto, total).drop("_all")
+    w = F.col(weight) if weight else F.lit(1)
+    rows = df.withColumn("_o", _ordinal(df, order_col)).withColumn("_tie", F.xxhash64(*df.columns))
+    steps = F.array(*[F.lit((i + 1) / (BOUNDS + 1)) for i in range(BOUNDS)])
+    bounds = cut_lineage(rows.groupBy(*keys).agg(F.percentile_approx("_o", steps, 1000).alias("_b")))
+    rows = _null_safe(rows, bounds, keys)
+    rows = (rows.withColumn("_b", F.array_distinct(F.coalesce("_b", F.array())))
+            .withColumn("_at", F.when(F.col("_o").isNull(), -1).otherwise(
+                2 * F.size(F.filter("_b", lambda x: x < F.col("_o"))) + F.array_contains("_b", F.col("_o")).cast("int"))))
+    one = F.col("_at") % 2 != 0       # nulls (-1) and bounds: rows of one value
+    if dict(df.dtypes)[order_col] == "string":
+        one = F.col("_at") == -1      # equal beginnings need not be equal strings
+    rows = rows.withColumn("_part", F.when(one, F.pmod("_tie", F.lit(SPLIT))).otherwise(0)).drop("_b", "_o")
+    sums = rows.groupBy(*keys, "_at", "_part").agg(F.sum(w).alias("_w"))
+    before = Window.partitionBy(*keys).orderBy("_at", "_part")
+    sums = sums.select(*keys, "_at", "_part", (F.sum("_w").over(before) - F.col("_w")).alias("_before"),
+                       F.sum("_w").over(Window.partitionBy(*keys)).alias(total))
+    inside = Window.partitionBy(*keys, "_at", "_part").orderBy(order_col, "_tie").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    rows = _null_safe(rows.withColumn("_in", F.sum(w).over(inside)), sums, keys, ["_at", "_part"])
+    return rows.withColumn(upto, F.col("_before") + F.col("_in")).drop("_at", "_part", "_tie", "_before", "_in")
+
 
 def group_positions(df: DataFrame, keys: list[str], order_col: str, pos_col: str = "pos",
-                    n_col: str = "n", num_partitions: int | None = None, method: str = "range",
-                    keep_partition: bool = False, broadcast_offsets: bool = True) -> DataFrame:
+                    n_col: str = "n", method: str = "buckets") -> DataFrame:
     """Add 1-based ``pos`` (order within its group by ``order_col``; ties broken
-    arbitrarily but consistently) and the group size ``n``.
+    consistently by a hash of the row) and the group size ``n``.
 
     ``method='window'`` uses a plain per-group window — only for groups with a known
-    small bound (period series: one row per entity and period).
-
-    The offsets table has at most (range partitions + groups) rows. It is broadcast when
-    the groups are few (columns, categories, labels, segments: the default); callers
-    whose groups can number in the millions pass ``broadcast_offsets=False`` and the
-    join is left to the planner / AQE size check."""
+    small bound (period series: one row per entity and period)."""
     if method == "window":
         w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
         return df.withColumn(pos_col, F.row_number().over(w.orderBy(order_col)).cast("long")) \
             .withColumn(n_col, F.count(F.lit(1)).over(w))
-    if not keys:
-        return group_positions(df.withColumn("_all", F.lit(0)), ["_all"], order_col, pos_col, n_col,
-                               num_partitions, method, keep_partition, broadcast_offsets).drop("_all")
-    parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sk = [F.col(k) for k in keys] + [F.col(order_col)]
-    s = (df.repartitionByRange(parts, *sk).sortWithinPartitions(*sk)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    counts = s.groupBy("_pid", *keys).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    wk = Window.partitionBy(*keys).orderBy("_pid")
-    offsets = counts.select(
-        "_pid", *keys, "_first",
-        (F.sum("_cnt").over(wk) - F.col("_cnt")).alias("_before"),
-        F.sum("_cnt").over(Window.partitionBy(*keys)).alias(n_col))
-    # offsets has one row per (range partition, group) pair: at most partitions + groups
-    # rows — the side to broadcast when the groups are few (never the sorted data)
-    out = s.join(F.broadcast(offsets) if broadcast_offsets else offsets, ["_pid", *keys])
-    out = out.withColumn(pos_col, F.col("_before") + F.col("_mid") - F.col("_first") + 1)
-    return out.drop("_mid", "_first", "_before") if keep_partition else out.drop("_pid", "_mid", "_first", "_before")
+    return running_totals(df, list(keys), order_col, None, pos_col, n_col)
 
 
 def sorted_quantiles(df: DataFrame, col: str, probs: list[float], keys: list[str] = (),
-                     names: list[str] | None = None, many_groups: bool = False) -> DataFrame:
+                     names: list[str] | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / numpy default) per group,
     computed from sorted positions instead of a value -> count map.
 
     Spark's exact ``percentile`` merges a map of every distinct value of a group in one
-    task; here rows are range-partitioned and numbered (``group_positions``), and only
-    the (at most 2 per quantile) rows at positions floor/ceil((n - 1) p) + 1 are kept
-    and combined — memory per task is bounded whatever the group size.
+    task. Here equal values are counted first (map-side, so a hot value is one row), the
+    counts are summed up in order (``running_totals``), and only the (at most 2 per
+    quantile) values that cover positions floor/ceil((n - 1) p) + 1 are kept.
     """
     keys = list(keys)
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
     v = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("_v"))
-    p = group_positions(v, keys, "_v", "_pos", "_n", broadcast_offsets=not many_groups)
+    v = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    p = running_totals(v, keys, "_v", "_c", "_pos", "_n")
+    covers = lambda at: (F.col("_pos") >= at) & (F.col("_pos") - F.col("_c") < at)
     conds, aggs = [], []
     for nm, pr in zip(names, probs):
         h = (F.col("_n") - 1) * F.lit(float(pr))
         lo, hi = F.floor(h) + 1, F.ceil(h) + 1
-        conds += [F.col("_pos") == lo, F.col("_pos") == hi]
-        aggs += [F.max(F.when(F.col("_pos") == lo, F.col("_v"))).alias(f"_{nm}_lo"),
-                 F.max(F.when(F.col("_pos") == hi, F.col("_v"))).alias(f"_{nm}_hi"),
-                 F.max(F.when(F.col("_pos") == lo, h - F.floor(h))).alias(f"_{nm}_f")]
+        conds += [covers(lo), covers(hi)]
+        aggs += [F.max(F.when(covers(lo), F.col("_v"))).alias(f"_{nm}_lo"),
+                 F.max(F.when(covers(hi), F.col("_v"))).alias(f"_{nm}_hi"),
+                 F.max(F.when(covers(lo), h - F.floor(h))).alias(f"_{nm}_f")]
     keep = conds[0]
     for c in conds[1:]:
         keep = keep | c

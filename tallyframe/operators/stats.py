@@ -32,7 +32,7 @@ def _long(df: DataFrame, keys: list[str], cols: list[str], fields: dict[str, cal
     return g.select(*keys, rows).select(*keys, "_s.*")
 
 
-def summary(df: DataFrame, cols: list[str], keys: list[str] = (), many_groups: bool = False) -> DataFrame:
+def summary(df: DataFrame, cols: list[str], keys: list[str] = ()) -> DataFrame:
     """count, sum, mean, sample std / var, min, max, median per column (and group)."""
     keys = list(keys)
     mom = _long(df, keys, cols, {"count": F.count, "sum": F.sum, "mean": F.avg, "std": F.stddev_samp,
@@ -40,12 +40,11 @@ def summary(df: DataFrame, cols: list[str], keys: list[str] = (), many_groups: b
     stacked = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_s")
     ).select(*keys, "_s.*")
-    med = quantiles(stacked, "_v", [0.5], [*keys, "column"], many_groups=many_groups).withColumnRenamed("q50", "median")
+    med = quantiles(stacked, "_v", [0.5], [*keys, "column"]).withColumnRenamed("q50", "median")
     return mom.join(med, [*keys, "column"], "left")
 
 
-def describe(df: DataFrame, cols: list[str], keys: list[str] = (), approx: bool = False,
-             many_groups: bool = False) -> DataFrame:
+def describe(df: DataFrame, cols: list[str], keys: list[str] = (), approx: bool = False) -> DataFrame:
     """count, mean, std, min, 25 %, 50 %, 75 %, max per column (long form). Moments come
     from one wide aggregate; exact quartiles from one sorted pass over all columns at
     once (the columns are stacked long and ranked within (group, column))."""
@@ -55,7 +54,7 @@ def describe(df: DataFrame, cols: list[str], keys: list[str] = (), approx: bool
     stacked = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_s")
     ).select(*keys, "_s.*")
-    q = quantiles(stacked, "_v", [0.25, 0.5, 0.75], [*keys, "column"], approx, many_groups=many_groups)
+    q = quantiles(stacked, "_v", [0.25, 0.5, 0.75], [*keys, "column"], approx)
     q = q.withColumnRenamed("q50", "q50")
     return mom.join(q, [*keys, "column"], "left").select(*keys, "column", "count", "mean", "std", "min",
                                                          "q25", "q50", "q75", "max")
@@ -129,25 +128,23 @@ def mode(df: DataFrame, col: str, keys: list[str] = ()) -> DataFrame:
 
 
 def quantiles(df: DataFrame, col: str, probs: list[float], keys: list[str] = (),
-              approx: bool = False, method: str = "sort", many_groups: bool = False) -> DataFrame:
+              approx: bool = False, method: str = "sort") -> DataFrame:
     """Quantiles with linear interpolation as ``qNN`` columns.
 
     ``method='sort'`` (default): exact, from range-partitioned sorted positions — bounded
     memory for any group size. ``'map'``: Spark's exact ``percentile`` (one value -> count
     map per group; fine for low-cardinality values). ``approx=True``: ``percentile_approx``.
-    ``many_groups=True`` when the keys can number in the millions (the position offsets
-    are then joined by size instead of broadcast).
     """
     keys = list(keys)
     names = [f"q{int(round(p * 100)):02d}" for p in probs]
     if not approx and method == "sort":
-        return sorted_quantiles(df, col, list(probs), keys, names, many_groups)
+        return sorted_quantiles(df, col, list(probs), keys, names)
     fn = (lambda p: F.percentile_approx(col, p, 10000)) if approx else (lambda p: F.percentile(col, p))
     aggs = [fn(p).alias(nm) for p, nm in zip(probs, names)]
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
-def shape(df: DataFrame, col: str, keys: list[str] = (), many_groups: bool = False) -> DataFrame:
+def shape(df: DataFrame, col: str, keys: list[str] = ()) -> DataFrame:
     """n, mean, median, sample std, bias-corrected skewness and excess kurtosis, range,
     coefficient of variation %, and a skew direction label."""
     keys = list(keys)
@@ -156,7 +153,7 @@ def shape(df: DataFrame, col: str, keys: list[str] = (), many_groups: bool = Fal
             F.stddev_samp(col).alias("std"), F.skewness(col).alias("_g1"), F.kurtosis(col).alias("_g2"),
             (F.max(col) - F.min(col)).alias("range")]
     a = g.groupBy(*keys).agg(*aggs) if keys else g.agg(*aggs)
-    med = quantiles(g, col, [0.5], keys, many_groups=many_groups).withColumnRenamed("q50", "median")
+    med = quantiles(g, col, [0.5], keys).withColumnRenamed("q50", "median")
     a = a.join(med, keys) if keys else a.crossJoin(med)
     n = F.col("n").cast("double")
     skew = F.when(n > 2, F.col("_g1") * F.sqrt(n * (n - 1)) / (n - 2))
@@ -284,16 +281,16 @@ def kde(df: DataFrame, col: str, points: int = 100, keys: list[str] = (), prebin
 def _kde_on_weights(v: DataFrame, st: DataFrame, keys: list[str], points: int) -> DataFrame:
     """Density on the grid from (value, weight) rows and per-group range / moments."""
     n = F.col("_n").cast("double")
-    std = F.sqrt(F.greatest(F.lit(0.0), (F.col("_s2") - F.col("_s1") ** 2 / n) / (n - 1)))
+    std = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(F.col("_s2") - F.col("_s1") ** 2 / n, n - 1)))
     st = st.withColumn("_h", F.pow(n, -0.2) * std)
     grid = st.select(*keys, "_lo", "_hi", "_h", "_n",
                      F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     grid = grid.withColumn("x", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("point") / (points - 1))
     # grid is points rows per group: broadcast-sized; the join is on the group key
     j = grid.join(v, keys) if keys else grid.crossJoin(v)
-    k = F.exp(-0.5 * ((F.col("x") - F.col("_v")) / F.col("_h")) ** 2) * F.col("_w")
+    k = F.exp(-0.5 * F.try_divide(F.col("x") - F.col("_v"), F.col("_h")) ** 2) * F.col("_w")
     out = j.groupBy(*keys, "point", "x").agg(
-        (F.sum(k) / (F.first("_n") * F.first("_h") * math.sqrt(2 * math.pi))).alias("density"))
+        F.try_divide(F.sum(k), F.first("_n") * F.first("_h") * math.sqrt(2 * math.pi)).alias("density"))
     return out
 
 
@@ -304,19 +301,18 @@ def normal_curve(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     g = st.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     x = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("point") / (points - 1)
     g = g.withColumn("x", x)
-    pdf = F.exp(-0.5 * ((F.col("x") - F.col("_m")) / F.col("_s")) ** 2) / (F.col("_s") * math.sqrt(2 * math.pi))
+    pdf = F.try_divide(F.exp(-0.5 * F.try_divide(F.col("x") - F.col("_m"), F.col("_s")) ** 2), F.col("_s") * math.sqrt(2 * math.pi))
     return g.select("point", "x", pdf.alias("density"))
 
 
 # ---- outliers and box plots ----------------------------------------------------------
 
-def box_stats(df: DataFrame, col: str, keys: list[str] = (), approx: bool = False,
-              many_groups: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, col: str, keys: list[str] = (), approx: bool = False) -> DataFrame:
     """Q1, median, Q3, IQR, whiskers (furthest values within 1.5 IQR of the box) and
     outlier count per group. Two passes: quartiles per group, then a join back on the
     group key (one row per group) and conditional min/max."""
     keys = list(keys)
-    q = quantiles(df, col, [0.25, 0.5, 0.75], keys, approx, many_groups=many_groups).withColumnRenamed("q25", "q1") \
+    q = quantiles(df, col, [0.25, 0.5, 0.75], keys, approx).withColumnRenamed("q25", "q1") \
         .withColumnRenamed("q50", "median").withColumnRenamed("q75", "q3")
     v = df.where(F.col(col).isNotNull())
     j = v.join(q, keys) if keys else v.crossJoin(F.broadcast(q))
@@ -329,10 +325,10 @@ def box_stats(df: DataFrame, col: str, keys: list[str] = (), approx: bool = Fals
     ).withColumn("iqr", F.col("q3") - F.col("q1"))
 
 
-def iqr_outliers(df: DataFrame, col: str, keys: list[str] = (), many_groups: bool = False) -> DataFrame:
+def iqr_outliers(df: DataFrame, col: str, keys: list[str] = ()) -> DataFrame:
     """Rows strictly below Q1 - 1.5 IQR or above Q3 + 1.5 IQR (of their group)."""
     keys = list(keys)
-    q = quantiles(df, col, [0.25, 0.75], keys, many_groups=many_groups)
+    q = quantiles(df, col, [0.25, 0.75], keys)
     j = df.join(q, keys) if keys else df.crossJoin(F.broadcast(q))
     iqr = F.col("q75") - F.col("q25")
     return j.where((F.col(col) < F.col("q25") - 1.5 * iqr) | (F.col(col) > F.col("q75") + 1.5 * iqr)) \
@@ -434,7 +430,7 @@ def shapiro_wilk(df: DataFrame, col: str, keys: list[str] = (), alpha: float = 0
                              F.first("n").alias("n")) if keys else \
         j.agg(F.sum(a * F.col("x")).alias("_num"), F.sum((F.col("x") - F.col("mean")) ** 2).alias("_ss"),
               F.first("n").alias("n"))
-    w = F.least(F.lit(1.0), F.col("_num") ** 2 / F.col("_ss"))
+    w = F.least(F.lit(1.0), F.try_divide(F.col("_num") ** 2, F.col("_ss")))
     s = s.withColumn("W", w)
     nn = F.col("n").cast("double")
     ln_n = F.log(nn)

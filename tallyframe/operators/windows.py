@@ -118,7 +118,7 @@ def autocorr(df: DataFrame, v: str, t: str, keys=(), max_lag: int = 10) -> DataF
     aggs = [F.sum(F.col("_v") ** 2).alias("_ss"), F.count("_v").alias("_n")]
     aggs += [F.sum(F.col("_v") * F.col(f"_l{k}")).alias(f"_p{k}") for k in range(1, max_lag + 1)]
     g = x.groupBy(*keys).agg(*aggs) if keys else x.agg(*aggs)
-    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("lag"), (F.col(f"_p{k}") / F.col("_ss")).alias("acf"))
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("lag"), F.try_divide(F.col(f"_p{k}"), F.col("_ss")).alias("acf"))
                                for k in range(1, max_lag + 1)])).alias("_s")
     out = g.select(*keys, "_n", rows).select(*keys, "_n", "_s.*")
     return out.where(F.col("lag") <= F.col("_n") - 1).drop("_n")

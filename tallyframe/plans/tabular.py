@@ -109,8 +109,7 @@ def q_band_labels(spark, d):
        CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0.0 END AS credit
 FROM orders""")
 def q_statement_cleaning(spark, d):
-    from ..session import spread
-    s = tables.statement_strings(spark, spread(tables.read(spark, d, "orders")))
+    s = tables.statement_strings(spark, tables.read(spark, d, "orders"))
     return s.select("doc", F.to_date(parse_bilingual_date("fecha")).alias("fecha"),
                     clean_amount("debitos").alias("debit"), clean_amount("creditos").alias("credit"))
 

@@ -59,12 +59,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when ``df`` has fewer partitions than the cluster's
-    default parallelism: CPU-heavy row work (text parsing) then uses every core even when
-    the input is a handful of splits. On large inputs (many splits) it is a no-op.
-    Looking at the partition count plans the query; it runs nothing."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

@@ -20,7 +20,7 @@ def scored_actuals(actuals: DataFrame, predictions: DataFrame, id_col: str, t_co
     a = actuals.withColumn("ym", F.date_format(t_col, "yyyy-MM"))
     p = predictions.select(id_col, F.date_format(t_col, "yyyy-MM").alias("ym"), pred_col)
     j = a.join(p, [id_col, "ym"], "left")
-    err = F.abs(F.col(actual_col) - F.col(pred_col)) / F.abs(F.col(actual_col))
+    err = F.try_divide(F.abs(F.col(actual_col) - F.col(pred_col)), F.abs(F.col(actual_col)))
     return j.withColumn("rel_error", err).withColumn("retrain", F.col("rel_error") > threshold)
 
 

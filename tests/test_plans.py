@@ -24,21 +24,20 @@ def _skewed(spark, n=30000):
     return spark.createDataFrame(pd.DataFrame({"g": keys, "v": rng.normal(size=n)}))
 
 
-def test_hot_group_spread_over_many_range_partitions(spark):
+def test_hot_group_positions_are_numbered_in_buckets(spark):
     df = _skewed(spark)
-    p = ranks.group_positions(df, ["g"], "v", "pos", "n", num_partitions=16, keep_partition=True)
-    hot = p.where("g = 'hot'")
-    assert hot.select("_pid").distinct().count() >= 4
-    got = hot.select("pos").toPandas().pos.sort_values().to_numpy()
+    p = ranks.group_positions(df, ["g"], "v", "pos", "n")
+    got = p.where("g = 'hot'").select("pos").toPandas().pos.sort_values().to_numpy()
     assert (got == np.arange(1, 10001)).all()
+    plan = _plan(p, "simple")
+    assert "hashpartitioning(g" in plan and "_at" in plan and "rangepartitioning" not in plan
+    assert "SPARK_PARTITION_ID" not in plan and "monotonically_increasing_id" not in plan
 
 
-def test_offsets_are_the_broadcast_side_and_range_exchange_is_reused(spark):
+def test_quantiles_count_equal_values_first(spark):
     df = _skewed(spark)
-    q = stats.quantiles(df, "v", [0.5], ["g"])
-    q.collect()
-    plan = _plan(q, "simple")
-    assert "ReusedExchange" in plan and "rangepartitioning" in plan
+    plan = _plan(stats.quantiles(df, "v", [0.5], ["g"]), "simple")
+    assert "rangepartitioning" not in plan and "partial_count" in plan
 
 
 def test_grouped_top_k_limits_before_the_shuffle(spark):
