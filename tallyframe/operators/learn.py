@@ -1,7 +1,7 @@
 """Small learned models.
 
-* ``mini_mlp_scores`` — one 3-6-1 network per entity (``groupBy(id).applyInPandas``);
-  each group holds only that entity's block rows (<= months/15), never raw rows.
+* ``mini_mlp_scores`` — one 3-6-1 network per entity, all entities of an Arrow batch
+  trained together as stacked tensors (``mapInPandas``).
 * ``perceptron`` — iterative parameter mixing: local epochs per partition in
   ``mapInPandas``, weights averaged on the driver each round.
 * ``mlp_regressor`` — local Adam steps per partition in ``mapInPandas`` alternating
@@ -22,39 +22,44 @@ from pyspark.sql import functions as F
 
 # ---- M13: per-entity mini network ----------------------------------------------------
 
-class MiniNet:
-    """3 -> hidden ReLU -> 1 sigmoid, full-batch gradient descent, error = y_hat - y."""
-
-    def __init__(self, n_in: int, hidden: int = 6, seed: int = 42):
-        rng = np.random.default_rng(seed)
-        self.w1 = rng.normal(scale=0.1, size=(n_in, hidden))
-        self.b1 = np.zeros(hidden)
-        self.w2 = rng.normal(scale=0.1, size=(hidden, 1))
-        self.b2 = np.zeros(1)
-
-    def _forward(self, x):
-        z1 = x @ self.w1 + self.b1
-        a1 = np.maximum(z1, 0)
-        return z1, a1, 1.0 / (1.0 + np.exp(-(a1 @ self.w2 + self.b2)))
-
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 400, lr: float = 0.04) -> "MiniNet":
-        n = len(x)
-        for _ in range(epochs):
-            z1, a1, out = self._forward(x)
-            err = out - y
-            g_w2 = a1.T @ err / n
-            g_b2 = err.mean(axis=0)
-            dz1 = (err @ self.w2.T) * (z1 > 0)
-            g_w1 = x.T @ dz1 / n
-            g_b1 = dz1.mean(axis=0)
-            self.w2 -= lr * g_w2
-            self.b2 -= lr * g_b2
-            self.w1 -= lr * g_w1
-            self.b1 -= lr * g_b1
-        return self
-
-    def predict(self, x: np.ndarray) -> np.ndarray:
-        return self._forward(x)[2]
+# Shape, start and schedule of the per-entity network.
+HIDDEN, START_SCALE, SEED = 6, 0.1, 42
+
+
+def train_networks(x: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int, rate: float
+                   ) -> tuple[np.ndarray, np.ndarray]:
+    """Train one small network (ReLU layer, sigmoid output) for each of many entities at once.
+
+    x (entity, row, feature), y and weight (entity, row); weights of an entity's rows sum to
+    one and are 0 for padding. Biases are the weights of a constant last input. Returns the
+    stacked layers (entity, feature + 1, hidden) and (entity, hidden + 1)."""
+    many, _, width = x.shape
+    rng = np.random.default_rng(SEED)
+    layer = np.zeros((many, width + 1, HIDDEN))
+    layer[:, :width] = rng.normal(scale=START_SCALE, size=(width, HIDDEN))
+    head = np.zeros((many, HIDDEN + 1))
+    head[:, :HIDDEN] = rng.normal(scale=START_SCALE, size=(HIDDEN, 1))[:, 0]
+    inputs = _with_one(x)
+    for _ in range(epochs):
+        active = np.maximum(inputs @ layer, 0)
+        miss = weight * (_output(active, head) - y)
+        back = miss[..., None] * head[:, None, :HIDDEN] * (active > 0)
+        head = head - rate * np.einsum("er,erh->eh", miss, _with_one(active))
+        layer = layer - rate * np.einsum("erf,erh->efh", inputs, back)
+    return layer, head
+
+
+def _with_one(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([x, np.ones((*x.shape[:-1], 1))], -1)
+
+
+def _output(active: np.ndarray, head: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.einsum("erh,eh->er", _with_one(active), head)))
+
+
+def apply_networks(x: np.ndarray, layer: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """Output (entity, row) of each entity's own network."""
+    return _output(np.maximum(_with_one(x) @ layer, 0), head)
 
 
 FEATURES = ["saving_ratio", "essential_ratio", "stability"]
@@ -66,32 +71,41 @@ def mini_mlp_scores(blocks: DataFrame, metrics: DataFrame, id_col: str = "entity
 
     Output: ``(id, neural_score)`` in [0, 100]; NULL when a feature is undefined.
     """
-    cur = metrics.select(id_col, *[F.col(c).alias(f"cur_{c}") for c in FEATURES])
-    rows = blocks.select(id_col, "block", *FEATURES, "target").join(cur, id_col)
+    current = metrics.select(id_col, F.array(*[F.col(c).cast("double") for c in FEATURES]).alias("now"))
+    # an entity has one row per half month: its list is bounded by the calendar
+    row = F.struct("block", F.array(*[F.col(c).cast("double") for c in FEATURES]).alias("x"),
+                   F.col("target").cast("double").alias("y"))
+    entities = (blocks.groupBy(id_col).agg(F.sort_array(F.collect_list(row)).alias("rows")).join(current, id_col)
+                .select(id_col, F.col("rows.x").alias("x"), F.col("rows.y").alias("y"), "now"))
     id_type = dict(blocks.dtypes)[id_col]
 
-    def fit_score(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("block")
-        x = pdf[FEATURES].to_numpy(dtype=float) / 100.0
-        y = pdf[["target"]].to_numpy(dtype=float)
-        cur_x = pdf[[f"cur_{c}" for c in FEATURES]].iloc[:1].to_numpy(dtype=float) / 100.0
-        score = None
-        if np.isfinite(x).all() and np.isfinite(y).all() and np.isfinite(cur_x).all():
-            net = MiniNet(x.shape[1]).fit(x, y, epochs, lr)
-            score = float(np.clip(net.predict(cur_x)[0, 0] * 100, 0, 100))
-        return pd.DataFrame({id_col: [pdf[id_col].iloc[0]], "neural_score": [score]})
-
-    return rows.groupBy(id_col).applyInPandas(fit_score, f"{id_col} {id_type}, neural_score double")
+    def finite(values) -> bool:
+        return bool(np.isfinite(np.array(values, dtype=float)).all())
+
+    def fit_score(batches):
+        for pdf in batches:
+            scores = [None] * len(pdf)
+            data = [([list(r) for r in x], list(y), list(now)) for x, y, now in zip(pdf["x"], pdf["y"], pdf["now"])]
+            good = [i for i, parts in enumerate(data) if all(map(finite, parts))]
+            if good:
+                longest = max(len(data[i][1]) for i in good)
+                x = np.zeros((len(good), longest, len(FEATURES)))
+                y, weight = np.zeros((len(good), longest)), np.zeros((len(good), longest))
+                for e, i in enumerate(good):
+                    n = len(data[i][1])
+                    x[e, :n], y[e, :n], weight[e, :n] = np.array(data[i][0], float) / 100, data[i][1], 1 / n
+                nets = train_networks(x, y, weight, epochs, lr)
+                now = np.array([data[i][2] for i in good], float)[:, None] / 100
+                for i, p in zip(good, apply_networks(now, *nets)[:, 0]):
+                    scores[i] = float(np.clip(p * 100, 0, 100))
+            yield pd.DataFrame({id_col: pdf[id_col], "neural_score": pd.Series(scores, index=pdf.index, dtype=float)})
+
+    return entities.mapInPandas(fit_score, f"{id_col} {id_type}, neural_score double").withColumn(
+        "neural_score", F.when(~F.isnan("neural_score"), F.col("neural_score")))
 
 
 # ---- M9: perceptron by iterative parameter mixing -----------------------------------
 
-def _standardized_matrix(df: DataFrame, features: list[str]) -> DataFrame:
-    """Features scaled by mean / population std of the same rows (one aggregate)."""
-    from .clean import standardize
-    return standardize(df, features)
-
-
 def perceptron(df: DataFrame, features: list[str], label: str, rounds: int = 10, local_epochs: int = 10,
                eta: float = 0.01, batch: int = 64) -> DataFrame:
     """Binary perceptron (labels 0/1) trained by iterative parameter mixing (McDonald,

@@ -65,8 +65,8 @@ def test_classification_report(spark):
 def test_mini_net_deterministic():
     x = np.array([[0.1, 0.2, 0.3], [0.5, 0.5, 0.5]])
     y = np.array([[0.3], [0.6]])
-    a = learn.MiniNet(3).fit(x, y, 50, 0.04).predict(x)
-    b = learn.MiniNet(3).fit(x, y, 50, 0.04).predict(x)
+    a = learn.apply_networks(x[None], *learn.train_networks(x[None], y.reshape(1, -1), np.full((1, len(x)), 1 / len(x)), 50, 0.04))[0][:, None]
+    b = learn.apply_networks(x[None], *learn.train_networks(x[None], y.reshape(1, -1), np.full((1, len(x)), 1 / len(x)), 50, 0.04))[0][:, None]
     assert np.array_equal(a, b)
 
 
