@@ -13,11 +13,11 @@ on their own, so decoding is vectorised over all blocks and any block can be rea
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -154,70 +154,130 @@ def _spans(counts: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         a = b
 
 
-PIECES = 600_000       # encoded pieces a worker keeps from block to block
 # Byte-level models write a byte as the character of its own number if that is
 # printable in Latin-1 (no blank, no soft hyphen), otherwise as the next one from 256 on.
 _PRINTED = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
-_BYTES = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_BYTES = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_CHARS = "".join(" " if b == 32 else _BYTES.get(b, chr(b)) for b in range(256))
 # Lower-case Latin letters, then marks: two pieces for tokenizers that split words from punctuation.
-_PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:;=?@\[\]^{}~]*)")
-_pieces: dict[str, dict[bytes, list[int]]] = {}
-
-
-def _encode_words(tok, path: str, vocab: list[bytes]) -> list[list[int]]:
-    """Ids of each word. Words of plain letters and marks go piece by piece straight to the
-    tokenizer's model, if a probe of this block's words shows that to be the same; all other
-    words take the whole tokenizer."""
-    def whole(part: list[bytes]) -> list[list[int]]:
+_PLAIN = r"^(?P<letters>[a-z\x{df}-\x{f6}\x{f8}-\x{ff}]+)(?P<marks>[!-&(-/:;=?@\[\]^{}~]*)$"
+_JOINED = 2000         # pieces encoded as one text
+
+
+def _ragged(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    size = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter((x for ids in lists for x in ids), np.uint32, int(size.sum())), size
+
+
+def _gather(flat: np.ndarray, size: np.ndarray, pick: np.ndarray) -> np.ndarray:
+    """The chosen lists of a ragged array, one after the other."""
+    n = size[pick]
+    shift = (np.cumsum(size) - size)[pick] - (np.cumsum(n) - n)
+    return flat[np.repeat(shift, n) + np.arange(int(n.sum()))]
+
+
+class _Encoder:
+    """Ids of distinct words. Words of plain letters and marks go piece by piece straight to
+    the tokenizer's model, many pieces joined by blanks at a time and told apart by the
+    model's end-of-word tokens, if a probe of the block's words shows that to be the same;
+    all other words take the whole tokenizer."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+        self.tok = Tokenizer.from_file(path)
+        same = self.tok.encode_batch_fast(["Abc XYZ", "abc xyz"], add_special_tokens=False)
+        self.lowers = same[0].ids == same[1].ids
+        suffix = getattr(self.tok.model, "end_of_word_suffix", None)
+        self.ends = None
+        if suffix:
+            self.bare = Tokenizer(self.tok.model)
+            self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            vocab = self.tok.get_vocab()
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends[[n for token, n in vocab.items() if token.endswith(suffix)]] = True
+
+    def whole(self, words_: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out = []
-        for a in range(0, len(part), 20_000):
-            out += [e.ids for e in tok.encode_batch_fast([w.decode() for w in part[a:a + 20_000]], add_special_tokens=False)]
-        return out
-
-    def piece(raw: bytes) -> list[int]:
-        found = known.get(raw)
+        for a in range(0, len(words_), 20_000):
+            out += [e.ids for e in self.tok.encode_batch_fast(words_[a:a + 20_000], add_special_tokens=False)]
+        return _ragged(out)
+
+    def pieces(self, known: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of pieces without blanks; None if their ends cannot be told."""
+        texts = [" ".join(known[a:a + _JOINED]) for a in range(0, len(known), _JOINED)]
+        texts = [t if t.isascii() else t.encode().decode("latin-1").translate(_CHARS) for t in texts]
+        flat = [np.array(e.ids, np.uint32) for e in self.bare.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
+        stop = np.flatnonzero(self.ends[flat]) + 1
+        if len(stop) != len(known) or len(flat) != (stop[-1] if len(stop) else 0):
+            return None
+        return flat, np.diff(stop, prepend=0)
+
+    def _split(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of plain words through their pieces."""
+        parts = pc.extract_regex(vocab, _PLAIN)
+        if parts.null_count:
+            return None
+        letters, marks = (parts.field(n).dictionary_encode() for n in ("letters", "marks"))
+        found = self.pieces(letters.dictionary.to_pylist())
+        signs = marks.dictionary.to_pylist()
+        ended = self.pieces([m for m in signs if m])
+        if found is None or ended is None:
+            return None
+        size = np.zeros(len(signs), np.int64)
+        size[[bool(m) for m in signs]] = ended[1]
+        pick = np.stack([letters.indices.to_numpy(), len(found[1]) + marks.indices.to_numpy()], 1).astype(np.int64)
+        both = np.concatenate([found[1], size])
+        return _gather(np.concatenate([found[0], ended[0]]), both, pick.ravel()), both[pick].sum(1)
+
+    def __call__(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids per word)."""
+        plain = pc.match_substring_regex(vocab, _PLAIN).to_numpy(zero_copy_only=False)
+        if self.ends is None or not plain.any():
+            return self.whole(vocab.to_pylist())
+        easy = vocab.filter(pa.array(plain))
+        probe = easy.slice(0, 2000)
+        got, want = self._split(probe), self.whole(probe.to_pylist())
+        if got is None or not all(np.array_equal(x, y) for x, y in zip(got, want)):
+            return self.whole(vocab.to_pylist())
+        found = self._split(easy)
         if found is None:
-            if len(known) >= PIECES:
-                known.clear()
-            found = known[raw] = [t.id for t in model.tokenize(raw.decode("latin-1").translate(_BYTES))]
-        return found
-
-    model, match, known = tok.model, _PLAIN.fullmatch, _pieces.setdefault(path, {})
-    split = lambda m: piece(m[1]) + piece(m[2]) if m[2] else piece(m[1])
-    probe = [w for w in vocab[:2000] if match(w)]
-    if [split(match(w)) for w in probe] != whole(probe):
-        return whole(vocab)
-    out: list = []
-    rest = []
-    for n, word in enumerate(vocab):
-        m = match(word)
-        out.append(split(m) if m else None)
-        if m is None:
-            rest.append(n)
-    for n, ids in zip(rest, whole([vocab[n] for n in rest])):
-        out[n] = ids
-    return out
-
-
-def _lower(texts: Iterator[bytes], tok) -> Iterator[bytes]:
-    """Lower-case A-Z up front where the tokenizer does so itself: fewer distinct words.
-    Texts that may spell special tokens stay as they are."""
-    same = [tok.encode(t, add_special_tokens=False).ids for t in ("Abc XYZ", "abc xyz")]
-    for text in texts:
-        yield text.lower() if same[0] == same[1] and b"<" not in text else text
+            return self.whole(vocab.to_pylist())
+        rest = self.whole(vocab.filter(pa.array(~plain)).to_pylist())
+        at = np.empty(len(plain), np.int64)
+        at[plain], at[~plain] = np.arange(plain.sum()), plain.sum() + np.arange((~plain).sum())
+        size = np.concatenate([found[1], rest[1]])
+        return _gather(np.concatenate([found[0], rest[0]]), size, at), size[at]
+
+
+def _block_words(text: pa.Array, lowers: bool) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(numbers of all words in order, words per text, the block's distinct words). Words are
+    runs without the six ASCII blanks; null counts as empty. Where the tokenizer lower-cases
+    itself, A-Z are lower-cased up front (fewer distinct words), but not in texts that may
+    spell special tokens."""
+    text = pc.fill_null(text, "")
+    if lowers:
+        text = pc.if_else(pc.match_substring(text, "<"), text, pc.ascii_lower(text))
+    runs = pc.ascii_split_whitespace(text)
+    coded = runs.flatten().dictionary_encode()
+    ids, vocab = coded.indices.to_numpy(), coded.dictionary
+    n = pc.list_value_length(runs).to_numpy()
+    empty = pc.index(vocab, "").as_py()     # before or after a text's outer blanks
+    if empty >= 0:
+        full = ids != empty
+        done = np.concatenate([[0], np.cumsum(full)])
+        stop = np.cumsum(n)
+        n, ids = done[stop] - done[stop - n], ids[full]
+    return ids, n.astype(np.int64), vocab
 
 
 def _tokenize(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        tok = Tokenizer.from_file(path)
+        encoder = _Encoder(path)
         for block in words.text_blocks(batches, BLOCK_BYTES):
-            ids, n_words, vocab = words.block_words(_lower(words.as_bytes(block.column("text")), tok), lower=False)
-            lists = _encode_words(tok, path, vocab)
-            size = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter((x for ids_ in lists for x in ids_), np.uint32, int(size.sum()))
-            first = np.cumsum(size) - size
+            ids, n_words, vocab = _block_words(block.column("text").combine_chunks(), encoder.lowers)
+            flat, size = encoder(vocab)
             stop = np.cumsum(n_words)
             doc_ids = block.column("doc_id").combine_chunks().cast(pa.int64())
             for a, b in _spans(n_words + 1, CHUNK_IDS // 2):
@@ -225,9 +285,9 @@ def _tokenize(path: str, end_id: int):
                 doc = np.repeat(np.arange(b - a), n_words[a:b])
                 counts = np.bincount(doc, size[w], b - a).astype(np.int64) + 1
                 out = np.full(int(counts.sum()), end_id, np.uint64)
-                at = np.repeat(np.cumsum(size[w]) - size[w] + doc - first[w], size[w])
-                src = np.repeat(first[w], size[w]) + np.arange(len(at)) - np.repeat(np.cumsum(size[w]) - size[w], size[w])
-                out[at + src] = flat[src]
+                inner = np.ones(len(out), bool)
+                inner[np.cumsum(counts) - 1] = False
+                out[inner] = _gather(flat, size, w)
                 offsets, coded = encode(out, counts)
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids.slice(a, b - a), pa.array(counts), pa.array(offsets, pa.binary()),
