@@ -445,6 +445,39 @@ def fourier_predict(train: DataFrame, test: DataFrame, y: str, t: str, keys: Seq
     return j.withColumn("forecast", yhat).drop(*names, "n", "alpha", "intercept", "coef", "explained_variance")
 
 
+def fourier_forecast(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), horizon: int = 30,
+                     freq: str = "D", z: float = 1.2815515655446004, min_rows: int = 12,
+                     seasonality: dict | None = None) -> DataFrame:
+    """``horizon`` future days (``freq`` D) or weeks (W) after each series' end from its trend
+    and Fourier terms, with the 80 % band of the fit's residuals and money text. Series with
+    fewer than ``min_rows`` values give no rows, and neither does any other frequency."""
+    from ..functions.expr import money
+    from ..session import cut_lineage
+    from .linear import ridge_fit
+    keys = list(keys)
+    seas = seasonality or SEASONALITY
+    x, names = fourier_features(df.select(*keys, t, y).na.drop(subset=[t, y]), t, seas)
+    x = cut_lineage(x)  # period series, read by the fit, its residuals and the series' ends
+    on = lambda a, b: a.join(b, keys) if keys else a.crossJoin(F.broadcast(b))
+    fit = cut_lineage(ridge_fit(x, y, names, keys, alpha=1e-6, standardize=[]).select(*keys, "intercept", "coef"))
+    yhat = F.col("intercept")
+    for i, n in enumerate(names):
+        yhat = yhat + F.col("coef")[i] * F.col(n)
+    ends = on(x, fit).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.max(F.to_date(t)).alias("_end"),
+        F.sqrt(F.avg((F.col(y) - yhat) ** 2)).alias("_sd"))
+    days = {"D": 1, "W": 7}.get(freq, 0)
+    future = (ends.where((F.col("_rows") >= min_rows) & F.lit(days > 0))
+              .withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+              .withColumn(t, F.date_add("_end", F.col("step") * days)))
+    f, _ = fourier_features(future, t, seas)
+    f = on(f, fit).withColumn("forecast", yhat)
+    half = F.col("_sd") * z
+    f = f.select(*keys, "step", t, "forecast", (F.col("forecast") - half).alias("lower"),
+                 (F.col("forecast") + half).alias("upper"))
+    return f.withColumn("forecast_text", money("forecast"))
+
+
 def backtest(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), hold: int = 6,
              order=None, models: Sequence[str] = ("arima", "fourier"), **select_kw) -> DataFrame:
     """Hold out each series' last ``hold`` rows, fit each model on the rest and score
@@ -484,15 +517,26 @@ def forecast_report(df: DataFrame, y: str, t: str, fc: DataFrame, keys: Sequence
     keys = list(keys)
     h = df.groupBy(*keys).agg(F.count(y).alias("months"), F.avg(y).alias("history_mean"),
                               F.min_by(y, t).alias("_first"), F.max_by(y, t).alias("last_value"))
-    h = h.withColumn("trend_pct", (F.col("last_value") - F.col("_first")) / F.col("_first") * 100).drop("_first")
+    h = h.withColumn("trend_pct", F.try_divide(F.col("last_value") - F.col("_first"), F.col("_first")) * 100).drop("_first")
     f = fc.groupBy(*keys).agg(F.avg("forecast").alias("forecast_mean"), F.min("lower").alias("range_low"),
                               F.max("upper").alias("range_high"))
     r = h.join(f, keys)
-    r = r.withColumn("change_vs_last_pct", (F.col("forecast_mean") - F.col("last_value")) / F.col("last_value") * 100)
+    r = r.withColumn("change_vs_last_pct", F.try_divide(F.col("forecast_mean") - F.col("last_value"), F.col("last_value")) * 100)
     return r.withColumn("range_text", F.concat(money("range_low"), F.lit(" - "), money("range_high"))) \
         .withColumn("direction", F.when(F.col("trend_pct") > 0, "alza").otherwise("baja"))
 
 
+def forecast_reports(df: DataFrame, y: str, t: str, forecasts: dict[str, DataFrame],
+                     keys: Sequence[str] = ()) -> DataFrame:
+    """``forecast_report`` per series and model: one row for each forecast of each series."""
+    parts = [forecast_report(df, y, t, fc, keys).withColumn("model", F.lit(name))
+             for name, fc in forecasts.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 # ---- Y5: hybrid ---------------------------------------------------------------------
 
 def hybrid(df: DataFrame, y: str, t: str, xcols: Sequence[str], keys: Sequence[str] = (), horizon: int = 3,

@@ -185,13 +185,13 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Per class: precision, recall, F1, support; plus accuracy and error rate (same on
     every row). One aggregate over (actual, predicted) counts."""
     c = confusion(df, label, pred)
-    classes = c.select(F.col("actual").alias("cls")).union(c.select(F.col("predicted").alias("cls"))).distinct()
-    j = classes.crossJoin(c)  # classes x cells: both tiny (confusion cells)
-    per = j.groupBy("cls").agg(
-        F.sum(F.when((F.col("actual") == F.col("cls")) & (F.col("predicted") == F.col("cls")), F.col("count"))
-              .otherwise(0)).alias("tp"),
-        F.sum(F.when(F.col("predicted") == F.col("cls"), F.col("count")).otherwise(0)).alias("pred_n"),
-        F.sum(F.when(F.col("actual") == F.col("cls"), F.col("count")).otherwise(0)).alias("support"))
+    # each cell counts once for its actual and once for its predicted class
+    n, zero = F.col("count"), F.lit(0).cast("long")
+    hit = F.when(F.col("actual") == F.col("predicted"), n).otherwise(zero)
+    sides = F.array(
+        F.struct(F.col("actual").alias("cls"), hit.alias("tp"), zero.alias("pred_n"), n.alias("support")),
+        F.struct(F.col("predicted").alias("cls"), zero.alias("tp"), n.alias("pred_n"), zero.alias("support")))
+    per = c.select(F.inline(sides)).groupBy("cls").agg(*[F.sum(x).alias(x) for x in ("tp", "pred_n", "support")])
     tot = c.agg(F.sum("count").alias("_n"),
                 F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0)).alias("_ok"))
     per = per.crossJoin(F.broadcast(tot))
@@ -240,13 +240,12 @@ def mlp_regressor(df: DataFrame, features: list[str], target: str, hidden: int =
     row-weighted average of the partition models on the driver (``rounds`` Spark jobs).
     Features are standardised with the training rows' mean / population std.
     Returns the model as plain arrays (w1, b1, w2, b2, mu, sd)."""
-    from .clean import standardize
     stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
                    *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(features)]).first()
     mu = np.array([stats[f"m{i}"] for i in range(len(features))], float)
     sd = np.array([stats[f"s{i}"] or 1.0 for i in range(len(features))], float)
     sd[sd == 0] = 1.0
-    data = standardize(df.select(*features, target).na.drop(), features).persist()
+    data = df.select(*features, target).na.drop().persist()
     rng = np.random.default_rng(seed)
     k = len(features)
     lim1, lim2 = math.sqrt(6 / (k + hidden)), math.sqrt(6 / (hidden + 1))
@@ -261,7 +260,7 @@ def mlp_regressor(df: DataFrame, features: list[str], target: str, hidden: int =
                 if not frames:
                     return
                 pdf = pd.concat(frames)
-                x = pdf[features].to_numpy(float)
+                x = (pdf[features].to_numpy(float) - mu) / sd
                 y = pdf[[target]].to_numpy(float)
                 p = [a.copy() for a in p0]
                 m1 = [np.zeros_like(a) for a in p]

@@ -246,29 +246,13 @@ def signed_histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
         F.coalesce(F.col("_c"), F.lit(0)).cast("long").alias("count"))
 
 
-def kde(df: DataFrame, col: str, points: int = 100, keys: list[str] = (), prebin: int | None = None) -> DataFrame:
+def kde(df: DataFrame, col: str, points: int = 100, keys: list[str] = ()) -> DataFrame:
     """Gaussian kernel density on ``points`` grid points spanning [min, max] per group,
     bandwidth ``n^(-1/5) * sample std`` (Scott). Identical values are pre-aggregated to
-    (value, weight) rows first, so cost is distinct values x grid points.
-
-    ``prebin=B`` (for continuous data at scale) first replaces values by the centres of
-    B equal-width bins per group (one extra small aggregate), bounding the cost at
-    B x points per group; the bandwidth still comes from the exact moments."""
+    (value, weight) rows first; every such row adds to ``points`` partial sums, so no
+    (value, point) rows are made and a group shuffles one row per task. Null keys form a group."""
     keys = list(keys)
     base = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("_x"))
-    if prebin:
-        r = base.groupBy(*keys).agg(F.min("_x").alias("_a"), F.max("_x").alias("_b"), F.count("_x").alias("_cn"),
-                                    F.sum("_x").alias("_sx"), F.sum(F.col("_x") ** 2).alias("_sxx")) if keys else \
-            base.agg(F.min("_x").alias("_a"), F.max("_x").alias("_b"), F.count("_x").alias("_cn"),
-                     F.sum("_x").alias("_sx"), F.sum(F.col("_x") ** 2).alias("_sxx"))
-        j = base.join(r, keys) if keys else base.crossJoin(F.broadcast(r))
-        width = (F.col("_b") - F.col("_a")) / prebin
-        b = F.least(F.floor((F.col("_x") - F.col("_a")) / F.when(width > 0, width).otherwise(1.0)), F.lit(prebin - 1))
-        centre = F.when(width > 0, F.col("_a") + (b + 0.5) * width).otherwise(F.col("_a"))
-        v = j.groupBy(*keys, centre.alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
-        mom = r.select(*keys, F.col("_a").alias("_lo"), F.col("_b").alias("_hi"), F.col("_cn").alias("_n"),
-                       F.col("_sx").alias("_s1"), F.col("_sxx").alias("_s2"))
-        return _kde_on_weights(v, mom, keys, points)
     v = base.groupBy(*keys, F.col("_x").alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
     wsum = lambda e: F.sum(e * F.col("_w"))
     st = v.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_w").alias("_n"),
@@ -282,16 +266,19 @@ def _kde_on_weights(v: DataFrame, st: DataFrame, keys: list[str], points: int) -
     """Density on the grid from (value, weight) rows and per-group range / moments."""
     n = F.col("_n").cast("double")
     std = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(F.col("_s2") - F.col("_s1") ** 2 / n, n - 1)))
-    st = st.withColumn("_h", F.pow(n, -0.2) * std)
-    grid = st.select(*keys, "_lo", "_hi", "_h", "_n",
-                     F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    grid = grid.withColumn("x", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("point") / (points - 1))
-    # grid is points rows per group: broadcast-sized; the join is on the group key
-    j = grid.join(v, keys) if keys else grid.crossJoin(v)
-    k = F.exp(-0.5 * F.try_divide(F.col("x") - F.col("_v"), F.col("_h")) ** 2) * F.col("_w")
-    out = j.groupBy(*keys, "point", "x").agg(
-        F.try_divide(F.sum(k), F.first("_n") * F.first("_h") * math.sqrt(2 * math.pi)).alias("density"))
-    return out
+    st = st.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], "_lo", "_hi", "_n",
+                   (F.pow(n, -0.2) * std).alias("_h"))
+    # one row of range and bandwidth per group
+    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)]
+    j = v.join(st, same) if keys else v.crossJoin(F.broadcast(st))
+    at = lambda p: F.col("_lo") + (F.col("_hi") - F.col("_lo")) * p / (points - 1)
+    kernel = lambda p: F.exp(-0.5 * F.try_divide(at(F.lit(p)) - F.col("_v"), F.col("_h")) ** 2)
+    sums = j.groupBy(*keys, "_lo", "_hi", "_n", "_h").agg(
+        *[F.sum(kernel(p) * F.col("_w")).alias(f"_s{p}") for p in range(points)])
+    out = sums.select(*keys, "_lo", "_hi", "_n", "_h",
+                      F.posexplode(F.array(*[f"_s{p}" for p in range(points)])).alias("point", "_sum"))
+    density = F.try_divide(F.col("_sum"), F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi))
+    return out.select(*keys, "point", at(F.col("point")).alias("x"), density.alias("density"))
 
 
 def normal_curve(df: DataFrame, col: str, points: int = 100) -> DataFrame:

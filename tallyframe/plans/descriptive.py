@@ -208,6 +208,19 @@ def q_kde_discount(spark, d):
     return _rnd(k.withColumn("density", F.round("density", 8)).withColumn("point", F.col("point").cast("int")))
 
 
+@register("kde_by_flag", f"""WITH v AS (SELECT l_returnflag AS k, l_discount AS v, count(*) AS w FROM lineitem WHERE l_discount IS NOT NULL GROUP BY 1, 2),
+s AS (SELECT k, min(v) AS lo, max(v) AS hi, sum(w) AS n, sum(v * w) AS s1, sum(v * v * w) AS s2 FROM v GROUP BY 1),
+h AS (SELECT k, lo, hi, n, power(n, -0.2) * sqrt(greatest(0.0, (s2 - s1 * s1 / n) / (n - 1))) AS h FROM s),
+g AS (SELECT k, CAST(range AS INTEGER) AS point, lo + (hi - lo) * range / 49 AS x, h, n FROM h, range(0, 50))
+SELECT g.k AS l_returnflag, point, round(x, {R}) AS x,
+       round(sum(exp(-0.5 * power((x - v) / h, 2)) * w) / (n * h * sqrt(2 * pi())), 8) AS density
+FROM g JOIN v ON g.k IS NOT DISTINCT FROM v.k GROUP BY g.k, point, x, n, h""")
+def q_kde_by_flag(spark, d):
+    """Violin form: one density curve per return flag."""
+    k = stats.kde(tables.read(spark, d, "lineitem"), "l_discount", 50, ["l_returnflag"])
+    return _rnd(k.withColumn("density", F.round("density", 8)).withColumn("point", F.col("point").cast("int")))
+
+
 @register("normal_curve", f"""WITH s AS (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi, avg(c_acctbal) AS m,
        stddev_samp(c_acctbal) AS sd FROM customer),
 g AS (SELECT CAST(range AS INTEGER) AS point, lo + (hi - lo) * range / 99 AS x, m, sd FROM s, range(0, 100))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.expr import money
-from ..operators import crosstab, forecast, learn, linear
+from ..operators import calendar, crosstab, forecast, learn, linear
 from . import tables
 from .registry import finish, register
 from .tables import DAILY_SQL
+from .tabular import segment_monthly
 
 R = 6
 FEATURES = ["n_orders", "n_urgent", "tax_rate", "discount_rate", "pay_abono"]
@@ -19,7 +20,8 @@ def _rnd(df, digits=R):
 
 
 def _seg_total(spark, d):
-    return tables.segment_features(spark, d).select("segment", "month", "total")
+    """Monthly order value per segment: reads orders and customer alone."""
+    return segment_monthly(spark, d).select("segment", "month", F.col("total").cast("double").alias("total"))
 
 
 _SEG_SQL = """seg AS (
@@ -189,18 +191,20 @@ def q_decision_grid(spark, d):
     return learn.decision_grid(x, ["x_len", "x_digits"], model, points=100)
 
 
-def _emb56(spark, d):
-    e = tables.read(spark, d, "embeddings").where(F.col("label").isin(5, 6))
-    cols = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(11)]
-    return e.select("vec_id", "label", *cols)
+DIMS = 64
+
+
+def _embeddings(spark, d):
+    e = tables.read(spark, d, "embeddings")
+    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(DIMS)])
 
 
 @register("mlp_classifier")
 def q_mlp_classifier(spark, d):
-    """Classes 5 vs 6 from 11 embedding dimensions: Spark ML perceptron network
-    [11, 10, 10, 2], stratified 30 % test split; test accuracy."""
-    x = linear.stratified_split(_emb56(spark, d), "vec_id", "label", 0.3)
-    feats = [f"e{i}" for i in range(11)]
+    """All labels from all embedding dimensions: Spark ML perceptron network
+    [64, 10, 10, labels], stratified 30 % test split; test accuracy."""
+    x = linear.stratified_split(_embeddings(spark, d), "vec_id", "label", 0.3)
+    feats = [f"e{i}" for i in range(DIMS)]
     pred = learn.mlp_classifier(x.where(~F.col("is_test")), x.where(F.col("is_test")), feats, "label")
     return pred.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
                     F.count(F.lit(1)).alias("test_rows"))
@@ -208,13 +212,13 @@ def q_mlp_classifier(spark, d):
 
 @register("mlp_regressor")
 def q_mlp_regressor(spark, d):
-    """Dimension 10 regressed on dimensions 0-9 (100 tanh units), 30 % hash test split;
+    """The last dimension regressed on all others (100 tanh units), 30 % hash test split;
     test MSE."""
-    x = linear.random_split(_emb56(spark, d), "vec_id", 0.3)
-    feats = [f"e{i}" for i in range(10)]
-    model = learn.mlp_regressor(x.where(~F.col("is_test")), feats, "e10", hidden=100, rounds=20, local_steps=50)
+    x = linear.random_split(_embeddings(spark, d), "vec_id", 0.3)
+    feats, y = [f"e{i}" for i in range(DIMS - 1)], f"e{DIMS - 1}"
+    model = learn.mlp_regressor(x.where(~F.col("is_test")), feats, y, hidden=100, rounds=20, local_steps=50)
     p = learn.mlp_regressor_predict(x.where(F.col("is_test")), model)
-    return p.agg(F.avg((F.col("e10") - F.col("prediction")) ** 2).alias("mse"), F.count(F.lit(1)).alias("test_rows"))
+    return p.agg(F.avg((F.col(y) - F.col("prediction")) ** 2).alias("mse"), F.count(F.lit(1)).alias("test_rows"))
 
 
 # ---- Y (forecasting) -----------------------------------------------------------------
@@ -283,7 +287,7 @@ def q_arimax_forecast(spark, d):
     """Regression with ARIMA errors: monthly totals on order count and urgent-order count
     per segment (order chosen by AIC, p <= 2, d <= 1, q <= 2), six months ahead with the
     regressors held at their last month."""
-    f = tables.segment_features(spark, d).select("segment", "month", "total", "n_orders", "n_urgent")
+    f = tables.segment_orders(spark, d).select("segment", "month", "total", "n_orders", "n_urgent")
     ex = ["n_orders", "n_urgent"]
     m = forecast.arima_select(f, "total", "month", ["segment"], max_p=2, max_d=1, max_q=2, exog=ex)
     fc = forecast.arima_forecast(f, "total", "month", m, ["segment"], horizon=6, exog=ex)
@@ -342,3 +346,86 @@ def q_forecast_document(spark, d):
     fc = fc.join(last, "segment").withColumn("month", F.add_months("_t", F.col("step")))
     return forecast_documents(fc, metrics, ["segment"], "month", "forecast")
 
+
+# ---- closed forms of fitted models, with oracles ----------------------------------------
+
+@register("trend_line", f"""WITH {_SEG_SQL},
+p AS (SELECT segment, month, total, row_number() OVER (PARTITION BY segment ORDER BY month) AS pos FROM seg),
+f AS (SELECT segment, regr_slope(total, pos) AS b, regr_intercept(total, pos) AS a FROM p GROUP BY 1)
+SELECT p.segment, month, CAST(pos AS BIGINT) AS index, round(total, 2) AS total, round(a + b * pos, 2) AS trend
+FROM p JOIN f ON p.segment = f.segment""")
+def q_trend_line(spark, d):
+    t = linear.poly_trend(_seg_total(spark, d), "total", "month", 1, ["segment"])
+    return t.select("segment", "month", F.col("index").cast("long").alias("index"),
+                    F.round("total", 2).alias("total"), F.round("trend", 2).alias("trend"))
+
+
+@register("vif_pair", f"""WITH seg AS (
+  SELECT c_mktsegment AS segment, date_trunc('month', o_orderdate) AS month, CAST(count(*) AS DOUBLE) AS n_orders,
+         CAST(count(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) AS DOUBLE) AS n_urgent
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+v AS (SELECT segment, 1 / (1 - power(corr(n_orders, n_urgent), 2)) AS vif FROM seg GROUP BY 1)
+SELECT segment, feature, round(vif, {R}) AS vif, vif > 10 AS high FROM v, (VALUES ('n_orders'), ('n_urgent')) f(feature)""")
+def q_vif_pair(spark, d):
+    f = tables.segment_orders(spark, d).select("segment", "n_orders", "n_urgent")
+    return _rnd(linear.vif(f, ["n_orders", "n_urgent"], ["segment"]))
+
+
+@register("scenario_fallback", f"""WITH {_SEG_SQL},
+l AS (SELECT segment, arg_max(total, month) AS v FROM seg GROUP BY 1),
+f AS (SELECT segment, i.range AS i, v * (1 + 0.01 * i.range) AS f FROM l, range(0, 6) i)
+SELECT segment, CAST(i + 1 AS INTEGER) AS step, round(f * (1 + 0.005 * i), 2) AS forecast,
+       round(f * 0.9 * (1 - 0.005 * i * (1 + 0.1 * i)), 2) AS lower, round(f * 1.1 * (1 + 0.005 * i * (1 + 0.1 * i)), 2) AS upper
+FROM f""")
+def q_scenario_fallback(spark, d):
+    """Scenario uplift of the fallback forecast with bounds of 10 % on both sides."""
+    f = forecast.fallback_forecast(_seg_total(spark, d), "total", "month", ["segment"], horizon=6)
+    f = f.withColumn("lower", F.col("forecast") * 0.9).withColumn("upper", F.col("forecast") * 1.1)
+    return forecast.scenario(f).select("segment", "step", *[F.round(c, 2).alias(c) for c in ("forecast", "lower", "upper")])
+
+
+@register("report_fallback", f"""WITH {_SEG_SQL},
+h AS (SELECT segment, count(total) AS months, avg(total) AS history_mean, arg_min(total, month) AS f,
+             arg_max(total, month) AS last_value FROM seg GROUP BY 1)
+SELECT segment, CAST(months AS BIGINT) AS months, round(history_mean, 2) AS history_mean, round(last_value, 2) AS last_value,
+       round((last_value - f) / f * 100, 4) AS trend_pct, round(last_value * 1.025, 2) AS forecast_mean,
+       CAST(2.5 AS DOUBLE) AS change_vs_last_pct, round(last_value * 0.9, 2) AS range_low,
+       round(last_value * 1.05 * 1.1, 2) AS range_high, CASE WHEN last_value > f THEN 'alza' ELSE 'baja' END AS direction
+FROM h""")
+def q_report_fallback(spark, d):
+    s = _seg_total(spark, d)
+    f = forecast.fallback_forecast(s, "total", "month", ["segment"], horizon=6)
+    f = f.withColumn("lower", F.col("forecast") * 0.9).withColumn("upper", F.col("forecast") * 1.1)
+    r = forecast.forecast_report(s, "total", "month", f, ["segment"])
+    two = [F.round(c, 2).alias(c) for c in ("history_mean", "last_value", "forecast_mean", "range_low", "range_high")]
+    return r.select("segment", "months", *two, F.round("trend_pct", 4).alias("trend_pct"),
+                    F.round("change_vs_last_pct", 4).alias("change_vs_last_pct"), "direction")
+
+
+@register("fourier_forecast")
+def q_fourier_forecast(spark, d):
+    """Thirty days ahead per symbol from trend and Fourier terms of the daily closes."""
+    p = tables.daily_prices(spark, d).select("symbol", "day", "close")
+    return forecast.fourier_forecast(p, "close", "day", ["symbol"], horizon=30)
+
+
+@register("forecast_report_models")
+def q_forecast_report_models(spark, d):
+    """Report per symbol and model: ARIMA and trend + Fourier on daily closes."""
+    p = tables.daily_prices(spark, d).select("symbol", "day", "close")
+    m = forecast.arima_select(p, "close", "day", ["symbol"], max_p=2, max_d=1, max_q=1)
+    models = {"ARIMA": forecast.arima_forecast(p, "close", "day", m, ["symbol"], horizon=30),
+              "Fourier": forecast.fourier_forecast(p, "close", "day", ["symbol"], horizon=30)}
+    return forecast.forecast_reports(p, "close", "day", models, ["symbol"])
+
+
+@register("undated_blocks", """WITH o AS (SELECT o_custkey, o_orderkey, o_totalprice FROM orders WHERE o_custkey % 2 = 1),
+p AS (SELECT o_custkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos FROM o)
+SELECT o_custkey, CAST(floor((pos - 1) / 30.0) AS BIGINT) AS block, CAST(count(*) AS BIGINT) AS n,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM p GROUP BY 1, 2""")
+def q_undated_blocks(spark, d):
+    """Customers of odd keys carry no date here: their orders are summed in blocks of 30."""
+    o = tables.read(spark, d, "orders").withColumn("day", F.when(F.col("o_custkey") % 2 == 0, F.col("o_orderdate")))
+    b = calendar.undated_blocks(o, "o_custkey", "o_orderkey",
+                                {"n": F.lit(1), "total": F.col("o_totalprice").cast("decimal(18,2)")}, "day")
+    return b.withColumn("total", F.col("total").cast("double"))

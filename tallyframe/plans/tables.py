@@ -180,12 +180,10 @@ def statement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINES_PER_BLOCK = 1 << 16
 
 
-def segment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly payment-like series per market segment with regressors:
-    total (order value), n_orders, n_urgent, tax_rate / discount_rate (monthly macro
-    rates, gap-filled) and pay_type ('Abono extra' when most orders finished, else
+def segment_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly order series per market segment, from orders and customer alone: total,
+    n_orders, n_urgent and pay_type ('Abono extra' when most orders finished, else
     'Ordinario') with its drop-first indicator."""
-    from ..operators import joins
     o = read(spark, sf_dir, "orders")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     j = o.join(c, o.o_custkey == c.c_custkey)
@@ -194,11 +192,15 @@ def segment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.count(F.lit(1)).cast("double").alias("n_orders"),
              F.count_if(F.col("o_orderpriority") == "1-URGENT").cast("double").alias("n_urgent"),
              (F.count_if(F.col("o_orderstatus") == "F") * 2 > F.count(F.lit(1))).alias("_abono"))
+    return m.withColumn("pay_type", F.when(F.col("_abono"), "Abono extra").otherwise("Ordinario")) \
+        .withColumn("pay_abono", F.col("_abono").cast("double")).drop("_abono")
+
+
+def segment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``segment_orders`` with tax_rate / discount_rate: monthly macro rates of the series'
+    own range."""
+    from ..operators import joins
     li = read(spark, sf_dir, "lineitem")
     mon = F.to_date(F.date_trunc("month", "l_shipdate")).alias("month")
-    tax = li.where(F.month("l_shipdate") <= 9).groupBy(mon).agg(F.avg("l_tax").alias("tax_rate"))
-    disc = li.where(F.month("l_shipdate") >= 4).groupBy(mon).agg(F.avg("l_discount").alias("discount_rate"))
-    rates = joins.merge_series([tax, disc], "month")
-    e = joins.enrich(m, rates, "month")
-    return e.withColumn("pay_type", F.when(F.col("_abono"), "Abono extra").otherwise("Ordinario")) \
-        .withColumn("pay_abono", F.col("_abono").cast("double")).drop("_abono")
+    rates = li.groupBy(mon).agg(F.avg("l_tax").alias("tax_rate"), F.avg("l_discount").alias("discount_rate"))
+    return joins.enrich(segment_orders(spark, sf_dir), rates, "month")

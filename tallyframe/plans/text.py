@@ -123,7 +123,7 @@ def q_ridge_path(spark, d):
     log-spaced alpha grid (10^-3 .. 10^3, 20 points)."""
     from ..operators import linear
     from . import tables as t
-    f = t.segment_features(spark, d)
+    f = t.segment_orders(spark, d)
     path = linear.ridge_path(f, "total", ["n_orders"], scalar.log_grid(spark, -3, 3, 20), ["segment"])
     return path.select("segment", F.round("alpha", 10).alias("alpha"), F.round("intercept", 2).alias("intercept"),
                        F.round(F.col("coef")[0], 3).alias("coef"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on; applied only when the session does not set them.
@@ -36,26 +38,22 @@ def get_spark(master: str | None = None, app: str = "tallyframe",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; a library never invents a machine-local folder. Tests set
-    it on their own session when it is unset.
+    The cluster names it. Where it is unset, a session in local mode (one JVM, one machine)
+    gets a fresh folder; on a cluster that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        d = tempfile.mkdtemp(prefix="tally-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss) into the shared folder named by
-    ``spark.checkpoint.dir``. Meant for small derived tables (period series, Gram rows)
-    reused by several later steps; when the session names no shared folder the table is
-    persisted instead (lineage kept, recomputed on loss)."""
-    spark = df.sparkSession
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        return df.persist()
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    """Reliable checkpoint (survives executor loss) into the folder of ``checkpoint_dir``.
+    Meant for small derived tables (period series, Gram rows) reused by several later steps."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

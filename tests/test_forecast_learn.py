@@ -86,3 +86,21 @@ def test_arima_with_exogenous_regressor(spark):
     f = forecast.arima_forecast(df, "y", "month", forecast.arima_select(
         df, "y", "month", ["s"], max_p=1, max_d=0, max_q=0, exog=["x"]), ["s"], horizon=3, exog=["x"]).collect()
     assert len(f) == 3 and abs(f[-1].forecast - 3.0 * x[-1]) < 3.0
+
+
+def test_fourier_forecast_continues_the_series(spark):
+    days = pd.date_range("2022-01-01", periods=900)
+    n = np.arange(900)
+    origin = (days - pd.Timestamp("1970-01-01")).days.to_numpy()
+    wave = lambda o: 50 + 0.02 * (o - origin[0]) + 4 * np.sin(2 * np.pi * o / 365.25)
+    noise = np.random.default_rng(4).normal(0, 0.5, 900)
+    pdf = pd.DataFrame({"k": "a", "t": days.date, "y": wave(origin) + noise})
+    few = pd.DataFrame({"k": "b", "t": days.date[:5], "y": np.arange(5.0)})
+    df = spark.createDataFrame(pd.concat([pdf, few]), "k string, t date, y double")
+    got = forecast.fourier_forecast(df, "y", "t", ["k"], horizon=20).orderBy("step").toPandas()
+    assert list(got.k.unique()) == ["a"] and len(got) == 20
+    want = wave(origin[-1] + 1 + np.arange(20))
+    assert np.abs(got.forecast - want).max() < 0.4
+    assert np.allclose(got.upper - got.lower, 2 * 1.28155 * 0.5, rtol=0.1)
+    assert (pd.to_datetime(got.t).to_numpy() == pd.date_range(days[-1] + pd.Timedelta(days=1), periods=20).to_numpy()).all()
+    assert forecast.fourier_forecast(df, "y", "t", ["k"], freq="M").count() == 0

@@ -63,3 +63,10 @@ def test_monthly_cash_flow_two_aggregate_shuffles_no_sort_merge_join(spark):
     plan = _plan(E.queries()["monthly_cash_flow"](spark, SF_SMALL)).split("\n\n")[0]
     assert plan.count("Exchange") - plan.count("BroadcastExchange") == 2
     assert "SortMergeJoin" not in plan
+
+
+def test_order_series_never_scan_lineitem(spark):
+    q = E.queries()
+    for name in ("regression_metrics", "dickey_fuller", "temporal_split", "poly_trend", "trend_line",
+                 "vif_pair", "ridge_path"):
+        assert "l_shipdate" not in _plan(q[name](spark, SF_SMALL)), name

@@ -81,8 +81,22 @@ def test_streaming_monitor(spark, tmp_path):
     assert abs(scored[("a", "2024-01")].rel_error - 0.1) < 1e-12 and scored[("a", "2024-01")].retrain is False
     assert scored[("a", "2024-02")].retrain is True
     assert scored[("b", "2024-01")].rel_error is None
-    run = {r.id: r for r in spark.read.parquet(str(tmp_path / "out" / "running")).collect()}
-    assert abs(run["a"].running_error - (0.1 + 1 / 3) / 2) < 1e-12
+    def running():
+        return {r.id: r for r in monitor.running_errors(spark, str(tmp_path / "out"), "id").collect()}
+    assert abs(running()["a"].running_error - (0.1 + 1 / 3) / 2) < 1e-12
+
+    # a restart with new rows adds them; a replayed epoch counts once
+    spark.createDataFrame([("a", dt.datetime(2024, 2, 28), 200.0)], "id string, t timestamp, actual double") \
+        .write.mode("overwrite").parquet(str(src / "batch2"))
+    q = monitor.start_monitor(stream, preds, "id", "t", "actual", "predicted", str(tmp_path / "out"),
+                              str(tmp_path / "ckpt"))
+    q.awaitTermination(120)
+    want = (0.1 + 1 / 3 + 0.5) / 3
+    assert running()["a"].n == 3 and abs(running()["a"].running_error - want) < 1e-12
+    again = spark.read.parquet(str(tmp_path / "out" / "scored" / "epoch=0")).cache()
+    again.count()
+    monitor.write_epoch(again, 0, "id", str(tmp_path / "out"))
+    assert running()["a"].n == 3 and abs(running()["a"].running_error - want) < 1e-12
 
 
 def test_forecast_document_frame_form(spark):

@@ -103,8 +103,15 @@ def test_qq_points_fit(spark):
     assert abs(q.slope - 2) < 0.25 and abs(q.intercept - 5) < 0.25 and q.r > 0.99
 
 
-def test_kde_prebin_close_to_exact(values):
-    pdf, df = values
-    exact = [r.density for r in stats.kde(df, "x", 30).orderBy("point").collect()]
-    binned = [r.density for r in stats.kde(df, "x", 30, prebin=2000).orderBy("point").collect()]
-    assert np.allclose(exact, binned, rtol=1e-3, atol=1e-4)
+def test_kde_per_group_with_null_key_and_constant_group(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=200)
+    rows = [(None, float(v)) for v in x] + [("c", 2.0)] * 4 + [("a", float(v) * 3) for v in x]
+    df = spark.createDataFrame(rows, "k string, x double")
+    got = stats.kde(df, "x", 10, ["k"]).orderBy("point").collect()
+    for key, data in ((None, x), ("a", x * 3)):
+        h = len(data) ** -0.2 * data.std(ddof=1)
+        want = [np.exp(-0.5 * ((g - data) / h) ** 2).sum() / (len(data) * h * np.sqrt(2 * np.pi))
+                for g in np.linspace(data.min(), data.max(), 10)]
+        assert np.allclose([r.density for r in got if r.k == key], want)
+    assert [r.density for r in got if r.k == "c"] == [None] * 10
