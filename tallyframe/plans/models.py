@@ -357,7 +357,9 @@ FROM p JOIN f ON p.segment = f.segment""")
 def q_trend_line(spark, d):
     t = linear.poly_trend(_seg_total(spark, d), "total", "month", 1, ["segment"])
     return t.select("segment", "month", F.col("index").cast("long").alias("index"),
-                    F.round("total", 2).alias("total"), F.round("trend", 2).alias("trend"))
+                    F.round("total", 2).alias("total"),
+                    # trends of cents fall on half cents: the float noise goes before they are rounded
+                    F.round(F.round("trend", 6), 2).alias("trend"))
 
 
 @register("vif_pair", f"""WITH seg AS (
