@@ -168,6 +168,25 @@ def test_token_files(docs, empty):
     assert token_file.read_tokens(token_file.write_tokens(empty, path, 1)).count() == 0
 
 
+def test_token_words_match_the_whole_tokenizer():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    texts = [None, "", "  a b ", "\t", "\u0130stanbul \u212a \u017f", "<|endoftext|>x Y", "<|ENDOFTEXT|> A",
+             "don't I'll we've", "a\u00a0b\u2003c", "\x1c a\x85b\x0b\x0c", "\u00e9 e\u0301 \u0301x", "\u00ff\u00df9-a!!? (\u00e4b).",
+             "\u00bd \u65e5\u672c", "x" * 5000, "same same SAME same's"] * 3
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    for out in token_file._tokenize(path, 1)(iter([batch])):
+        rows = out.to_pydict()
+        counts = np.array(rows["n_tokens"])
+        ids = token_file.decode(rows["offsets"], rows["words"], counts)
+        for n, end in zip(rows["doc_id"], np.cumsum(counts)):
+            want = tok.encode(texts[n] or "", add_special_tokens=False).ids + [1]
+            assert ids[end - counts[n]:end].tolist() == want, texts[n]
+
+
 def test_lm_scores(docs, empty):
     from pyspark.sql import functions as F
     held = F.col("doc_id") % 5 == 1
