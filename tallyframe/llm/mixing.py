@@ -85,9 +85,22 @@ def _rate(steps: list[list[float]]) -> Column:
         F.zip_with(F.col("mix_p"), r, lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)))
 
 
+def fit_targets(supply: list[float], weights: list[float], budget: float | None) -> list[float]:
+    """Target tokens per domain. A stated ``budget`` is dealt out by the weights. Without one
+    the total is the largest at which the wanted domains (those of the largest weight that
+    have supply) are used up; the others get their weight of it, or their supply where that
+    is less: a scarce domain shrinks no other."""
+    share = [w / sum(weights) for w in weights]
+    if budget is not None:
+        return [budget * w for w in share]
+    top = max((w for s, w in zip(supply, share) if s > 0), default=0.0)
+    total = max((s / w for s, w in zip(supply, share) if w == top and w > 0), default=0.0)
+    return [min(s, total * w) for s, w in zip(supply, share)]
+
+
 def fit_rates(rows: DataFrame, weights: list[float], budget: float | None) -> tuple[Column, list[float]]:
-    """(rate column over rows with mix_tokens and mix_p, target tokens per domain). Without a
-    ``budget`` the total is the largest that no domain needs repeats for."""
+    """(rate column over rows with mix_tokens and mix_p, target tokens per domain by
+    ``fit_targets``)."""
     names = [f"e{d}" for d in range(len(weights))]
 
     def expected(rate: Column) -> list[float]:
@@ -96,10 +109,7 @@ def fit_rates(rows: DataFrame, weights: list[float], budget: float | None) -> tu
         return [r[n] or 0.0 for n in names]
 
     supply = expected(F.lit(1.0))
-    share = [w / sum(weights) for w in weights]
-    if budget is None:
-        budget = min((s / w for s, w in zip(supply, share) if w > 0), default=0.0)
-    target = [budget * w for w in share]
+    target = fit_targets(supply, weights, budget)
     steps: list[list[float]] = []
     for _ in range(STEPS):
         now = expected(_rate(steps)) if steps else supply
@@ -117,8 +127,9 @@ def mix(docs: DataFrame, labels: DataFrame, domain: str, weights: dict, budget:
 
     ``labels`` holds doc_id and ``domain``; rows with other or null labels are left out of
     the fit, and without labels all posteriors are equal. Null and empty texts have 0
-    tokens and do not move the fit. Domains without supply keep what they have. Other
-    columns are ignored; an empty table gives an empty result.
+    tokens and do not move the fit. ``budget`` is the total of the targets; without one no
+    token of a wanted domain is dropped (``fit_targets``). A domain with no or too little
+    supply keeps what it has and the others are not shrunk to it. Other columns are ignored; an empty table gives an empty result.
     """
     narrow = tables.scratch(with_features(docs.select("doc_id", "text")).drop("text"), "features")
     model = count_model(narrow, labels, domain, list(weights))

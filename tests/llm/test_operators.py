@@ -300,6 +300,19 @@ def test_mixing_reaches_targets(spark, empty):
     assert all(abs(sum(r.p) - 1) < 1e-9 for r in alone)
 
 
+@pytest.mark.parametrize("low", [0, 8, 20])
+def test_mixing_keeps_clean_documents_when_low_ones_are_scarce(spark, low):
+    p = [[0.02, 0.98] if i < low else [0.99, 0.01] for i in range(400)]
+    rows = spark.createDataFrame([(i, 100, x) for i, x in enumerate(p)], "doc_id long, mix_tokens long, mix_p array<double>")
+    for weights in ([0.9, 0.1], [0.5, 0.3, 0.2]):
+        put = rows if len(weights) == 2 else rows.selectExpr("doc_id", "mix_tokens", "array(mix_p[0], mix_p[1], 0D) mix_p")
+        fitted = mixing.fit_rates(put, weights, None)
+        assert all(r.rate == pytest.approx(1.0, abs=1e-6) for r in put.select(fitted[0].alias("rate")).collect())
+    assert mixing.fit_targets([0.0, 0.0], [0.9, 0.1], None) == [0.0, 0.0]
+    assert mixing.fit_targets([80.0, 40.0], [0.8, 0.2], None) == pytest.approx([80.0, 20.0])
+    assert mixing.fit_targets([80.0, 0.0], [0.8, 0.2], 50.0) == pytest.approx([40.0, 10.0])
+
+
 def _auc(score, label):
     rank = np.argsort(np.argsort(score))
     return (rank[label].mean() - (label.sum() - 1) / 2) / (~label).sum()
