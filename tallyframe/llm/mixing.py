@@ -3,24 +3,26 @@
 A naive Bayes classifier over binned text features is counted from the labelled table and
 predicts each document's posterior over the domains. Nonnegative rates w then minimise
 sum over domains of (expected tokens - target)^2 / share, where the expected tokens of a
-domain are the sum of w * tokens * posterior. Projected gradient with the rows' tokens and
-the domains' shares as metric has step length 1; every step is one aggregation over the
-narrow table, and only one number per domain reaches the driver. A rate is a function of
-the steps so far, so nothing per document is rewritten between steps.
+domain are the sum of w * tokens * posterior. Of the rates that do, the ones nearest to 1 are
+max(0, 1 + the sum of force * posterior) with one force per domain; the forces minimise a
+smooth convex function. Newton steps on them are each one aggregation over the narrow table
+(expected tokens and a domain-by-domain matrix), and nothing per document is rewritten.
 """
 
 from __future__ import annotations
 
 import math
+from itertools import combinations_with_replacement
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tables
 
 BINS = 12
-STEPS = 40
-CLOSE = 1e-4            # relative distance to the targets at which the steps end
+CLOSE = 1e-9            # gradient, relative to the supply, at which the steps end
+SLACK = 1e-9            # weight of the forces' squares: decides where targets cannot be met
 
 
 def _density(count: Column, size: Column) -> Column:
@@ -76,13 +78,9 @@ def with_posteriors(rows: DataFrame, model: Model) -> DataFrame:
     return rows.withColumn("mix_p", total).drop("mix_s", "mix_e", "mix_bins")
 
 
-def _rate(steps: list[list[float]]) -> Column:
-    """w after the given residual vectors: start at 1, step against the gradient, project."""
-    if not steps:
-        return F.lit(1.0)
-    table = F.array(*(F.array(*map(F.lit, r)) for r in steps))
-    return F.aggregate(table, F.lit(1.0), lambda w, r: F.greatest(F.lit(0.0), w - F.aggregate(
-        F.zip_with(F.col("mix_p"), r, lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)))
+def _rate(force: np.ndarray) -> Column:
+    """w under the given force per domain: 1 where there is none."""
+    return F.greatest(F.lit(0.0), sum((F.lit(float(f)) * F.col("mix_p")[d] for d, f in enumerate(force)), F.lit(1.0)))
 
 
 def fit_targets(supply: list[float], weights: list[float], budget: float | None) -> list[float]:
@@ -98,32 +96,56 @@ def fit_targets(supply: list[float], weights: list[float], budget: float | None)
     return [min(s, total * w) for s, w in zip(supply, share)]
 
 
-def fit_rates(rows: DataFrame, weights: list[float], budget: float | None) -> tuple[Column, list[float]]:
+def fit_rates(rows: DataFrame, weights: list[float], budget: float | None) -> tuple[Column, list[float], float]:
     """(rate column over rows with mix_tokens and mix_p, target tokens per domain by
-    ``fit_targets``)."""
-    names = [f"e{d}" for d in range(len(weights))]
-
-    def expected(rate: Column) -> list[float]:
-        r = rows.select((rate * F.col("mix_tokens")).alias("wt"), "mix_p").agg(*(
-            F.sum(F.col("wt") * F.col("mix_p")[d]).alias(n) for d, n in enumerate(names))).first()
-        return [r[n] or 0.0 for n in names]
-
-    supply = expected(F.lit(1.0))
-    target = fit_targets(supply, weights, budget)
-    steps: list[list[float]] = []
-    for _ in range(STEPS):
-        now = expected(_rate(steps)) if steps else supply
-        gap = [(a - t) / s if s > 0 else 0.0 for a, t, s in zip(now, target, supply)]
-        if max(map(abs, gap), default=0.0) <= CLOSE:
+    ``fit_targets``, largest relative distance left between a target and what is expected).
+    Steps go on until the gradient is ``CLOSE`` to zero or no step gets lower, so a distance
+    that is left means that no nonnegative rates meet the targets."""
+    n = len(weights)
+    pairs = list(combinations_with_replacement(range(n), 2))
+
+    def totals(force: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Sums of tokens * w^2, of w * tokens * p and, over rows with w > 0, of tokens * p * p."""
+        p, t, w = F.col("mix_p"), F.col("mix_tokens"), F.col("w")
+        r = rows.select("mix_tokens", "mix_p", _rate(force).alias("w")).filter("w > 0").agg(
+            F.sum(t * w * w), *(F.sum(t * w * p[d]) for d in range(n)), *(F.sum(t * p[a] * p[b]) for a, b in pairs)).first()
+        r = [v or 0.0 for v in r]
+        square = np.zeros((n, n))
+        for (a, b), v in zip(pairs, r[1 + n:]):
+            square[a, b] = square[b, a] = v
+        return r[0], np.array(r[1:1 + n]), square
+
+    force = np.zeros(n)
+    now = totals(force)
+    supply = now[1]
+    target = fit_targets(supply.tolist(), weights, budget)
+    unit = np.where(supply > 0, supply, 1.0)
+    wanted = np.where(supply > 0, target, 0.0)
+    cost = lambda force, now: now[0] / 2 - wanted @ force + SLACK / 2 * (unit @ force ** 2)
+    while True:
+        slope = now[1] - wanted + SLACK * unit * force
+        if np.abs(slope / unit).max(initial=0.0) <= CLOSE:
             break
-        steps.append(gap)
-    return _rate(steps), target
+        step = -np.linalg.solve(now[2] + SLACK * np.diag(unit), slope)
+        best, length = cost(force, now), 1.0
+        while length > CLOSE:
+            then = totals(force + length * step)
+            if cost(force + length * step, then) < best + 1e-4 * length * (slope @ step):
+                break
+            length /= 2
+        else:
+            break
+        force, now = force + length * step, then
+    gap = [abs(a - t) / (t if t > 0 else s) for a, t, s in zip(now[1].tolist(), target, unit.tolist())]
+    return _rate(force), target, max(gap, default=0.0)
 
 
 def mix(docs: DataFrame, labels: DataFrame, domain: str, weights: dict, budget: float | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, tokens, p (posterior per domain, in the order of
-    ``weights``), rate and copies: the whole part of the rate, plus one with the fractional
-    part as probability (by a hash of id and text, so repeated rows agree).
+    ``weights``), rate, copies: the whole part of the rate, plus one with the fractional
+    part as probability (by a hash of id and text, so repeated rows agree), and gap, the
+    largest relative distance of a domain's expected tokens to its target (the same in every
+    row): more than rounding only where no rates meet the targets.
 
     ``labels`` holds doc_id and ``domain``; rows with other or null labels are left out of
     the fit, and without labels all posteriors are equal. Null and empty texts have 0
@@ -134,9 +156,10 @@ def mix(docs: DataFrame, labels: DataFrame, domain: str, weights: dict, budget:
     narrow = tables.scratch(with_features(docs.select("doc_id", "text")).drop("text"), "features")
     model = count_model(narrow, labels, domain, list(weights))
     rows = tables.scratch(with_posteriors(narrow, model), "posteriors")
-    rate, _ = fit_rates(rows, list(weights.values()), budget)
+    rate, _, gap = fit_rates(rows, list(weights.values()), budget)
     out = rows.select("doc_id", "mix_tokens", "mix_p", "mix_u", rate.alias("rate"))
-    return out.select("doc_id", F.col("mix_tokens").alias("tokens"), F.col("mix_p").alias("p"), "rate", _copies().alias("copies"))
+    return out.select("doc_id", F.col("mix_tokens").alias("tokens"), F.col("mix_p").alias("p"), "rate", _copies().alias("copies"),
+                      F.lit(gap).alias("gap"))
 
 
 def _copies() -> Column:
@@ -158,4 +181,4 @@ WEIGHTS = {1: 0.9, 0: 0.1}
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables.read(spark, sf_dir, "documents")
     mixed = mix(docs, tables.read(spark, sf_dir, "labels"), "quality", WEIGHTS)
-    return mixed.select("doc_id", "tokens", F.col("p")[0].alias("p_high"), F.col("p")[1].alias("p_low"), "rate", "copies")
+    return mixed.select("doc_id", "tokens", F.col("p")[0].alias("p_high"), F.col("p")[1].alias("p_low"), "rate", "copies", "gap")

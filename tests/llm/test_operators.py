@@ -313,6 +313,21 @@ def test_mixing_keeps_clean_documents_when_low_ones_are_scarce(spark, low):
     assert mixing.fit_targets([80.0, 0.0], [0.8, 0.2], 50.0) == pytest.approx([40.0, 10.0])
 
 
+def test_mixing_meets_targets_of_close_domains(spark):
+    rng = np.random.default_rng(7)
+    for width, weights in ((2, [0.9, 0.1]), (3, [0.5, 0.3, 0.2])):
+        p = rng.dirichlet(np.array([86.0, 14.0] if width == 2 else [30.0, 25.0, 20.0]) / 2, 500)
+        tokens = rng.integers(1, 500, 500)
+        rows = spark.createDataFrame([(int(t), x.tolist()) for t, x in zip(tokens, p)], "mix_tokens long, mix_p array<double>")
+        rate, target, gap = mixing.fit_rates(rows, weights, None)
+        w = np.array([r.rate for r in rows.select(rate.alias("rate")).collect()])
+        assert (w * tokens) @ p == pytest.approx(target, rel=1e-6) and gap < 1e-6 and w.min() >= 0
+    same = spark.createDataFrame([(10, [0.5, 0.5])] * 9, "mix_tokens long, mix_p array<double>")
+    rate, target, gap = mixing.fit_rates(same, [0.8, 0.2], 50.0)
+    got = same.select(rate.alias("rate")).first().rate
+    assert got * 45 == pytest.approx(25, rel=1e-3) and gap == pytest.approx(1.5, rel=1e-3)   # cannot be met: said
+
+
 def _auc(score, label):
     rank = np.argsort(np.argsort(score))
     return (rank[label].mean() - (label.sum() - 1) / 2) / (~label).sum()
