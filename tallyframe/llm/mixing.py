@@ -1,7 +1,10 @@
 """Mixing to target weights with soft domain membership, with DataFrame operations only.
 
-A naive Bayes classifier over binned text features is counted from the labelled table and
-predicts each document's posterior over the domains. Nonnegative rates w then minimise
+A naive Bayes classifier over the hashed words of the whole text, its share of distinct words
+and its length is counted from the labelled table and predicts each document's posterior over the domains. How far a text's words may be
+trusted is fitted as well: every labelled text is scored with the counts of the half it is
+not in, and the scale and the power of the length that suit the labels best are taken.
+Nonnegative rates w then minimise
 sum over domains of (expected tokens - target)^2 / share, where the expected tokens of a
 domain are the sum of w * tokens * posterior. Of the rates that do, the ones nearest to 1 are
 max(0, 1 + the sum of force * posterior) with one force per domain; the forces minimise a
@@ -20,62 +23,98 @@ from pyspark.sql import functions as F
 
 from . import tables
 
-BINS = 12
+BUCKETS = 1 << 16       # of word hashes: bounds the table of counts
+BINS = 12              # of the share of distinct words and of the length
+SCALES = [(2.0 ** k, power) for power in (0.0, 0.5, 1.0) for k in range(-6, 11)]   # score: scale * sum / length^power
 CLOSE = 1e-9            # gradient, relative to the supply, at which the steps end
 SLACK = 1e-9            # weight of the forces' squares: decides where targets cannot be met
 
 
-def _density(count: Column, size: Column) -> Column:
-    """log-scaled bin of count / size: 0 for none."""
-    return F.when(count <= 0, 0).otherwise(
-        F.least(F.lit(BINS - 1), F.greatest(F.lit(1), F.floor(F.log2(count / size) + BINS)))).cast("int")
-
-
-def with_features(docs: DataFrame) -> DataFrame:
-    """``docs`` with mix_u (a uniform hash of the row), mix_tokens (words between ASCII
-    blanks) and mix_bins, the binned features of each whole text."""
-    rest = docs.withColumn("mix_t", F.coalesce("text", F.lit("")))
+def with_words(docs: DataFrame) -> DataFrame:
+    """doc_id, mix_row (tells rows apart), mix_u (a uniform hash of the row), mix_half (0 or
+    1, by the same hash), mix_tokens (words between ASCII blanks), mix_bins (share of distinct
+    words and length) and mix_w, the buckets of all words in order."""
+    rest = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("mix_t"))
     rest = rest.withColumn("mix_w", F.split(F.trim(F.translate("mix_t", "\t\n\x0b\x0c\r", "     ")), " +"))
-    held = lambda ch: F.octet_length("mix_t") - F.octet_length(F.replace("mix_t", F.lit(ch)))
-    size = F.greatest(F.octet_length("mix_t"), F.lit(1))
-    words = F.when(F.col("mix_w")[0] == "", 0).otherwise(F.size("mix_w"))
-    bins = [_density(sum((held(c) for c in group[1:]), held(group[0])), size) for group in ("!", "|", "$#%&*")]
-    bins.append(_density(F.size(F.array_distinct("mix_w")), F.size("mix_w")))
-    bins.append(F.least(F.lit(BINS - 1), F.floor(F.log2(size) / 2)).cast("int"))
-    u = F.pmod(F.xxhash64("doc_id", "mix_t"), F.lit(1 << 30)) / float(1 << 30)
-    return (rest.withColumn("mix_u", u).withColumn("mix_tokens", words.cast("long"))
-            .withColumn("mix_bins", F.array(*bins)).drop("mix_t", "mix_w"))
-
-
-Model = list[tuple[float, list[list[float]]]]   # per domain: log prior, log probability by feature and bin
-
-
-def count_model(rows: DataFrame, labels: DataFrame, domain: str, domains: list) -> Model:
-    """Counted from all labelled rows; only the (domain, feature, bin) table is collected."""
-    known = labels.filter(F.col(domain).isin(*domains)).groupBy("doc_id").agg(F.max(domain).alias("d"))
-    seen = rows.join(known, "doc_id").select("d", F.posexplode("mix_bins").alias("j", "b"))
-    counts = {(r.d, r.j, r.b): r.n for r in seen.groupBy("d", "j", "b").agg(F.count(F.lit(1)).alias("n")).collect()}
-    width = 1 + max((j for _, j, _ in counts), default=-1)
-    model = []
-    for d in domains:
-        n = sum(v for (k, j, _), v in counts.items() if k == d and j == 0)
-        model.append((math.log(n + 1.0), [[math.log((counts.get((d, j, b), 0) + 0.5) / (n + 0.5 * BINS))
-                                           for b in range(BINS)] for j in range(width)]))
-    return model
-
-
-def with_posteriors(rows: DataFrame, model: Model) -> DataFrame:
-    """``rows`` with mix_p, the array of posteriors over the domains."""
-    score = []
-    for prior, features in model:
-        total = F.lit(prior)
-        for j, logs in enumerate(features):
-            total = total + F.element_at(F.array(*map(F.lit, logs)), F.element_at("mix_bins", j + 1) + 1)
-        score.append(total)
-    rows = rows.withColumn("mix_s", F.array(*score))
-    rows = rows.withColumn("mix_e", F.expr("transform(mix_s, x -> exp(x - array_max(mix_s)))"))
-    total = F.expr("transform(mix_e, x -> x / aggregate(mix_e, 0D, (a, y) -> a + y))")
-    return rows.withColumn("mix_p", total).drop("mix_s", "mix_e", "mix_bins")
+    some = F.col("mix_w")[0] != ""
+    share = F.least(F.lit(BINS - 1), F.floor(F.size(F.array_distinct("mix_w")) * F.lit(float(BINS)) / F.size("mix_w")))
+    length = F.least(F.lit(BINS - 1), F.floor(F.log2(F.octet_length("mix_t") + 1) / 2))
+    h = F.xxhash64("doc_id", "mix_t")
+    return rest.select("doc_id", F.monotonically_increasing_id().alias("mix_row"),
+                       (F.pmod(h, F.lit(1 << 30)) / float(1 << 30)).alias("mix_u"),
+                       F.pmod(F.shiftrightunsigned(h, 40), F.lit(2)).cast("int").alias("mix_half"),
+                       F.when(some, F.size("mix_w")).otherwise(0).cast("long").alias("mix_tokens"),
+                       F.array(share.cast("int"), length.cast("int")).alias("mix_bins"),
+                       F.when(some, F.transform("mix_w", lambda x: F.pmod(F.xxhash64(x), F.lit(BUCKETS)).cast("int")))
+                       .otherwise(F.array().cast("array<int>")).alias("mix_w"))
+
+
+def _log(count: Column, total: float) -> Column:
+    return F.log((count + 0.5) / (total + 0.5 * BUCKETS))
+
+
+def _sums(rows: DataFrame, table: DataFrame, logs: list[Column], keys: list[str]) -> DataFrame:
+    """Per row of ``rows``: ``keys``, the sum of ``logs`` over its words in ``table`` (s) and
+    their number (n). Words that no labelled text has say nothing."""
+    hit = (rows.select(*keys, F.explode_outer("mix_w").alias("b"))
+           .join(F.broadcast(table), "b", "left").select(*keys, *(v.alias(f"l{d}") for d, v in enumerate(logs))))
+    hit = hit.groupBy(*keys).agg(F.count("l0").alias("n"), *(F.sum(f"l{d}").alias(f"l{d}") for d in range(len(logs))))
+    return hit.select(*keys, "n", F.array(*(F.coalesce(f"l{d}", F.lit(0.0)) for d in range(len(logs)))).alias("s"))
+
+
+def _base(priors: list[float], shapes: list[list[list[float]]]) -> Column:
+    """Log prior of each domain plus the log probabilities of mix_bins."""
+    held = lambda logs, j: F.element_at(F.array(*map(F.lit, logs)), F.col("mix_bins")[j] + 1)
+    return F.array(*(sum((held(logs, j) for j, logs in enumerate(shape)), F.lit(p)) for p, shape in zip(priors, shapes)))
+
+
+def _scores(scale: Column, power: Column) -> Column:
+    """Score of each domain from base, s and n."""
+    at = scale / F.pow(F.greatest("n", F.lit(1)), power)
+    return F.zip_with("base", "s", lambda b, x: b + at * x)
+
+
+def with_posteriors(docs: DataFrame, labels: DataFrame, domain: str, domains: list) -> DataFrame:
+    """One row per row of ``docs``: doc_id, mix_u, mix_tokens and mix_p, the array of
+    posteriors over the domains. The driver holds a few numbers per domain only."""
+    rows = tables.scratch(with_words(docs), "words")
+    known = labels.filter(F.col(domain).isin(*domains)).groupBy("doc_id").agg(F.max(domain).alias("mix_d"))
+    index = F.coalesce(*(F.when(F.col("mix_d") == d, F.lit(i)) for i, d in enumerate(domains)))
+    taught = tables.scratch(rows.join(known.hint("shuffle_hash"), "doc_id").select("mix_row", "mix_half", "mix_bins", "mix_w", index.alias("d")), "taught")
+    cells = [(d, half) for d in range(len(domains)) for half in (0, 1)]
+    name = lambda d, half: f"c{d}_{half}"
+    # by bucket: words of each domain and half
+    table = tables.scratch(taught.select("d", "mix_half", F.explode("mix_w").alias("b")).groupBy("b").agg(*(
+        F.count(F.when((F.col("d") == d) & (F.col("mix_half") == half), 1)).alias(name(d, half)) for d, half in cells)), "buckets")
+    total = dict(zip(cells, (v or 0 for v in table.agg(*(F.sum(name(*c)) for c in cells)).first())))
+    bins = {(r.d, r.j, r.b): r.n for r in taught.select("d", F.posexplode("mix_bins").alias("j", "b"))
+            .groupBy("d", "j", "b").agg(F.count(F.lit(1)).alias("n")).collect()}
+    size = [sum(n for (k, j, _), n in bins.items() if (k, j) == (d, 0)) for d in range(len(domains))]
+    priors = [math.log(n + 1.0) for n in size]
+    shapes = [[[math.log((bins.get((d, j, b), 0) + 0.5) / (n + 0.5 * BINS)) for b in range(BINS)] for j in range(2)]
+              for d, n in enumerate(size)]
+
+    def unseen(d: int, half: int) -> Column:
+        """From the other half; null where no text of that half has the word."""
+        there = [F.col(name(e, 1 - half)) for e in range(len(domains))]
+        return F.when(sum(there[1:], there[0]) > 0, _log(there[d], total[d, 1 - half]))
+
+    other = [F.when(F.col("mix_half") == 0, unseen(d, 0)).otherwise(unseen(d, 1)) for d in range(len(domains))]
+    base = _base(priors, shapes).alias("base")
+    tried = tables.scratch(_sums(taught, table, other, ["mix_row", "mix_half", "mix_bins", "d"])
+                           .select("n", "s", "d", base), "tried")
+    scales = F.expr("array(" + ", ".join(f"struct({a}D AS scale, {b}D AS power)" for a, b in SCALES) + ")")
+    z = (tried.withColumn("by", F.explode(scales)).select("by", "d", _scores(F.col("by.scale"), F.col("by.power")).alias("z"))
+         .withColumn("m", F.array_max("z")))
+    loss = F.col("m") + F.log(F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("m")))) - F.element_at("z", F.col("d") + 1)
+    best = min(((r.loss, *r.by) for r in z.groupBy("by").agg(F.sum(loss).alias("loss")).collect()), default=(0.0, *SCALES[0]))
+
+    logs = [_log(F.col(name(d, 0)) + F.col(name(d, 1)), total[d, 0] + total[d, 1]) for d in range(len(domains))]
+    scored = _sums(rows, table, logs, ["mix_row", "doc_id", "mix_u", "mix_tokens", "mix_bins"])
+    scored = scored.select("doc_id", "mix_u", "mix_tokens", "n", "s", base)
+    scored = scored.withColumn("z", _scores(F.lit(best[1]), F.lit(best[2])))
+    scored = scored.withColumn("e", F.expr("transform(z, x -> exp(x - array_max(z)))"))
+    return scored.select("doc_id", "mix_u", "mix_tokens", F.expr("transform(e, x -> x / aggregate(e, 0D, (a, y) -> a + y))").alias("mix_p"))
 
 
 def _rate(force: np.ndarray) -> Column:
@@ -153,9 +192,7 @@ def mix(docs: DataFrame, labels: DataFrame, domain: str, weights: dict, budget:
     token of a wanted domain is dropped (``fit_targets``). A domain with no or too little
     supply keeps what it has and the others are not shrunk to it. Other columns are ignored; an empty table gives an empty result.
     """
-    narrow = tables.scratch(with_features(docs.select("doc_id", "text")).drop("text"), "features")
-    model = count_model(narrow, labels, domain, list(weights))
-    rows = tables.scratch(with_posteriors(narrow, model), "posteriors")
+    rows = tables.scratch(with_posteriors(docs, labels, domain, list(weights)), "posteriors")
     rate, _, gap = fit_rates(rows, list(weights.values()), budget)
     out = rows.select("doc_id", "mix_tokens", "mix_p", "mix_u", rate.alias("rate"))
     return out.select("doc_id", F.col("mix_tokens").alias("tokens"), F.col("mix_p").alias("p"), "rate", _copies().alias("copies"),

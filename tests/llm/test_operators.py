@@ -313,6 +313,18 @@ def test_mixing_keeps_clean_documents_when_low_ones_are_scarce(spark, low):
     assert mixing.fit_targets([80.0, 0.0], [0.8, 0.2], 50.0) == pytest.approx([40.0, 10.0])
 
 
+def test_mixing_learns_domains_from_words(spark):
+    rng = np.random.default_rng(8)
+    sides = [[f"{c}{i:02d}" for i in range(60)] + WORDS[:40] for c in "ab"]     # no marks, same lengths
+    rows = [(i, " ".join(rng.choice(sides[i % 2], 30)) + (" # $ ! | &" if i % 3 else "")) for i in range(300)]
+    made = spark.createDataFrame([*rows, (7, rows[7][1]), (900, None), (901, " ")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(150)], "doc_id long, quality int")
+    got = mixing.mix(made, labels, "quality", {1: 0.5, 0: 0.5}).collect()
+    assert len(got) == 303 and all(sum(r.p) == pytest.approx(1) for r in got)
+    assert all(r.p[0 if r.doc_id % 2 else 1] > 0.9 for r in got if r.doc_id < 300)
+    assert all(r.tokens == 0 and 0 < r.p[0] < 1 for r in got if r.doc_id >= 900)
+
+
 def test_mixing_meets_targets_of_close_domains(spark):
     rng = np.random.default_rng(7)
     for width, weights in ((2, [0.9, 0.1]), (3, [0.5, 0.3, 0.2])):
