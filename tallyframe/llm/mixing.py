@@ -204,11 +204,14 @@ def _copies() -> Column:
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, domain: str, weights: dict) -> DataFrame:
-    """The rows of ``docs`` that the mixture takes (copies of at least 1), each once, with
-    their own columns. Rows whose doc_id is null stay."""
-    left = tables.scratch(mix(docs, labels, domain, weights).filter("copies < 1 AND doc_id IS NOT NULL")
-                          .select("doc_id").distinct(), "left_out")
-    return docs.join(left, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` as often as the mixture takes them, with their own columns. Rows
+    whose doc_id is null and rows of 0 tokens stay once; different texts of one doc_id are
+    taken as often as the one that is taken most."""
+    often = F.max(F.when(F.col("tokens") > 0, F.col("copies")).otherwise(1)).alias("mix_copies")
+    other = tables.scratch(mix(docs, labels, domain, weights).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(often)
+                           .filter("mix_copies <> 1"), "copies")
+    taken = docs.join(other, "doc_id", "left").filter("mix_copies IS NULL OR mix_copies > 0")
+    return taken.withColumn("mix_copy", F.explode(F.expr("sequence(1, coalesce(mix_copies, 1))"))).select(*docs.columns)
 
 
 # Domains are the quality labels; the low one is kept at a tenth of the tokens.

@@ -340,6 +340,14 @@ def test_mixing_meets_targets_of_close_domains(spark):
     assert got * 45 == pytest.approx(25, rel=1e-3) and gap == pytest.approx(1.5, rel=1e-3)   # cannot be met: said
 
 
+def test_mixed_documents_come_as_often_as_taken(spark, monkeypatch):
+    made = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, ""), (None, "d")], "doc_id long, text string")
+    taken = spark.createDataFrame([(1, 1, 0), (2, 1, 1), (3, 1, 3), (4, 0, 0), (None, 1, 0)], "doc_id long, tokens long, copies int")
+    monkeypatch.setattr(mixing, "mix", lambda *_: taken)
+    got = Counter(r.text for r in mixing.mixed_documents(made, None, "quality", {1: 1.0}).collect())
+    assert got == {"b": 1, "c": 3, "": 1, "d": 1}
+
+
 def _auc(score, label):
     rank = np.argsort(np.argsort(score))
     return (rank[label].mean() - (label.sum() - 1) / 2) / (~label).sum()
