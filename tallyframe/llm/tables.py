@@ -14,11 +14,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
+
+
 def scratch(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back: later steps
     start from files all executors share, so a lost executor costs no recomputation."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
+    path = folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
