@@ -3,7 +3,8 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that ``run`` writes as
 Parquet below ``spark.checkpoint.dir`` and rereads as the next stage's input. All stages but
 the last return the columns of ``documents``. Rows whose doc_id is null cannot be named by a
-decision: the stages that join on ids keep them.
+decision on ids alone: stages that join on ids keep them; near duplicates are told by their
+text as well.
 """
 
 from __future__ import annotations
@@ -15,21 +16,24 @@ from tallyframe.llm import decontaminate as leaks
 from tallyframe.llm import kd_shards, mixing, near_dedup, tables, toxicity
 
 SHARD_BYTES = 32 << 20
+# names that no table brings along
+ID, TEXT, KEY, SCORE = "__first_id", "__first_text", "__text_key", "__toxicity"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the operator's threshold."""
     model = toxicity.train(docs, tables.read(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, "toxicity_score")
-    return scored.filter(F.col("toxicity_score") < toxicity.THRESHOLD).select(*docs.columns)
+    return toxicity.score(docs, model, SCORE).filter(F.col(SCORE) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (five words, 0.8): the smallest doc_id.
-    Repeated rows of one doc_id count as copies."""
-    kept = near_dedup.near_duplicates(docs, k=5, percent=80).filter("kept").select("doc_id")
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+    """One document of each near-duplicate group (five words, 0.8): the text of the smallest
+    doc_id. Rows that repeat a doc_id and its text count as copies; texts without words stay."""
+    first = (near_dedup.near_duplicates(docs, k=5, percent=80).filter("first")
+             .select(F.col("doc_id").alias(ID), F.col("text_key").alias(TEXT)).distinct())
+    named = docs.withColumn(KEY, F.xxhash64("text"))
+    return (named.join(first, F.col("doc_id").eqNullSafe(F.col(ID)) & (F.col(KEY) == F.col(TEXT)), "left_semi")
+            .dropDuplicates(["doc_id", KEY]).select(*docs.columns))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """MinHash near-duplicates by a signature-coordinate inverted join.
 
 1. Every text becomes its set of ``k``-word shingles and a signature of ``COORDS`` minima;
-   texts with the same set form one class, represented by the smallest id.
+   texts with the same set form one class, represented by the text of the smallest id (null
+   last). A class's key is that id followed by eight bytes of the set's digest, so keys sort
+   by id, and an id that names several texts, or none, still tells classes apart.
 2. Each class is posted under its (coordinate, value) pairs. Pairs that only one class
    holds cannot collide and go; a class with fewer than ``MATCH`` left has no partner.
 3. Prefix: with each class's postings ordered by (frequency, key), two classes that agree
@@ -35,8 +37,9 @@ MATCH = 20
 SMALL = 32
 BLOCK = 128
 
-SIGNED = "doc_id long, n_shingles long, set_id binary, sig array<int>"
-_MASK = np.uint64((1 << 64) - 1)
+SIGNED = "doc_id long, text_key long, n_shingles long, set_id binary, sig array<int>"
+LAST = 2**63 - 1                 # stands for a null id: any id is smaller
+LINKS = "a binary, b binary"
 
 
 def _coefficients() -> tuple[np.ndarray, np.ndarray]:
@@ -69,14 +72,15 @@ def _sign(k: int):
             offsets = np.concatenate([[0], np.cumsum(full * COORDS)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
                 block.column("doc_id").combine_chunks().cast(pa.int64()),
-                pa.array(n, pa.int64()), pa.array(ids, pa.binary()),
+                block.column("text_key").combine_chunks(), pa.array(n, pa.int64()), pa.array(ids, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig.reshape(-1).view(np.int32))),
-            ], ["doc_id", "n_shingles", "set_id", "sig"])
+            ], ["doc_id", "text_key", "n_shingles", "set_id", "sig"])
     return run
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    return docs.select("doc_id", "text").mapInArrow(_sign(k), SIGNED)
+    """Set and signature of every row; ``text_key`` is a hash of the text as it stands."""
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(_sign(k), SIGNED)
 
 
 def _forest(linked: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -96,24 +100,24 @@ def _forest(linked: np.ndarray) -> Iterator[tuple[int, int]]:
             stack.extend(new.tolist())
 
 
-def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()),
-                                       pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
+def _edges(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.binary()),
+                                       pa.array([x[1] for x in found], pa.binary())], ["a", "b"])
 
 
 def _merge_lists(match: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: list[tuple[int, int]] = []
+            found: list[tuple[bytes, bytes]] = []
             col = batch.column("members")
             offsets = col.offsets.to_numpy()
             flat = col.values
-            reps = flat.field("rep").to_numpy()
+            reps = flat.field("rep").to_pylist()
             sigs = flat.field("sig").values.to_numpy().reshape(-1, COORDS)
             for a, b in zip(offsets[:-1], offsets[1:]):
                 s = sigs[a:b]
                 same = (s[:, None, :] == s[None, :, :]).sum(2) >= match
-                found += [(int(reps[a + i]), int(reps[a + j])) for i, j in _forest(same)]
+                found += [(reps[a + i], reps[a + j]) for i, j in _forest(same)]
             yield _edges(found)
     return run
 
@@ -153,7 +157,7 @@ def _check_families(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, reps, sets = None, [], []
         for batch in batches:
-            found: list[tuple[int, int]] = []
+            found: list[tuple[bytes, bytes]] = []
             for u, i, j, rep, shingles in zip(*(c.to_pylist() for c in batch.columns)):
                 if (u, i, j) != key:
                     found += close(key, reps, sets)
@@ -181,19 +185,27 @@ def _texts_to_sets(k: int):
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept, text_key,
+    first.
 
     Links: 100 * intersection >= ``percent`` * union of distinct ``k``-word shingle sets;
     component_id is the smallest doc_id reachable. Texts without words (null, empty) have
-    set size 0 and link with nothing. Repeated rows share a class. A row whose doc_id is
-    null links like any other but its own id never names a component; if it is alone its
-    component_id is null. kept = (doc_id = component_id). Other columns are ignored; an
-    empty table gives an empty result.
+    set size 0 and link with nothing. Repeated rows share a class; a doc_id with several texts
+    is linked through each of them. A row whose doc_id is null links, and joins others, like
+    any other, but a component takes its name from the ids that are there: one of null ids only
+    has component_id null. kept = (doc_id = component_id). ``first`` marks one text of each
+    component, that of the smallest id (of several texts of that id the one with the smallest
+    digest), and every text without words; rows that repeat it are marked as well. ``text_key``
+    is a 64-bit hash of the text as it stands. Other columns are ignored; an empty table gives
+    an empty result. Texts of any length are taken whole.
     """
     signed = tables.scratch(signatures(docs, k), "signatures")
+    known = F.coalesce("doc_id", F.lit(LAST))
+    key = F.concat(F.unhex(F.lpad(F.hex(F.col("m.id").bitwiseXOR(F.lit(-2**63))), 16, "0")),
+                   F.substring("set_id", 1, 8))
     classes = (signed.filter("set_id IS NOT NULL").groupBy("set_id")
-               .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("rep"), "sig")).alias("m"))
-               .select("set_id", "m.rep", "m.sig").filter(f"rep < {2**63 - 1}"))
+               .agg(F.min(F.struct(known.alias("id"), "text_key", "sig")).alias("m"))
+               .select("set_id", key.alias("rep"), "m.id", "m.text_key", "m.sig"))
     classes = tables.scratch(classes, "classes")
 
     posted = (classes.select("rep", F.posexplode("sig").alias("at", "value"))
@@ -209,10 +221,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     small = (prefix.filter(F.col("df") <= SMALL).join(classes.select("rep", "sig"), "rep")
              .groupBy("key").agg(F.collect_list(F.struct("rep", "sig")).alias("members"))
              .filter(F.size("members") > 1).select("members")
-             .mapInArrow(_merge_lists(MATCH), "a long, b long"))
+             .mapInArrow(_merge_lists(MATCH), LINKS))
     large = prefix.filter(F.col("df") > SMALL).select("rep", "key")
-    first = large.groupBy("key").agg(F.min("rep").alias("a"))
-    tied = large.join(first, "key").select("a", F.col("rep").alias("b")).distinct()
+    head = large.groupBy("key").agg(F.min("rep").alias("a"))
+    tied = large.join(head, "key").select("a", F.col("rep").alias("b")).distinct()
     # one edge from each member to the smallest first class of its lists, and one from every
     # other first class of those lists to that one: as connected, with far fewer edges
     least = tied.groupBy("b").agg(F.min("a").alias("m"))
@@ -221,24 +233,30 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     links = tables.scratch(_verify(docs, classes, units, k, percent), "links")
     label = tables.components(links)
-    named = (classes.select("set_id", "rep")
+    # keys sort by id: a component's label is the key of its first class
+    unit = F.coalesce("label", "rep")
+    lead = F.conv(F.hex(F.substring(unit, 1, 8)), 16, 10).cast("decimal(20,0)") - F.expr("cast(9223372036854775808 AS decimal(20, 0))")
+    named = (classes.select("set_id", "rep", F.col("text_key").alias("lead_text"))
              .join(label.select(F.col("node").alias("rep"), "label"), "rep", "left")
-             .select("set_id", F.coalesce("label", "rep").alias("component")))
-    out = signed.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
-    component = F.coalesce("component", "doc_id")
+             .select("set_id", (unit == F.col("rep")).alias("leads"), "lead_text",
+                     F.nullif(lead.cast("long"), F.lit(LAST)).alias("component")))
+    out = signed.select("doc_id", "text_key", "n_shingles", "set_id").join(named, "set_id", "left")
+    component = F.when(F.col("leads").isNull(), F.col("doc_id")).otherwise(F.col("component"))
+    leads = F.col("leads") & (F.col("text_key") == F.col("lead_text")) & F.col("doc_id").eqNullSafe(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+                      F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), "text_key",
+                      F.coalesce(leads, F.lit(True)).alias("first"))
 
 
 def _verify(docs: DataFrame, classes: DataFrame, units: DataFrame, k: int, percent: int) -> DataFrame:
     """Exact links within the candidate families, as spanning forests of block pairs."""
     members = (units.select(F.col("node").alias("rep"), F.col("label").alias("unit"))
-               .join(classes.select("rep", "set_id"), "rep"))
-    texts = (docs.select("doc_id", "text")
-             .join(members.hint("shuffle_hash"), F.col("doc_id") == F.col("rep"))
+               .join(classes.select("rep", "set_id", "id", F.col("text_key").alias("wanted")), "rep"))
+    texts = (docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("at"), F.xxhash64("text").alias("text_key"), "text")
+             .join(members.hint("shuffle_hash"), (F.col("at") == F.col("id")) & (F.col("text_key") == F.col("wanted")))
              .select("unit", "rep", "set_id", "text"))
-    sets = tables.scratch(texts.mapInArrow(_texts_to_sets(k), "unit long, rep long, shingles binary"), "sets")
-    blocks = (sets.groupBy("unit").agg(F.count(F.lit(1)).alias("n"))
+    sets = tables.scratch(texts.mapInArrow(_texts_to_sets(k), "unit binary, rep binary, shingles binary"), "sets")
+    blocks = (sets.groupBy("unit").agg(F.count_distinct("rep").alias("n"))
               .select("unit", F.ceil(F.col("n") / BLOCK).cast("int").alias("nb")))
     placed = (sets.dropDuplicates(["rep"]).join(blocks, "unit")
               .withColumn("at", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
@@ -246,8 +264,11 @@ def _verify(docs: DataFrame, classes: DataFrame, units: DataFrame, k: int, perce
               .select("unit", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"),
                       "rep", "shingles"))
     return (placed.repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j")
-            .mapInArrow(_check_families(percent), "a long, b long"))
+            .mapInArrow(_check_families(percent), LINKS))
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(tables.read(spark, sf_dir, "documents"), k=4, percent=80)
+    """Near duplicates of ``documents`` at four words and 0.8; nulls, empty and long texts, ties
+    and repeated rows as ``near_duplicates`` says. Returns doc_id, n_shingles, component_id, kept."""
+    found = near_duplicates(tables.read(spark, sf_dir, "documents"), k=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")

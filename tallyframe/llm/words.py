@@ -118,7 +118,8 @@ def shingles(ids: np.ndarray, counts: np.ndarray, hashes: np.ndarray, k: int
         acc = v.copy()
         for j in range(1, k):
             acc *= np.uint64(0x9E3779B97F4A7C15)
-            acc[:len(v) - j] += v[j:]
+            if j < len(v):
+                acc[:-j] += v[j:]
         whole = np.ones(len(v), bool)      # positions with k words left in their text
         for j in range(1, k):
             whole[(stop - j)[n >= j]] = False
