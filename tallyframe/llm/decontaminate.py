@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from . import tables, words
 
 RATE = 0.06
-LEAST = 20              # normalised characters an item needs to be searched for
+LEAST = 20              # items of fewer normalised characters are searched for as whole words, without edits
 SLAB_CHARS = 512 << 10  # item characters per pass over the documents: bounds the automaton
 
 HITS = "doc_id long, item_id long, distance int, start long, end long"
@@ -75,11 +75,16 @@ def _windows(diagonals: list[int], m: int, k: int) -> Iterator[tuple[int, int, i
     yield a - k, b + m + k, a
 
 
+def _whole_words(text: str, diagonals: list[int], m: int) -> int | None:
+    """First of the places at which ``m`` characters begin and end at word borders."""
+    return min((d for d in diagonals if not (d and text[d - 1].isalnum()) and not text[d + m:d + m + 1].isalnum()), default=None)
+
+
 def _search(items: list[tuple[int, str]], rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
         owners: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        budget = [int(rate * len(t)) for _, t in items]
+        budget = [int(rate * len(t)) if len(t) >= LEAST else 0 for _, t in items]
         for n, (_, text) in enumerate(items):
             for at, piece in pieces(text, budget[n]):
                 owners[piece].append((n, at + len(piece) - 1))
@@ -98,6 +103,11 @@ def _search(items: list[tuple[int, str]], rate: float):
                 for n, diagonals in found.items():
                     item_id, item = items[n]
                     m, k = len(item), budget[n]
+                    if m < LEAST:
+                        at = _whole_words(text, diagonals, m)
+                        if at is not None:
+                            rows.append((doc_id, item_id, 0, at, at + m))
+                        continue
                     best = None
                     for a, b, d in _windows(diagonals, m, k):
                         if text.startswith(item, max(0, d)) and d >= 0:
@@ -122,16 +132,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> Dat
     normalised text (for distance above 0 the start is end - item length).
 
     The benchmark is the stated query set: it is read in slabs of ``SLAB_CHARS`` characters,
-    one pass over the documents each. Null and empty texts hold nothing; items that are null
-    or shorter than ``LEAST`` normalised characters are not searched for; repeated items and
-    rows are reported each; a null doc_id stays null. Other columns are ignored; an empty
-    table on either side gives an empty result.
+    one pass over the documents each. Items of fewer than ``LEAST`` normalised characters,
+    where an edit could make another word, are found without edits and between word borders
+    (no letter or digit before or after). Null and empty texts hold nothing, null and blank
+    items are in nothing; repeated items and rows are reported each; of several places the
+    one with the fewest edits, then the first, is given; a null doc_id stays null. Texts of
+    any length are searched whole. Other columns are ignored; an empty table on either side
+    gives an empty result.
     """
     slabs: list[list[tuple[int, str]]] = [[]]
     size = 0
     for r in benchmark.select("item_id", "text").filter("text IS NOT NULL").toLocalIterator():
         text = normalise(r.text.encode())
-        if len(text) < LEAST:
+        if not text:
             continue
         if size + len(text) > SLAB_CHARS and slabs[-1]:
             slabs.append([])
@@ -149,4 +162,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> Dat
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaks of ``benchmark`` in ``documents``; nulls, short items, ties and repeated rows as
+    ``find_leaks`` says."""
     return find_leaks(tables.read(spark, sf_dir, "documents"), tables.read(spark, sf_dir, "benchmark"))
