@@ -12,6 +12,7 @@ on their own, so decoding is vectorised over all blocks and any block can be rea
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
@@ -54,6 +55,16 @@ def _selectors(bits: np.ndarray) -> np.ndarray:
     return best
 
 
+_BITS = np.array([n.bit_length() for n in range(1 << 16)], np.uint8)
+
+
+def _bit_lengths(ids: np.ndarray) -> np.ndarray:
+    if len(ids) and ids.max() >> np.uint64(16):
+        high = ids >> np.uint64(16)
+        return np.where(high > 0, 16 + _bit_lengths(high), _BITS[ids & np.uint64(0xFFFF)]).astype(np.uint8)
+    return _BITS[ids.astype(np.int64)]
+
+
 def encode(ids: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], list[bytes]]:
     """(offsets, words) of each of the consecutive lists of uint64 ids."""
     blocks = -(-counts // BLOCK)
@@ -64,8 +75,10 @@ def encode(ids: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], list[bytes
     grid = np.zeros((len(owner), BLOCK + 60), np.uint64)
     row = np.repeat(np.arange(len(owner)), size)
     col = np.arange(len(row)) - (np.cumsum(size) - size)[row]
-    grid[row, col] = ids[first[row] + col]
-    bits = np.frexp(grid.astype(np.float64))[1].astype(np.uint8)
+    flat = ids[first[row] + col]
+    grid[row, col] = flat
+    bits = np.zeros(grid.shape, np.uint8)
+    bits[row, col] = _bit_lengths(flat)
     pick = _selectors(bits)
     out = np.zeros((len(owner), 2 * BLOCK), np.uint64)
     packed = np.zeros(len(owner), np.int64)
@@ -162,6 +175,7 @@ _CHARS = "".join(" " if b == 32 else _BYTES.get(b, chr(b)) for b in range(256))
 # Lower-case Latin letters, then marks: two pieces for tokenizers that split words from punctuation.
 _PLAIN = r"^(?P<letters>[a-z\x{df}-\x{f6}\x{f8}-\x{ff}]+)(?P<marks>[!-&(-/:;=?@\[\]^{}~]*)$"
 _JOINED = 2000         # pieces encoded as one text
+KEPT = 500_000         # pieces that a worker remembers
 
 
 def _ragged(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -176,25 +190,67 @@ def _gather(flat: np.ndarray, size: np.ndarray, pick: np.ndarray) -> np.ndarray:
     return flat[np.repeat(shift, n) + np.arange(int(n.sum()))]
 
 
+# The split rule under which a run of letters and the marks behind it are two pieces.
+_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_HARMLESS = ({"type": "NFC"}, {"type": "Lowercase"},
+             {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "})
+
+
+def _two_pieces(rules: dict) -> bool:
+    """Whether a tokenizer's own description says that plain words (``_PLAIN``) are encoded
+    piece by piece in their byte characters, with nothing before or after."""
+    def steps(part: dict | None, inner: str) -> list[dict]:
+        return [] if part is None else part[inner] if part["type"] == "Sequence" else [part]
+
+    cuts = steps(rules["pre_tokenizer"], "pretokenizers")
+    return (rules["model"]["type"] == "BPE" and bool(rules["model"].get("end_of_word_suffix"))
+            and rules["post_processor"] is None
+            and all(n in _HARMLESS for n in steps(rules["normalizer"], "normalizers"))
+            and len(cuts) == 2 and cuts[0].get("pattern") == {"Regex": _RULE} and cuts[0].get("invert") is True
+            and cuts[0].get("behavior") == "Removed" and cuts[1]["type"] == "ByteLevel"
+            and not cuts[1].get("use_regex", True) and not cuts[1].get("add_prefix_space", True))
+
+
+class _Pieces:
+    """Ids of pieces met before by this worker, ``KEPT`` pieces at most."""
+
+    def __init__(self):
+        self.at: dict[str, int] = {}
+        self.flat, self.size = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+
+    def __call__(self, known: list[str], encode_) -> tuple[np.ndarray, np.ndarray] | None:
+        new = [p for p in known if p not in self.at]
+        if len(self.at) + len(new) > KEPT:
+            self.__init__()
+            new = known
+        found = encode_(new)
+        if found is None:
+            return None
+        self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
+        self.flat, self.size = ([np.concatenate([*x, y])] for x, y in zip((self.flat, self.size), found))
+        pick = np.fromiter(map(self.at.__getitem__, known), np.int64, len(known))
+        return _gather(self.flat[0], self.size[0], pick), self.size[0][pick]
+
+
 class _Encoder:
-    """Ids of distinct words. Words of plain letters and marks go piece by piece straight to
-    the tokenizer's model, many pieces joined by blanks at a time and told apart by the
-    model's end-of-word tokens, if a probe of the block's words shows that to be the same;
-    all other words take the whole tokenizer."""
+    """Ids of distinct words. Where the tokenizer's description allows it (``_two_pieces``),
+    words of plain letters and marks go piece by piece straight to the tokenizer's model, many
+    pieces joined by blanks at a time and told apart by the model's end-of-word tokens; all
+    other words, and all words of other tokenizers, take the whole tokenizer."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
+        rules = json.loads(self.tok.to_str())
         same = self.tok.encode_batch_fast(["Abc XYZ", "abc xyz"], add_special_tokens=False)
         self.lowers = same[0].ids == same[1].ids
-        suffix = getattr(self.tok.model, "end_of_word_suffix", None)
-        self.ends = None
-        if suffix:
+        self.ends, self.kept = None, _Pieces()
+        if _two_pieces(rules):
             self.bare = Tokenizer(self.tok.model)
             self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
             vocab = self.tok.get_vocab()
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
-            self.ends[[n for token, n in vocab.items() if token.endswith(suffix)]] = True
+            self.ends[[n for token, n in vocab.items() if token.endswith(rules["model"]["end_of_word_suffix"])]] = True
 
     def whole(self, words_: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out = []
@@ -213,13 +269,10 @@ class _Encoder:
             return None
         return flat, np.diff(stop, prepend=0)
 
-    def _split(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of plain words through their pieces."""
-        parts = pc.extract_regex(vocab, _PLAIN)
-        if parts.null_count:
-            return None
+    def _split(self, parts: pa.StructArray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of plain words from their letters and marks."""
         letters, marks = (parts.field(n).dictionary_encode() for n in ("letters", "marks"))
-        found = self.pieces(letters.dictionary.to_pylist())
+        found = self.kept(letters.dictionary.to_pylist(), self.pieces)
         signs = marks.dictionary.to_pylist()
         ended = self.pieces([m for m in signs if m])
         if found is None or ended is None:
@@ -232,15 +285,11 @@ class _Encoder:
 
     def __call__(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per word)."""
-        plain = pc.match_substring_regex(vocab, _PLAIN).to_numpy(zero_copy_only=False)
-        if self.ends is None or not plain.any():
-            return self.whole(vocab.to_pylist())
-        easy = vocab.filter(pa.array(plain))
-        probe = easy.slice(0, 2000)
-        got, want = self._split(probe), self.whole(probe.to_pylist())
-        if got is None or not all(np.array_equal(x, y) for x, y in zip(got, want)):
+        if self.ends is None or not len(vocab):
             return self.whole(vocab.to_pylist())
-        found = self._split(easy)
+        parts = pc.extract_regex(vocab, _PLAIN)
+        plain = parts.is_valid().to_numpy(zero_copy_only=False)
+        found = self._split(parts.filter(pa.array(plain)))
         if found is None:
             return self.whole(vocab.to_pylist())
         rest = self.whole(vocab.filter(pa.array(~plain)).to_pylist())
@@ -250,6 +299,15 @@ class _Encoder:
         return _gather(np.concatenate([found[0], rest[0]]), size, at), size[at]
 
 
+_ENCODERS: dict[str, _Encoder] = {}     # of this worker process, by tokenizer file
+
+
+def _encoder(path: str) -> _Encoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = _Encoder(path)
+    return _ENCODERS[path]
+
+
 def _block_words(text: pa.Array, lowers: bool) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(numbers of all words in order, words per text, the block's distinct words). Words are
     runs without the six ASCII blanks; null counts as empty. Where the tokenizer lower-cases
@@ -274,7 +332,7 @@ def _block_words(text: pa.Array, lowers: bool) -> tuple[np.ndarray, np.ndarray,
 def _tokenize(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = _Encoder(path)
+        encoder = _encoder(path)
         for block in words.text_blocks(batches, BLOCK_BYTES):
             ids, n_words, vocab = _block_words(block.column("text").combine_chunks(), encoder.lowers)
             flat, size = encoder(vocab)
