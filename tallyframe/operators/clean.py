@@ -88,9 +88,10 @@ def count_nulls_in(df: DataFrame, subset: Sequence[str]) -> DataFrame:
 def impute_mean_mode(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
     """Numeric NULL -> column mean; categorical NULL -> mode (smallest on ties), or
     'Desconocido' when the column has no value at all."""
-    aggs = [F.avg(c).alias(f"_f{i}") for i, c in enumerate(numeric)]
-    aggs += [F.mode(c, deterministic=True).alias(f"_m{i}") for i, c in enumerate(categorical)]
-    fills = df.agg(*aggs)
+    from .stats import mode
+    fills = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.avg(c).alias(f"_f{i}") for i, c in enumerate(numeric)])
+    for i, c in enumerate(categorical):       # one row each: counted values, not a map of them in one task
+        fills = fills.crossJoin(mode(df, c).withColumnRenamed("mode", f"_m{i}"))
     j = df.crossJoin(F.broadcast(fills))
     out = []
     for c in df.columns:
@@ -105,7 +106,7 @@ def impute_mean_mode(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
 
 def impute_median(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """NULL -> median, falling back to mean, then 0 (median of nothing -> mean of
-    nothing -> 0). Exact medians come from one sorted pass over the stacked columns."""
+    nothing -> 0). Exact medians come from one radix selection over the stacked columns."""
     from .stats import quantiles
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_s")

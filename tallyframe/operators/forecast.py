@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .linear import gram, gram_matrix, ridge_cv, ridge_from_gram, solve
-from .ranks import group_positions
+from .ranks import series_positions
 
 Z95 = 1.959963984540054
 
@@ -298,9 +298,9 @@ def arima_forecast(df: DataFrame, y: str, t: str, model: DataFrame, keys: Sequen
     when d >= 1). Output: keys, step, forecast, lower, upper.
     """
     keys, exog = list(keys), list(exog)
-    pos = group_positions(df.select(*keys, t, F.col(y).cast("double").alias("_y"),
+    pos = series_positions(df.select(*keys, t, F.col(y).cast("double").alias("_y"),
                                     *[F.col(c).cast("double").alias(f"_e{j}") for j, c in enumerate(exog)]),
-                          keys, t, "_pos", "_n", method="window")
+                          keys, t, "_pos", "_n")
     j = pos.join(model, keys) if keys else pos.crossJoin(F.broadcast(model))
     ne = len(exog)
 
@@ -411,7 +411,7 @@ def fourier_model(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), alpha
     on the rest and the fitted coefficients. Changepoints are not modelled."""
     keys = list(keys)
     x, names = fourier_features(df, t, seasonality or SEASONALITY)
-    pos = group_positions(x, keys, t, "_pos", "_n", method="window")
+    pos = series_positions(x, keys, t, "_pos", "_n")
     train = pos.where(F.col("_pos") <= F.floor(F.col("_n") * split))
     from .linear import ridge_fit
     fit = ridge_fit(train, y, names, keys, alpha=alpha, standardize=[])
@@ -485,7 +485,7 @@ def backtest(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), hold: int
     ``order``) and trend + yearly Fourier seasonality. Series with n <= hold are skipped.
     Output: keys, model, mae, rmse, held_out."""
     keys = list(keys)
-    pos = group_positions(df.select(*keys, t, y), keys, t, "_pos", "_n", method="window").where(F.col("_n") > hold)
+    pos = series_positions(df.select(*keys, t, y), keys, t, "_pos", "_n").where(F.col("_n") > hold)
     train = pos.where(F.col("_pos") <= F.col("_n") - hold).drop("_pos", "_n")
     test = pos.where(F.col("_pos") > F.col("_n") - hold).withColumn("step", (F.col("_pos") - F.col("_n") + hold).cast("int"))
     scored = []
@@ -553,7 +553,7 @@ def hybrid(df: DataFrame, y: str, t: str, xcols: Sequence[str], keys: Sequence[s
     keys, xcols = list(keys), list(xcols)
     df = cut_lineage(df.select(*keys, t, y, *xcols))  # period series, reused by every step below
     lin = ridge_cv(df, y, xcols, t, keys, alphas=alphas, scheme="timeseries", folds=folds, scoring="r2",
-                   positions="window", standardize=standardize)
+                   standardize=standardize)
     j = df.join(lin, keys) if keys else df.crossJoin(F.broadcast(lin))
     yhat = F.col("intercept")
     for i, c in enumerate(xcols):

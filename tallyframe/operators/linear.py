@@ -205,7 +205,7 @@ def _fold_block(scheme: str, folds: int) -> Column:
 
 def ridge_cv(df: DataFrame, y: str, xcols: Sequence[str], t: str, keys: Sequence[str] = (),
              alphas: Sequence[float] = tuple(np.logspace(-3, 3, 50)), scheme: str = "kfold",
-             folds: int = 5, scoring: str = "neg_mse", positions: str = "range",
+             folds: int = 5, scoring: str = "neg_mse",
              standardize: Sequence[str] | None = None) -> DataFrame:
     """Alpha search per series in ONE data pass.
 
@@ -223,8 +223,7 @@ def ridge_cv(df: DataFrame, y: str, xcols: Sequence[str], t: str, keys: Sequence
     keys, xcols = list(keys), list(xcols)
     p = len(xcols)
     std_set = set(xcols if standardize is None else standardize)
-    pos = group_positions(df.select(*keys, t, *xcols, y).na.drop(subset=[*xcols, y]), keys, t, "_pos", "_n",
-                          method=positions)
+    pos = group_positions(df.select(*keys, t, *xcols, y).na.drop(subset=[*xcols, y]), keys, t, "_pos", "_n")
     g = gram(pos, keys, xcols, y, block=_fold_block(scheme, folds))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -329,12 +328,11 @@ def vif(df: DataFrame, xcols: Sequence[str], keys: Sequence[str] = ()) -> DataFr
     return _apply(g, keys, fit, schema)
 
 
-def poly_trend(df: DataFrame, y: str, t: str, degree: int, keys: Sequence[str] = (),
-               positions: str = "range") -> DataFrame:
+def poly_trend(df: DataFrame, y: str, t: str, degree: int, keys: Sequence[str] = ()) -> DataFrame:
     """Least-squares polynomial of ``degree`` in the (centred, scaled) row index per
     series; returns fitted values per row. Index = position in ``t`` order."""
     keys = list(keys)
-    pos = group_positions(df.select(*keys, t, y), keys, t, "_pos", "_n", method=positions)
+    pos = group_positions(df.select(*keys, t, y), keys, t, "_pos", "_n")
     u = (F.col("_pos") - (F.col("_n") + 1) / 2) / F.greatest(F.col("_n") / 2, F.lit(1.0))
     pos = pos.select("*", *[F.pow(u, k).alias(f"_u{k}") for k in range(1, degree + 1)])
     fit = ridge_fit(pos, y, [f"_u{k}" for k in range(1, degree + 1)], keys, alpha=0.0, standardize=[])
@@ -360,11 +358,11 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, keys: Sequence[str] = (
 
 
 def temporal_split(df: DataFrame, t: str, keys: Sequence[str] = (), test_size: float = 0.2,
-                   min_rows: int = 10, positions: str = "range") -> DataFrame:
+                   min_rows: int = 10) -> DataFrame:
     """Flag the last max(1, int(test_size * n)) rows of each series (when n > min_rows)
     as test. Positions come from ``group_positions``."""
     keys = list(keys)
-    p = group_positions(df, keys, t, "_pos", "_n", method=positions)
+    p = group_positions(df, keys, t, "_pos", "_n")
     n_test = F.greatest(F.lit(1), F.floor(F.col("_n") * test_size))
     return p.withColumn("is_test", (F.col("_n") > min_rows) & (F.col("_pos") > F.col("_n") - n_test)) \
         .drop("_pos", "_n")

@@ -1,34 +1,21 @@
-"""Positions within groups without a per-group window.
-
-``Window.partitionBy(g).orderBy(v)`` puts a whole group into one task. ``running_totals``
-deals every group's rows into buckets that are a fixed function of the row: bucket bounds
-(approximate quantiles of the group) are computed once and checkpointed, a value equal to a
-bound has a bucket of its own, and such buckets, which hold every hot value, are dealt
-further by a hash of the row. Counts per bucket give each bucket's start; inside a bucket a
-small window numbers the rows. No step relies on partition numbers or on reused exchanges.
-
-For many small groups (period series) pass ``method='window'``.
+"""Positions within groups without a window over their rows.
+
+``Window.partitionBy(g).orderBy(v)`` puts a whole group into one task. ``group_positions``
+range-partitions all rows by (group, value, hash of the row), whatever the groups: as many
+parts as the shuffle has, of near-equal size, cut anywhere inside a group, a hot value or
+strings with one beginning. Every part is sorted, its rows are numbered as they are written,
+and the written table is what all later steps read. Two levels of counts then give each
+position: rows of the group in earlier parts, and rows before this one in its own part.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-
-BOUNDS = 64   # bucket bounds per group
-SPLIT = 32    # parts of a bucket that holds one value
-
-
-def _ordinal(df: DataFrame, col: str) -> Column:
-    """A number that ascends with ``col``: strings by their first seven bytes."""
-    if dict(df.dtypes)[col] == "string":
-        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("long")
-    return F.col(col)
+from ..session import written
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFrame:
@@ -41,77 +28,31 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], extra: list[s
     return left.join(renamed, on).drop(*[f"_r{i}" for i in range(len(names))])
 
 
-def running_totals(df: DataFrame, keys: list[str], order_col: str, weight: str | None,
-                   upto: str, total: str) -> DataFrame:
-    """Add ``upto`` (sum of ``weight``, or number of rows, of the group up to and including
-    the row in order of ``order_col``) and ``total`` (of the group). Ties are ordered by a
-    hash of the row; nulls come first; a null key is a group like any other."""
-    if not keys:
-        return running_totals(df.withColumn("_all", F.lit(0)), ["_all"], order_col, weight, upto, total).drop("_all")
-    w = F.col(weight) if weight else F.lit(1)
-    rows = df.withColumn("_o", _ordinal(df, order_col)).withColumn("_tie", F.xxhash64(*df.columns))
-    steps = F.array(*[F.lit((i + 1) / (BOUNDS + 1)) for i in range(BOUNDS)])
-    bounds = cut_lineage(rows.groupBy(*keys).agg(F.percentile_approx("_o", steps, 1000).alias("_b")))
-    rows = _null_safe(rows, bounds, keys)
-    rows = (rows.withColumn("_b", F.array_distinct(F.coalesce("_b", F.array())))
-            .withColumn("_at", F.when(F.col("_o").isNull(), -1).otherwise(
-                2 * F.size(F.filter("_b", lambda x: x < F.col("_o"))) + F.array_contains("_b", F.col("_o")).cast("int"))))
-    one = F.col("_at") % 2 != 0       # nulls (-1) and bounds: rows of one value
-    if dict(df.dtypes)[order_col] == "string":
-        one = F.col("_at") == -1      # equal beginnings need not be equal strings
-    rows = rows.withColumn("_part", F.when(one, F.pmod("_tie", F.lit(SPLIT))).otherwise(0)).drop("_b", "_o")
-    sums = rows.groupBy(*keys, "_at", "_part").agg(F.sum(w).alias("_w"))
-    before = Window.partitionBy(*keys).orderBy("_at", "_part")
-    sums = sums.select(*keys, "_at", "_part", (F.sum("_w").over(before) - F.col("_w")).alias("_before"),
-                       F.sum("_w").over(Window.partitionBy(*keys)).alias(total))
-    inside = Window.partitionBy(*keys, "_at", "_part").orderBy(order_col, "_tie").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    rows = _null_safe(rows.withColumn("_in", F.sum(w).over(inside)), sums, keys, ["_at", "_part"])
-    return rows.withColumn(upto, F.col("_before") + F.col("_in")).drop("_at", "_part", "_tie", "_before", "_in")
-
-
 def group_positions(df: DataFrame, keys: list[str], order_col: str, pos_col: str = "pos",
-                    n_col: str = "n", method: str = "buckets") -> DataFrame:
-    """Add 1-based ``pos`` (order within its group by ``order_col``; ties broken
-    consistently by a hash of the row) and the group size ``n``.
-
-    ``method='window'`` uses a plain per-group window — only for groups with a known
-    small bound (period series: one row per entity and period)."""
-    if method == "window":
-        w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-        return df.withColumn(pos_col, F.row_number().over(w.orderBy(order_col)).cast("long")) \
-            .withColumn(n_col, F.count(F.lit(1)).over(w))
-    return running_totals(df, list(keys), order_col, None, pos_col, n_col)
-
-
-def sorted_quantiles(df: DataFrame, col: str, probs: list[float], keys: list[str] = (),
-                     names: list[str] | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation (pandas / numpy default) per group,
-    computed from sorted positions instead of a value -> count map.
-
-    Spark's exact ``percentile`` merges a map of every distinct value of a group in one
-    task. Here equal values are counted first (map-side, so a hot value is one row), the
-    counts are summed up in order (``running_totals``), and only the (at most 2 per
-    quantile) values that cover positions floor/ceil((n - 1) p) + 1 are kept.
-    """
+                    n_col: str = "n") -> DataFrame:
+    """Add 1-based ``pos`` (place within its group by ``order_col``, nulls first; ties ordered
+    by a hash of the row, rows equal in everything in any order) and the group size ``n``.
+    A null key is a group like any other. Writes the rows once below the checkpoint folder."""
     keys = list(keys)
-    names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
-    v = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("_v"))
-    v = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    p = running_totals(v, keys, "_v", "_c", "_pos", "_n")
-    covers = lambda at: (F.col("_pos") >= at) & (F.col("_pos") - F.col("_c") < at)
-    conds, aggs = [], []
-    for nm, pr in zip(names, probs):
-        h = (F.col("_n") - 1) * F.lit(float(pr))
-        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
-        conds += [covers(lo), covers(hi)]
-        aggs += [F.max(F.when(covers(lo), F.col("_v"))).alias(f"_{nm}_lo"),
-                 F.max(F.when(covers(hi), F.col("_v"))).alias(f"_{nm}_hi"),
-                 F.max(F.when(covers(lo), h - F.floor(h))).alias(f"_{nm}_f")]
-    keep = conds[0]
-    for c in conds[1:]:
-        keep = keep | c
-    g = p.where(keep)
-    g = g.groupBy(*keys).agg(*aggs) if keys else g.agg(*aggs)
-    out = [F.col(f"_{nm}_lo") + F.col(f"_{nm}_f") * (F.col(f"_{nm}_hi") - F.col(f"_{nm}_lo")) for nm in names]
-    return g.select(*keys, *[o.alias(nm) for o, nm in zip(out, names)])
+    by = [*keys, order_col, "_tie"]
+    # a task numbers its rows upward from its own multiple of 2^33
+    rows = (df.withColumn("_tie", F.xxhash64(*df.columns)).repartitionByRange(*by).sortWithinPartitions(*by)
+            .withColumn("_row", F.monotonically_increasing_id())
+            .withColumn("_part", F.shiftright("_row", 33)).drop("_tie"))
+    rows = written(rows, "positions")
+    parts = rows.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_c"), F.min("_row").alias("_first"))
+    group = Window.partitionBy(*keys)       # one row a part: never more than the shuffle has parts
+    upto = F.sum("_c").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    parts = parts.select(*keys, "_part", (upto - F.col("_c") - F.col("_first")).alias("_lead"),
+                         F.sum("_c").over(group).alias(n_col))
+    out = _null_safe(rows, parts, keys, ["_part"])
+    return out.withColumn(pos_col, F.col("_row") + F.col("_lead") + 1).drop("_row", "_part", "_lead")
+
+
+def series_positions(df: DataFrame, keys: list[str], order_col: str, pos_col: str = "pos",
+                     n_col: str = "n") -> DataFrame:
+    """The same for period series, one row per entity and period: a window per entity, which
+    holds no more rows than the calendar has periods."""
+    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    return df.withColumn(pos_col, F.row_number().over(w.orderBy(order_col)).cast("long")) \
+        .withColumn(n_col, F.count(F.lit(1)).over(w))

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import band_desc, safe_div
 from ..functions.mathx import norm_cdf, norm_ppf
-from .ranks import group_positions, sorted_quantiles
+from .ranks import group_positions
+from .selection import radix_quantiles
 
 
 def _long(df: DataFrame, keys: list[str], cols: list[str], fields: dict[str, callable]) -> DataFrame:
@@ -46,8 +47,8 @@ def summary(df: DataFrame, cols: list[str], keys: list[str] = ()) -> DataFrame:
 
 def describe(df: DataFrame, cols: list[str], keys: list[str] = (), approx: bool = False) -> DataFrame:
     """count, mean, std, min, 25 %, 50 %, 75 %, max per column (long form). Moments come
-    from one wide aggregate; exact quartiles from one sorted pass over all columns at
-    once (the columns are stacked long and ranked within (group, column))."""
+    from one wide aggregate; exact quartiles from one radix selection over all
+    columns at once (the columns are stacked long and selected within (group, column))."""
     keys = list(keys)
     mom = _long(df, keys, cols, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min,
                                  "max": F.max})
@@ -55,7 +56,6 @@ def describe(df: DataFrame, cols: list[str], keys: list[str] = (), approx: bool
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_s")
     ).select(*keys, "_s.*")
     q = quantiles(stacked, "_v", [0.25, 0.5, 0.75], [*keys, "column"], approx)
-    q = q.withColumnRenamed("q50", "q50")
     return mom.join(q, [*keys, "column"], "left").select(*keys, "column", "count", "mean", "std", "min",
                                                          "q25", "q50", "q75", "max")
 
@@ -128,19 +128,14 @@ def mode(df: DataFrame, col: str, keys: list[str] = ()) -> DataFrame:
 
 
 def quantiles(df: DataFrame, col: str, probs: list[float], keys: list[str] = (),
-              approx: bool = False, method: str = "sort") -> DataFrame:
-    """Quantiles with linear interpolation as ``qNN`` columns.
-
-    ``method='sort'`` (default): exact, from range-partitioned sorted positions — bounded
-    memory for any group size. ``'map'``: Spark's exact ``percentile`` (one value -> count
-    map per group; fine for low-cardinality values). ``approx=True``: ``percentile_approx``.
-    """
+              approx: bool = False) -> DataFrame:
+    """Quantiles with linear interpolation as ``qNN`` columns: exact by radix selection
+    (bounded memory for any group size), or ``percentile_approx`` with ``approx=True``."""
     keys = list(keys)
     names = [f"q{int(round(p * 100)):02d}" for p in probs]
-    if not approx and method == "sort":
-        return sorted_quantiles(df, col, list(probs), keys, names)
-    fn = (lambda p: F.percentile_approx(col, p, 10000)) if approx else (lambda p: F.percentile(col, p))
-    aggs = [fn(p).alias(nm) for p, nm in zip(probs, names)]
+    if not approx:
+        return radix_quantiles(df, col, list(probs), keys, names)
+    aggs = [F.percentile_approx(col, p, 10000).alias(nm) for p, nm in zip(probs, names)]
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
@@ -330,14 +325,15 @@ def above_mean_std(df: DataFrame, col: str, k: float = 1.0) -> DataFrame:
 
 def return_stats(df: DataFrame, ret_col: str, t_col: str, keys: list[str] = ()) -> DataFrame:
     """Positive / negative day counts and %, annualised volatility (std * sqrt 252),
-    best and worst day with their dates."""
+    best and worst day with their dates (the earliest of equal ones). Null returns count nowhere."""
     keys = list(keys)
     r = F.col(ret_col)
+    t = F.col(t_col)
     aggs = [F.count(r).alias("days"), F.count_if(r > 0).alias("positive_days"),
             F.count_if(r < 0).alias("negative_days"),
             (F.stddev_samp(r) * math.sqrt(252)).alias("volatility_annual"),
-            F.max(r).alias("best_return"), F.max_by(F.col(t_col), r).alias("best_day"),
-            F.min(r).alias("worst_return"), F.min_by(F.col(t_col), r).alias("worst_day")]
+            F.max(r).alias("best_return"), F.min_by(t, F.when(r.isNotNull(), F.struct(-r, t))).alias("best_day"),
+            F.min(r).alias("worst_return"), F.min_by(t, F.when(r.isNotNull(), F.struct(r, t))).alias("worst_day")]
     g = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
     return (g.withColumn("positive_pct", safe_div(F.col("positive_days") * 100.0, F.col("days")))
              .withColumn("negative_pct", safe_div(F.col("negative_days") * 100.0, F.col("days"))))

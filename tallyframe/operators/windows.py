@@ -82,12 +82,12 @@ def hold_last(df: DataFrame, keys: list[str], t: str, horizon: int, overrides: d
 
 
 def argmax_row(df: DataFrame, v: str, tie: str, keys=(), smallest: bool = False) -> DataFrame:
-    """The row with the largest (or smallest) ``v`` per group; ties -> smallest ``tie``.
-    One aggregate: ``max_by(struct(*), (v, -tie))``, no sort."""
+    """The row with the largest (or smallest) ``v`` per group; ties -> smallest ``tie``
+    (of any type that sorts); null values come last. One aggregate, no sort."""
     keys = list(keys)
     others = [c for c in df.columns if c not in keys]
-    order = F.struct((-F.col(v)) if smallest else F.col(v), -F.col(tie))
-    agg = F.max_by(F.struct(*others), order).alias("_r")
+    order = F.struct(F.col(v).isNull(), F.col(v) if smallest else -F.col(v), F.col(tie))
+    agg = F.min_by(F.struct(*others), order).alias("_r")
     g = df.groupBy(*keys).agg(agg) if keys else df.agg(agg)
     return g.select(*keys, "_r.*")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +53,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet below ``checkpoint_dir`` and read back: values that depend on
+    the evaluation (part numbers, row numbers) are settled, and a lost executor costs nothing."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}/{name}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss) into the folder of ``checkpoint_dir``.
     Meant for small derived tables (period series, Gram rows) reused by several later steps."""

@@ -24,7 +24,7 @@ def _skewed(spark, n=30000):
     return spark.createDataFrame(pd.DataFrame({"g": keys, "v": rng.normal(size=n)}))
 
 
-def test_hot_group_positions_are_numbered_in_buckets(spark):
+def test_hot_group_positions_need_no_window_over_rows(spark):
     df = _skewed(spark)
     p = ranks.group_positions(df, ["g"], "v", "pos", "n")
     got = p.where("g = 'hot'").select("pos").toPandas().pos.sort_values().to_numpy()
