@@ -357,6 +357,17 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, keys: Sequence[str] = (
                     F.sqrt("mse").alias("rmse"), "mae", "mape")
 
 
+def forecast_evaluation(scored: DataFrame, y: str, yhat: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``regression_metrics`` of forecasts against the actuals that followed, with mean_error, the
+    mean relative error (actuals of 0 do not count)."""
+    keys = list(keys)
+    d = scored.where(F.col(y).isNotNull() & F.col(yhat).isNotNull())
+    error = F.avg(F.try_divide(F.abs(F.col(y) - F.col(yhat)), F.abs(F.col(y)))).alias("mean_error")
+    mean = d.groupBy(*keys).agg(error) if keys else d.agg(error)
+    m = regression_metrics(scored, y, yhat, keys)
+    return m.join(mean, keys) if keys else m.crossJoin(mean)
+
+
 def temporal_split(df: DataFrame, t: str, keys: Sequence[str] = (), test_size: float = 0.2,
                    min_rows: int = 10) -> DataFrame:
     """Flag the last max(1, int(test_size * n)) rows of each series (when n > min_rows)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.expr import money
-from ..operators import calendar, crosstab, forecast, learn, linear
+from ..operators import calendar, crosstab, forecast, learn, linear, refit
 from . import tables
 from .registry import finish, register
 from .tables import DAILY_SQL
@@ -343,8 +343,74 @@ def q_forecast_document(spark, d):
     fc, metrics = forecast.hybrid(f, "total", "month", FEATURES, ["segment"], horizon=3,
                                   standardize=FEATURES[:-1])
     last = f.groupBy("segment").agg(F.max("month").alias("_t"))
+    # evaluation: the same model of all but the last three months against those
+    past = f.join(last, "segment").where(F.col("month") <= F.add_months("_t", -3)).drop("_t")
+    then, _ = forecast.hybrid(past, "total", "month", FEATURES, ["segment"], horizon=3, standardize=FEATURES[:-1])
+    then = then.join(last, "segment").select("segment", F.add_months("_t", F.col("step") - 3).alias("month"), "forecast")
+    checked = linear.forecast_evaluation(then.join(f.select("segment", "month", "total"), ["segment", "month"]),
+                                         "total", "forecast", ["segment"])
     fc = fc.join(last, "segment").withColumn("month", F.add_months("_t", F.col("step")))
-    return forecast_documents(fc, metrics, ["segment"], "month", "forecast")
+    return forecast_documents(fc, metrics, ["segment"], "month", "forecast", evaluation=checked)
+
+
+_REFIT_SQL = f"""{_SEG_SQL},
+x AS (SELECT segment, month, total, CAST(year(month) * 12 + month(month) - 23940 AS DOUBLE) AS x FROM seg),
+h AS (SELECT segment, count(*) AS n, regr_slope(total, x) AS b, regr_intercept(total, x) AS a
+      FROM x WHERE month < DATE '2000-01-01' GROUP BY 1),
+s AS (SELECT x.segment, month, total, a + b * x AS forecast, abs(total - (a + b * x)) / abs(total) AS e
+      FROM x JOIN h ON x.segment = h.segment WHERE month >= DATE '2000-01-01')"""
+
+
+def _split_trend(spark, d):
+    """Monthly totals per segment with a month number, before and from 2000 on."""
+    x = _seg_total(spark, d).withColumn("x", (F.year("month") * 12 + F.month("month") - 23940).cast("double"))
+    return x.where("month < DATE'2000-01-01'"), x.where("month >= DATE'2000-01-01'")
+
+
+@register("refit_after_alarm", f"""WITH {_REFIT_SQL},
+f AS (SELECT segment, min(CASE WHEN e > 0.15 THEN month END) AS alarm FROM s GROUP BY 1),
+m AS (SELECT s.segment, avg(e) AS mean_error, count(e) AS compared FROM s JOIN f ON s.segment = f.segment
+      AND (f.alarm IS NULL OR s.month <= f.alarm) GROUP BY 1),
+r AS (SELECT x.segment, count(*) AS n, regr_slope(total, x) AS b, regr_intercept(total, x) AS a
+      FROM x LEFT JOIN f ON x.segment = f.segment WHERE month < DATE '2000-01-01' OR month <= f.alarm GROUP BY 1)
+SELECT h.segment, CAST(h.n AS BIGINT) AS n_before, round(h.a, 2) AS intercept_before, round(h.b, 2) AS slope_before,
+       f.alarm, round(m.mean_error, 8) AS mean_error, CAST(coalesce(m.compared, 0) AS BIGINT) AS compared,
+       CAST(r.n AS BIGINT) AS n, round(r.a, 2) AS intercept, round(r.b, 2) AS slope
+FROM h LEFT JOIN f ON h.segment = f.segment LEFT JOIN m ON h.segment = m.segment JOIN r ON h.segment = r.segment""")
+def q_refit_after_alarm(spark, d):
+    """Monitor, append, refit: trends before 2000 against the months that follow; the first error
+    above 15 % appends the months up to it and solves the trend anew from its state."""
+    past, new = _split_trend(spark, d)
+    r = refit.refit_flagged(past, new, ["segment"], "month", ["x"], "total")
+    return r.select("segment", "n_before", F.round("intercept_before", 2).alias("intercept_before"),
+                    F.round(F.col("coef_before")[0], 2).alias("slope_before"), F.to_date("alarm").alias("alarm"),
+                    F.round("mean_error", 8).alias("mean_error"), "compared", "n",
+                    F.round("intercept", 2).alias("intercept"), F.round(F.col("coef")[0], 2).alias("slope"))
+
+
+@register("forecast_evaluation", f"""WITH {_REFIT_SQL},
+v AS (SELECT segment, avg(total) AS m FROM s GROUP BY 1)
+SELECT s.segment, CAST(count(*) AS BIGINT) AS predictions, round(1 - sum((total - forecast) ^ 2) / sum((total - v.m) ^ 2), 6) AS r2,
+       round(sqrt(avg((total - forecast) ^ 2)), 2) AS rmse, round(avg(abs(total - forecast)), 2) AS mae,
+       round(avg(e) * 100, 6) AS mape, round(avg(e), 8) AS mean_error
+FROM s JOIN v ON s.segment = v.segment GROUP BY 1""")
+def q_forecast_evaluation(spark, d):
+    """The evaluation and mean error of forecast documents: trends before 2000 against what followed."""
+    from ..sources.files import forecast_documents
+    past, new = _split_trend(spark, d)
+    about = refit.shifts(past, ["segment"], ["x"], "total")
+    model = refit.solve_states(refit.merge_states(refit.gram_state(past, about, ["segment"], ["x"], "total"), ["segment"], 1),
+                               about, ["segment"], 1)
+    scored = refit.predict(model, new, ["segment"], ["x"])
+    checked = linear.forecast_evaluation(scored, "total", "forecast", ["segment"])
+    none = F.lit(None).cast("int")
+    trained = model.select("segment", F.lit(0.0).alias("alpha_ridge"), none.alias("p"), none.alias("d"), none.alias("q"),
+                           F.lit(None).cast("double").alias("aic_arima"), F.lit(None).cast("double").alias("explained_variance"))
+    docs = forecast_documents(scored, trained, ["segment"], "month", "forecast", evaluation=checked)
+    e = F.col("doc.metrics.evaluation")
+    return docs.select("segment", F.size("doc.predictions").cast("long").alias("predictions"), F.round(e["r2"], 6).alias("r2"),
+                       F.round(e["rmse"], 2).alias("rmse"), F.round(e["mae"], 2).alias("mae"),
+                       F.round(e["mape"], 6).alias("mape"), F.round("doc.mean_error", 8).alias("mean_error"))
 
 
 # ---- closed forms of fitted models, with oracles ----------------------------------------

@@ -55,13 +55,18 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: S
     w.csv(path)
 
 
+EVALUATION = ("r2", "mse", "rmse", "mae", "mape")
+
+
 def forecast_documents(fc: DataFrame, metrics: DataFrame, keys: Sequence[str], t: str, v: str | Sequence[str],
-                       generated_at: str | None = None) -> DataFrame:
+                       generated_at: str | None = None, evaluation: DataFrame | None = None) -> DataFrame:
     """One nested forecast document per series:
     ``{generated_at, predictions: {date: value}, metrics: {evaluation, training: {...}},
     mean_error}`` as a struct plus its JSON text. With several value columns (``v`` a
     list) each date maps to ``{column: value}``. NaN becomes NULL. The date -> value map
-    is built per series (horizon entries), never for the whole table."""
+    is built per series (horizon entries), never for the whole table. ``evaluation`` (keys,
+    r2, mse, rmse, mae, mape, mean_error) holds a series' measured errors on actuals; series
+    it does not know have null there."""
     keys = list(keys)
 
     def clean(c):
@@ -75,11 +80,16 @@ def forecast_documents(fc: DataFrame, metrics: DataFrame, keys: Sequence[str], t
     preds = fc.groupBy(*keys).agg(F.map_from_entries(by_date).alias("predictions"))
     training = F.struct(F.col("alpha_ridge"), F.array("p", "d", "q").alias("arima_order"), F.col("aic_arima"),
                         F.col("explained_variance").alias("explained_variance_linear"))
-    m = metrics.select(*keys, F.struct(F.lit(None).cast("string").alias("evaluation"),
-                                       training.alias("training")).alias("metrics"))
+    if evaluation is None:
+        evaluation = metrics.select(*keys, *[F.lit(None).cast("double").alias(c) for c in (*EVALUATION, "mean_error")])
+    known = evaluation.select(*keys, F.struct(*[clean(c).alias(c) for c in EVALUATION]).alias("_evaluation"),
+                              clean("mean_error").alias("_mean_error"))
+    m = metrics.select(*keys, training.alias("_training")).join(known, keys, "left").select(
+        *keys, F.struct(F.col("_evaluation").alias("evaluation"), F.col("_training").alias("training")).alias("metrics"),
+        "_mean_error")
     ts = F.lit(generated_at) if generated_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
     doc = preds.join(m, keys).select(*keys, F.struct(ts.alias("generated_at"), "predictions", "metrics",
-                                                     F.lit(None).cast("double").alias("mean_error")).alias("doc"))
+                                                     F.col("_mean_error").alias("mean_error")).alias("doc"))
     return doc.withColumn("json", F.to_json("doc"))
 
 
