@@ -1,16 +1,17 @@
 """BPE encoding and decoding through a table of distinct words.
 
 Encoding. Texts are split at blanks in blocks of about ``BLOCK_BYTES``. A block keeps two
-things: the numbers of its words in order (one compressed row), and its distinct words with
-their numbers. All blocks' words are dealt by word; the distinct ones form the word table,
-in which every word meets the tokenizer once. A join brings each word's ids back to the
-blocks that hold it, and a block's ids are picked by position from its numbers.
+things: the numbers of its words in order (one compressed row), and its distinct words,
+dealt by hash to buckets. A bucket's words from all blocks make its share of the word table:
+the distinct ones meet the tokenizer once, and every block gets the ids of its words back.
+Blocks and buckets are joined by block; a block's ids are picked by position from its
+numbers. Buckets grow in number with the input, not in size.
 
 Decoding. Ids are joined with the id-to-piece table of the tokenizer and a document's pieces
 are written one after the other. That table is the tokenizer's vocabulary: it does not grow
 with the data, and its size is checked before tasks get a copy.
 
-Only the distinct words of each block and the coded numbers are shuffled, never the texts.
+Only the distinct words of each block and coded numbers are shuffled, never the texts.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +31,15 @@ from pyspark.sql import functions as F
 from . import tables, words
 from .token_file import _block_words, _gather, _ragged, _spans
 
-BLOCK_BYTES = 32 << 20     # text bytes that share one list of distinct words
+BLOCK_BYTES = 12 << 20     # text bytes that share one list of distinct words
 PIECES_BYTES = 64 << 20    # largest id-to-piece table that tasks may copy
-BATCH = 20_000             # words encoded at a time
-CHUNK_IDS = 1 << 20        # ids decoded at a time
+BUCKET_BYTES = 8 << 20     # text bytes for each bucket of the word table
+BATCH = 5_000              # words encoded at a time
+CHUNK_IDS = 1 << 18        # ids placed or decoded at a time
 
 NUMBERED = "block binary, ids binary, named binary, counts binary, numbers binary"
-HELD = "block binary, number int, word string"
+HELD = "block binary, bucket long, at binary, words binary"
+CODED = "block binary, at binary, size binary, ids binary"
 
 
 def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, pa.Table, np.ndarray, np.ndarray, pa.Array]]:
@@ -52,26 +56,46 @@ def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, pa.Table
         name = xxhash.xxh3_128(f"{TaskContext.get().partitionId()} {n} ".encode())
         for buffer in vocab.buffers()[1:]:
             name.update(buffer or b"")
-        yield name.digest(), block, counts, rank[at], vocab
+        numbers = rank[at]
+        del at, rank, often, order
+        pa.default_memory_pool().release_unused()
+        yield name.digest(), block.select(["doc_id"]), counts, numbers, vocab
+
+
+def _pack(values: np.ndarray | bytes) -> bytes:
+    return pa.compress(values if isinstance(values, bytes) else values.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack(frame: bytes, kind) -> np.ndarray:
+    """Values of a packed array; the frame's header states their size."""
+    size = zstandard.frame_content_size(frame)
+    return np.frombuffer(pa.decompress(frame, size, "zstd", asbytes=True) if size else b"", kind)
 
 
 def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for name, block, counts, numbers, _ in _ranked(batches):
         ids = block.column("doc_id").combine_chunks().cast(pa.int64())
-        packed = [ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False), counts, numbers]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x], pa.binary()) for x in
-             (name, *(pa.compress(p.tobytes(), "zstd", asbytes=True) for p in packed))],
-            ["block", "ids", "named", "counts", "numbers"])
+        cells = [ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False), counts, numbers]
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (name, *map(_pack, cells))],
+                                         ["block", "ids", "named", "counts", "numbers"])
 
 
-def _hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for name, _, _, _, vocab in _ranked(batches):
-        for a in range(0, len(vocab), 100_000):
-            part = vocab.slice(a, 100_000)
-            yield pa.RecordBatch.from_arrays(
-                [pa.repeat(pa.scalar(name, pa.binary()), len(part)),
-                 pa.array(np.arange(a, a + len(part), dtype=np.int32)), part], ["block", "number", "word"])
+def _hold(buckets: int):
+    """A block's distinct words, one row a bucket: their numbers and the words, line by line."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, _, _, _, vocab in _ranked(batches):
+            known = vocab.cast(pa.binary()).to_pylist()
+            bucket = (words.hash_words(known) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+            for part in np.array_split(np.arange(len(first)), -(-len(first) // 256)) if len(first) else []:
+                lists = [order[first[i]:first[i + 1] if i + 1 < len(first) else None] for i in part]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(name, pa.binary()), len(part)), pa.array(bucket[order[first[part]]]),
+                     pa.array([_pack(x.astype(np.uint32)) for x in lists], pa.binary()),
+                     pa.array([_pack(b"\n".join([known[i] for i in x.tolist()])) for x in lists], pa.binary())],
+                    ["block", "bucket", "at", "words"])
+    return run
 
 
 def _lists(flat: np.ndarray, size: np.ndarray) -> pa.Array:
@@ -84,52 +108,61 @@ def _lists(flat: np.ndarray, size: np.ndarray) -> pa.Array:
     return out
 
 
+_TOKENIZERS: dict = {}     # of this worker process, by file
+
+
 def _encode_words(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A bucket's rows -> ids of their words; every distinct word is encoded once."""
+    def run(rows: pa.Table) -> pa.Table:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        tok = Tokenizer.from_file(path)
-        tok.no_truncation()
-        tok.no_padding()
-        for batch in batches:
-            for a in range(0, batch.num_rows, BATCH):
-                part = batch.column("word").slice(a, BATCH)
-                found = tok.encode_batch_fast(part.to_pylist(), add_special_tokens=False)
-                yield pa.RecordBatch.from_arrays([part, _lists(*_ragged([e.ids for e in found]))], ["word", "ids"])
+        if path not in _TOKENIZERS:
+            from tokenizers import Tokenizer
+            _TOKENIZERS[path] = Tokenizer.from_file(path)
+            _TOKENIZERS[path].no_truncation()
+            _TOKENIZERS[path].no_padding()
+        lists = [_unpack(x, np.uint8).tobytes().split(b"\n") for x in rows.column("words").to_pylist()]
+        stop = np.cumsum([0] + [len(x) for x in lists])
+        table = pa.array([w for x in lists for w in x], pa.binary()).dictionary_encode()
+        del lists
+        known, found = table.dictionary.cast(pa.string()), [(np.zeros(0, np.uint32), np.zeros(0, np.int64))]
+        for a in range(0, len(known), BATCH):
+            found.append(_ragged([e.ids for e in _TOKENIZERS[path].encode_batch_fast(
+                known.slice(a, BATCH).to_pylist(), add_special_tokens=False)]))
+        flat, size = (np.concatenate(x) for x in zip(*found))
+        at = table.indices.to_numpy()
+        mine = [at[a:b] for a, b in zip(stop, stop[1:])]
+        return pa.table([rows.column("block"), rows.column("at"), pa.array([_pack(size[x]) for x in mine], pa.binary()),
+                         pa.array([_pack(_gather(flat, size, x)) for x in mine], pa.binary())],
+                        ["block", "at", "size", "ids"])
     return run
 
 
 def _place(left: pa.Table, right: pa.Table) -> pa.Table:
     """Ids of a block's documents, from its numbers and its words' ids."""
-    number = right.column("number").to_numpy()
-    coded = right.column("ids").combine_chunks()
-    flat = np.frombuffer(b"".join(coded.to_pylist()), "<u4")
-    size = np.fromiter((len(x.as_py()) // 4 for x in coded), np.int64, len(coded))
-    order = np.argsort(number)
-    if not np.array_equal(number[order], np.arange(len(order))):
+    if not left.num_rows:
+        raise RuntimeError("words without their block: the input's rows are not dealt alike twice")
+    at, size, flat = (np.concatenate([np.zeros(0, kind), *[_unpack(x, kind) for x in right.column(name).to_pylist()]])
+                      for name, kind in (("at", np.uint32), ("size", np.int64), ("ids", np.uint32)))
+    order = np.argsort(at)
+    if not np.array_equal(at[order], np.arange(len(order))):
         raise RuntimeError("a block's words are not complete")
     flat, size = _gather(flat, size, order), size[order]
+    del at, order, right
     out = []
     for row in left.to_pylist():
-        raw = {k: pa.decompress(row[k], _length(row[k]), "zstd", asbytes=True) for k in ("ids", "named", "counts", "numbers")}
-        ids, counts = np.frombuffer(raw["ids"], np.int64), np.frombuffer(raw["counts"], np.int64)
-        numbers = np.frombuffer(raw["numbers"], np.uint32).astype(np.int64)
+        counts, numbers = _unpack(row["counts"], np.int64), _unpack(row["numbers"], np.uint32).astype(np.int64)
         if len(numbers) and numbers.max() >= len(size):
             raise RuntimeError("a block met the words of another: the input's rows are not dealt alike twice")
         stop = np.concatenate([[0], np.cumsum(counts)])
-        total = np.concatenate([[0], np.cumsum(size[numbers])])
-        mine = total[stop[1:]] - total[stop[:-1]]
-        out.append(pa.table([pa.array(ids, mask=~np.frombuffer(raw["named"], bool)),
-                             _lists(_gather(flat, size, numbers), mine)], ["doc_id", "ids"]))
+        ids = pa.array(_unpack(row["ids"], np.int64), mask=~_unpack(row["named"], bool))
+        for a, b in _spans(counts, CHUNK_IDS):
+            mine = numbers[stop[a]:stop[b]]
+            total = np.concatenate([[0], np.cumsum(size[mine])])[stop[a:b + 1] - stop[a]]
+            out.append(pa.table([ids.slice(a, b - a), _lists(_gather(flat, size, mine), np.diff(total))], ["doc_id", "ids"]))
+    pa.default_memory_pool().release_unused()
     return pa.concat_tables(out)
 
 
-def _length(frame: bytes) -> int:
-    """Content size that a zstd frame's header states."""
-    import zstandard
-    return zstandard.frame_content_size(frame)
-
-
 def _tokenizer(path: str):
     """The tokenizer, if its encoding can go word by word and its decoding piece by piece."""
     from tokenizers import Tokenizer
@@ -154,18 +187,11 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
     _tokenizer(tokenizer)
     texts = docs.select("doc_id", "text")
-    held = texts.mapInArrow(_hold, HELD).repartition("word")
-    table = held.select("word").distinct().mapInArrow(_encode_words(tokenizer), "word string, ids binary")
-    coded = held.join(table, "word").select("block", "number", "ids")
-    blocks = texts.mapInArrow(_number, NUMBERED)
-    return (blocks.groupBy("block").cogroup(coded.groupBy("block"))
-            .applyInArrow(_place_rows, "doc_id long, ids binary"))
-
-
-def _place_rows(left: pa.Table, right: pa.Table) -> pa.Table:
-    if not left.num_rows:
-        raise RuntimeError("words without their block: the input's rows are not dealt alike twice")
-    return _place(left, right)
+    total = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    held = texts.mapInArrow(_hold(1 + total // BUCKET_BYTES), HELD)
+    coded = held.groupBy("bucket").applyInArrow(_encode_words(tokenizer), CODED)
+    return (texts.mapInArrow(_number, NUMBERED).groupBy("block").cogroup(coded.groupBy("block"))
+            .applyInArrow(_place, "doc_id long, ids binary"))
 
 
 def pieces(tokenizer: str) -> list[str]:
