@@ -63,8 +63,3 @@ def norm_ppf(x: str) -> Column:
 
 def norm_cdf(x: str) -> Column:
     return F.expr(norm_cdf_sql(x))
-
-
-def norm_pdf_sql(x: str, mean: str = "0", std: str = "1") -> str:
-    return (f"(exp(-0.5 * power((({x}) - ({mean})) / ({std}), 2)) / "
-            f"(({std}) * sqrt(2 * pi())))")

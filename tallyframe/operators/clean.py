@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from ..functions.expr import clip  # noqa: F401  (re-exported for callers)
 
@@ -192,7 +191,3 @@ def standardize(fit: DataFrame, cols: Sequence[str], apply_to: DataFrame | None
         else:
             out.append(F.col(c))
     return j.select(*out)
-
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]

@@ -69,10 +69,6 @@ def gram_matrix(row, k: int) -> np.ndarray:
     return m
 
 
-def _gram_schema(keys_types: list[tuple[str, str]]) -> str:
-    return ", ".join(f"{k} {t}" for k, t in keys_types)
-
-
 # ---- ridge / OLS algebra on a Gram --------------------------------------------------
 
 def ridge_from_gram(G: np.ndarray, alpha: float, scale: np.ndarray | None = None):
