@@ -2,10 +2,9 @@
 
 * ``mini_mlp_scores`` — one 3-6-1 network per entity, all entities of an Arrow batch
   trained together as stacked tensors (``mapInPandas``).
-* ``perceptron`` — iterative parameter mixing: local epochs per partition in
-  ``mapInPandas``, weights averaged on the driver each round.
-* ``mlp_regressor`` — local Adam steps per partition in ``mapInPandas`` alternating
-  with row-weighted model averaging on the driver.
+* ``perceptron`` — batch perceptron: one built-in aggregate over all rows per epoch.
+* ``mlp_regressor`` — quasi-Newton steps from loss and gradient summed over all rows
+  (parts per Arrow batch in ``mapInArrow``, added up by Spark).
 * ``mlp_classifier`` — Spark ML ``MultilayerPerceptronClassifier``.
 * ``confusion`` / ``classification_report`` — ``groupBy(label, pred)`` aggregates.
 """
@@ -13,9 +12,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,49 +105,42 @@ def mini_mlp_scores(blocks: DataFrame, metrics: DataFrame, id_col: str = "entity
         "neural_score", F.when(~F.isnan("neural_score"), F.col("neural_score")))
 
 
-# ---- M9: perceptron by iterative parameter mixing -----------------------------------
-
-def perceptron(df: DataFrame, features: list[str], label: str, rounds: int = 10, local_epochs: int = 10,
-               eta: float = 0.01, batch: int = 64) -> DataFrame:
-    """Binary perceptron (labels 0/1) trained by iterative parameter mixing (McDonald,
-    Hall & Mann 2010): each round every partition runs ``local_epochs`` epochs from the
-    current weights (``mapInPandas``), the driver averages partition weights by row
-    count. Updates are mini-batched (``batch`` rows, vectorised in numpy: the sum of
-    y_i x_i over the batch's misclassified rows); ``batch=1`` is the classic online rule.
-    ``rounds * local_epochs`` epochs in total, one Spark job per round over the persisted
-    input. Output: one row with coef (array), intercept, epochs."""
-    k = len(features)
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias("_y")) \
-        .na.drop().persist()
-    w = np.zeros(k + 1)
+# ---- M9: batch perceptron, one aggregate per epoch --------------------------------------
+
+def perceptron(df: DataFrame, features: list[str], label: str, epochs: int = 100, eta: float = 0.01,
+               patience: int = 20) -> DataFrame:
+    """Binary perceptron (labels 0/1). Each epoch adds ``eta`` times the mean of y x over all
+    wrongly classified rows (y = -1 or 1); that sum and the number of wrong rows are one
+    aggregate with map-side partials, so a task holds one row of sums and the weights do not
+    depend on how rows are dealt to partitions. The weights of the epoch with the fewest wrong
+    rows are kept (the first of equals). Ends after ``epochs``, when no row is wrong, or when
+    ``patience`` epochs brought no better weights. Rows with a null or NaN take no part; an
+    empty table gives zero weights. Output: one row with coef (array), intercept, epochs
+    (those that were run)."""
+    columns = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)]
+    data = df.select(*columns, F.col(label).cast("double").alias("y")).na.drop() \
+        .withColumn("y", F.when(F.col("y") > 0, 1.0).otherwise(-1.0)).persist()
+    inputs = [F.col(f"x{i}") for i in range(len(features))] + [F.lit(1.0)]
+    weights = np.zeros(len(inputs))
+    best, fewest, since, done = weights, None, 0, 0
     try:
-        for _ in range(rounds):
-            w0 = w.copy()
-
-            def epoch(it, w0=w0):
-                frames = [pdf for pdf in it]
-                if not frames:
-                    return
-                pdf = pd.concat(frames)
-                x = np.column_stack([pdf[features].to_numpy(float), np.ones(len(pdf))])
-                yv = np.where(pdf["_y"].to_numpy(float) > 0, 1.0, -1.0)
-                wl = w0.copy()
-                for _ in range(local_epochs):
-                    for a in range(0, len(x), batch):
-                        xb, yb = x[a:a + batch], yv[a:a + batch]
-                        wrong = yb * (xb @ wl) <= 0
-                        if wrong.any():
-                            wl += eta * (yb[wrong, None] * xb[wrong]).sum(axis=0)
-                yield pd.DataFrame({"w": [wl.tolist()], "n": [len(x)]})
-
-            parts = data.mapInPandas(epoch, "w array<double>, n long").collect()  # one row per partition
-            tot = sum(r["n"] for r in parts)
-            if tot:
-                w = sum(np.array(r["w"]) * r["n"] for r in parts) / tot
+        while done < epochs:
+            score = sum((x * float(w) for x, w in zip(inputs, weights)), F.lit(0.0))
+            wrong = F.col("y") * score <= 0
+            row = data.agg(F.count(F.lit(1)), F.count(F.when(wrong, 1)),
+                           *[F.sum(F.when(wrong, F.col("y") * x)) for x in inputs]).first()
+            if fewest is None or row[1] < fewest:
+                best, fewest, since = weights, row[1], 0
+            else:
+                since += 1
+            if not row[1] or since >= patience:
+                break
+            weights = weights + eta * np.array(row[2:], float) / row[0]
+            done += 1
     finally:
         data.unpersist()
     return df.sparkSession.createDataFrame(
-        [([float(v) for v in w[:k]], float(w[k]), rounds * local_epochs)],
+        [([float(v) for v in best[:-1]], float(best[-1]), done)],
         "coef array<double>, intercept double, epochs int")
 
 
@@ -231,70 +225,128 @@ def mlp_classifier(train: DataFrame, test: DataFrame, features: list[str], label
         "_features", "rawPrediction", "probability")
 
 
-# ---- M12: MLP regressor by local steps + model averaging --------------------------------
-
-def mlp_regressor(df: DataFrame, features: list[str], target: str, hidden: int = 100, rounds: int = 20,
-                  local_steps: int = 50, lr: float = 0.001, seed: int = 10) -> dict:
-    """One tanh hidden layer, linear output, squared loss, Adam. Training alternates
-    ``local_steps`` full-batch Adam steps inside each partition (``mapInPandas``) with a
-    row-weighted average of the partition models on the driver (``rounds`` Spark jobs).
-    Features are standardised with the training rows' mean / population std.
-    Returns the model as plain arrays (w1, b1, w2, b2, mu, sd)."""
-    stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
-                   *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(features)]).first()
-    mu = np.array([stats[f"m{i}"] for i in range(len(features))], float)
-    sd = np.array([stats[f"s{i}"] or 1.0 for i in range(len(features))], float)
-    sd[sd == 0] = 1.0
-    data = df.select(*features, target).na.drop().persist()
-    rng = np.random.default_rng(seed)
+# ---- M12: MLP regressor from gradients summed over all rows ------------------------------
+
+LENGTHS = (1.0, 0.25, 0.0625)    # step lengths tried in one pass over the rows
+MEMORY = 10                      # step and gradient pairs that shape the next direction
+
+
+def _layers(theta: np.ndarray, inputs: int, hidden: int) -> tuple[np.ndarray, ...]:
+    """w1 (inputs, hidden), b1, w2 (hidden, 1), b2 as views of the flat parameters."""
+    cuts = np.cumsum([inputs * hidden, hidden, hidden])
+    w1, b1, w2, b2 = np.split(theta, cuts)
+    return w1.reshape(inputs, hidden), b1, w2[:, None], b2
+
+
+def squared_loss(theta: np.ndarray, x: np.ndarray, y: np.ndarray, hidden: int) -> np.ndarray:
+    """[half the sum of squared misses, its gradient in theta ...] over the rows of x."""
+    w1, b1, w2, b2 = _layers(theta, x.shape[1], hidden)
+    active = np.tanh(x @ w1 + b1)
+    miss = (active @ w2 + b2)[:, 0] - y
+    back = miss[:, None] * w2[:, 0] * (1 - active ** 2)
+    return np.concatenate([[miss @ miss / 2], (x.T @ back).ravel(), back.sum(0), active.T @ miss, [miss.sum()]])
+
+
+def _sum_over_rows(data: DataFrame, part: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
+    """Sum of ``part`` (a vector of ``size`` numbers for a matrix of rows) over all rows: a
+    task adds up its Arrow batches, Spark adds up the tasks; the driver sees one vector."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                found = part(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
+                total = found if total is None else total + found
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], ["at", "v"])
+
+    sums = data.mapInArrow(run, "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
+    out = np.zeros(size)
+    for r in sums:
+        out[r["at"]] = r["v"]
+    return out
+
+
+def _direction(slope: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Quasi-Newton direction from the last (step, change of gradient) pairs."""
+    q, kept = slope.copy(), []
+    for step, change in reversed(pairs):
+        share = step @ q / (step @ change)
+        kept.append(share)
+        q -= share * change
+    if pairs:
+        step, change = pairs[-1]
+        q *= step @ change / (change @ change)
+    else:
+        q /= max(1.0, float(np.linalg.norm(q)))
+    for (step, change), share in zip(pairs, reversed(kept)):
+        q += (share - change @ q / (step @ change)) * step
+    return -q
+
+
+def mlp_regressor(df: DataFrame, features: list[str], target: str, hidden: int = 100, steps: int = 100,
+                  l2: float = 1e-4, tol: float = 1e-5, seed: int = 10) -> dict:
+    """One tanh hidden layer, linear output, mean squared loss plus ``l2`` / 2 times the squared
+    weights, minimised by limited-memory quasi-Newton steps. Loss and gradient are sums over all
+    rows: each Arrow batch gives its part (memory: one batch), tasks and then Spark add them up,
+    and one job tries the three ``LENGTHS`` of a step at once, so the model does not depend on
+    how rows are dealt to partitions (but for rounding). Ends after ``steps``, when a step
+    lowers the loss by less than ``tol`` of itself, or when no length lowers it.
+
+    Features are standardised with the training rows' mean / population std. Rows with a null
+    or NaN take no part; without rows the starting weights are returned.
+    Returns the model as plain arrays (w1, b1, w2, b2, mu, sd) and the last training ``loss``."""
     k = len(features)
+    data = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)],
+                     F.col(target).cast("double").alias("y")).na.drop().persist()
+    rng = np.random.default_rng(seed)
     lim1, lim2 = math.sqrt(6 / (k + hidden)), math.sqrt(6 / (hidden + 1))
-    params = [rng.uniform(-lim1, lim1, (k, hidden)), np.zeros(hidden), rng.uniform(-lim2, lim2, (hidden, 1)),
-              np.zeros(1)]
+    theta = np.concatenate([rng.uniform(-lim1, lim1, k * hidden), np.zeros(hidden),
+                            rng.uniform(-lim2, lim2, hidden), np.zeros(1)])
+    size = len(theta)
+    decay = l2 * np.concatenate([np.ones(k * hidden), np.zeros(hidden), np.ones(hidden), np.zeros(1)])
     try:
-        for _ in range(rounds):
-            p0 = [x.copy() for x in params]
-
-            def local(it, p0=p0):
-                frames = [pdf for pdf in it]
-                if not frames:
-                    return
-                pdf = pd.concat(frames)
-                x = (pdf[features].to_numpy(float) - mu) / sd
-                y = pdf[[target]].to_numpy(float)
-                p = [a.copy() for a in p0]
-                m1 = [np.zeros_like(a) for a in p]
-                m2 = [np.zeros_like(a) for a in p]
-                for step in range(1, local_steps + 1):
-                    h = np.tanh(x @ p[0] + p[1])
-                    err = (h @ p[2] + p[3]) - y
-                    g2 = h.T @ err / len(x)
-                    gb2 = err.mean(axis=0)
-                    dh = (err @ p[2].T) * (1 - h ** 2)
-                    g1 = x.T @ dh / len(x)
-                    gb1 = dh.mean(axis=0)
-                    for i, g in enumerate((g1, gb1, g2, gb2)):
-                        m1[i] = 0.9 * m1[i] + 0.1 * g
-                        m2[i] = 0.999 * m2[i] + 0.001 * g * g
-                        mh = m1[i] / (1 - 0.9 ** step)
-                        vh = m2[i] / (1 - 0.999 ** step)
-                        p[i] = p[i] - lr * mh / (np.sqrt(vh) + 1e-8)
-                yield pd.DataFrame({"w1": [p[0].ravel().tolist()], "b1": [p[1].tolist()],
-                                    "w2": [p[2].ravel().tolist()], "b2": [p[3].tolist()], "n": [len(x)]})
-
-            parts = data.mapInPandas(local, "w1 array<double>, b1 array<double>, w2 array<double>, "
-                                            "b2 array<double>, n long").collect()  # one row per partition
-            tot = sum(r["n"] for r in parts)
-            if not tot:
+        stats = data.agg(F.count(F.lit(1)), *[f(f"x{i}") for f in (F.avg, F.stddev_pop) for i in range(k)]).first()
+        n = stats[0]
+        mu = np.array(stats[1:1 + k] if n else [0.0] * k, float)
+        sd = np.array(stats[1 + k:] if n else [1.0] * k, float)
+        sd[sd == 0] = 1.0
+
+        def evaluate(points: list[np.ndarray]) -> list[tuple[float, np.ndarray]]:
+            """(loss, gradient) at each point, from one pass over the rows."""
+            def part(rows: np.ndarray) -> np.ndarray:
+                x = (rows[:, :k] - mu) / sd
+                return np.concatenate([squared_loss(p, x, rows[:, k], hidden) for p in points])
+
+            sums = _sum_over_rows(data, part, len(points) * (1 + size)).reshape(len(points), 1 + size) / n
+            return [(row[0] + decay @ p ** 2 / 2, row[1:] + decay * p) for p, row in zip(points, sums)]
+
+        loss, slope = evaluate([theta])[0] if n else (0.0, np.zeros(size))
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        for _ in range(steps if n else 0):
+            way, reach = _direction(slope, pairs), 1.0
+            if way @ slope >= 0:
+                way, pairs = _direction(slope, []), []
+            chosen = None
+            while chosen is None and reach > 1e-9:
+                points = [theta + reach * length * way for length in LENGTHS]
+                tried = [(f, g, p) for (f, g), p, length in zip(evaluate(points), points, LENGTHS)
+                         if f < loss + 1e-4 * reach * length * (way @ slope)]
+                chosen = min(tried, key=lambda t: t[0], default=None)
+                reach *= LENGTHS[-1] / 4
+            if chosen is None:
+                break
+            gain = loss - chosen[0]
+            step, change = chosen[2] - theta, chosen[1] - slope
+            if step @ change > 1e-12 * (change @ change):
+                pairs = [*pairs, (step, change)][-MEMORY:]
+            loss, slope, theta = chosen
+            if gain <= tol * abs(loss):
                 break
-            params = [sum(np.array(r["w1"]) * r["n"] for r in parts).reshape(k, hidden) / tot,
-                      sum(np.array(r["b1"]) * r["n"] for r in parts) / tot,
-                      sum(np.array(r["w2"]) * r["n"] for r in parts).reshape(hidden, 1) / tot,
-                      sum(np.array(r["b2"]) * r["n"] for r in parts) / tot]
     finally:
         data.unpersist()
-    return {"w1": params[0], "b1": params[1], "w2": params[2], "b2": params[3], "mu": mu, "sd": sd,
-            "features": list(features)}
+    w1, b1, w2, b2 = _layers(theta, k, hidden)
+    return {"w1": w1, "b1": b1, "w2": w2, "b2": b2, "mu": mu, "sd": sd, "features": list(features),
+            "loss": float(loss)}
 
 
 def mlp_regressor_predict(df: DataFrame, model: dict, out: str = "prediction") -> DataFrame:

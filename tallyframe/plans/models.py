@@ -173,11 +173,11 @@ def _doc_features(spark, d):
 
 @register("perceptron")
 def q_perceptron(spark, d):
-    """Perceptron on two standardised document features (100 epochs, eta 0.01) and its
+    """Perceptron on two standardised document features (up to 100 epochs, eta 0.01) and its
     train/test accuracy by hash split."""
     x = linear.stratified_split(_doc_features(spark, d), "doc_id", "quality")
     train = x.where(~F.col("is_test"))
-    model = learn.perceptron(train, ["x_len", "x_digits"], "quality", rounds=10, local_epochs=10, eta=0.01)
+    model = learn.perceptron(train, ["x_len", "x_digits"], "quality", epochs=100, eta=0.01)
     p = learn.linear_predict(x, ["x_len", "x_digits"], model)
     acc = p.groupBy("is_test").agg(F.avg((F.col("prediction") == F.col("quality")).cast("double")).alias("accuracy"),
                                    F.count(F.lit(1)).alias("rows"))
@@ -187,7 +187,7 @@ def q_perceptron(spark, d):
 @register("decision_grid")
 def q_decision_grid(spark, d):
     x = _doc_features(spark, d)
-    model = learn.perceptron(x, ["x_len", "x_digits"], "quality", rounds=10, local_epochs=10, eta=0.01)
+    model = learn.perceptron(x, ["x_len", "x_digits"], "quality", epochs=100, eta=0.01)
     return learn.decision_grid(x, ["x_len", "x_digits"], model, points=100)
 
 
@@ -216,7 +216,7 @@ def q_mlp_regressor(spark, d):
     test MSE."""
     x = linear.random_split(_embeddings(spark, d), "vec_id", 0.3)
     feats, y = [f"e{i}" for i in range(DIMS - 1)], f"e{DIMS - 1}"
-    model = learn.mlp_regressor(x.where(~F.col("is_test")), feats, y, hidden=100, rounds=20, local_steps=50)
+    model = learn.mlp_regressor(x.where(~F.col("is_test")), feats, y, hidden=100)
     p = learn.mlp_regressor_predict(x.where(F.col("is_test")), model)
     return p.agg(F.avg((F.col(y) - F.col("prediction")) ** 2).alias("mse"), F.count(F.lit(1)).alias("test_rows"))
 

@@ -50,7 +50,7 @@ def test_perceptron_separable(spark):
     x = rng.normal(0, 1, (400, 2))
     lab = (x[:, 0] + 0.5 * x[:, 1] > 0).astype(int)
     df = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "y": lab})).repartition(4)
-    model = learn.perceptron(df, ["a", "b"], "y", rounds=10, local_epochs=10)
+    model = learn.perceptron(df, ["a", "b"], "y", epochs=100)
     acc = learn.linear_predict(df, ["a", "b"], model).selectExpr("avg(cast(prediction = y as double))").first()[0]
     assert acc > 0.95
 
