@@ -4,18 +4,19 @@ A naive Bayes classifier over the hashed words of the whole text, its share of d
 and its length is counted from the labelled table and predicts each document's posterior over the domains. How far a text's words may be
 trusted is fitted as well: every labelled text is scored with the counts of the half it is
 not in, and the scale and the power of the length that suit the labels best are taken.
-Nonnegative rates w then minimise
-sum over domains of (expected tokens - target)^2 / share, where the expected tokens of a
-domain are the sum of w * tokens * posterior. Of the rates that do, the ones nearest to 1 are
-max(0, 1 + the sum of force * posterior) with one force per domain; the forces minimise a
-smooth convex function. Newton steps on them are each one aggregation over the narrow table
-(expected tokens and a domain-by-domain matrix), and nothing per document is rewritten.
+Nonnegative rates w, one per document, then meet the targets in the sense of least squares, by
+projected gradient from w = 1. Distances are weighed by the inverse of the domain-by-domain sums
+of tokens * posterior * posterior, so close domains are no slower than distinct ones. Each round
+is one aggregation over the narrow table: every rate moves against its gradient, which is the
+sum over domains of posterior * weighed distance, and is cut at 0; the next round's length comes
+from the curvature met (spectral steps). A round that ends above the last ``LOOK_BACK`` ones goes
+only the best part of its way.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import combinations_with_replacement
+from itertools import combinations_with_replacement, count
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,8 +27,9 @@ from . import tables
 BUCKETS = 1 << 16       # of word hashes: bounds the table of counts
 BINS = 12              # of the share of distinct words and of the length
 SCALES = [(2.0 ** k, power) for power in (0.0, 0.5, 1.0) for k in range(-6, 11)]   # score: scale * sum / length^power
-CLOSE = 1e-9            # gradient, relative to the supply, at which the steps end
-SLACK = 1e-9            # weight of the forces' squares: decides where targets cannot be met
+CLOSE = 1e-9            # distance to the targets, relative to the supply, or move of the rates, at which the rounds end
+LOOK_BACK = 10          # rounds: distances may grow within them, not beyond
+WRITTEN = 8             # rounds after which the rates are written out and the plan starts anew
 
 
 def with_words(docs: DataFrame) -> DataFrame:
@@ -78,9 +80,10 @@ def with_posteriors(docs: DataFrame, labels: DataFrame, domain: str, domains: li
     """One row per row of ``docs``: doc_id, mix_u, mix_tokens and mix_p, the array of
     posteriors over the domains. The driver holds a few numbers per domain only."""
     rows = tables.scratch(with_words(docs), "words")
-    known = labels.filter(F.col(domain).isin(*domains)).groupBy("doc_id").agg(F.max(domain).alias("mix_d"))
+    # written, so that its size is known before the join is planned: few labels are sent to the words
+    known = tables.scratch(labels.filter(F.col(domain).isin(*domains)).groupBy("doc_id").agg(F.max(domain).alias("mix_d")), "known")
     index = F.coalesce(*(F.when(F.col("mix_d") == d, F.lit(i)) for i, d in enumerate(domains)))
-    taught = tables.scratch(rows.join(known.hint("shuffle_hash"), "doc_id").select("mix_row", "mix_half", "mix_bins", "mix_w", index.alias("d")), "taught")
+    taught = tables.scratch(rows.join(known, "doc_id").select("mix_row", "mix_half", "mix_bins", "mix_w", index.alias("d")), "taught")
     cells = [(d, half) for d in range(len(domains)) for half in (0, 1)]
     name = lambda d, half: f"c{d}_{half}"
     # by bucket: words of each domain and half
@@ -117,11 +120,6 @@ def with_posteriors(docs: DataFrame, labels: DataFrame, domain: str, domains: li
     return scored.select("doc_id", "mix_u", "mix_tokens", F.expr("transform(e, x -> x / aggregate(e, 0D, (a, y) -> a + y))").alias("mix_p"))
 
 
-def _rate(force: np.ndarray) -> Column:
-    """w under the given force per domain: 1 where there is none."""
-    return F.greatest(F.lit(0.0), sum((F.lit(float(f)) * F.col("mix_p")[d] for d, f in enumerate(force)), F.lit(1.0)))
-
-
 def fit_targets(supply: list[float], weights: list[float], budget: float | None) -> list[float]:
     """Target tokens per domain. A stated ``budget`` is dealt out by the weights. Without one
     the total is the largest at which the wanted domains (those of the largest weight that
@@ -135,48 +133,46 @@ def fit_targets(supply: list[float], weights: list[float], budget: float | None)
     return [min(s, total * w) for s, w in zip(supply, share)]
 
 
-def fit_rates(rows: DataFrame, weights: list[float], budget: float | None) -> tuple[Column, list[float], float]:
-    """(rate column over rows with mix_tokens and mix_p, target tokens per domain by
+def fit_rates(rows: DataFrame, weights: list[float], budget: float | None) -> tuple[DataFrame, list[float], float]:
+    """(``rows`` with mix_tokens and mix_p and their rate, target tokens per domain by
     ``fit_targets``, largest relative distance left between a target and what is expected).
-    Steps go on until the gradient is ``CLOSE`` to zero or no step gets lower, so a distance
-    that is left means that no nonnegative rates meet the targets."""
+    Rounds go on until all distances are ``CLOSE`` to zero or the rates no longer move, so a
+    distance that is left means that no nonnegative rates meet the targets."""
     n = len(weights)
+    p, t, rate, to = F.col("mix_p"), F.col("mix_tokens"), F.col("rate"), F.col("mix_to")
     pairs = list(combinations_with_replacement(range(n), 2))
-
-    def totals(force: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """Sums of tokens * w^2, of w * tokens * p and, over rows with w > 0, of tokens * p * p."""
-        p, t, w = F.col("mix_p"), F.col("mix_tokens"), F.col("w")
-        r = rows.select("mix_tokens", "mix_p", _rate(force).alias("w")).filter("w > 0").agg(
-            F.sum(t * w * w), *(F.sum(t * w * p[d]) for d in range(n)), *(F.sum(t * p[a] * p[b]) for a, b in pairs)).first()
-        r = [v or 0.0 for v in r]
-        square = np.zeros((n, n))
-        for (a, b), v in zip(pairs, r[1 + n:]):
-            square[a, b] = square[b, a] = v
-        return r[0], np.array(r[1:1 + n]), square
-
-    force = np.zeros(n)
-    now = totals(force)
-    supply = now[1]
+    row = rows.agg(*(F.sum(t * p[d]) for d in range(n)), *(F.sum(t * p[a] * p[b]) for a, b in pairs)).first()
+    row = [v or 0.0 for v in row]
+    supply, gram = np.array(row[:n], float), np.zeros((n, n))
+    for (a, b), v in zip(pairs, row[n:]):
+        gram[a, b] = gram[b, a] = v
+    weigh = np.linalg.pinv(gram, rcond=CLOSE, hermitian=True)
     target = fit_targets(supply.tolist(), weights, budget)
     unit = np.where(supply > 0, supply, 1.0)
     wanted = np.where(supply > 0, target, 0.0)
-    cost = lambda force, now: now[0] / 2 - wanted @ force + SLACK / 2 * (unit @ force ** 2)
-    while True:
-        slope = now[1] - wanted + SLACK * unit * force
-        if np.abs(slope / unit).max(initial=0.0) <= CLOSE:
+    fitted, now, length, costs = rows.withColumn("rate", F.lit(1.0)), supply, 1.0, []
+    for done in count(1):
+        miss = now - wanted
+        if np.abs(miss / unit).max(initial=0.0) <= CLOSE:
             break
-        step = -np.linalg.solve(now[2] + SLACK * np.diag(unit), slope)
-        best, length = cost(force, now), 1.0
-        while length > CLOSE:
-            then = totals(force + length * step)
-            if cost(force + length * step, then) < best + 1e-4 * length * (slope @ step):
-                break
-            length /= 2
-        else:
+        costs = [*costs, miss @ weigh @ miss][-LOOK_BACK:]
+        force = weigh @ miss
+        move = sum((p[d] * float(length * f) for d, f in enumerate(force)), F.lit(0.0))
+        moved = fitted.withColumn("mix_to", F.greatest(F.lit(0.0), rate - move))
+        # expected tokens after the whole move, and its squared length
+        row = moved.agg(*(F.sum(t * to * p[d]) for d in range(n)), F.sum(t * (to - rate) * (to - rate))).first()
+        way, square = np.array(row[:n], float) - now, row[n]
+        curve, slope = float(way @ weigh @ way), float(force @ way)
+        if square <= CLOSE ** 2 * supply.sum() or slope >= 0 or curve <= 0:
             break
-        force, now = force + length * step, then
-    gap = [abs(a - t) / (t if t > 0 else s) for a, t, s in zip(now[1].tolist(), target, unit.tolist())]
-    return _rate(force), target, max(gap, default=0.0)
+        whole = (miss + way) @ weigh @ (miss + way) <= max(costs)
+        part = 1.0 if whole else min(1.0, -slope / curve)
+        fitted = moved.withColumn("rate", to if part == 1.0 else rate + part * (to - rate)).drop("mix_to")
+        now, length = now + part * way, max(1.0, square / curve)
+        if done % WRITTEN == 0:
+            fitted = tables.scratch(fitted, "rates")
+    gap = [abs(a - b) / (b if b > 0 else c) for a, b, c in zip(now.tolist(), target, unit.tolist())]
+    return fitted, target, max(gap, default=0.0)
 
 
 def mix(docs: DataFrame, labels: DataFrame, domain: str, weights: dict, budget: float | None = None) -> DataFrame:
@@ -193,8 +189,7 @@ def mix(docs: DataFrame, labels: DataFrame, domain: str, weights: dict, budget:
     supply keeps what it has and the others are not shrunk to it. Other columns are ignored; an empty table gives an empty result.
     """
     rows = tables.scratch(with_posteriors(docs, labels, domain, list(weights)), "posteriors")
-    rate, _, gap = fit_rates(rows, list(weights.values()), budget)
-    out = rows.select("doc_id", "mix_tokens", "mix_p", "mix_u", rate.alias("rate"))
+    out, _, gap = fit_rates(rows, list(weights.values()), budget)
     return out.select("doc_id", F.col("mix_tokens").alias("tokens"), F.col("mix_p").alias("p"), "rate", _copies().alias("copies"),
                       F.lit(gap).alias("gap"))
 

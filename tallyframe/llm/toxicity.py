@@ -2,10 +2,11 @@
 
 A word is its bag of 3-5 byte n-grams (with word ends) hashed into ``BUCKETS`` rows of an
 embedding table, so unseen spellings share vectors with known ones. A span of ``SPAN``
-words is the average of its words' bags and goes through a two-class linear softmax; the
-text's probability is that of its most toxic span, over all spans of the whole text.
-Training weighs the spans of a text by a softmax that sharpens from the plain average
-to the single best span, so text-level labels suffice.
+words is the average of its words' bags, and a text is the average of all its spans, each
+weighted by exp(``SHARP`` * its own toxicity); that one vector goes through a two-class linear
+softmax. A plain average would drown a few toxic words in a long text, so training starts from
+it and sharpens the weights; a text is scored with the average that training ended with. As the
+softmax is linear, the average of the vectors is taken as that of their scores.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from . import tables, words
 BUCKETS = 1 << 17
 DIM = 12
 SPAN = 2
-SAMPLE = 1500       # labelled training texts per class, at most: bounds the fit on the driver
+SHARP = 8.0
+SAMPLE = 1500       # default of ``train``: labelled training texts per class, at most
 STEPS = 110
 THRESHOLD = 0.3
 BLOCK_BYTES = 3 << 20   # n-grams of a block's distinct words are held at once
@@ -70,6 +72,16 @@ def _spans(scores: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (total[stop] - total[start]) / (stop - start), made
 
 
+def _averages(spans: np.ndarray, made: np.ndarray, sharp: float) -> tuple[np.ndarray, np.ndarray]:
+    """(weight of every span within its text, weighted average of each text's spans); every
+    text holds at least one."""
+    first = np.cumsum(made) - made
+    owner = np.repeat(np.arange(len(made)), made)
+    weight = np.exp(np.minimum(0, sharp * (spans - np.maximum.reduceat(spans, first)[owner])))
+    weight /= np.add.reduceat(weight, first)[owner]
+    return weight, np.add.reduceat(weight * spans, first)
+
+
 def _logits(model: Model, texts: list[bytes] | Iterator[bytes]) -> np.ndarray:
     ids, counts, vocab = words.block_words(texts)
     out = np.full(len(counts), model.bias)
@@ -77,7 +89,7 @@ def _logits(model: Model, texts: list[bytes] | Iterator[bytes]) -> np.ndarray:
         bucket, grams = _subwords(vocab)
         spans, made = _spans(_means(model.weights[bucket], grams)[ids], counts)
         full = made > 0
-        out[full] += np.maximum.reduceat(spans, (np.cumsum(made) - made)[full])
+        out[full] += _averages(spans, made[full], SHARP)[1]
     return out
 
 
@@ -103,14 +115,12 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float) -> Model:
     start = np.arange(len(owner)) - first[owner] + (np.cumsum(counts) - counts)[owner]
     stop = np.minimum(start + SPAN, np.cumsum(counts)[owner])
     for step in range(STEPS):
-        sharp = 8.0 * min(1.0, step / (0.6 * STEPS))
+        sharp = SHARP * min(1.0, step / (0.6 * STEPS))
         diff = (soft[:, 1] - soft[:, 0]).astype(np.float64)
         per_bucket = emb @ diff
         spans, _ = _spans(_means(per_bucket[bucket], grams)[ids], counts)
-        top = np.maximum.reduceat(spans, first)
-        w = np.exp(np.minimum(0, sharp * (spans - top[owner])))
-        w /= np.add.reduceat(w, first)[owner]
-        z = np.add.reduceat(w * spans, first) + bias[1] - bias[0]
+        w, text = _averages(spans, made, sharp)
+        z = text + bias[1] - bias[0]
         error = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
         # gradient of each token, then of each word, then of each bucket's score
         per_span = error[owner] * w / (stop - start)
@@ -132,16 +142,17 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float) -> Model:
     return Model((emb @ diff).astype(np.float32), float(bias[1] - bias[0]) + 0.5 * shift)
 
 
-def train(docs: DataFrame, labels: DataFrame, fold: int = 4, held: int = 2) -> Model:
+def train(docs: DataFrame, labels: DataFrame, fold: int = 4, held: int = 2, sample: int = SAMPLE) -> Model:
     """Fit on labelled rows whose crc32(doc_id) mod ``fold`` is not ``held``: per class the
-    ``SAMPLE`` rows with the smallest hash of the id (bounds what reaches the driver)."""
+    ``sample`` ids with the smallest hash (bounds what reaches the driver). An id with several
+    labels counts as toxic if one of them says so; several texts of one id are all taken."""
     known = (labels.select("doc_id", F.col("toxic").alias("y")).filter("doc_id IS NOT NULL AND y IN (0, 1)")
              .filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % fold != held)
              .groupBy("doc_id").agg(F.max("y").alias("y")))
     totals = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = None
     for y in (0, 1):
-        part = (known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE))
+        part = (known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
         chosen = part if chosen is None else chosen.union(part)
     rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
             .join(F.broadcast(chosen), "doc_id").select("text", "y", "doc_id").collect())
@@ -162,6 +173,8 @@ def score(docs: DataFrame, model: Model, name: str = "toxicity") -> DataFrame:
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls, empty and long texts as in ``score``; a null doc_id is not held out; repeated
+    rows are scored alike."""
     docs = tables.read(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, tables.read(spark, sf_dir, "labels"))
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2

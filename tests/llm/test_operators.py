@@ -308,7 +308,7 @@ def test_mixing_keeps_clean_documents_when_low_ones_are_scarce(spark, low):
     for weights in ([0.9, 0.1], [0.5, 0.3, 0.2]):
         put = rows if len(weights) == 2 else rows.selectExpr("doc_id", "mix_tokens", "array(mix_p[0], mix_p[1], 0D) mix_p")
         fitted = mixing.fit_rates(put, weights, None)
-        assert all(r.rate == pytest.approx(1.0, abs=1e-6) for r in put.select(fitted[0].alias("rate")).collect())
+        assert all(r.rate == pytest.approx(1.0, abs=1e-6) for r in fitted[0].collect())
     assert mixing.fit_targets([0.0, 0.0], [0.9, 0.1], None) == [0.0, 0.0]
     assert mixing.fit_targets([80.0, 40.0], [0.8, 0.2], None) == pytest.approx([80.0, 20.0])
     assert mixing.fit_targets([80.0, 0.0], [0.8, 0.2], 50.0) == pytest.approx([40.0, 10.0])
@@ -332,12 +332,13 @@ def test_mixing_meets_targets_of_close_domains(spark):
         p = rng.dirichlet(np.array([86.0, 14.0] if width == 2 else [30.0, 25.0, 20.0]) / 2, 500)
         tokens = rng.integers(1, 500, 500)
         rows = spark.createDataFrame([(int(t), x.tolist()) for t, x in zip(tokens, p)], "mix_tokens long, mix_p array<double>")
-        rate, target, gap = mixing.fit_rates(rows, weights, None)
-        w = np.array([r.rate for r in rows.select(rate.alias("rate")).collect()])
+        fitted, target, gap = mixing.fit_rates(rows, weights, None)
+        got = fitted.collect()
+        w, tokens, p = (np.array([r[c] for r in got]) for c in ("rate", "mix_tokens", "mix_p"))
         assert (w * tokens) @ p == pytest.approx(target, rel=1e-6) and gap < 1e-6 and w.min() >= 0
     same = spark.createDataFrame([(10, [0.5, 0.5])] * 9, "mix_tokens long, mix_p array<double>")
-    rate, target, gap = mixing.fit_rates(same, [0.8, 0.2], 50.0)
-    got = same.select(rate.alias("rate")).first().rate
+    fitted, target, gap = mixing.fit_rates(same, [0.8, 0.2], 50.0)
+    got = fitted.first().rate
     assert got * 45 == pytest.approx(25, rel=1e-3) and gap == pytest.approx(1.5, rel=1e-3)   # cannot be met: said
 
 
