@@ -4,16 +4,7 @@ trend model, hybrid ridge + ARIMA, fallback, backtest, report.
 Input series are period series ``(keys, t, y)`` — one row per entity and period (the
 output of a calendar group-by), so per-series windows are calendar-bounded.
 
-ARIMA estimation is Hannan-Rissanen (1982), built from Spark aggregates:
-  1. lags of z_d (d-th difference, d = 0..d_max) by window ``lag`` per series;
-  2. stage 1: long AR(m) per (series, d) -> ONE Gram aggregate; coefficients solved per
-     series; innovations e_t = z_t - fitted, a projection after a join on (series, d);
-  3. stage 2: ONE Gram per (series, d) over [1, z lags 1..p_max, e lags 1..q_max, z];
-     every candidate (p, d, q) is a sub-block of it, solved in the per-series Python
-     step over those few Gram rows. All orders are scored on the same rows:
-     AIC = n ln(RSS / n) + 2 k.
-Forecasting runs the recursion over each whole period series
-and runs the ARMA recursion with psi-weight variances per series in ``applyInPandas``.
+Tests and ARIMA models (``arima``) run on stacks of whole period series in Arrow batches.
 """
 
 from __future__ import annotations
@@ -22,34 +13,15 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linear import gram, gram_matrix, ridge_cv, ridge_from_gram, solve
+from ..functions.mathx import norm_cdf_sql
+from .arima import arima_forecast, arima_select
+from .linear import ridge_cv
 from .ranks import series_positions
-
-Z95 = 1.959963984540054
-
-
-def _w(keys, t):
-    return (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(t)
-
-
-def _key_schema(df: DataFrame, keys: list[str]) -> str:
-    t = dict(df.dtypes)
-    return ", ".join(f"{k} {t[k]}" for k in keys)
-
-
-def _per_series(g: DataFrame, keys: list[str], fn, schema: str) -> DataFrame:
-    if keys:
-        return g.groupBy(*keys).applyInPandas(fn, schema)
-
-    def wrapped(pdf):
-        out = fn(pdf)
-        out.insert(0, "_all", 0)
-        return out
-    return g.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(wrapped, "_all int, " + schema).drop("_all")
+from .series import Lists, cross_products, packed, per_batch, schema_of, solve_all, stacks
 
 
 # ---- Y1: summary + Dickey-Fuller ---------------------------------------------------
@@ -66,294 +38,126 @@ def df_critical(n: int, level: str = "5%") -> float:
     return b[0] + b[1] / n + b[2] / n ** 2 + b[3] / n ** 3
 
 
-def stationarity(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), lags: int = 1,
+# MacKinnon (1994) response surface of the p-value, constant only, as
+# polynomials of the statistic under the normal distribution function (from -1.61 down / up),
+# and the range beyond which p is 0 or 1.
+P_SMALL = (2.1659, 1.4412, 0.038269)
+P_LARGE = (1.7339, 0.93202, -0.12745, -0.010368)
+P_TURN, P_RANGE = -1.61, (-18.83, 2.74)
+
+
+def df_p_value_sql(x: str) -> str:
+    """p-value of a Dickey-Fuller statistic ``x`` (constant, no trend) as SQL text."""
+    def surface(coefs):
+        s = repr(coefs[-1])
+        for c in reversed(coefs[:-1]):
+            s = f"({s} * {x} + {c!r})"
+        return norm_cdf_sql(s)
+    return (f"(CASE WHEN {x} > {P_RANGE[1]} THEN 1.0 WHEN {x} < {P_RANGE[0]} THEN 0.0 "
+            f"WHEN {x} <= {P_TURN} THEN {surface(P_SMALL)} ELSE {surface(P_LARGE)} END)")
+
+
+def lag_limit(n: np.ndarray) -> np.ndarray:
+    """Most lagged differences tried on n values: ceil(12 (n / 100)^(1/4)), at most n // 2 - 2."""
+    return np.maximum(np.minimum(np.ceil(12 * (n / 100) ** 0.25), n // 2 - 2), 0).astype(int)
+
+
+def _lagged(y: np.ndarray, lags: int) -> np.ndarray:
+    """(time, series, lags + 2): level before, differences before (nearest first), difference."""
+    dy = np.diff(y, axis=0)
+    cols = [y[:-1]] + [np.concatenate([np.zeros_like(dy[:i]), dy[:max(0, len(dy) - i)]])[:len(dy)]
+                       for i in range(1, lags + 1)] + [dy]
+    return np.stack(cols, -1)
+
+
+def _centred(x: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Cross products of ``x`` about its means over the rows of ``mask``."""
+    mean = np.where(mask[..., None], x, 0.0).sum(0) / np.maximum(mask.sum(0), 1)[:, None]
+    return cross_products(x - mean, mask)
+
+
+def _nested(g: np.ndarray, n: np.ndarray, lags: int) -> tuple[np.ndarray, np.ndarray]:
+    """(t statistic of the level, AIC) of the regression on the first ``lags`` differences, for
+    every matrix of centred cross products ``g`` over ``n`` rows."""
+    k = lags + 1
+    s, sy, yy = g[:, :k, :k], g[:, :k, -1], g[:, -1, -1]
+    size = np.sqrt(np.einsum("sii->si", s))
+    size = np.where(size > 0, size, 1.0)
+    s, sy = s / size[:, :, None] / size[:, None, :], sy / size
+    with np.errstate(all="ignore"):
+        coef = solve_all(s, sy)
+        rss = yy - (coef * sy).sum(1)
+        unit = np.zeros(sy.shape)
+        unit[:, 0] = 1.0
+        stat = coef[:, 0] / np.sqrt(rss / (n - k - 1) * solve_all(s, unit)[:, 0])
+        return np.where((n > k + 1) & (rss > 0), stat, np.nan), n * np.log(rss / n) + 2 * (k + 1)
+
+
+def dickey_fuller(y: np.ndarray, size: np.ndarray, lags: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """(t statistic, lagged differences used) of every series of a stack (time, series). Without
+    ``lags`` each series takes the number with the lowest AIC up to its ``lag_limit``, all
+    tried on the same rows as nested blocks of one matrix, and is fitted again on all its rows."""
+    used = np.full(len(size), lags or 0)
+    most = int(lag_limit(size).max(initial=0)) if lags is None else lags
+    if len(y) < 2:
+        return np.full(len(size), np.nan), used
+    x = _lagged(y, most)
+    t = np.arange(len(x))[:, None]
+    if lags is None:
+        limit = lag_limit(size)
+        mask = (t >= limit) & (t < size - 1)
+        g, best = _centred(x, mask), np.full(len(size), np.inf)
+        for k in range(most + 1):
+            at = np.flatnonzero(limit >= k)
+            stat, aic = _nested(g[at][:, [*range(k + 1), -1]][:, :, [*range(k + 1), -1]], mask.sum(0)[at], k)
+            lower = np.isfinite(stat) & (aic < best[at])
+            best[at] = np.where(lower, aic, best[at])
+            used[at] = np.where(lower, k, used[at])
+    out = np.full(len(size), np.nan)
+    for k in np.unique(used):
+        at = np.flatnonzero(used == k)
+        mask = (t >= k) & (t < size[at] - 1)
+        out[at] = _nested(_centred(x[:, at][..., [*range(k + 1), -1]], mask), mask.sum(0), int(k))[0]
+    return out, used
+
+
+def stationarity(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), lags: int | None = 1,
                  min_n: int = 10) -> DataFrame:
     """Per series: n, first / last period, mean, std, and the augmented Dickey-Fuller
-    t statistic of dy_t = a + g y_{t-1} + sum b_i dy_{t-i} (``lags`` fixed), compared
-    with the 5 % MacKinnon critical value; the test needs n > ``min_n``."""
+    t statistic of dy_t = a + g y_{t-1} + sum b_i dy_{t-i}, compared with the 5 % MacKinnon
+    critical value, and its p-value. ``lags`` lagged differences, or (None) the number with the
+    lowest AIC, as in ``dickey_fuller``. The test needs n > ``min_n`` values.
+
+    Periods with a null value take no part in the test (the series closes up); null keys are a
+    series; constant series have a null statistic; an empty table gives no rows. Output also:
+    df_n (rows of the regression), df_lags, crit_5, stationary."""
     keys = list(keys)
-    w = _w(keys, t)
-    x = df.select(*keys, t, F.col(y).cast("double").alias("_y"))
-    x = x.withColumn("_dy", F.col("_y") - F.lag("_y").over(w)).withColumn("_y1", F.lag("_y").over(w))
-    for i in range(1, lags + 1):
-        x = x.withColumn(f"_dl{i}", F.lag("_dy", i).over(w))
-    xcols = ["_y1"] + [f"_dl{i}" for i in range(1, lags + 1)]
-    g = gram(x, keys, xcols, "_dy")
-    summ = df.groupBy(*keys).agg(F.count(y).alias("n"), F.min(t).alias("first"), F.max(t).alias("last"),
-                                 F.avg(y).alias("mean"), F.stddev_samp(y).alias("std")) if keys else \
-        df.agg(F.count(y).alias("n"), F.min(t).alias("first"), F.max(t).alias("last"),
-               F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"))
-    k = len(xcols)
-
-    def fit(pdf):
-        G = sum(gram_matrix(r, k + 2) for _, r in pdf.iterrows())
-        n = G[0, 0]
-        b0, coef, _ = ridge_from_gram(G, 0.0)
-        mx = G[0, 1:k + 1] / n
-        Sxx = G[1:k + 1, 1:k + 1] - n * np.outer(mx, mx)
-        w_ = np.concatenate([[-b0], -coef, [1.0]])
-        rss = float(w_ @ G @ w_)
-        dof = n - k - 1
-        stat = float("nan")
-        if dof > 0:
-            s2 = rss / dof
-            try:
-                se = math.sqrt(s2 * np.linalg.inv(Sxx)[0, 0])
-                stat = float(coef[0] / se)
-            except (np.linalg.LinAlgError, ValueError):
-                pass
-        out = {kk: [pdf.iloc[0][kk]] for kk in keys}
-        out.update(df_n=[int(n)], adf_stat=[stat], crit_5=[df_critical(int(n)) if n > 0 else float("nan")])
-        return pd.DataFrame(out)
-
-    ks = _key_schema(df, keys)
-    res = _per_series(g, keys, fit, (ks + ", " if ks else "") + "df_n long, adf_stat double, crit_5 double")
-    out = summ.join(res, keys) if keys else summ.crossJoin(res)
+    col = F.col(y)
+    rows = packed(df, keys, t, {"_y": y}, [
+        F.count(col).alias("n"), F.min(t).alias("first"), F.max(t).alias("last"), F.avg(col).alias("mean"),
+        F.stddev_samp(col).alias("std")])
+    head = [*keys, "n", "first", "last", "mean", "std"]
+    rows = rows.select(*head, "_y")
+    schema = schema_of(rows, head, "df_n long, df_lags int, adf_stat double, crit_5 double")
+
+    def step(batch: pa.RecordBatch) -> pa.Table:
+        values = Lists(batch.column("_y"))
+        stat, used = np.full(batch.num_rows, np.nan), np.zeros(batch.num_rows, np.int64)
+        for at in stacks(values.size):
+            stat[at], used[at] = dickey_fuller(values.stack(at), values.size[at], lags)
+        n = np.maximum(values.size - 1 - used, 0)
+        crit = np.array([df_critical(int(v)) if v else math.nan for v in n])
+        out = pa.Table.from_batches([batch]).select(head)
+        out = out.append_column("df_n", pa.array(n)).append_column("df_lags", pa.array(used.astype(np.int32)))
+        for name, v in (("adf_stat", stat), ("crit_5", crit)):
+            out = out.append_column(name, pa.array(v, pa.float64(), from_pandas=True))
+        return out
+
+    out = per_batch(rows, schema, step)
     ok = F.col("n") > min_n
     return out.withColumn("stationary", F.when(ok, F.col("adf_stat") < F.col("crit_5"))) \
-        .withColumn("adf_stat", F.when(ok, F.col("adf_stat")))
-
-
-# ---- Y2: ARIMA order search (Hannan-Rissanen on Gram aggregates) -------------------
-
-def order_grid(max_p: int, max_d: int, max_q: int) -> list[tuple[int, int, int]]:
-    return [(p, d, q) for p in range(max_p + 1) for d in range(max_d + 1) for q in range(max_q + 1)
-            if (p, d, q) != (0, 0, 0)]
-
-
-def _diff_long(df: DataFrame, y: str, t: str, keys: list[str], max_d: int, m: int, lmax: int,
-               exog: Sequence[str] = ()) -> DataFrame:
-    """(keys, d, t, idx, z, x_1.., z lags 1..max(m, lmax)) for d = 0..max_d, where z and
-    the exogenous x_j are d-th differences."""
-    w = _w(keys, t)
-    x = df.select(*keys, t, F.col(y).cast("double").alias("_z0"),
-                  *[F.col(c).cast("double").alias(f"_x{j}_0") for j, c in enumerate(exog)])
-    x = x.withColumn("idx", F.row_number().over(w))
-    for d in range(1, max_d + 1):
-        x = x.withColumn(f"_z{d}", F.col(f"_z{d - 1}") - F.lag(f"_z{d - 1}").over(w))
-        for j in range(len(exog)):
-            x = x.withColumn(f"_x{j}_{d}", F.col(f"_x{j}_{d - 1}") - F.lag(f"_x{j}_{d - 1}").over(w))
-    long = x.select(*keys, t, "idx", F.explode(F.array(*[
-        F.struct(F.lit(d).alias("d"), F.col(f"_z{d}").alias("z"),
-                 *[F.col(f"_x{j}_{d}").alias(f"x{j}") for j in range(len(exog))]) for d in range(max_d + 1)])
-    ).alias("_s")).select(*keys, t, "idx", "_s.*")
-    wd = _w(keys + ["d"], t)
-    for i in range(1, max(m, lmax) + 1):
-        long = long.withColumn(f"zl{i}", F.lag("z", i).over(wd))
-    return long
-
-
-def arima_select(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), max_p: int = 2, max_d: int = 1,
-                 max_q: int = 2, long_ar: int = 6, default=(1, 0, 1), exog: Sequence[str] = ()) -> DataFrame:
-    """Best (p, d, q) by AIC per series, plus its parameters. ``exog`` columns enter as
-    regressors (differenced like the series), i.e. a regression with ARIMA errors.
-
-    Output: keys, p, d, q, aic, const, phi (array), theta (array), beta (array, exog
-    coefficients), sigma2, n_eff.
-    """
-    from ..session import cut_lineage
-    keys = list(keys)
-    m, pq = long_ar, max(max_p, max_q)
-    exog = list(exog)
-    xs_ex = [f"x{j}" for j in range(len(exog))]
-    long = _diff_long(df, y, t, keys, max_d, m if not exog else 0, max_p if not exog else 0, exog)
-    ks = _key_schema(df, keys)
-    if exog:
-        # regression with ARIMA errors: beta per (series, d) by least squares on the
-        # differenced data (one Gram), then the ARMA stages run on z - x beta
-        gx = gram(long.where(F.col("idx") > max_d), keys + ["d"], xs_ex, "z")
-        nx = len(xs_ex)
-
-        def fit_beta(pdf):
-            rows = []
-            for (d,), part in pdf.groupby(["d"]):
-                G = sum(gram_matrix(r, nx + 2) for _, r in part.iterrows())
-                try:
-                    _, coef, _ = ridge_from_gram(G, 0.0)
-                except np.linalg.LinAlgError:
-                    coef = np.zeros(nx)
-                r = {k: pdf.iloc[0][k] for k in keys}
-                r.update(d=int(d), beta=[float(c) for c in coef])
-                rows.append(r)
-            return pd.DataFrame(rows, columns=keys + ["d", "beta"])
-
-        betas = _per_series(gx, keys, fit_beta, (ks + ", " if ks else "") + "d int, beta array<double>")
-        reg = F.lit(0.0)
-        for j in range(nx):
-            reg = reg + F.col("beta")[j] * F.col(f"x{j}")
-        long = long.join(betas, keys + ["d"]).withColumn("z", F.col("z") - reg).drop(*xs_ex)
-        wd0 = _w(keys + ["d"], t)
-        for i in range(1, max(m, max_p) + 1):
-            long = long.withColumn(f"zl{i}", F.lag("z", i).over(wd0))
-    else:
-        long = long.withColumn("beta", F.array().cast("array<double>"))
-    # (series x periods x (d_max + 1)) rows, read by both stages: materialised once
-    long = cut_lineage(long)
-    # stage 1: long AR(m) per (series, d)
-    s1_rows = long.where(F.col("idx") > max_d + m)
-    zl = [f"zl{i}" for i in range(1, m + 1)]
-    g1 = gram(s1_rows, keys + ["d"], zl, "z")
-    nk = len(zl)
-
-    def stage1(pdf):
-        rows = []
-        for (d,), part in pdf.groupby(["d"]):
-            G = sum(gram_matrix(r, nk + 2) for _, r in part.iterrows())
-            try:
-                b0, coef, _ = ridge_from_gram(G, 1e-8)
-            except np.linalg.LinAlgError:
-                continue
-            mu = np.array([part.iloc[0][f"mu_{i}"] for i in range(nk + 1)])
-            b0 = b0 + mu[nk] - coef @ mu[:nk]
-            r = {k: pdf.iloc[0][k] for k in keys}
-            r.update(d=int(d), a0=float(b0), a=[float(c) for c in coef])
-            rows.append(r)
-        return pd.DataFrame(rows, columns=keys + ["d", "a0", "a"])
-
-    a = _per_series(g1, keys, stage1, (ks + ", " if ks else "") + "d int, a0 double, a array<double>")
-    ehat = F.col("z") - F.col("a0")
-    for i, c in enumerate(zl):
-        ehat = ehat - F.col("a")[i] * F.col(c)
-    e = long.join(a, keys + ["d"]).withColumn("e", F.when(F.col("idx") > max_d + m, ehat))
-    wd = _w(keys + ["d"], t)
-    for j in range(1, max_q + 1):
-        e = e.withColumn(f"el{j}", F.lag("e", j).over(wd))
-    start = max_d + m + pq
-    s2 = e.where(F.col("idx") > start)
-    xs = [f"zl{i}" for i in range(1, max_p + 1)] + [f"el{j}" for j in range(1, max_q + 1)]
-    g2 = gram(s2, keys + ["d"], xs, "z", shift=False)
-    beta_d = long.groupBy(*keys, "d").agg(F.first("beta").alias("beta"))
-    g2 = g2.join(beta_d, keys + ["d"])
-    k2 = len(xs)
-    grid = order_grid(max_p, max_d, max_q)
-
-    def stage2(pdf):
-        best = None
-        grams = {int(r["d"]): gram_matrix(r, k2 + 2) for _, r in pdf.iterrows()}
-        beta_by_d = {int(r["d"]): (list(r["beta"]) if r["beta"] is not None else []) for _, r in pdf.iterrows()}
-        n_ex = len(exog)
-        for p, d, q in grid:
-            if d not in grams:
-                continue
-            G = grams[d]
-            n = G[0, 0]
-            use_c = d == 0
-            idx = ([0] if use_c else []) + list(range(1, p + 1)) + list(range(1 + max_p, 1 + max_p + q)) + [k2 + 1]
-            S = G[np.ix_(idx, idx)]
-            X, Xy, yy = S[:-1, :-1], S[:-1, -1], S[-1, -1]
-            try:
-                beta = solve(X, Xy) if len(X) else np.zeros(0)
-            except np.linalg.LinAlgError:
-                continue
-            rss = float(yy - beta @ Xy)
-            if not np.isfinite(rss) or rss <= 0 or n <= len(beta):
-                continue
-            k = p + q + 1 + (1 if use_c else 0) + n_ex
-            aic = n * math.log(rss / n) + 2 * k
-            if best is None or aic < best[0]:
-                c = float(beta[0]) if use_c else 0.0
-                off = 1 if use_c else 0
-                bex = np.asarray(beta_by_d.get(d, np.zeros(n_ex)), float)
-                best = (aic, p, d, q, c, beta[off:off + p], beta[off + p:off + p + q], bex, rss / n, n)
-        if best is None:
-            p, d, q = default
-            best = (float("nan"), p, d, q, 0.0, np.zeros(p), np.zeros(q), np.zeros(n_ex), float("nan"), 0.0)
-        aic, p, d, q, c, phi, theta, bex, s2_, n = best
-        r = {k: [pdf.iloc[0][k]] for k in keys}
-        r.update(p=[p], d=[d], q=[q], aic=[float(aic)], const=[c], phi=[[float(v) for v in phi]],
-                 theta=[[float(v) for v in theta]], beta=[[float(v) for v in bex]], sigma2=[float(s2_)],
-                 n_eff=[int(n)])
-        return pd.DataFrame(r)
-
-    schema = (ks + ", " if ks else "") + ("p int, d int, q int, aic double, const double, phi array<double>, "
-                                          "theta array<double>, beta array<double>, sigma2 double, n_eff long")
-    return _per_series(g2, keys, stage2, schema)
-
-
-# ---- Y3/Y4: forecast ---------------------------------------------------------------
-
-def _psi(phi: np.ndarray, theta: np.ndarray, d: int, h: int) -> np.ndarray:
-    """psi weights of phi(B)(1-B)^d x = theta(B) e, first h."""
-    ar = np.array([1.0])
-    for _ in range(d):
-        ar = np.convolve(ar, [1.0, -1.0])
-    ar = np.convolve(ar, np.concatenate([[1.0], -phi]))
-    ma = np.concatenate([[1.0], theta])
-    psi = np.zeros(h)
-    for j in range(h):
-        v = ma[j] if j < len(ma) else 0.0
-        for i in range(1, min(j, len(ar) - 1) + 1):
-            v -= ar[i] * psi[j - i]
-        psi[j] = v
-    return psi
-
-
-def arima_forecast(df: DataFrame, y: str, t: str, model: DataFrame, keys: Sequence[str] = (),
-                   horizon: int = 6, exog: Sequence[str] = ()) -> DataFrame:
-    """h-step forecasts with 95 % intervals from ``arima_select`` output.
-
-    The whole period series (one row per period, bounded by the calendar) reaches Python,
-    and innovations come from the ARMA recursion over all of it. Exogenous columns
-    are held at their last observed value over the horizon (so their differences are 0
-    when d >= 1). Output: keys, step, forecast, lower, upper.
-    """
-    keys, exog = list(keys), list(exog)
-    pos = series_positions(df.select(*keys, t, F.col(y).cast("double").alias("_y"),
-                                    *[F.col(c).cast("double").alias(f"_e{j}") for j, c in enumerate(exog)]),
-                          keys, t, "_pos", "_n")
-    j = pos.join(model, keys) if keys else pos.crossJoin(F.broadcast(model))
-    ne = len(exog)
-
-    def fc(pdf):
-        pdf = pdf.sort_values("_pos")
-        yv = pdf["_y"].to_numpy(float)
-        ex = pdf[[f"_e{i}" for i in range(ne)]].to_numpy(float) if ne else np.zeros((len(yv), 0))
-        r0 = pdf.iloc[0]
-        p, d, q = int(r0["p"]), int(r0["d"]), int(r0["q"])
-        phi = np.asarray(r0["phi"], float)
-        theta = np.asarray(r0["theta"], float)
-        beta = np.asarray(r0["beta"], float) if "beta" in pdf.columns and r0["beta"] is not None else np.zeros(0)
-        c, s2 = float(r0["const"]), float(r0["sigma2"])
-        z = np.diff(yv, n=d) if d else yv.copy()
-        xz = np.diff(ex, n=d, axis=0) if d else ex.copy()
-        use_x = ne > 0 and len(beta) == ne
-        u = z - xz @ beta if use_x else z  # regression errors follow the ARMA model
-        e = np.zeros(len(u))
-        for i in range(len(u)):
-            pred = c + sum(phi[k] * u[i - k - 1] for k in range(p) if i - k - 1 >= 0) \
-                + sum(theta[k] * e[i - k - 1] for k in range(q) if i - k - 1 >= 0)
-            e[i] = u[i] - pred if i >= max(p, q) else 0.0
-        uf, ef = list(u), list(e)
-        for _ in range(horizon):
-            pred = c + sum(phi[k] * uf[-k - 1] for k in range(p) if len(uf) > k) \
-                + sum(theta[k] * ef[-k - 1] for k in range(q) if len(ef) > k)
-            uf.append(pred)
-            ef.append(0.0)
-        # exogenous held at the last row: its d-th difference is 0 for d >= 1
-        fut_reg = float(ex[-1] @ beta) if (use_x and d == 0) else 0.0
-        fz = np.array(uf[len(u):]) + fut_reg
-        levels = fz
-        if d >= 1:
-            # integrate d times from the last observed levels
-            out = []
-            lv = [list(np.diff(yv, n=k)) for k in range(d)]
-            for v in fz:
-                for k in range(d - 1, -1, -1):
-                    v = lv[k][-1] + v
-                    lv[k].append(v)
-                out.append(v)
-            levels = np.array(out)
-        psi = _psi(phi, theta, d, horizon)
-        var = s2 * np.cumsum(psi ** 2) if np.isfinite(s2) else np.full(horizon, np.nan)
-        half = Z95 * np.sqrt(var)
-        res = {k: [r0[k]] * horizon for k in keys}
-        res.update(step=list(range(1, horizon + 1)), forecast=[float(v) for v in levels],
-                   lower=[float(v) for v in levels - half], upper=[float(v) for v in levels + half])
-        return pd.DataFrame(res)
-
-    ks = _key_schema(df, keys)
-    return _per_series(j, keys, fc, (ks + ", " if ks else "") +
-                       "step int, forecast double, lower double, upper double")
+        .withColumn("adf_stat", F.when(ok, F.col("adf_stat"))) \
+        .withColumn("p_value", F.expr(f"CASE WHEN adf_stat IS NOT NULL THEN {df_p_value_sql('adf_stat')} END"))
 
 
 # ---- Y7: fallback -------------------------------------------------------------------

@@ -265,6 +265,27 @@ def q_adf_test(spark, d):
                      F.round("crit_5", 4).alias("crit_5"), "stationary")
 
 
+@register("adf_p_value", f"""WITH {_SEG_SQL},
+l AS (SELECT segment, total - lag(total) OVER (PARTITION BY segment ORDER BY month) AS dy,
+             lag(total) OVER (PARTITION BY segment ORDER BY month) AS y1 FROM seg),
+r AS (SELECT segment, regr_count(dy, y1) AS n, regr_slope(dy, y1) AS g, regr_sxx(dy, y1) AS sxx,
+             regr_syy(dy, y1) AS syy, regr_sxy(dy, y1) AS sxy FROM l GROUP BY 1),
+t AS (SELECT segment, n, g / sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx) AS tau FROM r)
+SELECT segment, CAST(n AS BIGINT) AS df_n, round(tau, 4) AS adf_stat,
+       round(CAST({forecast.df_p_value_sql("tau")} AS DOUBLE), 5) AS p_value FROM t""")
+def q_adf_p_value(spark, d):
+    """Dickey-Fuller statistic of each segment's monthly totals and its p-value."""
+    st = forecast.stationarity(_seg_total(spark, d), "total", "month", ["segment"], lags=0)
+    return st.select("segment", "df_n", F.round("adf_stat", 4).alias("adf_stat"), F.round("p_value", 5).alias("p_value"))
+
+
+@register("adf_auto_lag")
+def q_adf_auto_lag(spark, d):
+    """Augmented Dickey-Fuller test of each symbol's daily close, lagged differences by AIC."""
+    st = forecast.stationarity(tables.daily_prices(spark, d), "close", "day", ["symbol"], lags=None)
+    return st.select("symbol", "n", "df_n", "df_lags", "adf_stat", "crit_5", "p_value", "stationary")
+
+
 @register("arima_order")
 def q_arima_order(spark, d):
     """Lowest-AIC ARIMA among p <= 3, d <= 2, q <= 3 (47 orders) per segment."""
