@@ -22,6 +22,7 @@ from .arima import arima_forecast, arima_select
 from .linear import ridge_cv
 from .ranks import series_positions
 from .series import Lists, cross_products, packed, per_batch, schema_of, solve_all, stacks
+from .trend import trend_fit, trend_value
 
 
 # ---- Y1: summary + Dickey-Fuller ---------------------------------------------------
@@ -208,45 +209,39 @@ def fourier_features(df: DataFrame, t: str, periods: dict[str, tuple[float, int]
 SEASONALITY = {"yearly": (365.25, 3), "monthly": (30.5, 3)}
 
 
-def fourier_model(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), alpha: float = 1e-6,
-                  split: float = 0.8, seasonality: dict | None = None) -> DataFrame:
-    """Trend + Fourier seasonality per series by (lightly regularised) least squares,
-    fitted on the first ``split`` of each series; returns per series the validation MAE
-    on the rest and the fitted coefficients. Changepoints are not modelled."""
+def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    return left.join(right, keys) if keys else left.crossJoin(F.broadcast(right))
+
+
+def fourier_model(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), split: float = 0.8,
+                  seasonality: dict | None = None, **trend) -> DataFrame:
+    """Trend with changepoints + Fourier seasonality per series (``trend.trend_fit``, to which
+    ``trend`` goes), fitted on the first ``split`` of each series; returns per series the
+    fitted parameters and the validation MAE on the rest."""
+    from ..session import cut_lineage
     keys = list(keys)
-    x, names = fourier_features(df, t, seasonality or SEASONALITY)
-    pos = series_positions(x, keys, t, "_pos", "_n")
-    train = pos.where(F.col("_pos") <= F.floor(F.col("_n") * split))
-    from .linear import ridge_fit
-    fit = ridge_fit(train, y, names, keys, alpha=alpha, standardize=[])
+    seas = seasonality or SEASONALITY
+    x, names = fourier_features(df, t, seas)
+    pos = cut_lineage(series_positions(x, keys, t, "_pos", "_n"))  # period series, read by fit and validation
+    fit = trend_fit(pos.where(F.col("_pos") <= F.floor(F.col("_n") * split)), y, t, keys, seas, **trend)
     valid = pos.where(F.col("_pos") > F.floor(F.col("_n") * split))
-    j = valid.join(fit, keys) if keys else valid.crossJoin(F.broadcast(fit))
-    yhat = F.col("intercept")
-    for i, n in enumerate(names):
-        yhat = yhat + F.col("coef")[i] * F.col(n)
-    err = j.groupBy(*keys).agg(F.avg(F.abs(F.col(y) - yhat)).alias("mae_validation"),
-                               F.count(F.lit(1)).alias("n_validation")) if keys else \
-        j.agg(F.avg(F.abs(F.col(y) - yhat)).alias("mae_validation"), F.count(F.lit(1)).alias("n_validation"))
+    err = _joined(valid, fit, keys).groupBy(*keys).agg(
+        F.avg(F.abs(F.col(y) - trend_value(names))).alias("mae_validation"), F.count(F.lit(1)).alias("n_validation"))
     return fit.join(err, keys, "left") if keys else fit.crossJoin(err)
 
 
 # ---- Y9: backtest -------------------------------------------------------------------
 
 def fourier_predict(train: DataFrame, test: DataFrame, y: str, t: str, keys: Sequence[str] = (),
-                    seasonality: dict | None = None, alpha: float = 1e-6) -> DataFrame:
+                    seasonality: dict | None = None) -> DataFrame:
     """Fit trend + Fourier terms on ``train`` per series and predict ``test`` rows
     (column ``forecast``)."""
-    from .linear import ridge_fit
     keys = list(keys)
     seas = seasonality or {"yearly": SEASONALITY["yearly"]}
-    tr, names = fourier_features(train, t, seas)
-    te, _ = fourier_features(test, t, seas)
-    fit = ridge_fit(tr, y, names, keys, alpha=alpha, standardize=[])
-    j = te.join(fit, keys) if keys else te.crossJoin(F.broadcast(fit))
-    yhat = F.col("intercept")
-    for i, n in enumerate(names):
-        yhat = yhat + F.col("coef")[i] * F.col(n)
-    return j.withColumn("forecast", yhat).drop(*names, "n", "alpha", "intercept", "coef", "explained_variance")
+    fit = trend_fit(train, y, t, keys, seas)
+    x, names = fourier_features(test, t, seas)
+    j = _joined(x, fit, keys).withColumn("forecast", trend_value(names))
+    return j.drop(*names, "n", "sigma", "intercept", "coef", "knots", "bends", "explained_variance")
 
 
 def fourier_forecast(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), horizon: int = 30,
@@ -257,17 +252,13 @@ def fourier_forecast(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), ho
     fewer than ``min_rows`` values give no rows, and neither does any other frequency."""
     from ..functions.expr import money
     from ..session import cut_lineage
-    from .linear import ridge_fit
     keys = list(keys)
     seas = seasonality or SEASONALITY
     x, names = fourier_features(df.select(*keys, t, y).na.drop(subset=[t, y]), t, seas)
     x = cut_lineage(x)  # period series, read by the fit, its residuals and the series' ends
-    on = lambda a, b: a.join(b, keys) if keys else a.crossJoin(F.broadcast(b))
-    fit = cut_lineage(ridge_fit(x, y, names, keys, alpha=1e-6, standardize=[]).select(*keys, "intercept", "coef"))
-    yhat = F.col("intercept")
-    for i, n in enumerate(names):
-        yhat = yhat + F.col("coef")[i] * F.col(n)
-    ends = on(x, fit).groupBy(*keys).agg(
+    fit = cut_lineage(trend_fit(x, y, t, keys, seas).select(*keys, "intercept", "coef", "knots", "bends"))
+    yhat = trend_value(names)
+    ends = _joined(x, fit, keys).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_rows"), F.max(F.to_date(t)).alias("_end"),
         F.sqrt(F.avg((F.col(y) - yhat) ** 2)).alias("_sd"))
     days = {"D": 1, "W": 7}.get(freq, 0)
@@ -275,7 +266,7 @@ def fourier_forecast(df: DataFrame, y: str, t: str, keys: Sequence[str] = (), ho
               .withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
               .withColumn(t, F.date_add("_end", F.col("step") * days)))
     f, _ = fourier_features(future, t, seas)
-    f = on(f, fit).withColumn("forecast", yhat)
+    f = _joined(f, fit, keys).withColumn("forecast", yhat)
     half = F.col("_sd") * z
     f = f.select(*keys, "step", t, "forecast", (F.col("forecast") - half).alias("lower"),
                  (F.col("forecast") + half).alias("upper"))
