@@ -3,14 +3,16 @@
 1. A turn's id is the digest of its role and text, with its number of words behind it.
    Conversations are rebuilt from ids alone and laid out in blocks of ``WIDTH`` columns
    t1..tWIDTH, one row per conversation and block.
-2. Down: block by block, ``GROUP BY node, ROLLUP(t1, ..)`` counts the members of all prefixes
-   in a block at once; grouping_id tells a prefix's length. ``node`` is the node at which the
-   block before ended; conversations that fill a block go on below their node in the next.
-3. Nodes meet their parents and children by path digest, once for all blocks.
-4. Up: from the last block to the first, a second ROLLUP over the same columns sums leaves
-   and saved tokens of all subtrees of a block; the sums of a block's top go to its node in
-   the block above.
-
+2. ``node``, the node at which the block before ended, is a digest carried along each
+   conversation's blocks, row by row.
+3. Down: one ``GROUP BY node, ROLLUP(t1, ..)`` over the blocks of all depths counts the members
+   of all prefixes; grouping_id tells a prefix's length.
+4. Nodes meet their parents and children by path digest.
+5. Up: sums of blocks go to the nodes above them by pointer doubling over the tops of blocks
+   (log2 of the number of blocks rounds); a second ROLLUP over the same columns adds them to
+   the leaves and saved tokens of every subtree of a block.
+
+The number of jobs grows with the logarithm of the longest conversation, plans do not grow.
 Every step is a partial aggregation before its shuffle, so a first turn, or a whole
 conversation, that a third of all rows share costs one row a task.
 """
@@ -38,6 +40,7 @@ _COLUMNS = [f"t{i}" for i in range(1, WIDTH + 1)]
 _LEVEL = f"{WIDTH} - bit_count(grouping_id())"
 # prefixes that are there: their last column is a turn
 _THERE = " OR ".join(f"(grouping_id() = {2 ** (WIDTH - j) - 1} AND t{j} IS NOT NULL)" for j in range(1, WIDTH + 1))
+_ROOT = f"(grouping_id() = {2 ** WIDTH - 1} AND node = {ROOT})"
 
 
 def turn_ids(conversations: DataFrame) -> DataFrame:
@@ -82,43 +85,72 @@ def _digest(upto: str) -> str:
     return f"CASE WHEN {upto} = 0 THEN node ELSE unhex(md5(concat(node, {turns}))) END"
 
 
-def _blocks(convs: DataFrame, turns: DataFrame) -> tuple[DataFrame, int]:
-    """Turns laid out (conv_id, n, block, t1..), written by block, and the number of blocks."""
-    spark = convs.sparkSession
+def _carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (conv_id, block) with the turns of a full block in ``turns`` -> the same
+    rows with ``node`` in its place: the path of all blocks before."""
+    root = node = b"\0"
+    for rows in batches:
+        nodes = []
+        for block, turns in zip(rows.column("block").to_pylist(), rows.column("turns").to_pylist()):
+            nodes.append(node := node if block else root)
+            if turns is not None:
+                node = hashlib.md5(node + turns).digest()
+        at = rows.schema.get_field_index("turns")
+        yield rows.set_column(at, "node", pa.array(nodes, pa.binary()))
+
+
+def _blocks(convs: DataFrame, turns: DataFrame) -> DataFrame:
+    """Turns laid out (conv_id, n, block, t1.., node), written."""
     place = F.col("at") % WIDTH
     wide = (turns.groupBy("conv_id", F.floor(F.col("at") / WIDTH).cast("int").alias("block"))
             .agg(*[F.max(F.when(place == i, F.col("id"))).alias(f"t{i + 1}") for i in range(WIDTH)]))
-    path = tables.folder(spark, "blocks")
-    out = convs.join(wide, "conv_id", "left").withColumn("block", F.coalesce("block", F.lit(0)))
-    out.write.option("compression", "zstd").partitionBy("block").parquet(path)
-    schema = "conv_id long, n long, " + ", ".join(f"{t} binary" for t in _COLUMNS) + ", block int"
-    written = spark.read.schema(schema).parquet(path)
-    return written, (written.agg(F.max("block")).first()[0] or 0) + 1
-
-
-def _down(block: DataFrame, number: int) -> DataFrame:
-    """Nodes of one block: members, smallest member, path and parent's path."""
-    top = f" OR grouping_id() = {2 ** WIDTH - 1}" if number == 0 else ""
-    found = block.sparkSession.sql(
-        f"SELECT node, {', '.join(_COLUMNS)}, {_LEVEL} AS level, count(*) AS n_convs, min(conv_id) AS conv_id "
-        f"FROM {{block}} GROUP BY node, ROLLUP({', '.join(_COLUMNS)}) HAVING {_THERE}{top}", block=block)
+    rows = (convs.join(wide, "conv_id", "left")
+            .select("conv_id", "n", F.coalesce("block", F.lit(0)).alias("block"), *_COLUMNS, F.concat(*_COLUMNS).alias("turns")))
+    schema = "conv_id long, n long, block int, " + ", ".join(f"{t} binary" for t in _COLUMNS) + ", node binary"
+    return tables.scratch(rows.repartition("conv_id").sortWithinPartitions("conv_id", "block")
+                          .mapInArrow(_carry, schema), "blocks")
+
+
+def _down(rows: DataFrame, block: int | str) -> DataFrame:
+    """Nodes of blocks: members, smallest member, path and parent's path. ``block``: the rows'
+    block number, or the column with it."""
+    found = rows.sparkSession.sql(
+        f"SELECT node, {', '.join(_COLUMNS)}, {_LEVEL} AS level, count(*) AS n_convs, min(conv_id) AS conv_id, "
+        f"min({block}) AS block FROM {{rows}} GROUP BY node, ROLLUP({', '.join(_COLUMNS)}) HAVING {_THERE} OR {_ROOT}", rows=rows)
     return found.select(
-        "node", *_COLUMNS, "level", "n_convs", "conv_id", (F.col("level") + number * WIDTH).alias("depth"),
+        "node", *_COLUMNS, "level", "n_convs", "conv_id", (F.col("level") + F.col("block") * WIDTH).alias("depth"),
         F.expr(_digest("level")).alias("path"),
         F.when(F.col("level") > 0, F.expr(_digest("level - 1"))).alias("parent"))
 
 
-def _up(nodes: DataFrame, below: DataFrame | None) -> DataFrame:
-    """Every node of a block with the sums of its subtree; level 0 is the block's top."""
-    if below is not None:
-        nodes = (nodes.join(below, F.col("path") == F.col("under"), "left")
-                 .withColumn("leaves", F.col("leaves") + F.coalesce("under_leaves", F.lit(0)))
-                 .withColumn("saved", F.col("saved") + F.coalesce("under_saved", F.lit(0))))
+def _below(nodes: DataFrame, deepest: int) -> DataFrame:
+    """(under, under_leaves, under_saved): sums of all that is below the top of every block but
+    the first ones. In each round a top has the sums of the tops less than 2^round blocks below
+    it and knows the one 2^round blocks above it."""
+    tops = (nodes.groupBy(F.col("node").alias("path")).agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
+            .join(nodes.filter(F.col("level") == WIDTH).select("path", F.expr(f"nullif(node, {ROOT})").alias("up")), "path"))
+    tops = tables.scratch(tops, "tops")
+    for r in range(max(deepest - 1, 0).bit_length()):
+        more = (tops.filter("up IS NOT NULL").groupBy(F.col("up").alias("path"))
+                .agg(F.sum("leaves").alias("more_leaves"), F.sum("saved").alias("more_saved")))
+        further = tops.select(F.col("path").alias("up"), F.col("up").alias("further"))
+        tops = tables.scratch(
+            tops.join(more, "path", "left").join(further, "up", "left")
+            .select("path", (F.col("leaves") + F.coalesce("more_leaves", F.lit(0))).alias("leaves"),
+                    (F.col("saved") + F.coalesce("more_saved", F.lit(0))).alias("saved"), F.col("further").alias("up")),
+            f"tops{r}")
+    return tops.select(F.col("path").alias("under"), F.col("leaves").alias("under_leaves"), F.col("saved").alias("under_saved"))
+
+
+def _up(nodes: DataFrame, below: DataFrame) -> DataFrame:
+    """Every node with the sums of its subtree."""
+    nodes = (nodes.join(below, F.col("path") == F.col("under"), "left")
+             .withColumn("leaves", F.col("leaves") + F.coalesce("under_leaves", F.lit(0)))
+             .withColumn("saved", F.col("saved") + F.coalesce("under_saved", F.lit(0))))
     return nodes.sparkSession.sql(
-        f"SELECT node, {', '.join(_COLUMNS)}, {_LEVEL} AS at, sum(leaves) AS n_leaves, sum(saved) AS saved_tokens, "
+        f"SELECT node, {', '.join(_COLUMNS)}, sum(leaves) AS n_leaves, sum(saved) AS saved_tokens, "
         f"min(struct(level, conv_id, depth, parent_conv_id, n_convs, n_children, path)) AS own "
-        f"FROM {{nodes}} GROUP BY node, ROLLUP({', '.join(_COLUMNS)}) "
-        f"HAVING {_THERE} OR grouping_id() = {2 ** WIDTH - 1}", nodes=nodes).drop(*_COLUMNS)
+        f"FROM {{nodes}} GROUP BY node, ROLLUP({', '.join(_COLUMNS)}) HAVING {_THERE} OR {_ROOT}", nodes=nodes)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,50 +223,30 @@ def conversation_trie(conversations: DataFrame, group: int = 20, heads: int = 4)
     the node's key). Null turns sort first; rows of one conversation with equal turn are
     ordered by their ids (digests of role and text), so repeated rows count as turns of their
     own; null role and text are empty; rows without conv_id take no part; other columns are
-    ignored. An empty table has no root and gives an empty result. A conversation's length
-    sets the number of blocks, and each block costs a few jobs over the conversations that
-    reach it. Turns are told apart by 128-bit digests.
+    ignored. An empty table has no root and gives an empty result. The logarithm of
+    the longest conversation's length sets the number of jobs. Turns are told apart by 128-bit digests.
     """
-    spark = conversations.sparkSession
     convs, turns = rebuilt(conversations, group, heads)
-    blocks, count = _blocks(convs, turns)
-    nodes, ends, node = [], [], None
-    for k in range(count):
-        rows = blocks.filter(F.col("block") == k)
-        rows = rows.withColumn("node", F.expr(ROOT)) if node is None else rows.join(node, "conv_id")
-        nodes.append(tables.scratch(_down(rows, k), f"down{k}"))
-        length = f"least(n - {k * WIDTH}, {WIDTH})"
-        at = tables.scratch(rows.filter(F.col("n") >= (k + 1) * WIDTH if k + 1 < count else F.lit(False))
-                            .select("conv_id", "n", F.expr(_digest(str(WIDTH))).alias("node")), f"node{k}")
-        ends.append(rows.filter(F.col("n") <= (k + 1) * WIDTH).select("conv_id", F.expr(_digest(length)).alias("path")))
-        node = at.filter(F.col("n") > (k + 1) * WIDTH).select("conv_id", "node")
-
-    every = nodes[0].select("path", "parent", "conv_id")
-    listed = ends[0]
-    for a, b in zip(nodes[1:], ends[1:]):
-        every, listed = every.unionByName(a.select("path", "parent", "conv_id")), listed.unionByName(b)
-    children = every.filter("parent IS NOT NULL").groupBy(F.col("parent").alias("path")).agg(F.count(F.lit(1)).alias("n_children"))
+    rows = _blocks(convs, turns)
+    deepest = rows.agg(F.max("block")).first()[0] or 0
+    nodes = tables.scratch(_down(rows, "block"), "down")
+    ends = (rows.filter(F.col("n") <= (F.col("block") + 1) * WIDTH)
+            .select("conv_id", F.expr(_digest(f"(n - block * {WIDTH})")).alias("path")))
+    hashes = tables.scratch(list_hashes(tables.scratch(ends, "ends")), "hashes")
+
+    children = nodes.filter("parent IS NOT NULL").groupBy(F.col("parent").alias("path")).agg(F.count(F.lit(1)).alias("n_children"))
     children = tables.scratch(
-        every.select("path", F.col("conv_id").alias("parent_conv_id")).join(children, "path"), "children")
-    hashes = tables.scratch(list_hashes(tables.scratch(listed, "ends")), "hashes")
-
-    below, done = None, []
+        nodes.select("path", F.col("conv_id").alias("parent_conv_id")).join(children, "path"), "children")
     saved = (F.col("n_convs") - 1) * F.conv(F.hex(F.substring(F.element_at(F.array(*_COLUMNS), F.col("level")), 17, 4)), 16, 10).cast("long")
-    for k in reversed(range(count)):
-        known = (nodes[k].join(children.select("path", "n_children"), "path", "left")
-                 .join(children.select(F.col("path").alias("parent"), "parent_conv_id"), "parent", "left")
-                 .withColumn("n_children", F.coalesce("n_children", F.lit(0)))
-                 .withColumn("leaves", (F.col("n_children") == 0).cast("long"))
-                 .withColumn("saved", F.when(F.col("level") > 0, saved).otherwise(F.lit(0))))
-        sums = tables.scratch(_up(known, below), f"up{k}")
-        below = sums.filter("at = 0").select(F.col("node").alias("under"), F.col("n_leaves").alias("under_leaves"),
-                                             F.col("saved_tokens").alias("under_saved"))
-        done.append(sums.filter("at > 0") if k else sums)
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
+    known = (nodes.join(children.select("path", "n_children"), "path", "left")
+             .join(children.select(F.col("path").alias("parent"), "parent_conv_id"), "parent", "left")
+             .withColumn("n_children", F.coalesce("n_children", F.lit(0)))
+             .withColumn("leaves", (F.col("n_children") == 0).cast("long"))
+             .withColumn("saved", F.when(F.col("level") > 0, saved).otherwise(F.lit(0))))
+    known = tables.scratch(known, "known")
+    out = tables.scratch(_up(known, _below(known, deepest)).select("own.*", "n_leaves", "saved_tokens"), "up")
     nothing = hashlib.sha256(b"").hexdigest()
-    out = out.select("own.*", "n_leaves", "saved_tokens").join(hashes, "path", "left")
+    out = out.join(hashes, "path", "left")
     return out.select("conv_id", F.col("depth").cast("long").alias("depth"), "parent_conv_id", "n_convs", "n_children",
                       "n_leaves", "saved_tokens", F.coalesce("sha", F.lit(nothing)).alias("ends_sha256"), "path")
 

@@ -94,3 +94,24 @@ def test_rows_without_a_turn_are_left_out_before_the_shuffle(spark):
     plan = ct._down(df, 0)._jdf.queryExecution().optimizedPlan().toString()
     aggregate, filtered, expand = (plan.index(x) for x in ("Aggregate", "Filter", "Expand"))
     assert aggregate < filtered < expand
+
+
+def test_jobs_and_plans_do_not_follow_the_longest_conversation(spark, monkeypatch):
+    """33 blocks: every node right, a few tables written, the last plan no longer than a short table's."""
+    written = []
+    scratch = ct.tables.scratch
+    monkeypatch.setattr(ct.tables, "scratch", lambda df, name: written.append(name) or scratch(df, name))
+
+    def run(rows):
+        written.clear()
+        df = ct.conversation_trie(spark.createDataFrame([tuple(r) + ("clash", "clash") for r in rows], SCHEMA).repartition(4))
+        got = sorted((tuple(r[c] for c in COLUMNS) for r in df.collect()), key=str)
+        assert got == _brute(rows)
+        return len(written), df._jdf.queryExecution().optimizedPlan().toString().count("\n")
+
+    short = [(c, t, "user", f"turn {t}") for c in range(3) for t in range(5)]
+    long = short + [(c, t, "user", f"turn {t} {'x ' * (t % 3)}{c if t > last else 0}") for c, n, last in
+                    ((20, 520, 600), (40, 520, 300), (60, 519, 100), (80, 256, 255), (100, 257, 90)) for t in range(n)]
+    tables, plan = run(short)
+    long_tables, long_plan = run(long)
+    assert long_tables <= tables + 6 and long_plan == plan
