@@ -1,15 +1,19 @@
 """Log-bilinear language model, trained with noise-contrastive estimation in numpy.
 
 Every text is encoded once into blocks of local word ids. All training tokens are counted
-(one shuffle of each block's distinct words). The ``TOP`` most frequent words are units of
-their own, every other word belongs to one of ``ENDINGS`` units by its last two bytes, which
-unseen words have as well. The model predicts units: the two units before a token are
-embedded, scaled by position and summed, and their product with the target embeddings plus
-a bias scores the next unit. Each block takes NCE gradient steps over its own aggregated
-(context, unit) counts, and parameters are averaged over blocks by their tokens. For scoring,
-one matrix product over a block's distinct contexts gives exactly normalised unit
-probabilities; a word within a unit has its discounted relative count, and the discounted
-mass stands for unseen words, so token probabilities sum to one.
+(one shuffle of each block's distinct words). The softmax is factored: P(unit | context) times
+P(word | unit, context). The ``TOP`` most frequent words are units of their own, the others
+belong to one of ``ENDINGS`` units by their last two bytes, which unseen words have as well.
+
+The two units before a token are embedded, scaled by position and summed; their product with
+the target embeddings plus a bias scores the next unit. Each block takes NCE gradient steps
+over its own aggregated (context, unit) counts, and parameters are averaged over blocks by
+their tokens. With the contexts fitted, every word inside a unit is learned too: it has an
+embedding by its hash, in a table whose rows follow the vocabulary within ``ROWS``, fitted by
+NCE against the unit's own word counts as noise. A word's probability within its unit is its
+discounted count times exp(context . embedding), over the sum of that over all words of the
+unit and the discounted mass, which stands for unseen words. The sum needs the counts by row
+only and is taken once for every context, so token probabilities sum to one exactly.
 """
 
 from __future__ import annotations
@@ -36,6 +40,13 @@ BATCH = 8192
 NOISE = 64               # noise units drawn per batch, shared by its rows
 RATIO = 8.0              # noise samples per data token that they stand for
 DISCOUNT = 0.6
+ROWS = 1 << 12, 1 << 16  # fewest and most rows of word embeddings; no word is without one
+WORDS_A_ROW = 4          # words sharing a row between those
+EPOCHS = 2               # passes over a block's tokens, for word embeddings
+DRAWS = 2                # noise rows drawn for a token, standing for RATIO samples
+PRIOR = 10.0             # gradients grow from here: a row seen a few times stays near zero
+CHUNK = 1 << 18          # tokens scored together
+PIECE = 1 << 18          # numbers of a sum in one shuffled row
 END = 0x5EED_0F_7E47     # stands for the hash of the end token
 
 BLOCKS = ("block string, doc_ids array<bigint>, held array<boolean>, counts array<int>, ids binary, "
@@ -145,6 +156,103 @@ def nce(p: dict[str, np.ndarray], context: np.ndarray, unit: np.ndarray, weight:
             p[k] += (rate * g[k] / np.sqrt(grown[k])).astype(np.float32)
 
 
+def nce_rows(rows: np.ndarray, p: dict[str, np.ndarray], context: np.ndarray, row: np.ndarray, share: np.ndarray,
+             rate: float, seed: int) -> None:
+    """NCE steps (Adagrad) for the word embeddings ``rows`` of one unit, in place, over the context
+    and row of every token; ``share``: the noise, each row's part of the unit."""
+    rng = np.random.default_rng(seed)
+    upto = np.cumsum(share) / share.sum()
+    last = int(np.flatnonzero(share)[-1])
+    grown = np.full(rows.shape, PRIOR, np.float32)
+    dims = np.arange(DIM)
+    for _ in range(EPOCHS):
+        order = rng.permutation(len(row))
+        for lo in range(0, len(order), BATCH):
+            pick = order[lo:lo + BATCH]
+            drawn = np.minimum(np.searchsorted(upto, rng.random(DRAWS * len(pick)), "right"), last)
+            at = np.concatenate([row[pick], drawn])
+            h = np.concatenate([_hidden(p, context[pick])] * (1 + DRAWS))
+            odds = np.exp(np.clip(np.einsum("ij,ij->i", h, rows[at]) - math.log(RATIO), -30, 30))
+            pull = 1 / (1 + odds)
+            pull[len(pick):] = (pull[len(pick):] - 1) * (RATIO / DRAWS)
+            g = np.bincount((at[:, None] * DIM + dims).ravel(), (pull[:, None] * h).ravel(), rows.size)
+            g = g.reshape(rows.shape).astype(np.float32)
+            grown += g ** 2
+            rows += rate * g / np.sqrt(grown)
+
+
+def _row(hashes: np.ndarray, unit: np.ndarray, a_unit: int) -> np.ndarray:
+    """Row of each distinct word; -1 for words that are units of their own."""
+    return np.where(unit >= TOP, (unit - TOP) * a_unit + (hashes & (a_unit - 1)), -1)
+
+
+def _learn_rows(flat: np.ndarray, top: np.ndarray, mass: np.ndarray, rate: float):
+    """Word embeddings fitted over the blocks of a task: sums, by piece, of rows times their
+    tokens, then of the tokens. mass: discounted counts by row."""
+    a_unit = len(mass) // ENDINGS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = _unpack(flat)
+        sums = np.zeros(len(mass) * (DIM + 1), np.float32)
+        rows = np.zeros((len(mass), DIM), np.float32)
+        for batch in batches:
+            for held, counts, ids, hashes, endings in zip(*(c.to_pylist() for c in batch.columns)):
+                counts, ids = np.asarray(counts, np.int64), np.frombuffer(ids, np.int32)
+                unit = _units(hashes, endings, top)
+                row = _row(np.frombuffer(hashes, np.int64), unit, a_unit)[ids]
+                learn = np.flatnonzero(np.repeat(~np.asarray(held, bool), counts) & (row >= 0))
+                learn = learn[np.argsort((row[learn] // a_unit).astype(np.uint8), kind="stable")]
+                context, row = _contexts(unit[ids], counts)[learn], row[learn]
+                cuts = np.searchsorted(row // a_unit, np.arange(ENDINGS + 1))
+                for u in range(ENDINGS):
+                    cut, base = slice(cuts[u], cuts[u + 1]), u * a_unit
+                    if cuts[u] < cuts[u + 1]:
+                        nce_rows(rows[base:base + a_unit], p, context[cut], row[cut] - base, mass[base:base + a_unit],
+                                 rate, int(cuts[u + 1] - cuts[u]))
+                sums[rows.size:] += np.bincount(row, minlength=len(mass)).astype(np.float32)
+        tokens = sums[rows.size:]
+        if tokens.any():
+            sums[:rows.size] = (rows * tokens[:, None]).ravel()
+            for lo in range(0, len(sums), PIECE):
+                yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([sums[lo:lo + PIECE].tobytes()], pa.binary())],
+                                                 ["at", "sums"])
+    return run
+
+
+def _add(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum of a piece over tasks, one task's at a time."""
+    at, out = 0, None
+    for batch in pieces:
+        for at, one in zip(batch.column("at").to_pylist(), batch.column("sums")):
+            one = np.frombuffer(one.as_buffer(), np.float32)
+            out = one.astype(np.float64) if out is None else out + one
+    yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([out.astype(np.float32).tobytes()], pa.binary())], ["at", "sums"])
+
+
+def _norms(flat: np.ndarray, rows: np.ndarray, mass: np.ndarray, unseen: np.ndarray):
+    """By the unit before: log10 of every ending's sum of counts times exp(tilt), over its sum of
+    counts, in all contexts with that unit."""
+    p = _unpack(flat)
+    weights = mass.reshape(ENDINGS, -1).astype(np.float32)
+    sizes = weights.sum(1, dtype=np.float64) + unseen
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one in batch.column(0).to_pylist():
+                h = _hidden(p, one * (UNITS + 1) + np.arange(UNITS + 1))
+                norm = np.zeros((UNITS + 1, ENDINGS))
+                for u in range(ENDINGS):
+                    if sizes[u] > 0:
+                        tilt = np.exp(_tilt(h @ rows[u * weights.shape[1]:(u + 1) * weights.shape[1]].T))
+                        norm[:, u] = np.log10((tilt @ weights[u] + unseen[u]) / sizes[u])
+                yield pa.RecordBatch.from_arrays([pa.array([one]), pa.array([norm.tobytes()], pa.binary())], ["one", "norm"])
+    return run
+
+
+def _tilt(x: np.ndarray) -> np.ndarray:
+    return np.clip(x, -30, 30)
+
+
 def _learn(flat: np.ndarray, top: np.ndarray, noise: np.ndarray, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,8 +272,10 @@ def _learn(flat: np.ndarray, top: np.ndarray, noise: np.ndarray, rate: float):
     return run
 
 
-def _score(flat: np.ndarray, top: np.ndarray, size: np.ndarray, kinds: np.ndarray, total: int, distinct: int):
-    """size, kinds: training tokens and distinct words of each ending's unit."""
+def _score(flat: np.ndarray, rows: np.ndarray, norms: np.ndarray, top: np.ndarray, size: np.ndarray,
+           kinds: np.ndarray, total: int, distinct: int):
+    """size, kinds: training tokens and distinct words of each ending's unit; norms: by context
+    and ending, see ``_norms``."""
     p = _unpack(flat)
     floor = math.log10(total + 0.5 * (distinct + 1))
 
@@ -184,16 +294,25 @@ def _score(flat: np.ndarray, top: np.ndarray, size: np.ndarray, kinds: np.ndarra
         inside[rare] = np.where(size[ending[rare]] > 0, np.log10(np.maximum(mass, 1e-9) / held_by), 0.0)
         units = unit[ids]
         context, at = np.unique(_contexts(units, counts), return_inverse=True)
-        z = (_hidden(p, context) @ p["target"].T + p["bias"]).astype(np.float64)
+        hidden = _hidden(p, context)
+        z = (hidden @ p["target"].T + p["bias"]).astype(np.float64)
         z -= z.max(1, keepdims=True)
         z = (z - np.log(np.exp(z).sum(1, keepdims=True))) / math.log(10)
         first = np.cumsum(counts) - counts
         base = np.log10(c + 0.5) - floor
+        score = z[at, units] + inside[ids]
+        own = _row(np.frombuffer(row["hashes"], np.int64), unit, len(rows) // ENDINGS)
+        own = np.where(c > 0, own, -1)                       # unseen words are not tilted
+        for lo in range(0, len(ids), CHUNK):
+            mine = own[ids[lo:lo + CHUNK]]
+            seen, inner = np.flatnonzero(mine >= 0), np.flatnonzero(units[lo:lo + CHUNK] >= TOP) + lo
+            score[seen + lo] += _tilt(np.einsum("ij,ij->i", hidden[at[seen + lo]], rows[mine[seen]])) / math.log(10)
+            score[inner] -= norms[context[at[inner]], units[inner] - TOP]
         return pa.table({
             "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()),
             "n_tokens": counts, "n_known": np.add.reduceat((c > 0).astype(np.int64)[ids], first),
             "base_score": np.add.reduceat(base[ids], first),
-            "score": np.add.reduceat(z[at, units] + inside[ids], first)})
+            "score": np.add.reduceat(score, first)})
     return run
 
 
@@ -205,8 +324,11 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
     without ASCII blanks, A-Z lower-cased; every text ends with one end token, so null and
     empty texts are that token alone. Repeated rows count each; null ids stay null. Other
     columns are ignored; an empty table gives an empty result; with no training row every
-    probability is that of an untrained model. Words are told apart by 64-bit hashes.
+    probability is that of an untrained model. Words are told apart by 64-bit hashes. Every
+    training word is learned in its contexts; unseen words of an ending share its discounted
+    mass as one outcome. A context's words beyond the ``TOP`` count as their endings.
     """
+    spark = docs.sparkSession
     blocks = tables.scratch(docs.select("doc_id", F.coalesce(held, F.lit(False)).alias("held"), "text")
                             .mapInArrow(_encode, BLOCKS), "blocks")
     seen = blocks.select("block", "hashes", "endings", "train").mapInArrow(
@@ -241,10 +363,30 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
         for r in mean:
             flat[r.i] = r.v
 
+    a_unit = min(max(ROWS[0], 1 << (distinct // WORDS_A_ROW).bit_length()), ROWS[1]) // ENDINGS
+    inside = (vocab.filter(~F.col("hash").isin(top.tolist())) if len(top) else vocab).groupBy(
+        (F.col("ending") * a_unit + F.col("hash").bitwiseAND(F.lit(a_unit - 1))).alias("row")).agg(
+        F.sum(F.col("c") - DISCOUNT).alias("mass")).toArrow()
+    mass = np.zeros(ENDINGS * a_unit)
+    mass[inside.column("row").to_numpy()] = inside.column("mass").to_numpy()
+    pieces = (blocks.select("held", "counts", "ids", "hashes", "endings")
+              .mapInArrow(_learn_rows(flat, top, mass, 0.2), "at long, sums binary")
+              .groupBy("at").applyInArrow(_add, "at long, sums binary").collect())
+    sums = np.zeros(len(mass) * (DIM + 1), np.float32)
+    for r in pieces:
+        one = np.frombuffer(r.sums, np.float32)
+        sums[r.at:r.at + len(one)] = one
+    tokens = sums[len(mass) * DIM:]
+    rows = sums[:len(mass) * DIM].reshape(-1, DIM) / np.maximum(tokens, 1)[:, None]
+    norms = np.zeros(((UNITS + 1) ** 2, ENDINGS), np.float32)
+    for r in spark.range(0, UNITS + 1, 1, UNITS + 1).mapInArrow(
+            _norms(flat, rows, mass, DISCOUNT * kinds), "one long, norm binary").collect():
+        norms[r.one * (UNITS + 1):(r.one + 1) * (UNITS + 1)] = np.frombuffer(r.norm).reshape(-1, ENDINGS)
+
     known = seen.select("block", "at", "hash").join(vocab.select("hash", "c"), "hash").select("block", "at", "c")
     scored = (blocks.select("block", "doc_ids", "held", "counts", "ids", "hashes", "endings").groupBy("block")
               .cogroup(known.groupBy("block")).applyInArrow(
-                  _score(flat, top, size, kinds, total, distinct),
+                  _score(flat, rows, norms, top, size, kinds, total, distinct),
                   "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
                          "base_score", "score")
