@@ -99,17 +99,19 @@ def _units(hashes: bytes, endings: bytes, top: np.ndarray) -> np.ndarray:
     if len(top):
         at = np.minimum(np.searchsorted(top, h), len(top) - 1)
         unit = np.where(top[at] == h, at, unit)
-    return unit
+    return unit.astype(np.int32)         # codes of contexts and units fit as well
 
 
 def _contexts(units: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """(unit before) * (UNITS + 1) + (unit before that) for every token."""
     begin = np.cumsum(counts) - counts
-    one = np.concatenate([[START], units[:-1]])
-    one[begin] = START
-    two = np.concatenate([[START], one[:-1]])
+    code = np.roll(units, 1)
+    code[begin] = START
+    two = np.roll(code, 1)
     two[begin] = START
-    return one * (UNITS + 1) + two
+    code *= UNITS + 1
+    code += two
+    return code
 
 
 def _unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
@@ -183,7 +185,7 @@ def nce_rows(rows: np.ndarray, p: dict[str, np.ndarray], context: np.ndarray, ro
 
 def _row(hashes: np.ndarray, unit: np.ndarray, a_unit: int) -> np.ndarray:
     """Row of each distinct word; -1 for words that are units of their own."""
-    return np.where(unit >= TOP, (unit - TOP) * a_unit + (hashes & (a_unit - 1)), -1)
+    return np.where(unit >= TOP, (unit - TOP) * a_unit + (hashes & (a_unit - 1)), -1).astype(np.int32)
 
 
 def _learn_rows(flat: np.ndarray, top: np.ndarray, mass: np.ndarray, rate: float):
@@ -260,7 +262,10 @@ def _learn(flat: np.ndarray, top: np.ndarray, noise: np.ndarray, rate: float):
                 counts = np.asarray(counts, np.int64)
                 units = _units(hashes, endings, top)[np.frombuffer(ids, np.int32)]
                 learn = np.repeat(~np.asarray(held, bool), counts)
-                code = (_contexts(units, counts) * UNITS + units)[learn]
+                code = _contexts(units, counts)
+                code *= UNITS
+                code += units
+                code = code[learn]
                 if not len(code):
                     continue
                 code, weight = np.unique(code, return_counts=True)
